@@ -186,3 +186,42 @@ def ewm_by_context(df: DataFrame, cols: Sequence[str], entity, order, ctx: str,
                 outs[f"{c}_ewm_mean_{v}_prank"] = F.when(F.col(ctx) == v, F.col(f"_{c}_cr"))
         df = df.withColumns(outs).drop(prev, f"_{c}_cm", f"_{c}_cr")
     return df
+
+
+# W19 ----------------------------------------------------------------------------
+def allowed(df: DataFrame, group, date: str, stats: Sequence[str], span: float = 21,
+            prefix: str = "allowed") -> DataFrame:
+    """Group-side EWM: daily sums per (group, date), EWM of the previous
+    day's sum inside the group, percentile rank per date.  Returns the daily
+    table; join it back on ``group + [date]`` (small: groups x dates)."""
+    from tempolith.operators.aggs import daily_sum
+    group = _cols(group)
+    alpha = alpha_from_span(span)
+    daily = daily_sum(df, group + [date], stats)
+    w = Window.partitionBy(*group).orderBy(date)
+    for s in stats:
+        daily = daily.withColumn(f"_{s}_p", F.lag(s, 1).over(w))
+        daily = ewm_moments(daily, f"_{s}_p", group, [date], alpha, f"{prefix}_{s}_ewm")
+        daily = daily.withColumn(f"{prefix}_{s}_ewm_prank", pct_rank_expr(f"{prefix}_{s}_ewm", date))
+        daily = daily.drop(f"_{s}_p")
+    return daily.drop(*stats)
+
+
+# W20 ----------------------------------------------------------------------------
+def allowed_ratio(df: DataFrame, group, date: str, pairs: Sequence[tuple[str, str, str]],
+                  span: float = 21) -> DataFrame:
+    """EWM(made) / EWM(attempted) of previous daily sums, per (group, date),
+    plus its per-date rank.  ``pairs`` = (made, attempted, output)."""
+    from tempolith.operators.aggs import daily_sum
+    group = _cols(group)
+    alpha = alpha_from_span(span)
+    cols = sorted({c for m, a, _ in pairs for c in (m, a)})
+    daily = daily_sum(df, group + [date], cols)
+    w = Window.partitionBy(*group).orderBy(date)
+    for c in cols:
+        daily = daily.withColumn(f"_{c}_p", F.lag(c, 1).over(w))
+        daily = ewm_moments(daily, f"_{c}_p", group, [date], alpha, f"_{c}_e")
+    for m, a, out in pairs:
+        daily = daily.withColumn(out, F.try_divide(F.col(f"_{m}_e"), F.col(f"_{a}_e")))
+        daily = daily.withColumn(f"{out}_prank", pct_rank_expr(out, date))
+    return daily.drop(*cols, *[f"_{c}_p" for c in cols], *[f"_{c}_e" for c in cols])

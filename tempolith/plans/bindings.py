@@ -48,7 +48,8 @@ def snap(c, bits: int = 20):
     unless their inputs already differ.
     """
     scale = float(2 ** bits)
-    return F.floor(F.col(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    col = F.col(c) if isinstance(c, str) else c
+    return F.floor(col * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
 def snap_sql(expr: str, bits: int = 20) -> str:
