@@ -20,7 +20,7 @@ def _c(c) -> Column:
 def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
     s = F.trim(_c(c))
     s = F.regexp_replace(s, r"^[A-Za-z]+,\s*(?=[A-Za-z])", "")
-    return F.coalesce(*[F.try_to_date(s, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
 
 
 # F5 -----------------------------------------------------------------------------
