@@ -67,6 +67,7 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
+    """A fresh path under the shared checkpoint folder for written intermediate tables."""
+    import uuid
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{os.getpid()}"
+    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
