@@ -45,4 +45,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tempolith.plans import q_intervals, q_prep, q_relational, q_sources, q_windows  # noqa: F401
+    from tempolith.plans import q_intervals, q_jobs, q_prep, q_relational, q_sources, q_windows  # noqa: F401
