@@ -35,50 +35,56 @@ def alpha_from_span(span: float) -> float:
     return 2.0 / (span + 1.0)
 
 
-def decay_blocks(df: DataFrame, part: Sequence[str], order: Sequence[str], log_a: str, tag: str) -> DataFrame:
-    """Add the running log-decay ``_{tag}_L`` and its block id ``_{tag}_K``."""
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(UNB, CUR)
-    L = f"_{tag}_L"
-    df = df.withColumn(L, F.sum(log_a).over(w))
-    return df.withColumn(f"_{tag}_K", F.floor(-F.col(L) / BLOCK))
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
 
 
-def affine_scan(df: DataFrame, part: Sequence[str], order: Sequence[str],
+def _over(part: Sequence[str], order: Sequence[str], frame: str | None = None) -> str:
+    o = f" ORDER BY {', '.join(_q(c) for c in order)}" if order else ""
+    f = f" {frame}" if frame else ""
+    return f"OVER (PARTITION BY {', '.join(_q(c) for c in part)}{o}{f})"
+
+
+RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def affine_scan(df: DataFrame, part: Sequence[str], order: Sequence[str], log_a: str,
                 terms: Sequence[tuple[str, int, str]], tag: str) -> DataFrame:
     """Solve ``y_i = exp(p*log_a_i) * y_{i-1} + c_i`` (y before the first row = 0).
 
-    Needs ``decay_blocks(..., tag)`` first.  ``terms`` holds
-    ``(c_column, p, output_column)``, all sharing the decay, scaled by the
-    integer power ``p`` (1 or 2).  Every window here sorts by
-    (part, K, order), so the whole scan costs one local sort.
+    ``log_a`` (<= 0) and each ``c`` are SQL expressions; ``terms`` holds
+    ``(c, p, output_column)`` sharing the decay scaled by the integer power
+    ``p`` (1 or 2).  Adds the block id ``_{tag}_K``; every window after the
+    first sorts by (part, K, order), so the scan costs one extra local sort.
+    Expressions are built as SQL text: one JVM call per column.
     """
-    L, K = f"_{tag}_L", f"_{tag}_K"
-    wk = Window.partitionBy(*part, K).orderBy(*order).rowsBetween(UNB, CUR)
-    ref = -F.col(K) * BLOCK
-    inner = {}
+    L, K, end = f"_{tag}_L", f"_{tag}_K", f"_{tag}_end"
+    qL, qK = _q(L), _q(K)
+    df = df.withColumn(L, F.expr(f"sum({log_a}) {_over(part, order, RUNNING)}"))
+    df = df.withColumn(K, F.expr(f"floor(-{qL} / {BLOCK})"))
+    # in-block running sums (exponents bounded by p*BLOCK) and the block-end flag
+    wk = _over(list(part) + [K], order, RUNNING)
+    wo_order = [K] + list(order)
+    inner = {end: F.expr(f"coalesce(lead({qK}, 1) {_over(part, wo_order)} != {qK}, true)")}
+    ref = f"(-{qK} * {BLOCK})"
     for c, p, out in terms:
-        s = F.sum(F.coalesce(F.col(c), F.lit(0.0)) * F.exp(F.lit(p) * (ref - F.col(L)))).over(wk)
-        inner[f"_{out}_in"] = F.exp(F.lit(p) * (F.col(L) - ref)) * s
+        inner[f"_{out}_in"] = F.expr(
+            f"exp({p} * ({qL} - {ref})) * sum(coalesce({c}, 0D) * exp({p} * ({ref} - {qL}))) {wk}")
     df = df.withColumns(inner)
-    wo = Window.partitionBy(*part).orderBy(K, *order)
-    end = f"_{tag}_{terms[0][2]}_end"
-    df = df.withColumn(end, F.coalesce(F.lead(K, 1).over(wo) != F.col(K), F.lit(True)))
-    fields = [F.col(L).alias("l")] + [F.col(f"_{out}_in").alias(f"v{i}") for i, (_, _, out) in enumerate(terms)]
-    prev_end = wo.rowsBetween(UNB, -1)
-    ends = [f"{end}{m}" for m in range(1, N_PREV_ENDS + 1)]
-    df = df.withColumn(ends[0], F.last(F.when(F.col(end), F.struct(*fields)), ignorenulls=True).over(prev_end))
+    # (L, in-block values) at the last rows of the previous N_PREV_ENDS blocks
+    fields = ", ".join([f"{qL} AS l"] + [f"{_q('_' + out + '_in')} AS v{i}" for i, (_, _, out) in enumerate(terms)])
+    prev = _over(part, wo_order, BEFORE)
+    ends = [f"_{tag}_e{m}" for m in range(1, N_PREV_ENDS + 1)]
+    df = df.withColumn(ends[0], F.expr(f"last(CASE WHEN {_q(end)} THEN struct({fields}) END, true) {prev}"))
     for m in range(1, N_PREV_ENDS):
-        carried = F.when(F.col(end), F.col(ends[m - 1]))
-        df = df.withColumn(ends[m], F.last(carried, ignorenulls=True).over(prev_end))
+        df = df.withColumn(ends[m], F.expr(f"last(CASE WHEN {_q(end)} THEN {_q(ends[m - 1])} END, true) {prev}"))
     outs = {}
     for i, (_, p, out) in enumerate(terms):
-        y = F.col(f"_{out}_in")
-        for e_name in ends:
-            e = F.col(e_name)
-            y = y + F.coalesce(e[f"v{i}"] * F.exp(F.lit(p) * (F.col(L) - e["l"])), F.lit(0.0))
-        outs[out] = y
+        parts = [_q(f"_{out}_in")] + [f"coalesce({_q(e)}.v{i} * exp({p} * ({qL} - {_q(e)}.l)), 0D)" for e in ends]
+        outs[out] = F.expr(" + ".join(parts))
     df = df.withColumns(outs)
-    return df.drop(end, *ends, *[f"_{out}_in" for _, _, out in terms])
+    return df.drop(L, end, *ends, *[f"_{out}_in" for _, _, out in terms])
 
 
 def ewm_moments(df: DataFrame, x: str, part: Sequence[str], order: Sequence[str], alpha: float,
@@ -87,51 +93,52 @@ def ewm_moments(df: DataFrame, x: str, part: Sequence[str], order: Sequence[str]
 
     Rows before the first non-NULL value stay NULL; NULL rows carry the last
     value; a gap of ``g`` rows decays the old weight by ``(1-alpha)**g``.
-    With ``keep_block`` the block id is kept under that name so later windows
-    can order by ``(block, order)`` and reuse the sort.
+
+    One scan solves three recurrences with the same decay: the mean of
+    ``x - x0``, of ``(x - x0)^2`` and the sum of squared weights, where ``x0``
+    is the series' first value (variance is shift invariant; the shift keeps
+    ``S2 - m^2`` free of cancellation).  Then
+    ``var = (S2 - m^2) / (1 - sum w^2)``, the bias-corrected weighted variance.
+    With ``keep_block`` the block id is kept so later windows can order by
+    ``(block, order)`` and reuse the sort.
     """
     part, order = _cols(part), _cols(order)
-    ln_d = math.log1p(-alpha)
+    ln_d, a = repr(math.log1p(-alpha)), repr(alpha)
     t = f"ewm_{mean_out}"
-    w = Window.partitionBy(*part).orderBy(*order)
-    obs = F.col(x).isNotNull()
-    df = df.withColumn(f"_{t}_rn", F.row_number().over(w))
-    last_obs = F.last(F.when(obs, F.col(f"_{t}_rn")), ignorenulls=True).over(w.rowsBetween(UNB, -1))
-    df = df.withColumns({f"_{t}_g": (F.col(f"_{t}_rn") - last_obs).cast("double"),
-                         f"_{t}_seen": F.count(x).over(w.rowsBetween(UNB, CUR))})
-    g = F.col(f"_{t}_g")
-    first = obs & g.isNull()
-    later = obs & g.isNotNull()
-    old = F.exp(g * F.lit(ln_d))                       # (1-alpha)^g, underflows gracefully
-    log_a = F.when(later, g * F.lit(ln_d) - F.log(old + F.lit(alpha))).otherwise(F.lit(0.0))
-    b = F.when(later, F.lit(alpha) / (old + F.lit(alpha))).when(first, F.lit(1.0)).otherwise(F.lit(0.0))
-    df = df.withColumns({f"_{t}_la": log_a, f"_{t}_b": b})
-    df = df.withColumn(f"_{t}_c", F.col(f"_{t}_b") * F.col(x))
-    df = decay_blocks(df, part, order, f"_{t}_la", tag=t)
-    df = affine_scan(df, part, order, [(f"_{t}_c", 1, f"_{t}_m")], tag=t)
-    seen = F.col(f"_{t}_seen") > 0
-    df = df.withColumn(mean_out, F.when(seen, F.col(f"_{t}_m")))
-    drop = [f"_{t}_rn", f"_{t}_g", f"_{t}_c", f"_{t}_m", f"_{t}_seen", f"_{t}_L"]
+    qx = _q(x)
+    rn, seen, x0, g = (f"_{t}_{n}" for n in ("rn", "seen", "x0", "g"))
+    qrn, qg = _q(rn), _q(g)
+    df = df.withColumns({rn: F.expr(f"row_number() {_over(part, order)}"),
+                         seen: F.expr(f"count({qx}) {_over(part, order, RUNNING)}"),
+                         x0: F.expr(f"first({qx}, true) {_over(part, order, RUNNING)}")})
+    df = df.withColumn(g, F.expr(
+        f"CAST({qrn} - last(CASE WHEN {qx} IS NOT NULL THEN {qrn} END, true) {_over(part, order, BEFORE)} AS DOUBLE)"))
+    later = f"({qx} IS NOT NULL AND {qg} IS NOT NULL)"
+    first = f"({qx} IS NOT NULL AND {qg} IS NULL)"
+    old = f"exp({qg} * {ln_d})"                       # (1-alpha)^g, underflows gracefully
+    log_a = f"(CASE WHEN {later} THEN {qg} * {ln_d} - ln({old} + {a}) ELSE 0D END)"
+    b = f"(CASE WHEN {later} THEN {a} / ({old} + {a}) WHEN {first} THEN 1D ELSE 0D END)"
+    xs = f"({qx} - {_q(x0)})"
+    terms = [(f"{b} * {xs}", 1, f"_{t}_m")]
+    if std_out:
+        terms += [(f"{b} * {xs} * {xs}", 1, f"_{t}_s2"), (f"{b} * {b}", 2, f"_{t}_w2")]
+    df = affine_scan(df, part, order, log_a, terms, tag=t)
+    ok = f"{_q(seen)} > 0"
+    m = _q(f"_{t}_m")
+    outs = {mean_out: F.expr(f"CASE WHEN {ok} THEN {m} + {_q(x0)} END")}
     if std_out:
-        wo = Window.partitionBy(*part).orderBy(f"_{t}_K", *order)
-        m = F.col(f"_{t}_m")
-        a = F.exp(F.col(f"_{t}_la"))
-        bb = F.col(f"_{t}_b")
-        cov_c = F.when(later, a * F.pow(F.lag(f"_{t}_m", 1).over(wo) - m, 2)
-                       + bb * F.pow(F.col(x) - m, 2)).otherwise(F.lit(0.0))
-        df = df.withColumns({f"_{t}_cc": cov_c, f"_{t}_b2": bb * bb})
-        df = affine_scan(df, part, order, [(f"_{t}_cc", 1, f"_{t}_cov"), (f"_{t}_b2", 2, f"_{t}_w2")], tag=t)
-        denom = F.lit(1.0) - F.col(f"_{t}_w2")
         # 1 - w2 is exactly 0 on a first observation and after gaps long enough
         # that the old weight vanishes; the log-form leaves ~1e-15 noise there.
-        var = F.when(seen & (denom > W2_TOL), F.col(f"_{t}_cov") / denom)
-        df = df.withColumn(std_out, F.when(var.isNotNull(), F.sqrt(F.greatest(var, F.lit(0.0)))))
-        drop += [f"_{t}_cc", f"_{t}_b2", f"_{t}_cov", f"_{t}_w2"]
+        w2, s2 = _q(f"_{t}_w2"), _q(f"_{t}_s2")
+        outs[std_out] = F.expr(f"CASE WHEN {ok} AND 1D - {w2} > {W2_TOL} "
+                               f"THEN sqrt(greatest(({s2} - {m} * {m}) / (1D - {w2}), 0D)) END")
+    df = df.withColumns(outs)
+    drop = [rn, seen, x0, g] + [out for _, _, out in terms]
     if keep_block:
         df = df.withColumnRenamed(f"_{t}_K", keep_block)
     else:
         drop.append(f"_{t}_K")
-    return df.drop(*drop, f"_{t}_la", f"_{t}_b")
+    return df.drop(*drop)
 
 
 # W7 - W11 -----------------------------------------------------------------------
