@@ -28,7 +28,7 @@ from tempolith.operators.windows import UNB, CUR, _cols, pct_rank_expr
 BLOCK = 300.0      # nats per decay block (exp(2*BLOCK) still fits a double)
 N_PREV_ENDS = 3    # previous block ends that can still matter in double precision
 EPS = 1e-6         # stabiliser in z-score style denominators
-W2_TOL = 1e-9      # below this 1 - sum(w^2) is rounding noise (no usable spread)
+W2_TOL = 1.2e-16   # 1 - sum(w^2) below half an ulp of 1 counts as zero (no spread yet)
 
 
 def alpha_from_span(span: float) -> float:
@@ -61,8 +61,9 @@ def affine_scan(df: DataFrame, part: Sequence[str], order: Sequence[str], log_a:
     """
     L, K, end = f"_{tag}_L", f"_{tag}_K", f"_{tag}_end"
     qL, qK = _q(L), _q(K)
-    df = df.withColumn(L, F.expr(f"sum({log_a}) {_over(part, order, RUNNING)}"))
-    df = df.withColumn(K, F.expr(f"floor(-{qL} / {BLOCK})"))
+    if L not in df.columns:            # a second scan with the same decay reuses L and K (and the sort)
+        df = df.withColumn(L, F.expr(f"sum({log_a}) {_over(part, order, RUNNING)}"))
+        df = df.withColumn(K, F.expr(f"floor(-{qL} / {BLOCK})"))
     # in-block running sums (exponents bounded by p*BLOCK) and the block-end flag
     wk = _over(list(part) + [K], order, RUNNING)
     wo_order = [K] + list(order)
@@ -84,7 +85,7 @@ def affine_scan(df: DataFrame, part: Sequence[str], order: Sequence[str], log_a:
         parts = [_q(f"_{out}_in")] + [f"coalesce({_q(e)}.v{i} * exp({p} * ({qL} - {_q(e)}.l)), 0D)" for e in ends]
         outs[out] = F.expr(" + ".join(parts))
     df = df.withColumns(outs)
-    return df.drop(L, end, *ends, *[f"_{out}_in" for _, _, out in terms])
+    return df.drop(end, *ends, *[f"_{out}_in" for _, _, out in terms])
 
 
 def ewm_moments(df: DataFrame, x: str, part: Sequence[str], order: Sequence[str], alpha: float,
@@ -94,13 +95,15 @@ def ewm_moments(df: DataFrame, x: str, part: Sequence[str], order: Sequence[str]
     Rows before the first non-NULL value stay NULL; NULL rows carry the last
     value; a gap of ``g`` rows decays the old weight by ``(1-alpha)**g``.
 
-    One scan solves three recurrences with the same decay: the mean of
-    ``x - x0``, of ``(x - x0)^2`` and the sum of squared weights, where ``x0``
-    is the series' first value (variance is shift invariant; the shift keeps
-    ``S2 - m^2`` free of cancellation).  Then
-    ``var = (S2 - m^2) / (1 - sum w^2)``, the bias-corrected weighted variance.
-    With ``keep_block`` the block id is kept so later windows can order by
-    ``(block, order)`` and reuse the sort.
+    With ``A = old/(old+alpha)``, ``B = alpha/(old+alpha)`` per observation:
+    mean  m_i = A m_{i-1} + B x_i;
+    cov   c_i = A c_{i-1} + A B (x_i - m_{i-1})^2;
+    u_i = 1 - sum w^2 = A^2 u_{i-1} + 2 A B.
+    Every term is non-negative, so even after long NULL gaps (where u is
+    ~1e-15) var = c / u keeps full precision.  The mean is one scan, cov and u
+    a second scan on the same decay blocks (no extra sort).  ``x`` is shifted
+    by the series' first value for accuracy.  With ``keep_block`` the block id
+    is kept so later windows can order by ``(block, order)``.
     """
     part, order = _cols(part), _cols(order)
     ln_d, a = repr(math.log1p(-alpha)), repr(alpha)
@@ -118,22 +121,25 @@ def ewm_moments(df: DataFrame, x: str, part: Sequence[str], order: Sequence[str]
     old = f"exp({qg} * {ln_d})"                       # (1-alpha)^g, underflows gracefully
     log_a = f"(CASE WHEN {later} THEN {qg} * {ln_d} - ln({old} + {a}) ELSE 0D END)"
     b = f"(CASE WHEN {later} THEN {a} / ({old} + {a}) WHEN {first} THEN 1D ELSE 0D END)"
+    aa = f"(CASE WHEN {later} THEN {old} / ({old} + {a}) ELSE 0D END)"
     xs = f"({qx} - {_q(x0)})"
-    terms = [(f"{b} * {xs}", 1, f"_{t}_m")]
-    if std_out:
-        terms += [(f"{b} * {xs} * {xs}", 1, f"_{t}_s2"), (f"{b} * {b}", 2, f"_{t}_w2")]
-    df = affine_scan(df, part, order, log_a, terms, tag=t)
+    mean_c = f"_{t}_m"
+    df = affine_scan(df, part, order, log_a, [(f"{b} * {xs}", 1, mean_c)], tag=t)
     ok = f"{_q(seen)} > 0"
-    m = _q(f"_{t}_m")
-    outs = {mean_out: F.expr(f"CASE WHEN {ok} THEN {m} + {_q(x0)} END")}
+    m = _q(mean_c)
+    df = df.withColumn(mean_out, F.expr(f"CASE WHEN {ok} THEN {m} + {_q(x0)} END"))
+    drop = [rn, seen, x0, g, mean_c, f"_{t}_L"]
     if std_out:
-        # 1 - w2 is exactly 0 on a first observation and after gaps long enough
-        # that the old weight vanishes; the log-form leaves ~1e-15 noise there.
-        w2, s2 = _q(f"_{t}_w2"), _q(f"_{t}_s2")
-        outs[std_out] = F.expr(f"CASE WHEN {ok} AND 1D - {w2} > {W2_TOL} "
-                               f"THEN sqrt(greatest(({s2} - {m} * {m}) / (1D - {w2}), 0D)) END")
-    df = df.withColumns(outs)
-    drop = [rn, seen, x0, g] + [out for _, _, out in terms]
+        K = f"_{t}_K"
+        mprev = f"_{t}_mp"
+        df = df.withColumn(mprev, F.expr(f"lag({m}, 1) {_over(part, [K] + order)}"))
+        dev = f"({xs} - {_q(mprev)})"
+        terms = [(f"{aa} * {b} * {dev} * {dev}", 1, f"_{t}_c"), (f"2D * {aa} * {b}", 2, f"_{t}_u")]
+        df = affine_scan(df, part, order, log_a, terms, tag=t)
+        c, u = _q(f"_{t}_c"), _q(f"_{t}_u")
+        # u below half an ulp of 1 is where a direct evaluation of 1 - sum w^2 rounds to 0
+        df = df.withColumn(std_out, F.expr(f"CASE WHEN {ok} AND {u} > {W2_TOL} THEN sqrt({c} / {u}) END"))
+        drop += [mprev, f"_{t}_c", f"_{t}_u"]
     if keep_block:
         df = df.withColumnRenamed(f"_{t}_K", keep_block)
     else:
