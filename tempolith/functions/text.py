@@ -61,8 +61,8 @@ def _fold_tables(extra: tuple) -> tuple[str, str, tuple]:
 def ascii_fold(c: Column, transliterate: bool = False) -> Column:
     """Accent-fold to ASCII; anything still non-ASCII is removed."""
     src, dst, multi = _fold_tables(tuple(sorted(TRANSLIT_EXTRA.items())) if transliterate else ())
-    for ch, rep in multi:
-        c = F.regexp_replace(c, ch, rep)
+    for ch, rep in multi:                       # literal replace: a substring scan, no regex engine
+        c = F.replace(c, F.lit(ch), F.lit(rep))
     c = F.translate(c, src, dst)
     return F.regexp_replace(c, r"[^\x00-\x7F]", "")
 
