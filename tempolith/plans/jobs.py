@@ -157,3 +157,55 @@ def browse(df: DataFrame, order: Sequence, tie: str, query: str | None, groups:
     keep = [c for g in pick for c in cols.get(g, [])]
     r = r.select(*dict.fromkeys(keep + [tie]))
     return S.page(r, list(order) + [tie], page_no, size)
+
+
+def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], date: str, metrics: Sequence[str],
+                            season: str, context: str | None = None, context_values: Sequence[str] = (),
+                            span: float = 21, roll: int = 5, slope_min_rows: int = 21,
+                            hot_metric: str | None = None, interaction_pairs: Sequence[tuple[str, str]] = (),
+                            rank_cols: Sequence[str] | None = None, active_days: int = 7,
+                            partitions: int | None = None) -> DataFrame:
+    """``feature_build`` for data where one entity or one date can hold a large
+    share of all rows: every per-entity stage runs on range segments of the
+    entity's series and per-date ranks on range segments of the date (see
+    ``operators.segmented``); outputs are identical.  ``season`` must not
+    decrease along ``order`` (e.g. a year of the date)."""
+    from tempolith.operators import segmented as SG
+    order = list(order)
+    alpha = E.alpha_from_span(span)
+    rows = SG.running_features(df, entity, [season] + order, metrics, lags=(1, 2), roll=roll,
+                               partitions=partitions, keep_segments=True)
+    for m in metrics:
+        mean, std, prev = f"{m}_ewm_mean", f"{m}_ewm_std", f"{m}_lag1"
+        rows = SG.ewm_on_segments(rows, entity, prev, f"_{m}_x0", alpha, mean, std)
+        diff = F.col(prev) - F.col(mean)
+        rows = rows.withColumns({
+            f"{m}_ewm_z": diff / (F.col(std) + F.lit(E.EPS)),
+            f"{m}_ewm_above": F.coalesce(F.col(prev) > F.col(mean), F.lit(False)).cast("int"),
+            f"{m}_ewm_revert": F.abs(diff) / (F.col(std) + F.lit(E.EPS)),
+            f"{m}_ewm_dev": F.abs(diff)})
+        rows = SG.running_sum_across(rows, entity, f"{m}_ewm_above", f"{m}_ewm_surges")
+        rows = rows.withColumn(f"{m}_ewm_surges", F.col(f"{m}_ewm_surges").cast("long"))
+    rows = W.delta(rows, metrics)
+    flags = {}
+    if hot_metric:
+        rows = W.hot_cold_flags(rows, hot_metric, f"{hot_metric}_ewm_mean", f"{hot_metric}_ewm_std", "_hot", "_cold")
+        flags = {"_hot": "hot_streak", "_cold": "cold_streak"}
+    for i, m in enumerate(metrics):
+        rows = SG.season_features(rows, entity, season, date, f"{m}_lag1", flags if i == 0 else {},
+                                  f"{m}_slope", slope_min_rows=slope_min_rows)
+    rows = rows.drop("_hot", "_cold", "_rn", "_seg_start", "_n", SG.SEG, *[f"_{m}_x0" for m in metrics])
+    rows = SG.count_last_days(rows, entity, date, days=active_days, out=f"n_last_{active_days}d")
+    if context and context_values:
+        for m in metrics:
+            ctx_rows = SG.running_features(rows.select(entity, context, *order, m), [entity, context], order, [m],
+                                           lags=(1,), roll=0, partitions=partitions, keep_segments=True)
+            ctx_rows = SG.ewm_on_segments(ctx_rows, [entity, context], f"{m}_lag1", f"_{m}_x0", alpha, "_cm", "_cs")
+            outs = {f"{m}_ewm_mean_{v}": F.when(F.col(context) == v, F.col("_cm")) for v in context_values}
+            ctx_rows = ctx_rows.select(entity, *order, *[e.alias(k) for k, e in outs.items()])
+            rows = rows.join(ctx_rows, [entity] + order, "left")
+    rows = W.interactions(rows, interaction_pairs)
+    ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics
+                                                     for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")]
+    rows = SG.pct_rank_within(rows, date, ranks, partitions=partitions)
+    return NU.clean_non_finite(rows)

@@ -319,3 +319,27 @@ def browse_page(spark, sf):
         (F.col("c_acctbal") / 7 + 0.001).alias("acctbal_per_week"), "c_mktsegment", "o_orderpriority")
     groups = {"ids": [r"key$"], "money": [r"_per_week$"], "labels": [r"segment$", r"priority$"]}
     return J.browse(t, [F.col("price_per_week").desc()], "o_orderkey", "Building", groups, ["ids", "money"], 2, 20)
+
+
+# P4 again through the skew-safe path (range segments instead of one task per entity / date);
+# it must produce exactly the same features, so it shares the oracle.
+def player_feature_frame_skew_safe(spark, sf, partitions=None):
+    e = ev(spark, sf).withColumn("season", F.year("ts"))
+    return J.feature_build_skew_safe(e, "user_id", EV_ORDER, "d", ["value"], season="season",
+                                     context="event_type", context_values=("click", "view"), span=21, roll=5,
+                                     slope_min_rows=21, hot_metric="value",
+                                     interaction_pairs=[("value_ewm_mean", "value_exp_mean")],
+                                     partitions=partitions)
+
+
+def _register_skew_safe():
+    from tempolith.plans.catalog import ORACLE
+
+    @register("player_features_skew_safe", ORACLE["player_features"])
+    def player_features_skew_safe(spark, sf):
+        df = player_feature_frame_skew_safe(spark, sf).select(*P4_COLS)
+        df = round_doubles(df, skip=("value_ewm_mean_x_value_exp_mean",))
+        return df.withColumn("value_ewm_mean_x_value_exp_mean", snap("value_ewm_mean_x_value_exp_mean", 12))
+
+
+_register_skew_safe()
