@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Two-sided 80 % normal critical value and the calibration grid.
@@ -101,36 +101,77 @@ def summarize_draws(draws: DataFrame, keys: Sequence[str], mean: str = "mean", l
                     F.col("_q")[0].alias("q10"), F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q90"))
 
 
-# M16 ----------------------------------------------------------------------------
+# M16, M17 ----------------------------------------------------------------------------
+# Coverage is monotone in the scale s, so every row is covered exactly for the
+# grid values from some index j* on.  j* is estimated from the closed-form
+# threshold and then confirmed with the same comparison the definition uses
+# at the neighbouring grid points (so rounding cannot move a row across a grid
+# value); coverage(s_j) is the cumulative count of j* <= j.  One pass over the
+# rows and a 91-row table per target - no rows x grid cross join.
 def _pick(cov: DataFrame, target: str, coverage: float) -> DataFrame:
+    """Per target: the grid value with the smallest |coverage - target|, ties to the smaller s."""
     err = F.abs(F.col("cov") - F.lit(coverage))
     return cov.withColumn("err", err).groupBy(target).agg(
         F.min_by("s", F.struct(F.col("err"), F.col("s"))).alias("s"))
 
 
+def _grid_value(j, lo: float = GRID[0], hi: float = GRID[1], steps: int = GRID[2]):
+    step = (hi - lo) / (steps - 1)
+    return F.when(j == steps - 1, F.lit(hi)).otherwise(j.cast("double") * F.lit(step) + F.lit(lo))
+
+
+def _first_covered(covered, s_star, lo: float = GRID[0], hi: float = GRID[1], steps: int = GRID[2]):
+    """Smallest grid index whose value passes ``covered(s)``; ``steps`` if none."""
+    step = (hi - lo) / (steps - 1)
+    est = F.least(F.greatest(F.ceil((s_star - F.lit(lo)) / F.lit(step)), F.lit(0)), F.lit(steps)).cast("int")
+    est = F.coalesce(est, F.lit(steps))
+    cand = [est - 1, est, est + 1]
+    out = F.lit(steps)
+    for j in reversed(cand):
+        ok = (j >= 0) & (j < steps) & F.coalesce(covered(_grid_value(j, lo, hi, steps)), F.lit(False))
+        out = F.when(ok, j).otherwise(out)
+    return out
+
+
+def _pick_from_first_covered(df: DataFrame, target: str, jstar, coverage: float) -> DataFrame:
+    spark = df.sparkSession
+    steps = GRID[2]
+    counts = df.groupBy(target, jstar.alias("_j")).agg(F.count(F.lit(1)).alias("_c"))
+    totals = df.groupBy(target).agg(F.count(F.lit(1)).alias("_n"))
+    grid = spark.range(steps).select(F.col("id").cast("int").alias("_j"))
+    g = totals.crossJoin(F.broadcast(grid)).join(counts, [target, "_j"], "left")     # targets x 91 rows
+    w = Window.partitionBy(target).orderBy("_j").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    g = g.withColumn("cov", F.sum(F.coalesce("_c", F.lit(0))).over(w) / F.col("_n"))
+    g = g.withColumn("s", _grid_value(F.col("_j")))
+    return _pick(g.select(target, "s", "cov"), target, coverage)
+
+
 def fit_std_scale(df: DataFrame, target: str, y: str, mu: str, se: str, sa: str,
                   coverage: float = TARGET_COVERAGE, z: float = Z80) -> DataFrame:
     """Aleatoric scale s per target so that mu +- z*sqrt(se^2 + (s*sa)^2)
     covers ``coverage`` of y; smallest |error| wins, ties to the smaller s."""
-    g = grid_frame(df.sparkSession)
-    j = df.select(target, y, mu, se, sa).crossJoin(F.broadcast(g))
-    sd = F.sqrt(F.pow(F.col(se), 2) + F.pow(F.col("s") * F.col(sa), 2))
-    inside = (F.col(y) >= F.col(mu) - F.lit(z) * sd) & (F.col(y) <= F.col(mu) + F.lit(z) * sd)
-    cov = j.groupBy(target, "s").agg(F.avg(F.coalesce(inside, F.lit(False)).cast("double")).alias("cov"))
-    return _pick(cov, target, coverage)
+    def covered(s):
+        sd = F.sqrt(F.pow(F.col(se), 2) + F.pow(s * F.col(sa), 2))
+        return (F.col(y) >= F.col(mu) - F.lit(z) * sd) & (F.col(y) <= F.col(mu) + F.lit(z) * sd)
+    r = F.pow((F.col(y) - F.col(mu)) / F.lit(z), 2) - F.pow(F.col(se), 2)
+    s_star = F.when(F.col(sa) > 0, F.sqrt(F.greatest(r, F.lit(0.0))) / F.col(sa)) \
+        .otherwise(F.when(r <= 0, F.lit(GRID[0])))
+    return _pick_from_first_covered(df, target, _first_covered(covered, s_star), coverage)
 
 
-# M17 ----------------------------------------------------------------------------
 def fit_quantile_scale(df: DataFrame, target: str, y: str, q50: str, qlo: str, qhi: str,
                        coverage: float = TARGET_COVERAGE) -> DataFrame:
-    """Symmetric scale s about the median: q50 + s*(q - q50) covers ``coverage``."""
-    g = grid_frame(df.sparkSession)
-    j = df.select(target, y, q50, qlo, qhi).crossJoin(F.broadcast(g))
-    lo = F.col(q50) + F.col("s") * (F.col(qlo) - F.col(q50))
-    hi = F.col(q50) + F.col("s") * (F.col(qhi) - F.col(q50))
-    inside = (F.col(y) >= lo) & (F.col(y) <= hi)
-    cov = j.groupBy(target, "s").agg(F.avg(F.coalesce(inside, F.lit(False)).cast("double")).alias("cov"))
-    return _pick(cov, target, coverage)
+    """Symmetric scale s about the median: q50 + s*(q - q50) covers ``coverage``
+    (quantiles ordered qlo <= q50 <= qhi, so coverage grows with s)."""
+    def covered(s):
+        lo = F.col(q50) + s * (F.col(qlo) - F.col(q50))
+        hi = F.col(q50) + s * (F.col(qhi) - F.col(q50))
+        return (F.col(y) >= lo) & (F.col(y) <= hi)
+    below = F.try_divide(F.col(q50) - F.col(y), F.col(q50) - F.col(qlo))
+    above = F.try_divide(F.col(y) - F.col(q50), F.col(qhi) - F.col(q50))
+    s_star = (F.when(F.col(y) == F.col(q50), F.lit(0.0))
+              .when(F.col(y) < F.col(q50), below).otherwise(above))
+    return _pick_from_first_covered(df, target, _first_covered(covered, s_star), coverage)
 
 
 # M18 ----------------------------------------------------------------------------

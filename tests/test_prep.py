@@ -84,3 +84,32 @@ def test_hash_split_is_deterministic(spark):
     a = P.hash_split(df, "k").filter("is_cal").count()
     b = P.hash_split(df.repartition(7), "k").filter("is_cal").count()
     assert a == b and 800 < a < 1200
+
+
+def test_calibration_matches_brute_force_grid(spark):
+    """First-covered-index calibration equals evaluating every row at every grid value."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for t in ("a", "b", "c"):
+        for _ in range(400):
+            q50 = round(float(rng.normal(10, 3)), 2)
+            lo, hi = round(q50 - float(rng.uniform(0, 4)), 2), round(q50 + float(rng.uniform(0, 4)), 2)
+            y = round(q50 + float(rng.choice([-1, 1])) * float(rng.uniform(0, 6)), 2)
+            rows.append((t, y, q50, lo, hi, round(float(rng.uniform(0, 2)), 2), round(float(rng.uniform(0, 3)), 2)))
+    rows.append(("a", 1.0, 1.0, 1.0, 1.0, 0.0, 0.0))                 # degenerate row
+    df = spark.createDataFrame(rows, "t string, y double, q50 double, lo double, hi double, se double, sa double")
+    g = U.grid_frame(spark)
+    j = df.crossJoin(F.broadcast(g))
+
+    def brute(inside):
+        cov = j.groupBy("t", "s").agg(F.avg(F.coalesce(inside, F.lit(False)).cast("double")).alias("cov"))
+        return {r.t: r.s for r in U._pick(cov, "t", 0.8).collect()}
+
+    sd = F.sqrt(F.pow("se", 2) + F.pow(F.col("s") * F.col("sa"), 2))
+    z = U.Z80
+    std_ref = brute((F.col("y") >= F.col("q50") - z * sd) & (F.col("y") <= F.col("q50") + z * sd))
+    q_ref = brute((F.col("y") >= F.col("q50") + F.col("s") * (F.col("lo") - F.col("q50")))
+                  & (F.col("y") <= F.col("q50") + F.col("s") * (F.col("hi") - F.col("q50"))))
+    got_std = {r.t: r.s for r in U.fit_std_scale(df, "t", "y", "q50", "se", "sa").collect()}
+    got_q = {r.t: r.s for r in U.fit_quantile_scale(df, "t", "y", "q50", "lo", "hi").collect()}
+    assert got_std == std_ref and got_q == q_ref
