@@ -122,14 +122,11 @@ def flag_in(df: DataFrame, col: str, values: Iterable, out: str) -> DataFrame:
 # B14 ----------------------------------------------------------------------------
 def next_slate(df: DataFrame, date: str, today) -> DataFrame:
     """Rows on the first date >= today; else rows on the last date; if every
-    date is NULL, all rows.  The pick is a one-row aggregate (bounded, so it is
-    safe to broadcast) joined to every row."""
+    date is NULL, all rows.  The pick is a scalar subquery (one partial
+    aggregate over the frame), compared on every row - no join."""
     today = F.lit(today).cast(T.DateType()) if not isinstance(today, F.Column) else today
-    pick = df.agg(F.min(F.when(F.col(date) >= today, F.col(date))).alias("_up"),
-                  F.max(date).alias("_last"))
-    pick = pick.select(F.coalesce("_up", "_last").alias("_pick"))
-    j = df.crossJoin(F.broadcast(pick))
-    return j.filter(F.col("_pick").isNull() | (F.col(date) == F.col("_pick"))).drop("_pick")
+    pick = df.agg(F.coalesce(F.min(F.when(F.col(date) >= today, F.col(date))), F.max(date))).scalar()
+    return df.filter(pick.isNull() | (F.col(date) == pick))
 
 
 # B15 ----------------------------------------------------------------------------
@@ -140,9 +137,8 @@ def week_window(df: DataFrame, date: str, anchor, days: int = 7, horizon: int =
     anchor = F.lit(anchor).cast(T.DateType())
     live = df.filter(F.col(date).isNotNull() & (F.col(date) >= anchor)
                      & (F.col(date) <= F.date_add(anchor, horizon)))
-    first = live.agg(F.min(date).alias("_first"))
-    j = live.crossJoin(F.broadcast(first))
-    out = j.filter(F.col(date) <= F.date_add(F.col("_first"), days - 1)).drop("_first")
+    first = live.agg(F.min(date)).scalar()
+    out = live.filter(F.col(date) <= F.date_add(first, days - 1))
     if cols:
         out = out.select(*cols)
     return out.distinct()

@@ -60,9 +60,8 @@ def apply_index(df: DataFrame, index: DataFrame, col: str) -> DataFrame:
 def index_stats(index: DataFrame, applied_valid: DataFrame, col: str) -> DataFrame:
     """One row: seen categories, embedding rows (n + 1), embedding width
     ``min(50, max(4, floor(sqrt(n + 1))))`` and the validation unknown rate."""
-    n = index.agg(F.count(F.lit(1)).alias("n_seen"))
-    unk = applied_valid.agg(F.avg((F.col(f"{col}_idx") == 0).cast("double")).alias("unknown_rate"))
-    out = n.crossJoin(unk).withColumn("feature", F.lit(col))
+    unk = applied_valid.agg(F.avg((F.col(f"{col}_idx") == 0).cast("double"))).scalar()
+    out = index.agg(F.count(F.lit(1)).alias("n_seen")).withColumns({"unknown_rate": unk, "feature": F.lit(col)})
     return out.select("feature", "n_seen", (F.col("n_seen") + 1).alias("num_embeddings"),
                       F.least(F.lit(50), F.greatest(F.lit(4), F.floor(F.sqrt(F.col("n_seen") + 1)).cast("int")))
                       .alias("embedding_dim"), "unknown_rate")
@@ -79,14 +78,20 @@ def fit_scaler(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                           for c in cols}).drop(*[f"{c}__sd" for c in cols])
 
 
+def one_row(params: DataFrame):
+    """A fitted one-row parameter table as a single scalar subquery (a struct):
+    the fit runs once, every row reads the values, no join."""
+    return params.select(F.struct(*params.columns)).scalar()
+
+
 def scale(df: DataFrame, params: DataFrame, cols: Sequence[str], inverse: bool = False) -> DataFrame:
-    """Standardise (or undo it) with a fitted one-row parameter table (broadcast: one row)."""
-    j = df.crossJoin(F.broadcast(params))
+    """Standardise (or undo it) with a fitted one-row parameter table."""
+    p = one_row(params)
     if inverse:
-        exprs = {c: F.col(c) * F.col(f"{c}__scale") + F.col(f"{c}__mean") for c in cols}
+        exprs = {c: F.col(c) * p[f"{c}__scale"] + p[f"{c}__mean"] for c in cols}
     else:
-        exprs = {c: (F.col(c) - F.col(f"{c}__mean")) / F.col(f"{c}__scale") for c in cols}
-    return j.withColumns(exprs).drop(*params.columns)
+        exprs = {c: (F.col(c) - p[f"{c}__mean"]) / p[f"{c}__scale"] for c in cols}
+    return df.withColumns(exprs)
 
 
 # M5 -----------------------------------------------------------------------------
@@ -117,12 +122,7 @@ def exact_median(df: DataFrame, col: str) -> DataFrame:
 
 
 def median_impute(train: DataFrame, df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    meds = None
-    for c in cols:
-        m = exact_median(train, c)
-        meds = m if meds is None else meds.crossJoin(m)
-    j = df.crossJoin(F.broadcast(meds))
-    return j.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}__median")) for c in cols}).drop(*meds.columns)
+    return df.withColumns({c: F.coalesce(F.col(c), exact_median(train, c).scalar()) for c in cols})
 
 
 def prepare_numeric(train: DataFrame, df: DataFrame, cols: Sequence[str], variance: float = 0.95,

@@ -134,12 +134,11 @@ def _first_covered(covered, s_star, lo: float = GRID[0], hi: float = GRID[1], st
 
 
 def _pick_from_first_covered(df: DataFrame, target: str, jstar, coverage: float) -> DataFrame:
-    spark = df.sparkSession
     steps = GRID[2]
     counts = df.groupBy(target, jstar.alias("_j")).agg(F.count(F.lit(1)).alias("_c"))
     totals = df.groupBy(target).agg(F.count(F.lit(1)).alias("_n"))
-    grid = spark.range(steps).select(F.col("id").cast("int").alias("_j"))
-    g = totals.crossJoin(F.broadcast(grid)).join(counts, [target, "_j"], "left")     # targets x 91 rows
+    g = totals.select(target, "_n", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("_j"))
+    g = g.join(counts, [target, "_j"], "left")                                      # targets x 91 rows
     w = Window.partitionBy(target).orderBy("_j").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     g = g.withColumn("cov", F.sum(F.coalesce("_c", F.lit(0))).over(w) / F.col("_n"))
     g = g.withColumn("s", _grid_value(F.col("_j")))
