@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 # A leading weekday ("Tue, ") is cut off first: Spark 4 cannot parse 'E'.
 DATE_FORMATS = ("M/d/yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyy-MM-dd", "yyyy/MM/dd", "d MMM yyyy")
 
+# Shape of the text each layout can parse; a row is only handed to the layouts
+# whose shape it has (a failed parse costs an exception inside the parser).
+_SHAPES = {"M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$", "MMM d, yyyy": r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
+           "MMMM d, yyyy": r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$", "yyyy-MM-dd": r"^\d{4}-\d{1,2}-\d{1,2}$",
+           "yyyy/MM/dd": r"^\d{4}/\d{1,2}/\d{1,2}$", "d MMM yyyy": r"^\d{1,2} [A-Za-z]{3} \d{4}$"}
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -20,7 +26,9 @@ def _c(c) -> Column:
 def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
     s = F.trim(_c(c))
     s = F.regexp_replace(s, r"^[A-Za-z]+,\s*(?=[A-Za-z])", "")
-    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
+    tries = [F.when(s.rlike(_SHAPES[f]), F.try_to_date(s, f)) if f in _SHAPES else F.try_to_date(s, f)
+             for f in formats]
+    return F.coalesce(*tries)
 
 
 # F5 -----------------------------------------------------------------------------
