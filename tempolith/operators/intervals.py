@@ -52,7 +52,8 @@ def boundaries(changes: DataFrame, spans: DataFrame, group, clock: str) -> DataF
 
 
 def active_sets(changes: DataFrame, starters: DataFrame, spans: DataFrame, group, member: str,
-                clock: str, is_in: str, credit: str = "before") -> tuple[DataFrame, DataFrame]:
+                clock: str, is_in: str, credit: str = "before",
+                bnd: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Members active in each interval.
 
     ``changes``: (group, member, clock, is_in); ``starters``: (group, member),
@@ -63,7 +64,7 @@ def active_sets(changes: DataFrame, starters: DataFrame, spans: DataFrame, group
     Returns (boundaries, rows of (group, k, member)).
     """
     group = _cols(group)
-    bnd = boundaries(changes, spans, group, clock)
+    bnd = boundaries(changes, spans, group, clock) if bnd is None else bnd
     seeds = (starters.join(spans.select(*group, "start"), group)
              .select(*group, member, F.col("start").alias(clock), F.lit(True).alias(is_in), F.lit(0).alias("prio")))
     chg = changes.select(*group, member, clock, is_in,
@@ -88,13 +89,14 @@ def active_sets(changes: DataFrame, starters: DataFrame, spans: DataFrame, group
 
 def active_intervals(changes: DataFrame, starters: DataFrame, spans: DataFrame, group, member: str,
                      clock: str, is_in: str, size: int | None = 5, credit: str = "before",
-                     min_duration: float | None = None, sep: str = "-") -> DataFrame:
+                     min_duration: float | None = None, sep: str = "-",
+                     bnd: DataFrame | None = None) -> DataFrame:
     """Interval table: (group, k, start, end, duration, members, lineup, n_active).
 
     Only intervals whose active set has exactly ``size`` members (if given) and
     that last at least ``min_duration`` are kept."""
     group = _cols(group)
-    bnd, rows = active_sets(changes, starters, spans, group, member, clock, is_in, credit)
+    bnd, rows = active_sets(changes, starters, spans, group, member, clock, is_in, credit, bnd)
     sets = rows.groupBy(*group, "k").agg(F.array_sort(F.collect_list(member)).alias("members"))
     iv = (bnd.filter(F.col("k") < F.col("n_b"))
           .select(*group, "k", F.col("b").alias("start"), F.col("b_next").alias("end"))

@@ -112,12 +112,16 @@ def with_roster(df: DataFrame, keys, member: str, out: str = "roster") -> DataFr
 
 
 # C13 ----------------------------------------------------------------------------
-def lookup(df: DataFrame, dim: DataFrame, on, order: Sequence[Column | str] | None = None) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, on, order: Sequence[Column | str] | None = None,
+           max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Dimension lookup; the dimension is first reduced to one row per key so
-    duplicates can never multiply rows."""
+    duplicates can never multiply rows, then broadcast if its size is within
+    ``max_broadcast_rows`` (checked), else joined by shuffle."""
     if order is None:
         order = [F.lit(1)]
-    return enrich_first(df, dim, on, order)
+    w = Window.partitionBy(*_cols(on)).orderBy(*order)
+    d1 = dim.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk")
+    return df.join(bounded_broadcast(d1, max_broadcast_rows), _cols(on), "left")
 
 
 # U1 -----------------------------------------------------------------------------

@@ -109,7 +109,7 @@ GROUP BY l.grp, l.k, l.lineup
 def interval_counters(spark, sf):
     e, changes, starters, spans = ch_parts(spark, sf)
     bnd = IV.boundaries(changes, spans, "grp", "clk")
-    iv = IV.active_intervals(changes, starters, spans, "grp", "user_id", "clk", "is_in", size=CH_SIZE)
+    iv = IV.active_intervals(changes, starters, spans, "grp", "user_id", "clk", "is_in", size=CH_SIZE, bnd=bnd)
     placed = IV.assign_intervals(e, bnd, "grp", "clk", bucket_width=24.0, closed="right")
     cnt = D.count_where(placed.filter(F.col("k").isNotNull()), ["grp", "k"],
                         {"n_click": F.col("event_type") == "click", "n_big": F.col("value") > 100},
@@ -144,7 +144,7 @@ FROM onx o LEFT JOIN offx f USING (grp, member)
 def on_off_split(spark, sf):
     e, changes, starters, spans = ch_parts(spark, sf)
     bnd = IV.boundaries(changes, spans, "grp", "clk")
-    iv = IV.active_intervals(changes, starters, spans, "grp", "user_id", "clk", "is_in", size=CH_SIZE)
+    iv = IV.active_intervals(changes, starters, spans, "grp", "user_id", "clk", "is_in", size=CH_SIZE, bnd=bnd)
     placed = IV.assign_intervals(e, bnd, "grp", "clk", bucket_width=24.0, closed="right")
     cnt = placed.filter(F.col("k").isNotNull()).groupBy("grp", "k").agg(
         F.count(F.lit(1)).alias("n_ev"), F.sum("value").alias("v"))
