@@ -173,7 +173,7 @@ def numeric_exprs(spark, sf):
 # F11 text cleanup over raw pages ------------------------------------------------------------------
 @register("text_cleanup", r"""
 SELECT page_id,
-       length(trim(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '\s+', ' ', 'g'))) AS n_text_chars,
+       CAST(length(trim(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '\s+', ' ', 'g'))) AS INTEGER) AS n_text_chars,
        CAST(len(string_split(lower(html), '<a ')) - 1 AS BIGINT) AS n_links,
        'https://' || regexp_extract(url, '^https?://([^/?#]+)', 1) || '/' AS site,
        upper(substr(lower(regexp_extract(url, '/(en|fr|de|es)/', 1)), 1, 1)) || substr(lower(regexp_extract(url, '/(en|fr|de|es)/', 1)), 2) AS lang_label

@@ -391,7 +391,7 @@ def cumulative_record(spark, sf):
 # W21 rolling sum of the previous 5 deduplicated dates -------------------------------------
 @register("rolling_sum_prev", """
 WITH d AS (
-  SELECT c.c_mktsegment, year(o.o_orderdate) AS season, o.o_orderdate::date AS d,
+  SELECT c.c_mktsegment, CAST(year(o.o_orderdate) AS INTEGER) AS season, o.o_orderdate::date AS d,
          CAST(count(*) FILTER (WHERE o.o_orderpriority = '1-URGENT') AS DOUBLE) AS n_urgent
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   GROUP BY ALL)
@@ -422,7 +422,7 @@ def _ewm_daily_sql(table_sql: str, keys: str, val: str, out: str) -> str:
 
 
 _OR_DAILY = """daily AS (
-  SELECT o_orderpriority, year(o_orderdate) AS season, o_orderdate::date AS d,
+  SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS season, o_orderdate::date AS d,
          coalesce(sum(o_totalprice), 0) AS price
   FROM orders GROUP BY ALL)"""
 
@@ -452,7 +452,7 @@ def allowed_ewm(spark, sf):
 
 
 _LI_DAILY = """daily AS (
-  SELECT o.o_orderpriority, year(o.o_orderdate) AS season, o.o_orderdate::date AS d,
+  SELECT o.o_orderpriority, CAST(year(o.o_orderdate) AS INTEGER) AS season, o.o_orderdate::date AS d,
          coalesce(sum(l.l_extendedprice * l.l_discount), 0) AS disc,
          coalesce(sum(l.l_extendedprice), 0) AS gross
   FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY ALL)"""
