@@ -47,9 +47,19 @@ def exclude(df: DataFrame, col: str, values: Iterable) -> DataFrame:
 
 
 # B4 ---------------------------------------------------------------------------
+def _day_bound(df: DataFrame, col: str, day: dt.date):
+    """A literal comparable with ``col`` itself (date or timestamp), so the
+    predicate stays on the raw column and reaches the parquet scan."""
+    typ = df.schema[col].dataType
+    if isinstance(typ, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit(dt.datetime(day.year, day.month, day.day))
+    return F.lit(day)
+
+
 def since_year(df: DataFrame, col: str, year: int) -> DataFrame:
-    """Rows dated on or after Jan 1 of ``year`` (a range predicate, so it prunes row groups)."""
-    return df.filter(F.col(col) >= F.lit(dt.date(year, 1, 1)))
+    """Rows dated on or after Jan 1 of ``year`` (a range predicate on the raw
+    column, pushed to the scan and used for row-group pruning)."""
+    return df.filter(F.col(col) >= _day_bound(df, col, dt.date(year, 1, 1)))
 
 
 def date_between(df: DataFrame, col: str, lo, hi) -> DataFrame:
@@ -130,15 +140,17 @@ def next_slate(df: DataFrame, date: str, today) -> DataFrame:
 
 
 # B15 ----------------------------------------------------------------------------
-def week_window(df: DataFrame, date: str, anchor, days: int = 7, horizon: int = 365,
+def week_window(df: DataFrame, date: str, anchor: dt.date, days: int = 7, horizon: int = 365,
                 cols: Sequence[str] | None = None) -> DataFrame:
-    """Rows from the first active date in [anchor, anchor + horizon] through
-    that date + days - 1, distinct and ordered."""
-    anchor = F.lit(anchor).cast(T.DateType())
-    live = df.filter(F.col(date).isNotNull() & (F.col(date) >= anchor)
-                     & (F.col(date) <= F.date_add(anchor, horizon)))
-    first = live.agg(F.min(date)).scalar()
-    out = live.filter(F.col(date) <= F.date_add(first, days - 1))
+    """Rows from the first active day in [anchor, anchor + horizon] through
+    that day + days - 1 (``cols`` selected and de-duplicated).  ``date`` may be
+    a date or a timestamp column; the outer range is a pushed-down predicate
+    on it."""
+    day = F.to_date(F.col(date))
+    end = anchor + dt.timedelta(days=horizon + 1)
+    live = df.filter((F.col(date) >= _day_bound(df, date, anchor)) & (F.col(date) < _day_bound(df, date, end)))
+    first = live.agg(F.min(day)).scalar()
+    out = live.filter(day <= F.date_add(first, days - 1))
     if cols:
         out = out.select(*cols)
     return out.distinct()

@@ -40,7 +40,7 @@ FROM orders
 WHERE o_orderpriority NOT IN ('5-LOW', '4-NOT SPECIFIED') AND o_orderdate >= DATE '1999-01-01'
 """)
 def exclude_since_flag(spark, sf):
-    o = table(spark, sf, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    o = table(spark, sf, "orders")
     o = B.exclude(o, "o_orderpriority", ["5-LOW", "4-NOT SPECIFIED"])
     o = B.since_year(o, "o_orderdate", 1999)
     o = B.flag_in(o, "o_orderpriority", ["1-URGENT", "2-HIGH"], "is_priority")
@@ -141,8 +141,9 @@ f AS (SELECT min(d) AS first_day FROM o)
 SELECT DISTINCT d, o_orderpriority FROM o, f WHERE d <= f.first_day + INTERVAL 6 DAY
 """)
 def week_window(spark, sf):
-    o = table(spark, sf, "orders").withColumn("d", F.to_date("o_orderdate"))
-    return B.week_window(o, "d", dt.date(1999, 6, 1), days=7, horizon=365, cols=["d", "o_orderpriority"])
+    o = table(spark, sf, "orders")
+    out = B.week_window(o, "o_orderdate", dt.date(1999, 6, 1), days=7, horizon=365)
+    return out.select(F.to_date("o_orderdate").alias("d"), "o_orderpriority").distinct()
 
 
 # B16 search every column --------------------------------------------------------------------
