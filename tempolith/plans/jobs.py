@@ -76,8 +76,18 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
                   context_values: Sequence[str] = (), span: float = 21, roll: int = 5,
                   slope_min_rows: int = 21, hot_metric: str | None = None,
                   interaction_pairs: Sequence[tuple[str, str]] = (), rank_cols: Sequence[str] | None = None,
-                  active_days: int = 7) -> DataFrame:
-    """Leakage-safe feature block for every metric (W1-W17, W25) with per-date ranks."""
+                  active_days: int = 7, skew_safe: bool = False, partitions: int | None = None) -> DataFrame:
+    """Leakage-safe feature block for every metric (W1-W17, W25) with per-date ranks.
+
+    ``skew_safe=True`` runs the same features on range segments (see
+    ``feature_build_skew_safe``) for data where one entity or one date can hold
+    a large share of the rows."""
+    if skew_safe:
+        return feature_build_skew_safe(df, entity, order, date, metrics, season=season, context=context,
+                                       context_values=context_values, span=span, roll=roll,
+                                       slope_min_rows=slope_min_rows, hot_metric=hot_metric,
+                                       interaction_pairs=interaction_pairs, rank_cols=rank_cols,
+                                       active_days=active_days, partitions=partitions)
     order = list(order)
     df = W.lags(df, metrics, entity, order)
     df = W.expanding(df, metrics, entity, order)

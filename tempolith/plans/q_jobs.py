@@ -325,11 +325,11 @@ def browse_page(spark, sf):
 # it must produce exactly the same features, so it shares the oracle.
 def player_feature_frame_skew_safe(spark, sf, partitions=None):
     e = ev(spark, sf).withColumn("season", F.year("ts"))
-    return J.feature_build_skew_safe(e, "user_id", EV_ORDER, "d", ["value"], season="season",
-                                     context="event_type", context_values=("click", "view"), span=21, roll=5,
-                                     slope_min_rows=21, hot_metric="value",
-                                     interaction_pairs=[("value_ewm_mean", "value_exp_mean")],
-                                     partitions=partitions)
+    return J.feature_build(e, "user_id", EV_ORDER, "d", ["value"], season="season",
+                           context="event_type", context_values=("click", "view"), span=21, roll=5,
+                           slope_min_rows=21, hot_metric="value",
+                           interaction_pairs=[("value_ewm_mean", "value_exp_mean")],
+                           skew_safe=True, partitions=partitions)
 
 
 def _register_skew_safe():
