@@ -33,8 +33,10 @@ def global_index(values: DataFrame, col: str, out: str = "idx", start: int = 1)
     Range-partition by value, number rows inside each partition, and add the
     row counts of all earlier partitions (a table with one row per partition).
     """
+    from tempolith.session import cut_lineage
     d = values.select(col).filter(F.col(col).isNotNull()).distinct()
-    d = d.repartitionByRange(col).withColumn("_pid", F.spark_partition_id())
+    # the partition id is physical: checkpoint so every branch sees one assignment
+    d = cut_lineage(d.repartitionByRange(col).withColumn("_pid", F.spark_partition_id()))
     local = d.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(col)))
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
@@ -106,8 +108,9 @@ def exact_median(df: DataFrame, col: str) -> DataFrame:
     """Exact median (mean of the two middle values) without gathering the
     column in one task: a distributed global row index over the sorted values,
     then the one or two middle rows."""
+    from tempolith.session import cut_lineage
     vals = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
-    vals = vals.repartitionByRange("_v").withColumn("_pid", F.spark_partition_id())
+    vals = cut_lineage(vals.repartitionByRange("_v").withColumn("_pid", F.spark_partition_id()))
     local = vals.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy("_v")))
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.withColumns({
