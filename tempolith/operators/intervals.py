@@ -37,14 +37,27 @@ def first_members(ev: DataFrame, group, member: str, seq: str, n: int = 5,
 
 
 # W24 -----------------------------------------------------------------------------
-def boundaries(changes: DataFrame, spans: DataFrame, group, clock: str) -> DataFrame:
+def boundaries(changes: DataFrame, spans: DataFrame, group, clock: str, skew_safe: bool = False,
+               partitions: int | None = None) -> DataFrame:
     """Distinct boundary clocks per group, numbered ``k = 1..n_b`` in time order,
-    with the next boundary and the group's boundary count."""
+    with the next boundary and the group's boundary count.
+
+    ``skew_safe=True`` numbers them on range segments of (group, clock) instead
+    of one window per group, gets ``n_b`` from an aggregate and the next
+    boundary from an equi-join on ``(group, k + 1)``: a group with very many
+    boundaries is spread over many tasks."""
     group = _cols(group)
     b = (changes.select(*group, F.col(clock).alias("b"))
          .unionByName(spans.select(*group, F.col("start").alias("b")))
          .unionByName(spans.select(*group, F.col("end").alias("b")))
          .filter(F.col("b").isNotNull()).distinct())
+    if skew_safe:
+        from tempolith.operators import segmented as SG
+        pos = SG.global_positions(SG.segment(b, group, ["b"], partitions), group, ["b"])
+        pos = pos.select(*group, "b", F.col("_rn").cast("int").alias("k"))
+        nxt = pos.select(*group, (F.col("k") - 1).alias("k"), F.col("b").alias("b_next"))
+        cnt = b.groupBy(*group).agg(F.count(F.lit(1)).cast("int").alias("n_b"))
+        return pos.join(nxt, group + ["k"], "left").join(cnt, group)
     w = Window.partitionBy(*group).orderBy("b")
     b = b.withColumns({"k": F.row_number().over(w), "b_next": F.lead("b", 1).over(w),
                        "n_b": F.count(F.lit(1)).over(Window.partitionBy(*group))})

@@ -55,3 +55,15 @@ def test_first_members(spark):
                                "g int, m int, seq int, kind string")
     fm = IV.first_members(ev, "g", "m", "seq", n=2, exclude=F.col("kind") == "sub").orderBy("slot").collect()
     assert [r.m for r in fm] == [9, 8]
+
+
+def test_skew_safe_boundaries_equal_window_boundaries(spark):
+    import random
+    rnd = random.Random(3)
+    changes = spark.createDataFrame([(g, rnd.randint(1, 9), rnd.randint(0, 5000 if g == 1 else 50), True)
+                                     for g in range(4) for _ in range(3000 if g == 1 else 20)],
+                                    "g int, m int, clk int, is_in boolean")
+    spans = spark.createDataFrame([(g, -1, 6000) for g in range(4)], "g int, start int, end int")
+    a = IV.boundaries(changes, spans, "g", "clk").select("g", "b", "k", "b_next", "n_b")
+    b = IV.boundaries(changes, spans, "g", "clk", skew_safe=True, partitions=8).select("g", "b", "k", "b_next", "n_b")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
