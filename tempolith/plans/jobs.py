@@ -219,3 +219,43 @@ def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], da
                                                      for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")]
     rows = SG.pct_rank_within(rows, date, ranks, partitions=partitions)
     return NU.clean_non_finite(rows)
+
+
+def feature_build_long(df: DataFrame, entity: str, order: Sequence[str], date: str, metrics: Sequence[str],
+                       season: str | None = None, span: float = 21, roll: int = 5, slope_min_rows: int = 21,
+                       keep: Sequence[str] = (), ranks: Sequence[str] = ("exp_mean", "roll_mean", "ewm_mean", "slope"),
+                       metric_col: str = "metric", value_col: str = "x") -> DataFrame:
+    """Per-metric features in long layout: one row per (row, metric).
+
+    The metrics are unpivoted once, so every window runs a single time with
+    ``partitionBy(entity, metric)`` whatever the number of metrics (a wide
+    frame of 47 metrics x 25 features would be ~1,200 columns and ~1,000
+    window projections); ranks partition by (date, metric).  Column names are
+    ``{value_col}_lag1``, ``{value_col}_exp_mean``, ...; ``to_wide`` pivots back."""
+    order = list(order)
+    ids = [entity, date] + order + ([season] if season and season not in order else []) + list(keep)
+    ids = list(dict.fromkeys(ids))
+    long = df.select(*ids, *[F.col(m).cast("double").alias(m) for m in metrics]) \
+        .unpivot(ids, list(metrics), metric_col, value_col)
+    part = [entity, metric_col]
+    x = value_col
+    long = W.lags(long, [x], part, order)
+    long = W.expanding(long, [x], part, order)
+    long = W.rolling(long, [x], part, order, n=roll)
+    long = E.ewm(long, [x], part, order, span=span)
+    long = W.delta(long, [x])
+    long = W.trend_slope(long, [x], part + ([season] if season else []), order, min_rows=slope_min_rows)
+    long = W.pct_rank_within(long, [date, metric_col], [f"{x}_{r}" for r in ranks])
+    return NU.clean_non_finite(long)
+
+
+def to_wide(long: DataFrame, keys: Sequence[str], metrics: Sequence[str], features: Sequence[str],
+            metric_col: str = "metric", value_col: str = "x") -> DataFrame:
+    """Pivot a long feature frame back to ``{metric}_{feature}`` columns with an
+    explicit metric list (no distinct-values pass); one shuffle on ``keys``."""
+    aggs = [F.first(f).alias(f[len(value_col) + 1:] if f.startswith(value_col + "_") else f) for f in features]
+    wide = long.groupBy(*keys).pivot(metric_col, list(metrics)).agg(*aggs)
+    if len(aggs) == 1:
+        only = features[0][len(value_col) + 1:] if features[0].startswith(value_col + "_") else features[0]
+        wide = wide.withColumnsRenamed({m: f"{m}_{only}" for m in metrics})
+    return wide

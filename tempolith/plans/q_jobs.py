@@ -343,3 +343,48 @@ def _register_skew_safe():
 
 
 _register_skew_safe()
+
+
+# P4 in long layout: metrics unpivoted once, windows partitioned by (entity, metric) ----------------
+@register("features_long", f"""
+WITH b AS (
+  SELECT event_id, user_id, ts, ts::date AS d, 'value' AS metric, value AS x FROM events
+  UNION ALL
+  SELECT event_id, user_id, ts, ts::date AS d, 'k' AS metric, CAST(props->>'k' AS DOUBLE) AS x FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, metric ORDER BY ts, event_id) AS rn FROM b),
+p AS (
+  SELECT a.event_id, a.metric,
+         sum(CASE WHEN q.rn = 1 THEN pow(1 - {ALPHA_SQL}, a.rn - 2)
+                  ELSE {ALPHA_SQL} * pow(1 - {ALPHA_SQL}, a.rn - 1 - q.rn) END * q.x) AS mu
+  FROM r a JOIN r q ON a.user_id = q.user_id AND a.metric = q.metric AND q.rn < a.rn
+  GROUP BY ALL),
+f AS (
+  SELECT r.event_id, r.metric, r.d,
+         lag(r.x) OVER w AS x_lag1,
+         avg(r.x) OVER wx AS em, stddev_samp(r.x) OVER wx AS es,
+         CASE WHEN count(r.x) OVER w5 = 5 THEN avg(r.x) OVER w5 END AS rm,
+         p.mu
+  FROM r LEFT JOIN p USING (event_id, metric)
+  WINDOW w AS (PARTITION BY r.user_id, r.metric ORDER BY r.ts, r.event_id),
+         wx AS (PARTITION BY r.user_id, r.metric ORDER BY r.ts, r.event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         w5 AS (PARTITION BY r.user_id, r.metric ORDER BY r.ts, r.event_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)),
+s AS (SELECT *, SNAP(em) AS em_s FROM f),
+k AS (
+  SELECT a.event_id, a.metric,
+         (count(*) FILTER (WHERE q.em_s < a.em_s) + (count(*) FILTER (WHERE q.em_s = a.em_s) + 1) / 2.0) / count(q.em_s) AS pr
+  FROM s a JOIN s q ON a.d = q.d AND a.metric = q.metric
+  WHERE a.em_s IS NOT NULL GROUP BY ALL)
+SELECT s.event_id, s.metric, SNAP(x_lag1) AS x_lag1, em_s AS x_exp_mean, SNAP(es) AS x_exp_std,
+       SNAP(rm) AS x_roll_mean, SNAP(mu) AS x_ewm_mean, SNAP(k.pr) AS x_exp_mean_prank
+FROM s LEFT JOIN k USING (event_id, metric)
+""")
+def features_long(spark, sf):
+    from tempolith.operators import windows as W
+    e = ev(spark, sf).join(table(spark, sf, "events").select(
+        "event_id", F.get_json_object("props", "$.k").cast("double").alias("k")), "event_id")
+    long = J.feature_build_long(e, "user_id", EV_ORDER, "d", ["value", "k"])
+    out = long.select("event_id", "metric", "d", "x_lag1", "x_exp_mean", "x_exp_std", "x_roll_mean", "x_ewm_mean")
+    out = round_doubles(out)
+    # rank the stored (snapped) feature, as every engine must see the same ties
+    out = out.withColumn("x_exp_mean_prank", snap(W.pct_rank_expr("x_exp_mean", ["d", "metric"])))
+    return out.drop("d")
