@@ -76,12 +76,20 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
                   context_values: Sequence[str] = (), span: float = 21, roll: int = 5,
                   slope_min_rows: int = 21, hot_metric: str | None = None,
                   interaction_pairs: Sequence[tuple[str, str]] = (), rank_cols: Sequence[str] | None = None,
-                  active_days: int = 7, skew_safe: bool = False, partitions: int | None = None) -> DataFrame:
+                  active_days: int = 7, skew_safe: bool = False, partitions: int | None = None,
+                  opponent: str | None = None, opponent_stats: Sequence[str] = (), team: str | None = None,
+                  primary_metric: str | None = None) -> DataFrame:
     """Leakage-safe feature block for every metric (W1-W17, W25) with per-date ranks.
 
     ``skew_safe=True`` runs the same features on range segments (see
     ``feature_build_skew_safe``) for data where one entity or one date can hold
-    a large share of the rows."""
+    a large share of the rows.  With ``opponent``, the opponent-side "allowed"
+    EWMs of ``opponent_stats`` (W19: daily sums per opponent and season,
+    previous-day EWM, per-date rank) are joined back on (opponent, season,
+    date) - a table of opponents x dates, small - and multiplied with the
+    entity's EWM of the same stat when present (W25).  With ``team`` and
+    ``primary_metric``, ``{metric}_primary`` flags the row(s) holding the
+    team-date maximum of that metric's EWM mean (D13)."""
     if skew_safe:
         return feature_build_skew_safe(df, entity, order, date, metrics, season=season, context=context,
                                        context_values=context_values, span=span, roll=roll,
@@ -104,7 +112,16 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
         df = W.hot_cold_flags(df, hot_metric, f"{hot_metric}_ewm_mean", f"{hot_metric}_ewm_std", "_hot", "_cold")
         df = W.streak_before(df, "_hot", grp, order, "hot_streak")
         df = W.streak_before(df, "_cold", grp, order, "cold_streak").drop("_hot", "_cold")
-    df = W.interactions(df, interaction_pairs)
+    pairs = list(interaction_pairs)
+    if opponent and opponent_stats:
+        keys = [opponent] + ([season] if season else []) + [date]
+        daily = E.allowed(df.select(*keys, *opponent_stats), keys[:-1], date, opponent_stats, span=span)
+        df = df.join(daily, keys, "left")
+        pairs += [(f"{st}_ewm_mean", f"allowed_{st}_ewm") for st in opponent_stats]
+        pairs += [(f"{st}_ewm_mean", f"allowed_{st}_ewm_prank") for st in opponent_stats]
+    if team and primary_metric:
+        df = D.is_group_max(df, [team, date], f"{primary_metric}_ewm_mean", f"{primary_metric}_primary")
+    df = W.interactions(df, pairs)
     ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics
                                                      for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")]
     df = W.pct_rank_within(df, date, ranks)

@@ -388,3 +388,42 @@ def features_long(spark, sf):
     # rank the stored (snapped) feature, as every engine must see the same ties
     out = out.withColumn("x_exp_mean_prank", snap(W.pct_rank_expr("x_exp_mean", ["d", "metric"])))
     return out.drop("d")
+
+
+# P4 with the opponent block on the orders frame: entity customer, opponent = priority,
+# team = market segment, metric = order price ------------------------------------------------
+@register("features_opponent", f"""
+WITH o AS (
+  SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, c.c_mktsegment, o.o_orderdate::date AS d,
+         year(o.o_orderdate) AS season, o.o_totalprice AS x,
+         row_number() OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate, o.o_orderkey) AS rn
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+pe AS (
+  SELECT a.o_orderkey,
+         sum(CASE WHEN q.rn = 1 THEN pow(1 - {ALPHA_SQL}, a.rn - 2)
+                  ELSE {ALPHA_SQL} * pow(1 - {ALPHA_SQL}, a.rn - 1 - q.rn) END * q.x) AS mu
+  FROM o a JOIN o q ON a.o_custkey = q.o_custkey AND q.rn < a.rn GROUP BY 1),
+daily AS (SELECT o_orderpriority, season, d, coalesce(sum(x), 0) AS v FROM o GROUP BY ALL),
+dr AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority, season ORDER BY d) AS rn FROM daily),
+de AS (
+  SELECT a.o_orderpriority, a.season, a.d,
+         sum(CASE WHEN q.rn = 1 THEN pow(1 - {ALPHA_SQL}, a.rn - 2)
+                  ELSE {ALPHA_SQL} * pow(1 - {ALPHA_SQL}, a.rn - 1 - q.rn) END * q.v) AS al
+  FROM dr a JOIN dr q ON a.o_orderpriority = q.o_orderpriority AND a.season = q.season AND q.rn < a.rn
+  GROUP BY ALL),
+j AS (
+  SELECT o.o_orderkey, o.c_mktsegment, o.d, pe.mu, de.al
+  FROM o LEFT JOIN pe USING (o_orderkey)
+  LEFT JOIN de ON de.o_orderpriority = o.o_orderpriority AND de.season = o.season AND de.d = o.d)
+SELECT o_orderkey, SNAP12(mu) AS x_ewm_mean, SNAP12(al) AS allowed_x_ewm,
+       CASE WHEN mu = max(mu) OVER (PARTITION BY c_mktsegment, d) THEN 1 ELSE 0 END AS x_primary,
+       SNAP12(mu * al / 1000000) AS x_ewm_x_allowed_musd
+FROM j
+""")
+def features_opponent(spark, sf):
+    o = orders_frame(spark, sf).withColumn("x", F.col("o_totalprice"))
+    f = J.feature_build(o, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderdate", ["x"], season="season",
+                        opponent="o_orderpriority", opponent_stats=["x"], team="c_mktsegment", primary_metric="x")
+    out = f.select("o_orderkey", "x_ewm_mean", "allowed_x_ewm", "x_primary",
+                   (F.col("x_ewm_mean_x_allowed_x_ewm") / 1_000_000).alias("x_ewm_x_allowed_musd"))
+    return out.withColumns({c: snap(c, 12) for c in ("x_ewm_mean", "allowed_x_ewm", "x_ewm_x_allowed_musd")})
