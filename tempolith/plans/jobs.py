@@ -78,7 +78,7 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
                   interaction_pairs: Sequence[tuple[str, str]] = (), rank_cols: Sequence[str] | None = None,
                   active_days: int = 7, skew_safe: bool = False, partitions: int | None = None,
                   opponent: str | None = None, opponent_stats: Sequence[str] = (), team: str | None = None,
-                  primary_metric: str | None = None) -> DataFrame:
+                  primary_metric: str | None = None, skew_safe_ranks: bool = False) -> DataFrame:
     """Leakage-safe feature block for every metric (W1-W17, W25) with per-date ranks.
 
     ``skew_safe=True`` runs the same features on range segments (see
@@ -89,7 +89,9 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
     date) - a table of opponents x dates, small - and multiplied with the
     entity's EWM of the same stat when present (W25).  With ``team`` and
     ``primary_metric``, ``{metric}_primary`` flags the row(s) holding the
-    team-date maximum of that metric's EWM mean (D13)."""
+    team-date maximum of that metric's EWM mean (D13).  ``skew_safe_ranks``
+    computes only the per-date ranks on range segments (exact, for data with a
+    hot date but no hot entity)."""
     if skew_safe:
         return feature_build_skew_safe(df, entity, order, date, metrics, season=season, context=context,
                                        context_values=context_values, span=span, roll=roll,
@@ -124,7 +126,11 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
     df = W.interactions(df, pairs)
     ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics
                                                      for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")]
-    df = W.pct_rank_within(df, date, ranks)
+    if skew_safe_ranks:
+        from tempolith.operators import segmented as SG
+        df = SG.pct_rank_within(df, date, ranks, partitions=partitions)
+    else:
+        df = W.pct_rank_within(df, date, ranks)
     return NU.clean_non_finite(df)
 
 

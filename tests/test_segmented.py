@@ -67,3 +67,16 @@ def test_distributed_rank_equals_window_rank_with_hot_date(spark):
         x, y = pa[c].to_numpy(float), pb[c].to_numpy(float)
         assert (np.isnan(x) == np.isnan(y)).all()
         assert np.array_equal(x[~np.isnan(x)], y[~np.isnan(y)])
+
+
+def test_feature_build_with_skew_safe_ranks(spark):
+    df = _hot_frame(spark)
+    kw = dict(season="season", hot_metric="value")
+    a = J.feature_build(df, "user_id", ["ts", "event_id"], "d", ["value"], **kw)
+    b = J.feature_build(df, "user_id", ["ts", "event_id"], "d", ["value"], skew_safe_ranks=True, partitions=8, **kw)
+    cols = ["event_id", "value_exp_mean_prank", "value_ewm_mean_prank", "value_slope_prank"]
+    pa = a.select(*cols).toPandas().sort_values("event_id").reset_index(drop=True)
+    pb = b.select(*cols).toPandas().sort_values("event_id").reset_index(drop=True)
+    for c in cols[1:]:
+        x, y = pa[c].to_numpy(float), pb[c].to_numpy(float)
+        assert (np.isnan(x) == np.isnan(y)).all() and np.array_equal(x[~np.isnan(x)], y[~np.isnan(y)]), c
