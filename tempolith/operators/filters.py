@@ -51,7 +51,9 @@ def _day_bound(df: DataFrame, col: str, day: dt.date):
     """A literal comparable with ``col`` itself (date or timestamp), so the
     predicate stays on the raw column and reaches the parquet scan."""
     typ = df.schema[col].dataType
-    if isinstance(typ, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(typ, T.TimestampNTZType):        # zone-free: from text, not a zoned literal
+        return F.lit(day.isoformat() + " 00:00:00").cast("timestamp_ntz")
+    if isinstance(typ, T.TimestampType):
         return F.lit(dt.datetime(day.year, day.month, day.day))
     return F.lit(day)
 

@@ -39,6 +39,13 @@ def orders_frame(spark: SparkSession, sf: str) -> DataFrame:
             .withColumn("season", F.year("o_orderdate")))
 
 
+def ntz(value) -> "F.Column":
+    """A zone-free timestamp literal (``timestamp_ntz``) from a datetime: built from
+    its text, so comparisons with ``timestamp_ntz`` columns do not depend on the
+    session time zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def snap(c, bits: int = 20):
     """Round to the nearest multiple of 2**-bits.
 

@@ -11,7 +11,7 @@ from tempolith.operators import aggs as D
 from tempolith.operators import filters as B
 from tempolith.operators import joins as C
 from tempolith.operators import sorting as S
-from tempolith.plans.bindings import ev, ev_gaps, orders_frame, round_doubles
+from tempolith.plans.bindings import ntz, ev, ev_gaps, orders_frame, round_doubles
 from tempolith.plans.catalog import register
 from tempolith.sources.tables import table
 
@@ -410,5 +410,5 @@ WHERE NOT EXISTS (SELECT 1 FROM orders p WHERE p.o_custkey = o.o_custkey AND p.o
 """)
 def late_customers(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    early = o.filter(F.col("o_orderdate") < F.lit(dt.datetime(1998, 1, 1)))
+    early = o.filter(F.col("o_orderdate") < ntz(dt.datetime(1998, 1, 1)))
     return C.only_unknown(o, early, "o_custkey").select("o_orderkey", "o_custkey")

@@ -17,7 +17,7 @@ from tempolith.sources import json as J
 from tempolith.sources.tables import table
 from tempolith.streaming.ingest import ingest_new_files
 from tempolith.plans.catalog import register
-from tempolith.plans.bindings import round_doubles
+from tempolith.plans.bindings import ntz, round_doubles
 
 ORDER_CSV_SCHEMA = T.StructType([
     T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
@@ -86,7 +86,7 @@ WHERE user_id NOT IN (SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-0
 """)
 def only_new_ids(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts")
-    seen = e.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 1, 12)))
+    seen = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 1, 12)))
     return IO.only_new(e, seen, "user_id").select("event_id", "user_id")
 
 
@@ -104,8 +104,8 @@ WHERE o.user_id IS NULL OR smax > omax OR sn > onn
 def detect_changes(spark, sf):
     e = table(spark, sf, "events")
     # the earlier materialised output: events up to Jan 20 of the users it already knew on Jan 1
-    known = e.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 2))).select("user_id")
-    out = e.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 21))).join(known, "user_id", "left_semi")
+    known = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 2))).select("user_id")
+    out = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 21))).join(known, "user_id", "left_semi")
     return IO.detect_changes(e, out, "user_id", "ts")
 
 
@@ -171,8 +171,8 @@ SELECT event_id, user_id, event_type FROM events
 def stream_ingest(spark, sf):
     landing, sink, ckpt = (scratch_path(spark, n) for n in ("landing", "ingested", "ingest_ckpt"))
     e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    e.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 16))).write.mode("append").parquet(landing)
+    e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 16))).write.mode("append").parquet(landing)
     ingest_new_files(spark, landing, e.schema, "event_id", "ts", sink, ckpt)
-    e.filter(F.col("ts") >= F.lit(dt.datetime(2024, 1, 10))).write.mode("append").parquet(landing)
+    e.filter(F.col("ts") >= ntz(dt.datetime(2024, 1, 10))).write.mode("append").parquet(landing)
     ingest_new_files(spark, landing, e.schema, "event_id", "ts", sink, ckpt)
     return spark.read.parquet(sink).select("event_id", "user_id", "event_type")
