@@ -12,7 +12,7 @@ CH  events as change log: group user_id % 10, member user_id, clock
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempolith.sources.tables import table
@@ -39,7 +39,7 @@ def orders_frame(spark: SparkSession, sf: str) -> DataFrame:
             .withColumn("season", F.year("o_orderdate")))
 
 
-def ntz(value) -> "F.Column":
+def ntz(value) -> Column:
     """A zone-free timestamp literal (``timestamp_ntz``) from a datetime: built from
     its text, so comparisons with ``timestamp_ntz`` columns do not depend on the
     session time zone."""
@@ -59,11 +59,6 @@ def snap(c, bits: int = 20):
     return F.floor(col * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
-def snap_sql(expr: str, bits: int = 20) -> str:
-    scale = 2 ** bits
-    return f"(floor(({expr}) * {scale} + 0.5) / {scale})"
-
-
 def round_doubles(df: DataFrame, bits: int = 20, skip=()) -> DataFrame:
     """Snap every double column (for engine-independent comparison only)."""
     exprs = [snap(f.name, bits).alias(f.name)

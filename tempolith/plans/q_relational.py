@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tempolith.functions import text as TX
 from tempolith.operators import aggs as D
 from tempolith.operators import filters as B
 from tempolith.operators import joins as C

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tempolith.operators import ewm as E
 from tempolith.operators import windows as W
-from tempolith.plans.bindings import EV_ORDER, OR_ORDER, ev, ev_gaps, orders_frame, round_doubles, snap, snap_sql
+from tempolith.plans.bindings import EV_ORDER, OR_ORDER, ev, ev_gaps, orders_frame, round_doubles, snap
 from tempolith.plans.catalog import register
 
 ALPHA = 2.0 / 22.0

@@ -1,7 +1,6 @@
 """Feature preparation and calibration operators."""
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
