@@ -84,3 +84,11 @@ def test_recode_and_id_lists(spark):
     r = df.select(TX.recode("f", {"A": "accepted"}, default="other").alias("f"),
                   TX.join_ids(TX.id_list("ids")).alias("s")).collect()
     assert [(x.f, x.s) for x in r] == [("accepted", "1-2-3"), ("other", "9-10")]
+
+
+@pytest.mark.parametrize("raw,out", [("MAX", "MAX"), ("IV", ""), ("Louis XIV", "Louis "), ("A_VI", "A_VI"),
+                                     ("Jr. II", "Jr. "), ("X IV Z", "X IV Z"), ("", "")])
+def test_drop_trailing_roman_matches_regex_rule(spark, raw, out):
+    import re
+    assert re.sub(r"\b[IVX]+$", "", raw) == out                       # the rule itself
+    assert _one(spark, [raw], TX.drop_trailing_roman) == [out]
