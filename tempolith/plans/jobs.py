@@ -78,7 +78,8 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
                   interaction_pairs: Sequence[tuple[str, str]] = (), rank_cols: Sequence[str] | None = None,
                   active_days: int = 7, skew_safe: bool = False, partitions: int | None = None,
                   opponent: str | None = None, opponent_stats: Sequence[str] = (), team: str | None = None,
-                  primary_metric: str | None = None, skew_safe_ranks: bool = False) -> DataFrame:
+                  primary_metric: str | None = None, skew_safe_ranks: bool = False,
+                  layout: str = "wide") -> DataFrame:
     """Leakage-safe feature block for every metric (W1-W17, W25) with per-date ranks.
 
     ``skew_safe=True`` runs the same features on range segments (see
@@ -91,7 +92,14 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
     ``primary_metric``, ``{metric}_primary`` flags the row(s) holding the
     team-date maximum of that metric's EWM mean (D13).  ``skew_safe_ranks``
     computes only the per-date ranks on range segments (exact, for data with a
-    hot date but no hot entity)."""
+    hot date but no hot entity).  ``layout="long"`` returns the per-metric
+    features one row per (row, metric) from a single window pass over all
+    metrics (``feature_build_long``; pivot with ``to_wide``)."""
+    if layout == "long":
+        return feature_build_long(df, entity, order, date, metrics, season=season, span=span, roll=roll,
+                                  slope_min_rows=slope_min_rows)
+    if layout != "wide":
+        raise ValueError(f"layout must be 'wide' or 'long', not {layout!r}")
     if skew_safe:
         return feature_build_skew_safe(df, entity, order, date, metrics, season=season, context=context,
                                        context_values=context_values, span=span, roll=roll,

@@ -382,7 +382,7 @@ def features_long(spark, sf):
     from tempolith.operators import windows as W
     e = ev(spark, sf).join(table(spark, sf, "events").select(
         "event_id", F.get_json_object("props", "$.k").cast("double").alias("k")), "event_id")
-    long = J.feature_build_long(e, "user_id", EV_ORDER, "d", ["value", "k"])
+    long = J.feature_build(e, "user_id", EV_ORDER, "d", ["value", "k"], layout="long")
     out = long.select("event_id", "metric", "d", "x_lag1", "x_exp_mean", "x_exp_std", "x_roll_mean", "x_ewm_mean")
     out = round_doubles(out)
     # rank the stored (snapped) feature, as every engine must see the same ties
