@@ -61,23 +61,38 @@ def global_positions(seg: DataFrame, key, order) -> DataFrame:
 
 # -- ranks within a group (hot dates) -----------------------------------------------------
 def pct_rank_within(df: DataFrame, by, cols: Sequence[str], suffix: str = "_prank",
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, key: Sequence[str] | None = None) -> DataFrame:
     """Average-tie percentile rank of each column within ``by`` (as
-    ``windows.pct_rank_within``) without sending a group to one task."""
+    ``windows.pct_rank_within``) without sending a group to one task.
+
+    With ``key`` (a unique row key), each column is ranked on the narrow
+    projection (key, by, column) and all ranks join back to the frame once, so
+    the range shuffles and checkpoints carry three columns, not the whole row."""
     by = _cols(by)
+    if key is None:
+        for c in cols:
+            df = _rank_one(df, by, c, f"{c}{suffix}", partitions)
+        return df
+    key = list(key)
+    ranked = None
     for c in cols:
-        r = segment(df, by, [c], partitions)
-        w = Window.partitionBy(*by, SEG).orderBy(F.col(c).asc_nulls_last())
-        r = r.withColumns({"_lt": F.rank().over(w) - 1, "_le": F.count(c).over(w)})
-        cnt = r.groupBy(*by, SEG).agg(F.count(c).alias("_n"))
-        cnt = cnt.withColumns({
-            "_off": F.coalesce(F.sum("_n").over(Window.partitionBy(*by).orderBy(SEG).rowsBetween(UNB, -1)), F.lit(0)),
-            "_tot": F.sum("_n").over(Window.partitionBy(*by))})
-        r = r.join(cnt.drop("_n"), by + [SEG])
-        avg_rank = (F.col("_off") * 2 + F.col("_lt") + 1 + F.col("_le")) / F.lit(2.0)
-        df = r.withColumn(f"{c}{suffix}", F.when(F.col(c).isNotNull(), avg_rank / F.col("_tot"))) \
-            .drop(SEG, "_lt", "_le", "_off", "_tot")
-    return df
+        r = _rank_one(df.select(*key, *by, c), by, c, f"{c}{suffix}", partitions).select(*key, f"{c}{suffix}")
+        ranked = r if ranked is None else ranked.join(r, key)
+    return df.join(ranked, key, "left")
+
+
+def _rank_one(df: DataFrame, by: list[str], c: str, out: str, partitions: int | None) -> DataFrame:
+    r = segment(df, by, [c], partitions)
+    w = Window.partitionBy(*by, SEG).orderBy(F.col(c).asc_nulls_last())
+    r = r.withColumns({"_lt": F.rank().over(w) - 1, "_le": F.count(c).over(w)})
+    cnt = r.groupBy(*by, SEG).agg(F.count(c).alias("_n"))
+    cnt = cnt.withColumns({
+        "_off": F.coalesce(F.sum("_n").over(Window.partitionBy(*by).orderBy(SEG).rowsBetween(UNB, -1)), F.lit(0)),
+        "_tot": F.sum("_n").over(Window.partitionBy(*by))})
+    r = r.join(cnt.drop("_n"), by + [SEG])
+    avg_rank = (F.col("_off") * 2 + F.col("_lt") + 1 + F.col("_le")) / F.lit(2.0)
+    return r.withColumn(out, F.when(F.col(c).isNotNull(), avg_rank / F.col("_tot"))) \
+        .drop(SEG, "_lt", "_le", "_off", "_tot")
 
 
 # -- running aggregates, lags and rolling frames ---------------------------------------------

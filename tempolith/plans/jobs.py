@@ -136,7 +136,7 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
                                                      for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")]
     if skew_safe_ranks:
         from tempolith.operators import segmented as SG
-        df = SG.pct_rank_within(df, date, ranks, partitions=partitions)
+        df = SG.pct_rank_within(df, date, ranks, partitions=partitions, key=[entity] + order)
     else:
         df = W.pct_rank_within(df, date, ranks)
     return NU.clean_non_finite(df)
@@ -248,7 +248,7 @@ def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], da
     rows = W.interactions(rows, interaction_pairs)
     ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics
                                                      for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")]
-    rows = SG.pct_rank_within(rows, date, ranks, partitions=partitions)
+    rows = SG.pct_rank_within(rows, date, ranks, partitions=partitions, key=[entity] + order)
     return NU.clean_non_finite(rows)
 
 
