@@ -67,3 +67,50 @@ def test_skew_safe_boundaries_equal_window_boundaries(spark):
     a = IV.boundaries(changes, spans, "g", "clk").select("g", "b", "k", "b_next", "n_b")
     b = IV.boundaries(changes, spans, "g", "clk", skew_safe=True, partitions=8).select("g", "b", "k", "b_next", "n_b")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def _fold(changes, starters, start, end, credit):
+    """Sequential reference: walk the boundaries in time order; at each one
+    remove the members going out, then add the members coming in."""
+    bounds = sorted({c for _, c, _ in changes} | {start, end})
+    state = set(starters)
+    lineups = []
+    if credit == "before":
+        for i, b in enumerate(bounds[:-1]):
+            for phase in (False, True):
+                for m, c, is_in in changes:
+                    if c == b and is_in == phase:
+                        (state.add if is_in else state.discard)(m)
+            lineups.append((b, bounds[i + 1], "-".join(map(str, sorted(state)))))
+    else:   # state after the changes at the interval's end; changes at the first boundary ignored
+        for i, b in enumerate(bounds[:-1]):
+            nxt = bounds[i + 1]
+            for phase in (False, True):
+                for m, c, is_in in changes:
+                    if c == nxt and is_in == phase:
+                        (state.add if is_in else state.discard)(m)
+            lineups.append((b, nxt, "-".join(map(str, sorted(state)))))
+    return lineups
+
+
+def test_active_sets_equal_sequential_fold_on_random_logs(spark):
+    import random
+    rnd = random.Random(7)
+    ch_rows, st_rows, sp_rows, expect = [], [], [], {"before": [], "after": []}
+    for g in range(25):
+        start, end = 0, 100
+        starters = rnd.sample(range(1, 9), rnd.randint(0, 5))
+        changes = [(rnd.randint(1, 8), rnd.choice([0, 0, 10, 20, 35, 50, 70, 100]), rnd.random() < 0.5)
+                   for _ in range(rnd.randint(0, 12))]
+        ch_rows += [(g, m, c, i) for m, c, i in changes]
+        st_rows += [(g, m) for m in starters]
+        sp_rows.append((g, start, end))
+        for credit in ("before", "after"):
+            expect[credit] += [(g, s, e, lu) for s, e, lu in _fold(changes, starters, start, end, credit)]
+    ch = spark.createDataFrame(ch_rows, "g int, m int, clk int, is_in boolean")
+    st = spark.createDataFrame(st_rows, "g int, m int")
+    sp = spark.createDataFrame(sp_rows, "g int, start int, end int")
+    for credit in ("before", "after"):
+        iv = IV.active_intervals(ch, st, sp, "g", "m", "clk", "is_in", size=None, credit=credit)
+        got = sorted((r.g, r.start, r.end, r.lineup) for r in iv.collect())
+        assert got == sorted(expect[credit]), credit
