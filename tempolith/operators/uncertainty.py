@@ -8,6 +8,7 @@ with ``min_by``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,7 +31,6 @@ def grid_frame(spark: SparkSession, lo: float = GRID[0], hi: float = GRID[1], st
 # M14 ----------------------------------------------------------------------------
 def poisson1(seed: int, kmax: int = 12):
     """Poisson(1) draw per row by inverting the CDF of a uniform ``rand(seed)``."""
-    import math
     u = F.rand(seed)
     cdf, term, expr = 0.0, math.exp(-1.0), F.lit(float(kmax))
     thresholds = []
@@ -64,7 +64,7 @@ def fit_ensemble(train: DataFrame, features: Sequence[str], targets: Sequence[st
             lr = LinearRegression(featuresCol="_x", labelCol=t, weightCol="_w", regParam=reg, maxIter=50)
             model = lr.fit(d)
             resid = model.transform(data).agg(F.avg(F.pow(F.col(t) - F.col("prediction"), 2)).alias("v")).first()["v"]
-            fitted.append((t, m, model, float(__import__("math").log(max(resid or 1e-12, 1e-12)))))
+            fitted.append((t, m, model, math.log(max(resid or 1e-12, 1e-12))))
     return fitted, va
 
 
