@@ -103,11 +103,12 @@ def active_sets(changes: DataFrame, starters: DataFrame, spans: DataFrame, group
 def active_intervals(changes: DataFrame, starters: DataFrame, spans: DataFrame, group, member: str,
                      clock: str, is_in: str, size: int | None = 5, credit: str = "before",
                      min_duration: float | None = None, sep: str = "-",
-                     bnd: DataFrame | None = None) -> DataFrame:
+                     bnd: DataFrame | None = None, exclude: dict | None = None) -> DataFrame:
     """Interval table: (group, k, start, end, duration, members, lineup, n_active).
 
     Only intervals whose active set has exactly ``size`` members (if given) and
-    that last at least ``min_duration`` are kept."""
+    that last at least ``min_duration`` are kept; ``exclude`` maps a group
+    column to values whose intervals are dropped (known-bad events)."""
     group = _cols(group)
     bnd, rows = active_sets(changes, starters, spans, group, member, clock, is_in, credit, bnd)
     sets = rows.groupBy(*group, "k").agg(F.array_sort(F.collect_list(member)).alias("members"))
@@ -122,6 +123,8 @@ def active_intervals(changes: DataFrame, starters: DataFrame, spans: DataFrame,
         iv = iv.filter(F.col("n_active") == size)
     if min_duration is not None:
         iv = iv.filter(F.col("duration") >= min_duration)
+    for col, values in (exclude or {}).items():
+        iv = iv.filter(~F.col(col).isin(list(values)))
     return iv
 
 

@@ -114,3 +114,12 @@ def test_active_sets_equal_sequential_fold_on_random_logs(spark):
         iv = IV.active_intervals(ch, st, sp, "g", "m", "clk", "is_in", size=None, credit=credit)
         got = sorted((r.g, r.start, r.end, r.lineup) for r in iv.collect())
         assert got == sorted(expect[credit]), credit
+
+
+def test_min_duration_and_excluded_groups(spark):
+    ch, st, sp = _parts(spark)
+    two = st.union(spark.createDataFrame([(2, 1)], "g int, m int"))
+    sp2 = sp.union(spark.createDataFrame([(2, 0, 30)], "g int, start int, end int"))
+    iv = IV.active_intervals(ch, two, sp2, "g", "m", "clk", "is_in", size=None, min_duration=10, exclude={"g": [2]})
+    assert sorted({r.g for r in iv.collect()}) == [1]
+    assert IV.active_intervals(ch, st, sp, "g", "m", "clk", "is_in", size=None, min_duration=11).count() == 0
