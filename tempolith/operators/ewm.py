@@ -203,13 +203,19 @@ def ewm_by_context(df: DataFrame, cols: Sequence[str], entity, order, ctx: str,
 
 # W19 ----------------------------------------------------------------------------
 def allowed(df: DataFrame, group, date: str, stats: Sequence[str], span: float = 21,
-            prefix: str = "allowed") -> DataFrame:
+            prefix: str = "allowed", dedupe_by: str | None = None) -> DataFrame:
     """Group-side EWM: daily sums per (group, date), EWM of the previous
     day's sum inside the group, percentile rank per date.  Returns the daily
-    table; join it back on ``group + [date]`` (small: groups x dates)."""
+    table; join it back on ``group + [date]`` (small: groups x dates).
+
+    ``dedupe_by`` (an event column) is for stats repeated on every row of an
+    event (a team total on each member's row): their maximum per event is
+    taken before the daily sum, so the total is not multiplied by the rows."""
     from tempolith.operators.aggs import daily_sum
     group = _cols(group)
     alpha = alpha_from_span(span)
+    if dedupe_by:
+        df = df.groupBy(*group, date, dedupe_by).agg(*[F.max(s).alias(s) for s in stats])
     daily = daily_sum(df, group + [date], stats)
     w = Window.partitionBy(*group).orderBy(date)
     for s in stats:

@@ -159,3 +159,14 @@ def test_features_do_not_leak_future_rows(spark):
 
     a, b = feats(base), feats(altered)
     assert np.allclose(a.to_numpy(float), b.to_numpy(float), equal_nan=True)
+
+
+def test_allowed_dedupes_event_level_stats(spark):
+    import datetime as dt
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    # team score 100 repeated on three member rows of event 1, 80 on two rows of event 2
+    rows = [("opp", d1, 1, 100.0)] * 3 + [("opp", d2, 2, 80.0)] * 2
+    df = spark.createDataFrame(rows, "opp string, d date, ev int, score double")
+    plain = {r.d: r.allowed_score_ewm for r in E.allowed(df, ["opp"], "d", ["score"]).collect()}
+    dedup = {r.d: r.allowed_score_ewm for r in E.allowed(df, ["opp"], "d", ["score"], dedupe_by="ev").collect()}
+    assert plain[d2] == pytest.approx(300.0) and dedup[d2] == pytest.approx(100.0)
