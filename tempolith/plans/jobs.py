@@ -175,6 +175,18 @@ def upcoming_slate(schedule: DataFrame, home: str, away: str, roster: DataFrame,
     return rows.join(latest, person, "left")
 
 
+def refresh_for_slate(history: DataFrame, slate: DataFrame, build, marker: str = "_slate") -> DataFrame:
+    """Features for upcoming rows computed with those rows appended to the
+    history (so lags and running stats include each entity's latest event),
+    instead of copying the last historical feature row.  ``build`` is the
+    feature function (e.g. ``lambda d: feature_build(d, ...)``); only the slate
+    rows are returned.  Leakage-safe by construction: every feature of a row
+    only reads earlier rows, and slate rows carry no target values."""
+    rows = history.withColumn(marker, F.lit(False)).unionByName(
+        slate.withColumn(marker, F.lit(True)), allowMissingColumns=True)
+    return build(rows).filter(F.col(marker)).drop(marker)
+
+
 # P7 ------------------------------------------------------------------------------------
 def score_and_publish(summary: DataFrame, q_scale: DataFrame, y_params: DataFrame, eligible: DataFrame,
                       key: str, date: str, today, path: str, run_date) -> DataFrame:

@@ -46,3 +46,13 @@ def test_clamped_interval_widths_are_non_negative(spark):
     df = df.withColumn("std_predictive", F.sqrt(F.col("std_epistemic") ** 2 + F.col("std_aleatoric") ** 2))
     out = U.intervals(df, "target").agg(F.min("pi80_width"), F.min("q10"), F.min("std80_lower")).first()
     assert all(v >= 0 for v in out)
+
+
+def test_refresh_for_slate_uses_latest_event(spark):
+    import datetime as dt
+    hist = spark.createDataFrame([(1, dt.date(2024, 1, d), float(d)) for d in range(1, 8)], "e int, d date, x double")
+    slate = spark.createDataFrame([(1, dt.date(2024, 1, 9))], "e int, d date")
+    from tempolith.operators import windows as W
+    out = J.refresh_for_slate(hist, slate, lambda df: W.expanding(W.lags(df, ["x"], "e", ["d"]), ["x"], "e", ["d"]))
+    r = out.collect()
+    assert len(r) == 1 and r[0].x_lag1 == 7.0 and r[0].x_exp_mean == 4.0 and r[0].x is None
