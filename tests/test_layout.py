@@ -30,3 +30,10 @@ def test_long_layout_equals_wide(spark):
             x, y = wide[f"{m}_{f}"].to_numpy(float), ref[f"{m}_{f}"].to_numpy(float)
             assert (np.isnan(x) == np.isnan(y)).all(), (m, f)
             assert np.allclose(x[~np.isnan(x)], y[~np.isnan(y)], rtol=1e-12, atol=1e-12), (m, f)
+
+
+def test_to_wide_single_feature_names(spark):
+    long = spark.createDataFrame([(1, "a", 1.5), (1, "b", 2.5), (2, "a", 3.5)], "id int, metric string, x_lag1 double")
+    wide = J.to_wide(long, ["id"], ["a", "b"], ["x_lag1"]).orderBy("id").collect()
+    assert [tuple(r) for r in wide] == [(1, 1.5, 2.5), (2, 3.5, None)]
+    assert J.to_wide(long, ["id"], ["a", "b"], ["x_lag1"]).columns == ["id", "a_lag1", "b_lag1"]
