@@ -112,3 +112,11 @@ def test_calibration_matches_brute_force_grid(spark):
     got_std = {r.t: r.s for r in U.fit_std_scale(df, "t", "y", "q50", "se", "sa").collect()}
     got_q = {r.t: r.s for r in U.fit_quantile_scale(df, "t", "y", "q50", "lo", "hi").collect()}
     assert got_std == std_ref and got_q == q_ref
+
+
+def test_bounded_broadcast_hints_only_within_bound(spark):
+    from tempolith.operators.joins import bounded_broadcast
+    small, big = spark.range(5), spark.range(50)
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()      # noqa: E731
+    assert "broadcast" in plan(bounded_broadcast(small, max_rows=10)).lower()
+    assert "broadcast" not in plan(bounded_broadcast(big, max_rows=10)).lower()
