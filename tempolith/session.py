@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,8 +43,9 @@ def get_spark(app: str = "tempolith", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cutting lineage.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    (a fresh temp folder) when it is unset, which happens in local tests.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a
+    local master gets a fresh temp folder (tests); any other master is refused,
+    because a folder on the driver's disk is not visible to the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -50,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError(f"spark.checkpoint.dir is unset and {sc.master} needs a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tempolith-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -69,6 +74,11 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediate tables."""
-    import uuid
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
