@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempolith.session import drop_path, scratch_path
@@ -137,3 +137,23 @@ class Words:
         for k in range(n):
             total = total * np.uint64(_MULT) + self.hash[at + k]
         return mix(total ^ np.uint64(n)), at
+
+
+# ---------------------------------------------------------------- rows and running sums
+def numbered(df: DataFrame, id_col: str, *order: Column) -> DataFrame:
+    """``__occ``: 1, 2, ... among the rows of an id, so that rows of one id can be told apart in a later join."""
+    return df.withColumn("__occ", F.row_number().over(Window.partitionBy(id_col).orderBy(*order)))
+
+
+def running_sum(df: DataFrame, order: list[str], value: str, stage: Scratch, step: str, out: str = "__before") -> DataFrame:
+    """Sum of ``value`` over all rows before each row in the total order, by range partitions.
+
+    Rows are dealt by range, written once (the partition a row is in must not change between reads), summed
+    inside each partition, and moved up by the totals of the partitions before: one row per partition.
+    """
+    held = stage.keep(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), step)
+    inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = held.groupBy("__part").agg(F.sum(value).alias("__total"))
+    ahead = totals.select("__part", (F.sum("__total").over(Window.orderBy("__part")) - F.col("__total")).alias("__ahead"))
+    return (held.withColumn(out, F.sum(value).over(inside) - F.col(value)).join(F.broadcast(ahead), "__part")
+            .withColumn(out, F.col(out) + F.col("__ahead")).drop("__part", "__ahead"))
