@@ -5,7 +5,8 @@ of the test items are counted over the documents; an item's seeds are its rare r
 documents, and its ``LEAST`` rarest in any case, so an item whose every word is common still has seeds. Where a
 document holds seeds of an item, the words around them are aligned with the item: +2 for an equal word, -1 for a
 changed, added or missing one. The score is the best local alignment over that of a verbatim copy; from
-``THRESHOLD`` on the document is contaminated, which a copy with about a third of its words changed still reaches.
+``THRESHOLD`` on the document is contaminated, which a copy with a third of its words changed still reaches. What is
+aligned must also be worth ``EVIDENCE`` equal words, or the whole of a shorter item.
 
 Items of fewer than ``SHORTEST`` words cannot be told from chance and match nothing, nor do null or empty items
 and texts. Repeated items and documents each give their rows. Without items the result is empty. Long texts are
@@ -26,7 +27,7 @@ from tempolith.llm.registry import query
 
 SEED, RARE, LEAST, SHORTEST = 3, 0.001, 8, 5
 SAME, OTHER = 2, -1
-THRESHOLD = 0.5
+THRESHOLD, EVIDENCE = 0.4, 8
 #: Bytes of test items that one pass over the documents works on; more items take more passes.
 ITEM_BYTES = 32 << 20
 
@@ -84,7 +85,7 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 
 def matches(items: Items, block: list[tuple]) -> Iterator[tuple]:
-    """(doc_id, item_id, score, first_word, last_word) of each document and item that share seeds."""
+    """(doc_id, item_id, score, first_word, last_word, words of the item) of each document and item that share seeds."""
     w = words_of([t for _, t in block])
     grams, at = w.grams(SEED)
     hit = _among(grams, items.grams)
@@ -112,7 +113,7 @@ def matches(items: Items, block: list[tuple]) -> Iterator[tuple]:
         if (d, k) not in best or value > best[d, k][0]:
             best[d, k] = (value, max(begin, begin + last - n), begin + last)
     for (d, k), (value, first, last) in best.items():
-        yield block[d][0], items.ids[k], value, first, last
+        yield block[d][0], items.ids[k], value, first, last, len(items.words[k])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
@@ -158,7 +159,7 @@ def _slice(rows: DataFrame, tests: DataFrame, threshold: float) -> DataFrame:
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for block in blocks([(i, t or "") for i, t in zip(frame["doc_id"], frame["text"])]):
-                found = [m for m in matches(items, block) if m[2] >= threshold]
+                found = [m[:5] for m in matches(items, block) if m[2] >= max(threshold, min(1.0, EVIDENCE / m[5]))]
                 yield pd.DataFrame(found, columns=["doc_id", "item_id", "score", "first_word", "last_word"])
 
     kinds = [x.schema[c].dataType.simpleString() for x, c in ((rows, "doc_id"), (tests, "item_id"))]
