@@ -24,6 +24,10 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(F.coalesce(col, F.lit("")), UPPER, LOWER)
 
 
+#: Removes an execution's shuffle files when it ends; what it wrote is read from the table.
+_CLEAN = "spark.sql.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Stage tables in the folder that the cluster shares; dropped when nothing reads them any more."""
 
@@ -32,7 +36,12 @@ class Scratch:
 
     def keep(self, df: DataFrame, step: str) -> DataFrame:
         path = scratch_path(self.spark, f"{self.name}-{step}")
-        df.write.parquet(path)
+        before = self.spark.conf.get(_CLEAN, None)
+        self.spark.conf.set(_CLEAN, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(_CLEAN) if before is None else self.spark.conf.set(_CLEAN, before)
         self.paths[step] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -45,7 +54,8 @@ class Scratch:
 #: Bytes of text that are worked on at a time; a longer text makes a block of its own.
 BLOCK = 1 << 20
 _MULT = 0x9E3779B97F4A7C15
-_INV = pow(_MULT, -1, 1 << 64)
+#: Odd bases of the two independent hash functions.
+_BASES = (_MULT, 0xC2B2AE3D27D4EB4F)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -59,11 +69,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_MULT)) | np.uint64(1)
+_BYTES = [mix(np.arange(k, k + 256, dtype=np.uint64) * np.uint64(_MULT)) | np.uint64(1) for k in (1, 5001)]
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; up to a block's worth is kept between calls."""
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; up to a few blocks' worth is kept between calls."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         size = max(n, BLOCK + 1024)
@@ -78,18 +88,14 @@ def powers(base: int, n: int) -> np.ndarray:
 class RangeHash:
     """64-bit fingerprints of any ranges of a byte buffer, equal for equal content wherever it stands."""
 
-    def __init__(self, buf: np.ndarray):
-        n = len(buf)
+    def __init__(self, buf: np.ndarray, function: int = 0):
+        n, base = len(buf), _BASES[function]
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[buf] * powers(_MULT, n), out=self.sums[1:])
-        self.back = powers(_INV, n + 1)
-
-    def raw(self, start, end) -> np.ndarray:
-        """Not scrambled: cheap, and fit for comparing with the same function."""
-        return (self.sums[end] - self.sums[start]) * self.back[start]
+        np.cumsum(_BYTES[function][buf] * powers(base, n), out=self.sums[1:])
+        self.back = powers(pow(base, -1, 1 << 64), n + 1)
 
     def of(self, start, end) -> np.ndarray:
-        return mix(self.raw(start, end))
+        return mix((self.sums[end] - self.sums[start]) * self.back[start])
 
 
 def blocks(items: Iterable[tuple], text: int = 1) -> Iterator[list[tuple]]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ["exact_dedup", "token_counts", "mixing", "sharding", "minhash", "language", "decontaminate", "html_main", "toxicity"]
+MODULES = ["exact_dedup", "token_counts", "mixing", "sharding", "minhash", "language", "decontaminate", "html_main", "toxicity", "suffix_dedup"]
 
 
 def query(name: str, sql: str | None = None):
