@@ -7,9 +7,10 @@ similarity of at least 0.75 are linked; links make components.
 * Documents with the same set are one representative from the start, so exact copies cost one row.
 * 128 minima in 32 bands of 4: a link at exactly 0.75 shares no band with a chance of 5 in a million.
 * Every bucket links its members to its smallest member, the links are confirmed on the full sets, and the
-  components found so far close most buckets. Only buckets that still hold several components are compared
-  member by member, in tiles of bounded size that many tasks share: signatures there decide which pairs of
-  different components are worth a full comparison. No bucket is capped and no link is left out.
+  components found so far close most buckets. In the rest, members are linked in small random stars, other ones in
+  every band, which joins what is similar throughout. Only buckets that even then hold several components are
+  compared member by member, in tiles of bounded size that many tasks share: signatures there decide which pairs
+  of different components are worth a full comparison. No bucket is capped and no link is left out.
 * Components by alternating large-star and small-star (``components``).
 
 Defined results: a null or empty text, or one of white space only, has an empty set, links with nothing, and
@@ -26,15 +27,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempolith.llm.common import Scratch, Words, blocks, mix, table
+from tempolith.llm.common import Scratch, Words, blocks, mix, numbered, table
 from tempolith.llm.components import components
 from tempolith.llm.registry import query
 
 SHINGLE = 5
 ROWS, BANDS = 4, 32
 MINIMA = ROWS * BANDS
+#: Members of a small star in a bucket that is open after the first round, about.
+STAR = 8
 #: Members of a tile's side where a bucket is compared member by member.
-TILE = 256
+TILE = 1024
 #: Minima that must agree before sets are compared in a tile: 0.75 less 4.5 standard deviations.
 AGREE = int(MINIMA * (0.75 - 4.5 * (0.75 * 0.25 / MINIMA) ** 0.5))
 
@@ -94,16 +97,28 @@ def _profiles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"doc_id": [i for i, _ in block], "n": n, "m1": marks[0].view(np.int64), "m2": marks[1].view(np.int64), "sig": sigs})
 
 
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """A key for each band of each signature. Keys of different bands never meet, as the band is mixed in."""
+    halves = sig.view(np.uint64).reshape(len(sig), BANDS, ROWS // 2)
+    key = np.broadcast_to(_BAND, (len(sig), BANDS)).copy()
+    for k in range(ROWS // 2):
+        key = mix(key + halves[:, :, k])
+    return key.view(np.int64)
+
+
+def _unpack(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(map(bytes, column)), np.uint32).reshape(len(column), MINIMA)
+
+
 def _bands(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each band: its key. Keys of different bands never meet, as the band is mixed in."""
     for frame in frames:
-        if not len(frame):
-            continue
-        sig = np.frombuffer(b"".join(map(bytes, frame["sig"])), np.uint64).reshape(len(frame), BANDS, ROWS // 2)
-        key = np.broadcast_to(_BAND, (len(frame), BANDS)).copy()
-        for k in range(ROWS // 2):
-            key = mix(key + sig[:, :, k])
-        yield pd.DataFrame({"key": key.ravel().view(np.int64), "id": np.repeat(frame["doc_id"].to_numpy(), BANDS)})
+        if len(frame):
+            yield pd.DataFrame({"key": band_keys(_unpack(frame["sig"])).ravel(), "id": np.repeat(frame["doc_id"].to_numpy(), BANDS)})
+
+
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _confirm(percent: int):
@@ -116,28 +131,40 @@ def _confirm(percent: int):
                 hashes, first = shingle_sets(list(texts))
                 sets = {t: hashes[first[k]:first[k + 1]] for k, t in enumerate(texts)}
                 for (u, v, tu, tv), _ in block:
-                    a, b = sets[tu], sets[tv]
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    if both and 100 * both >= percent * (len(a) + len(b) - both):
+                    if _similar(sets[tu], sets[tv], percent):
                         left.append(u)
                         right.append(v)
             yield pd.DataFrame({"u": left, "v": right})
     return work
 
 
-def _tile(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs across a tile that lie in different components and agree in enough minima."""
-    a, b = (frame[frame["side"] == s] for s in (0, 1))
-    sa, sb = (np.frombuffer(b"".join(map(bytes, x["sig"])), np.uint32).reshape(len(x), MINIMA) for x in (a, b))
-    ia, ib, ca, cb = a["id"].to_numpy(), b["id"].to_numpy(), a["component"].to_numpy(), b["component"].to_numpy()
-    left, right = [], []
-    for k in range(len(a)):
-        near = np.flatnonzero(((sb == sa[k]).sum(axis=1) >= AGREE) & (cb != ca[k]))
-        left.append(np.minimum(ia[k], ib[near]))
-        right.append(np.maximum(ia[k], ib[near]))
-    if not left:
-        return pd.DataFrame({"u": [], "v": []}, dtype="int64")
-    return pd.DataFrame({"u": np.concatenate(left), "v": np.concatenate(right)}).drop_duplicates()
+def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for block in blocks([(i, bytes(t)) for i, t in zip(frame["doc_id"], frame["raw"])]):
+            hashes, first = shingle_sets([t for _, t in block])
+            yield pd.DataFrame({"id": [i for i, _ in block], "shingles": [hashes[first[k]:first[k + 1]].tobytes() for k in range(len(block))]})
+
+
+def _tile(percent: int):
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        """Links across a tile of a bucket between different components.
+
+        Signatures choose the pairs whose sets are compared, each pair only in the first band that it shares.
+        """
+        a, b = (frame[frame["side"] == s] for s in (0, 1))
+        links = []
+        if len(a) and len(b):
+            sa, sb = _unpack(a["sig"]), _unpack(b["sig"])
+            ka, kb = band_keys(sa), band_keys(sb)
+            band = int(np.flatnonzero(ka[0] == frame["key"].iloc[0])[0])
+            ia, ib, ca, cb = a["id"].to_numpy(), b["id"].to_numpy(), a["component"].to_numpy(), b["component"].to_numpy()
+            wa, wb = ([np.frombuffer(bytes(x), np.uint64) for x in side["shingles"]] for side in (a, b))
+            for k in range(len(a)):
+                near = np.flatnonzero((cb != ca[k]) & ((sb == sa[k]).sum(axis=1) >= AGREE))
+                near = near[(kb[near, :band] != ka[k, :band]).all(axis=1)]
+                links += [(min(ia[k], ib[j]), max(ia[k], ib[j])) for j in near if _similar(wa[k], wb[j], percent)]
+        return pd.DataFrame(links, columns=["u", "v"]).astype("int64")
+    return work
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,22 +196,34 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     links = confirmed(stars, "stars")
     found = components(links, stage, "first")
 
-    # buckets that hold several components yet: every pair across components gets its chance
-    placed = hits.filter("size > 2").join(found, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
-    mixed = mixed.filter("low < high").select("key", F.ceil(F.col("size") / TILE).alias("tiles"))
-    open_ = placed.join(mixed, "key").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("tiles")))
+    def still_open(found: DataFrame) -> DataFrame:
+        """Members of buckets that hold several components yet, with their component and the bucket's size."""
+        placed = hits.filter("size > 2").join(found, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
+        return placed.join(mixed.filter("low < high").select("key", "size"), "key")
+
+    # random small stars inside the open buckets: with other partners in every band, similar members find each other
+    small = stage.keep(still_open(found).withColumn("part", F.pmod(F.xxhash64("id", "key"), F.ceil(F.col("size") / STAR))), "small")
+    heads = small.groupBy("key", "part").agg(F.min("id").alias("u"))
+    again = small.join(heads, ["key", "part"]).join(found.select(F.col("node").alias("u"), F.col("component").alias("other")), "u", "left")
+    again = again.filter((F.col("id") != F.col("u")) & (F.col("component") != F.coalesce("other", "u"))).select("u", F.col("id").alias("v")).distinct()
+    links = links.unionByName(confirmed(again.join(stars, ["u", "v"], "left_anti"), "again"))
+    found = components(links, stage, "second")
+
+    # what is open still: every pair across components gets its chance
+    open_ = still_open(found).withColumn("tiles", F.ceil(F.col("size") / TILE)).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("tiles"))).drop("size")
     open_ = stage.keep(open_, "open")
     sides = open_.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
     one, two = F.least("mine", "other"), F.greatest("mine", "other")
     sides = sides.select("key", "id", "component", one.alias("t1"), two.alias("t2"), F.when(F.col("mine") == F.col("other"), F.array(F.lit(0), F.lit(1)))
                          .otherwise(F.array(F.when(F.col("mine") < F.col("other"), 0).otherwise(1))).alias("in"))
     sides = sides.withColumn("side", F.explode("in")).drop("in")
-    sides = sides.join(profiles.select(F.col("doc_id").alias("id"), "sig").dropDuplicates(["id"]), "id")
-    pairs = sides.groupBy("key", "t1", "t2").applyInPandas(_tile, "u long, v long").distinct()
-    pairs = stage.keep(pairs.join(stars, ["u", "v"], "left_anti"), "pairs")
-    more = confirmed(pairs, "more")
-    nodes = components(links.unionByName(more), stage, "second")
+    members_of = open_.select(F.col("id").alias("doc_id")).distinct()
+    sets_of = texts.join(members_of, "doc_id", "left_semi").mapInPandas(_sets, "id long, shingles binary").dropDuplicates(["id"])
+    signed = profiles.join(members_of, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "sig").dropDuplicates(["id"]).join(sets_of, "id")
+    sides = sides.join(stage.keep(signed, "signed"), "id")
+    more = stage.keep(sides.groupBy("key", "t1", "t2").applyInPandas(_tile(percent), "u long, v long").distinct(), "more")
+    nodes = components(links.unionByName(more), stage, "third")
 
     done = members.join(nodes, F.col("rep") == F.col("node"), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
     done = stage.keep(done, "result")
@@ -194,6 +233,17 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     return done.unionByName(unknown).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with their columns, that stand for their component: one row of each id that is kept.
+
+    Rows without an id have no links, so all of them stay.
+    """
+    kept = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__id")).distinct()
+    rows = docs.filter(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("__id"), "left_semi")
+    rows = numbered(rows, id_col, F.md5(F.coalesce(F.col(text_col), F.lit("")))).filter("__occ = 1").drop("__occ")
+    return rows.unionByName(docs.filter(F.col(id_col).isNull()))
+
+
 @query("op1_minhash", """
     WITH RECURSIVE t AS (
         SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
