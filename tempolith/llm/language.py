@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempolith.llm.common import table
@@ -107,6 +107,19 @@ def identify(docs: DataFrame, books: dict[str, bytes], id_col: str = "doc_id", t
     return rows.mapInPandas(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
 
 
+def accepted(books: dict[str, bytes], text: Column) -> Column:
+    """Whether a text's language is told clearly enough."""
+    held: list[Judge] = []
+
+    @F.pandas_udf("boolean")
+    def keep(texts: pd.Series) -> pd.Series:
+        if not held:
+            held.append(Judge(books))
+        return pd.Series([not held[0].of(t)[2] for t in texts], dtype=bool)
+
+    return keep(text)
+
+
 def held_out(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string")) % 5 == 0
 
