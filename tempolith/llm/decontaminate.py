@@ -1,9 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased runs of letters and digits (ASCII marks and white space separate them). Runs of ``SEED`` words
-of the test items are counted over the documents; an item's seeds are its rare runs, those in at most ``RARE`` of all
-documents, and its ``LEAST`` rarest in any case, so an item whose every word is common still has seeds. Where a
-document holds seeds of an item, the words around them are aligned with the item: +2 for an equal word, -1 for a
+of the test items are counted over the documents; an item's seeds are its rare runs: those in at most ``RARE`` of all
+documents, and those in at most twice as many as its median run, so that an item which many documents hold has seeds
+all along. Where a document holds seeds of an item, the words around them are aligned with the item: +2 for an equal word, -1 for a
 changed, added or missing one. The score is the best local alignment over that of a verbatim copy; from
 ``THRESHOLD`` on the document is contaminated, which a copy with a third of its words changed still reaches. What is
 aligned must also be worth ``EVIDENCE`` equal words, or the whole of a shorter item.
@@ -15,6 +15,7 @@ aligned only around seeds, but searched whole. Only ids and texts are read; othe
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from tempolith.llm.common import Words, blocks, table
 from tempolith.llm.registry import query
 
-SEED, RARE, LEAST, SHORTEST = 3, 0.001, 8, 5
+SEED, RARE, SHORTEST = 3, 0.001, 5
 SAME, OTHER = 2, -1
 THRESHOLD, EVIDENCE = 0.4, 8
 #: Bytes of test items that one pass over the documents works on; more items take more passes.
@@ -53,11 +54,10 @@ class Items:
     def choose(self, counts: dict[int, int], documents: int) -> None:
         """Keep the seeds only. ``counts``: documents that hold each run of words."""
         found = np.array([counts.get(g, 0) for g in self.gram.view(np.int64).tolist()], np.int64)
-        order = np.lexsort((self.place, found, self.item))
-        rank = np.empty(len(order), np.int64)
-        starts = np.flatnonzero(np.diff(self.item[order], prepend=-1))
-        rank[order] = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
-        seed = (found > 0) & ((found <= RARE * documents) | (rank < LEAST))
+        usual = np.zeros(len(self.ids))
+        for k in np.unique(self.item[found > 0]):
+            usual[k] = np.median(found[(self.item == k) & (found > 0)])
+        seed = (found > 0) & ((found <= RARE * documents) | (found <= 2 * usual[self.item]))
         by = np.argsort(self.gram[seed], kind="stable")
         self.gram, self.item, self.place = (x[seed][by] for x in (self.gram, self.item, self.place))
         self.grams = np.unique(self.gram)
@@ -118,22 +118,53 @@ def matches(items: Items, block: list[tuple]) -> Iterator[tuple]:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
                  item_id: str = "item_id", item_text: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """Per document and test item that it holds: doc_id, item_id, score, first_word, last_word (words of the text).
+    """Per document and test item that it holds: doc_id, item_id, score, first_word, last_word (words of the text)."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kinds = [x.schema[c].dataType.simpleString() for x, c in ((docs, id_col), (benchmark, item_id))]
+    parts = []
+    for items in prepared(docs, benchmark, text_col, item_id, item_text, item_bytes):
+        def find(frames: Iterator[pd.DataFrame], items: Items = items) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for block in blocks([(i, t or "") for i, t in zip(frame["doc_id"], frame["text"])]):
+                    found = [m[:5] for m in matches(items, block) if enough(m, threshold)]
+                    yield pd.DataFrame(found, columns=["doc_id", "item_id", "score", "first_word", "last_word"])
+        parts.append(rows.mapInPandas(find, f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, first_word long, last_word long"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, text_col: str = "text", item_id: str = "item_id",
+                   item_text: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
+    """The rows of ``docs``, with their columns, whose text holds no test item."""
+    out = docs
+    for items in prepared(docs, benchmark, text_col, item_id, item_text, item_bytes):
+        out = out.filter(_clean(items, threshold)(F.col(text_col)))
+    return out
+
+
+def _clean(items: Items, threshold: float):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        keep = np.ones(len(texts), bool)
+        for block in blocks([(k, t or "") for k, t in enumerate(texts)]):
+            keep[[m[0] for m in matches(items, block) if enough(m, threshold)]] = False
+        return pd.Series(keep)
+    return clean
+
+
+def enough(match: tuple, threshold: float) -> bool:
+    return match[2] >= max(threshold, min(1.0, EVIDENCE / match[5]))
 
-    Items go to the tasks in slices of bounded size, whose number follows from a sum over the items.
-    """
+
+def prepared(docs: DataFrame, benchmark: DataFrame, text_col: str, item_id: str, item_text: str, item_bytes: int) -> list[Items]:
+    """Test items with their seeds, in slices of bounded size, whose number follows from a sum over the items."""
     tests = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     total = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = int(total // item_bytes) + 1
-    parts = [_slice(rows, tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k), threshold) for k in range(slices)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    texts = docs.select(F.col(text_col).alias("text"))
+    return [_slice(texts, tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)) for k in range(slices)]
 
 
-def _slice(rows: DataFrame, tests: DataFrame, threshold: float) -> DataFrame:
+def _slice(texts: DataFrame, tests: DataFrame) -> Items:
     listed = tests.collect()  # bounded: one slice
     items = Items([r["item_id"] for r in listed], [r["text"] for r in listed])
     known = items.grams
@@ -153,17 +184,9 @@ def _slice(rows: DataFrame, tests: DataFrame, threshold: float) -> DataFrame:
         yield pd.DataFrame({"gram": known[some].view(np.int64), "n": seen[some], "documents": False})
         yield pd.DataFrame({"gram": [0], "n": [documents], "documents": True})
 
-    sums = rows.select("text").mapInPandas(count, "gram long, n long, documents boolean").groupBy("documents", "gram").agg(F.sum("n").alias("n")).collect()
+    sums = texts.mapInPandas(count, "gram long, n long, documents boolean").groupBy("documents", "gram").agg(F.sum("n").alias("n")).collect()
     items.choose({r["gram"]: r["n"] for r in sums if not r["documents"]}, sum(r["n"] for r in sums if r["documents"]))
-
-    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for block in blocks([(i, t or "") for i, t in zip(frame["doc_id"], frame["text"])]):
-                found = [m[:5] for m in matches(items, block) if m[2] >= max(threshold, min(1.0, EVIDENCE / m[5]))]
-                yield pd.DataFrame(found, columns=["doc_id", "item_id", "score", "first_word", "last_word"])
-
-    kinds = [x.schema[c].dataType.simpleString() for x, c in ((rows, "doc_id"), (tests, "item_id"))]
-    return rows.mapInPandas(find, f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, first_word long, last_word long")
+    return items
 
 
 @query("op2_decontaminate")
