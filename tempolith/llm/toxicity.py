@@ -95,7 +95,8 @@ def learn_lexicon(sample: DataFrame) -> frozenset[str]:
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             sets = [sorted({w for w in tokens(t or "") if w.isalpha() and len(w) > 1}) for t in f["text"]]
-            yield pd.DataFrame({"word": [w for s in sets for w in s], "toxic": np.repeat(f["toxic"].to_numpy(), [len(s) for s in sets])})
+            if any(sets):
+                yield pd.DataFrame({"word": [w for s in sets for w in s], "toxic": np.repeat(f["toxic"].to_numpy(), [len(s) for s in sets])})
 
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
