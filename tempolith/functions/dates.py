@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 
 # Accepted text layouts, tried in order (first success wins).
 # A leading weekday ("Tue, ") is cut off first: Spark 4 cannot parse 'E'.
-DATE_FORMATS = ("M/d/yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyy-MM-dd", "yyyy/MM/dd", "d MMM yyyy")
+DATE_FORMATS = ("M/d/yyyy", "M/d/yy", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy", "yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd",
+                "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy")
 
 # Shape of the text each layout can parse; a row is only handed to the layouts
 # whose shape it has (a failed parse costs an exception inside the parser).
-_SHAPES = {"M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$", "MMM d, yyyy": r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
-           "MMMM d, yyyy": r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$", "yyyy-MM-dd": r"^\d{4}-\d{1,2}-\d{1,2}$",
-           "yyyy/MM/dd": r"^\d{4}/\d{1,2}/\d{1,2}$", "d MMM yyyy": r"^\d{1,2} [A-Za-z]{3} \d{4}$"}
+_SHAPES = {"M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yy": r"^\d{1,2}/\d{1,2}/\d{2}$", "MMM d, yyyy": r"^[A-Za-z]{3} \d{1,2}, \d{4}$",
+           "MMMM d, yyyy": r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$", "MMM d yyyy": r"^[A-Za-z]{3} \d{1,2} \d{4}$",
+           "MMMM d yyyy": r"^[A-Za-z]{4,9} \d{1,2} \d{4}$", "yyyy-MM-dd": r"^\d{4}-\d{1,2}-\d{1,2}$",
+           "yyyy/MM/dd": r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyyMMdd": r"^\d{8}$", "d MMM yyyy": r"^\d{1,2} [A-Za-z]{3} \d{4}$",
+           "d MMMM yyyy": r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d-MMM-yyyy": r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"}
+# A time of day after the date, with or without a zone.
+_TIME = r"[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?( ?(Z|UTC|[+-]\d{2}:?\d{2}))?$"
 
 
 def _c(c) -> Column:
@@ -25,7 +30,9 @@ def _c(c) -> Column:
 # F4 -----------------------------------------------------------------------------
 def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
     s = F.trim(_c(c))
-    s = F.regexp_replace(s, r"^[A-Za-z]+,\s*(?=[A-Za-z])", "")
+    s = F.regexp_replace(s, r"^[A-Za-z]+,\s*(?=[A-Za-z\d])", "")
+    s = F.regexp_replace(s, _TIME, "")
+    s = F.regexp_replace(s, r"\bSept\b\.?", "Sep")
     tries = [F.when(s.rlike(_SHAPES[f]), F.try_to_date(s, f)) if f in _SHAPES else F.try_to_date(s, f)
              for f in formats]
     return F.coalesce(*tries)

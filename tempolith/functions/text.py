@@ -1,13 +1,15 @@
 """String expressions (F1-F3, F10-F13) as native Column builders.
 
 Spark has no Unicode normalisation function, so accent folding is a
-``translate`` table generated at import time from ``unicodedata`` NFKD (a
-rule, not a hand list), plus ``regexp_replace`` for the few characters that
-fold to more than one letter.  Everything runs inside whole-stage codegen.
+``translate`` table generated at import time from ``unicodedata`` NFKD over all
+of Unicode (a rule, not a hand list); characters that fold to several letters
+are spelled out one by one, only in rows that hold one.  Everything runs
+inside whole-stage codegen.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from functools import lru_cache
@@ -15,64 +17,82 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Code point ranges covered by the generated folding tables: Latin-1
-# supplement, Latin extended A/B, Latin extended additional, full-width ASCII.
-_RANGES = ((0x00A0, 0x0250), (0x1E00, 0x1F00), (0xFF01, 0xFF5F))
-
-# Letters without an NFKD decomposition that a transliterating
-# fold spells out in ASCII (used only by the folded form, F2).
+# Letters without an NFKD decomposition to ASCII that a
+# transliterating fold spells out (used only by the folded form, F2); Greek and
+# Cyrillic in their lower case, capitals follow by rule.
 TRANSLIT_EXTRA = {
     "ß": "ss", "ẞ": "SS", "ø": "o", "Ø": "O", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE",
     "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ł": "l", "Ł": "L", "þ": "th", "Þ": "Th", "ı": "i",
     "’": "'", "‘": "'",
 }
+TRANSLIT_GREEK = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m",
+    "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+}
+TRANSLIT_CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k", "л": "l",
+    "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch",
+    "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "iu", "я": "ia", "і": "i", "ї": "i", "є": "ie", "ґ": "g",
+    "ђ": "dj", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "c", "џ": "dz", "ў": "u",
+}
+
+
+def _translit(ch: str) -> str | None:
+    if ch in TRANSLIT_EXTRA:
+        return TRANSLIT_EXTRA[ch]
+    low = ch.lower()
+    rep = TRANSLIT_GREEK.get(low, TRANSLIT_CYRILLIC.get(low))
+    return rep if rep is None or low == ch else rep.capitalize()
 
 
 @lru_cache(maxsize=None)
-def _fold_tables(extra: tuple) -> tuple[str, str, tuple]:
-    """(from_chars, to_chars, multi) where single-letter folds go to translate()."""
-    extra_map = dict(extra)
-    src, dst, multi = [], [], []
-    deleted = []
-    for lo, hi in _RANGES:
-        for cp in range(lo, hi):
-            ch = chr(cp)
-            if ch in extra_map:
-                continue
-            folded = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
-            if folded == ch:
-                continue
-            if len(folded) == 1:
-                src.append(ch)
-                dst.append(folded)
-            elif len(folded) == 0:
-                deleted.append(ch)
-            else:
-                multi.append((ch, folded))
-    for ch, rep in extra_map.items():
-        if len(rep) == 1:
+def _fold_tables(transliterate: bool) -> tuple[str, str, dict]:
+    """(from, to, several): one-letter folds for translate(), and characters that become several letters."""
+    src, dst, several = [], [], {}
+    for cp in range(0x80, 0x110000):
+        ch = chr(cp)
+        parts = unicodedata.normalize("NFKD", ch)
+        if transliterate:
+            parts = "".join(p if p.isascii() else (_translit(p) or "") for p in (ch if _translit(ch) is not None else parts))
+        folded = parts.encode("ascii", "ignore").decode("ascii")
+        if len(folded) == 1:
             src.append(ch)
-            dst.append(rep)
+            dst.append(folded)
+        elif len(folded) > 1:
+            several[ch] = folded
+    return "".join(src), "".join(dst), several
+
+
+def _char_class(chars) -> str:
+    """Regex class of the characters, as ranges of code points."""
+    points, ranges = sorted(map(ord, chars)), []
+    for cp in points:
+        if ranges and ranges[-1][1] == cp - 1:
+            ranges[-1][1] = cp
         else:
-            multi.append((ch, rep))
-    # translate() deletes characters that have no counterpart in the target
-    return "".join(src) + "".join(deleted), "".join(dst), tuple(multi)
+            ranges.append([cp, cp])
+    return "[" + "".join(rf"\x{{{a:X}}}" if a == b else rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
+# Characters with several letters that are common in names: replaced literally before the slower spelling-out.
+COMMON = ("ß", "æ", "Æ", "œ", "Œ")
 
 
 def ascii_fold(c: Column, transliterate: bool = False) -> Column:
     """Accent-fold to ASCII; anything still non-ASCII is removed.
 
-    One ``translate`` handles every single-letter fold and deletion; the
-    multi-letter folds and the final clean-up only run on rows where a
-    non-ASCII character survives it (the two tables share no character, so the
-    order does not change the result)."""
-    src, dst, multi = _fold_tables(tuple(sorted(TRANSLIT_EXTRA.items())) if transliterate else ())
+    ASCII rows pass unchanged.  In the others one ``translate`` handles every
+    one-letter fold; rows with a character that becomes several letters are
+    spelled out character by character."""
+    src, dst, several = _fold_tables(transliterate)
     t = F.translate(c, src, dst)
-    rest = t
-    for ch, rep in multi:                       # literal replace: a substring scan, no regex engine
-        rest = F.replace(rest, F.lit(ch), F.lit(rep))
-    rest = F.regexp_replace(rest, r"[^\x00-\x7F]", "")
-    return F.when(t.rlike(r"[^\x00-\x7F]"), rest).otherwise(t)
+    for ch in COMMON:
+        if ch in several:
+            t = F.replace(t, F.lit(ch), F.lit(several[ch]))
+    table = F.from_json(F.lit(json.dumps(several)), "map<string,string>")
+    spelled = F.array_join(F.transform(F.split(t, ""), lambda ch: F.when(ch < "\x80", ch).otherwise(F.coalesce(F.try_element_at(table, ch), F.lit("")))), "")
+    rest = F.when(t.rlike(_char_class(several)), spelled).otherwise(F.regexp_replace(t, r"[^\x00-\x7F]", ""))
+    return F.when(c.rlike(r"[^\x00-\x7F]"), rest).otherwise(c)
 
 
 WHITESPACE = " \t\n\r\f\u000b"
@@ -113,15 +133,22 @@ def drop_trailing_roman(s: Column) -> Column:
 
 
 # F2 ----------------------------------------------------------------------------
+# Generational suffixes, dropped as whole words.
+SUFFIX_WORDS = ("jr", "sr", "ii", "iii", "iv", "v")
+SUFFIXES = r"\b(?:" + "|".join(SUFFIX_WORDS) + r")\b"
+# What stands in one pair of parentheses on a line.
+PARENTHETICAL = r"\([^)\n]*\)"
+
+
 def folded_key(c) -> Column:
     """Join key, folded form: drop parentheticals, transliterate, unify
-    apostrophes, lower-case, drop jr/sr/ii-v words, punctuation -> space,
+    apostrophes, lower-case, drop generational suffixes, punctuation -> space,
     collapse and trim; NULL -> ''."""
     s = F.col(c) if isinstance(c, str) else c
-    s = F.regexp_replace(s, r"\(.*?\)", " ")
+    s = F.regexp_replace(s, PARENTHETICAL, " ")
     s = ascii_fold(s, transliterate=True)
     s = F.lower(s)
-    s = F.regexp_replace(s, r"\b(jr|sr|jr\.|sr\.|ii|iii|iv|v)\b", " ")
+    s = F.regexp_replace(s, SUFFIXES, " ")
     s = strip_ws(F.regexp_replace(s, r"[^\w]+", " "))
     return F.coalesce(s, F.lit(""))
 
@@ -167,8 +194,9 @@ def strip_tags(c) -> Column:
     return F.regexp_replace(F.col(c) if isinstance(c, str) else c, r"<[^>]*>", "")
 
 
-def count_substring(c, pattern: str) -> Column:
-    return F.regexp_count(F.col(c) if isinstance(c, str) else c, F.lit(pattern))
+def count_substring(c, text: str) -> Column:
+    """How often the literal text occurs, without overlap."""
+    return F.regexp_count(F.col(c) if isinstance(c, str) else c, F.lit(re.escape(text)))
 
 
 def title_case(c) -> Column:

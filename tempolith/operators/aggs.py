@@ -61,7 +61,20 @@ def members(df: DataFrame, keys, member: str, out: str = "members") -> DataFrame
 
 # D10 ------------------------------------------------------------------------------
 def group_total(df: DataFrame, keys, c: str, out: str | None = None) -> DataFrame:
-    return df.withColumn(out or f"{c}_group_total", F.sum(c).over(Window.partitionBy(*_cols(keys))))
+    """The group's total on each row: summed by partial aggregates and joined
+    back, so the rows of a large group never meet in one task (AQE splits the join)."""
+    return _with_group(df, keys, F.sum(c), out or f"{c}_group_total")
+
+
+def _with_group(df: DataFrame, keys, agg: Column, out: str) -> DataFrame:
+    k = _cols(keys)
+    names = [f"_g{i}" for i in range(len(k))]
+    totals = df.groupBy(*[F.col(c).alias(n) for c, n in zip(k, names)]).agg(agg.alias("_gv"))
+    cond = None
+    for c, n in zip(k, names):
+        same = F.col(c).eqNullSafe(F.col(n))
+        cond = same if cond is None else cond & same
+    return df.join(totals, cond, "left").withColumn(out, F.col("_gv")).drop(*names, "_gv")
 
 
 # D11 ------------------------------------------------------------------------------
@@ -79,8 +92,8 @@ def first_per(df: DataFrame, keys, order: Sequence[Column | str]) -> DataFrame:
 # D13 ------------------------------------------------------------------------------
 def is_group_max(df: DataFrame, keys, c: str, out: str) -> DataFrame:
     """1 where ``c`` equals its group maximum (ties all 1, NULL 0)."""
-    mx = F.max(c).over(Window.partitionBy(*_cols(keys)))
-    return df.withColumn(out, F.coalesce(F.col(c) == mx, F.lit(False)).cast("int"))
+    d = _with_group(df, keys, F.max(c), "_gmax")
+    return d.withColumn(out, F.coalesce(F.col(c) == F.col("_gmax"), F.lit(False)).cast("int")).drop("_gmax")
 
 
 # D14 ------------------------------------------------------------------------------

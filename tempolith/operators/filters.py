@@ -27,7 +27,7 @@ def drop(df: DataFrame, *cols: str) -> DataFrame:
 # B2 ---------------------------------------------------------------------------
 def align_to(df: DataFrame, cols: Sequence[str], rename: dict | None = None,
              types: dict | None = None) -> DataFrame:
-    """Rename, then select exactly ``cols`` in order; absent columns become NULL."""
+    """Rename, then select exactly ``cols`` in order; absent columns become NULL, as does what cannot be cast."""
     if rename:
         df = df.withColumnsRenamed({k: v for k, v in rename.items() if k in df.columns})
     have = set(df.columns)
@@ -36,7 +36,7 @@ def align_to(df: DataFrame, cols: Sequence[str], rename: dict | None = None,
     for c in cols:
         e = F.col(c) if c in have else F.lit(None)
         if c in types or c not in have:
-            e = e.cast(types.get(c, "string"))
+            e = e.try_cast(types.get(c, "string"))
         out.append(e.alias(c))
     return df.select(*out)
 
@@ -119,7 +119,7 @@ def ensure_columns(df: DataFrame, spec: dict[str, tuple[str, object]]) -> DataFr
     out = {}
     for name, (typ, default) in spec.items():
         if name in df.columns:
-            e = F.col(name).cast(typ)
+            e = F.col(name).try_cast(typ)
             out[name] = F.coalesce(e, F.lit(default).cast(typ)) if default is not None else e
         else:
             out[name] = F.lit(default).cast(typ)

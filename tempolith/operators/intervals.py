@@ -38,10 +38,14 @@ def first_members(ev: DataFrame, group, member: str, seq: str, n: int = 5,
 
 # W24 -----------------------------------------------------------------------------
 def boundaries(changes: DataFrame, spans: DataFrame, group, clock: str, skew_safe: bool = False,
-               partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None, event=None) -> DataFrame:
     """Distinct boundary clocks per group, numbered ``k = 1..n_b`` in time order,
     with the next boundary and the group's boundary count.
 
+    ``event``, a part of the group's columns, makes all groups of one event
+    share their boundaries: with groups (event, team), a change of either team
+    ends the interval of both.
+
     ``skew_safe=True`` numbers them on range segments of (group, clock) instead
     of one window per group, gets ``n_b`` from an aggregate and the next
     boundary from an equi-join on ``(group, k + 1)``: a group with very many
@@ -51,6 +55,9 @@ def boundaries(changes: DataFrame, spans: DataFrame, group, clock: str, skew_saf
          .unionByName(spans.select(*group, F.col("start").alias("b")))
          .unionByName(spans.select(*group, F.col("end").alias("b")))
          .filter(F.col("b").isNotNull()).distinct())
+    if event is not None:
+        event = _cols(event)
+        b = spans.select(*group).distinct().join(b.select(*event, "b").distinct(), event)
     if skew_safe:
         from tempolith.operators import segmented as SG
         pos = SG.global_positions(SG.segment(b, group, ["b"], partitions), group, ["b"])

@@ -3,9 +3,7 @@
 Join strategy is left to Catalyst + AQE: sides that turn out small at run
 time are broadcast (``spark.sql.adaptive.autoBroadcastJoinThreshold``
 checks the real shuffle size), everything else is a sort-merge join on the
-keys, with AQE splitting skewed partitions.  ``broadcast()`` is only forced
-for inputs whose size is bounded by construction (one-row parameters,
-grids, de-duplicated dimension tables checked with ``bounded_broadcast``).
+keys, with AQE splitting skewed partitions.
 """
 
 from __future__ import annotations
@@ -18,16 +16,6 @@ from pyspark.sql import functions as F
 from tempolith.operators.windows import _cols
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only after checking the row count against a bound.
-
-    The count is one cheap aggregate job over an already small input; above the
-    bound the frame is returned unhinted and the planner shuffles it.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # C1 -----------------------------------------------------------------------------
 def enrich(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, _cols(on), "left")
@@ -112,16 +100,15 @@ def with_roster(df: DataFrame, keys, member: str, out: str = "roster") -> DataFr
 
 
 # C13 ----------------------------------------------------------------------------
-def lookup(df: DataFrame, dim: DataFrame, on, order: Sequence[Column | str] | None = None,
-           max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, on, order: Sequence[Column | str] | None = None) -> DataFrame:
     """Dimension lookup; the dimension is first reduced to one row per key so
-    duplicates can never multiply rows, then broadcast if its size is within
-    ``max_broadcast_rows`` (checked), else joined by shuffle."""
+    duplicates can never multiply rows.  Whether it is broadcast is left to
+    AQE, which measures its bytes."""
     if order is None:
         order = [F.lit(1)]
     w = Window.partitionBy(*_cols(on)).orderBy(*order)
     d1 = dim.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk")
-    return df.join(bounded_broadcast(d1, max_broadcast_rows), _cols(on), "left")
+    return df.join(d1, _cols(on), "left")
 
 
 # U1 -----------------------------------------------------------------------------

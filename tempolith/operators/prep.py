@@ -104,65 +104,94 @@ def prepare_priors(train: DataFrame, df: DataFrame, cols: Sequence[str]) -> Data
 
 
 # M6 -----------------------------------------------------------------------------
-def exact_median(df: DataFrame, col: str) -> DataFrame:
-    """Exact median (mean of the two middle values) without gathering the
-    column in one task: a distributed global row index over the sorted values,
-    then the one or two middle rows."""
+def exact_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row with the exact median (mean of the two middle values) of each column.
+
+    The columns are unpivoted and ranked together on (column, value): one range
+    shuffle for all of them, row numbers inside each partition plus the counts
+    of the partitions before (a row per column and partition), then the one or
+    two middle rows of each column."""
     from tempolith.session import cut_lineage
-    vals = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
-    vals = cut_lineage(vals.repartitionByRange("_v").withColumn("_pid", F.spark_partition_id()))
-    local = vals.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy("_v")))
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    vals = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "_c", "_v").filter(F.col("_v").isNotNull())
+    vals = cut_lineage(vals.repartitionByRange("_c", "_v").withColumn("_pid", F.spark_partition_id()))
+    local = vals.withColumn("_rn", F.row_number().over(Window.partitionBy("_c", "_pid").orderBy("_v")))
+    counts = vals.groupBy("_c", "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    by = Window.partitionBy("_c")
     offs = counts.withColumns({
-        "_off": F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)),
-        "_tot": F.sum("_n").over(Window.partitionBy(F.lit(1)))})
-    ranked = local.join(F.broadcast(offs), "_pid").withColumn("_r", F.col("_off") + F.col("_rn"))
-    lo = F.floor((F.col("_tot") + 1) / 2)
-    hi = F.ceil((F.col("_tot") + 1) / 2)
-    mid = ranked.filter((F.col("_r") == lo) | (F.col("_r") == hi))
-    return mid.agg(F.avg("_v").alias(f"{col}__median"))
+        "_off": F.sum("_n").over(by.orderBy("_pid")) - F.col("_n"), "_tot": F.sum("_n").over(by)})
+    ranked = local.join(F.broadcast(offs), ["_c", "_pid"]).withColumn("_r", F.col("_off") + F.col("_rn"))
+    mid = ranked.filter((F.col("_r") == F.floor((F.col("_tot") + 1) / 2)) | (F.col("_r") == F.ceil((F.col("_tot") + 1) / 2)))
+    return mid.agg(*[F.avg(F.when(F.col("_c") == c, F.col("_v"))).alias(f"{c}__median") for c in cols])
+
+
+def exact_median(df: DataFrame, col: str) -> DataFrame:
+    return exact_medians(df, [col])
+
+
+def fill_medians(df: DataFrame, medians: DataFrame, cols: Sequence[str]) -> DataFrame:
+    m = one_row(medians)
+    return df.withColumns({c: F.coalesce(F.col(c), m[f"{c}__median"]) for c in cols})
 
 
 def median_impute(train: DataFrame, df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), exact_median(train, c).scalar()) for c in cols})
+    return fill_medians(df, exact_medians(train, cols), cols)
+
+
+def kept_components(model, variance: float) -> int:
+    """Smallest number of components whose explained variance reaches ``variance``."""
+    total, ratios = 0.0, list(model.explainedVariance)
+    for k, v in enumerate(ratios, 1):
+        total += v
+        if total >= variance - 1e-12:
+            return k
+    return len(ratios)
 
 
 def prepare_numeric(train: DataFrame, df: DataFrame, cols: Sequence[str], variance: float = 0.95,
                     out: str = "pca"):
     """Median impute -> standardise -> PCA keeping ``variance`` of the variance.
 
-    Spark ML PCA is fitted with k = len(cols); the kept k is the smallest with
-    cumulative explained variance >= ``variance`` (component signs are arbitrary).
+    Medians and moments are fitted on the train frame, the PCA once with all
+    components, of which the first k stay (their signs are arbitrary).
     Returns (frame with a vector column ``out``, k).
     """
     from pyspark.ml.feature import PCA, VectorAssembler
-    tr = median_impute(train, train, cols)
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    medians = exact_medians(train, cols)
+    tr = fill_medians(train, medians, cols)
     params = fit_scaler(tr, cols)
-    tr = scale(tr, params, cols)
-    full = scale(median_impute(train, df, cols), params, cols)
     va = VectorAssembler(inputCols=list(cols), outputCol="_vec")
-    model = PCA(k=len(cols), inputCol="_vec", outputCol=out).fit(va.transform(tr))
-    ev = list(model.explainedVariance)
-    cum, k = 0.0, len(cols)
-    for i, v in enumerate(ev):
-        cum += v
-        if cum >= variance - 1e-12:
-            k = i + 1
-            break
-    cut = PCA(k=k, inputCol="_vec", outputCol=out).fit(va.transform(tr))
-    return cut.transform(va.transform(full)).drop("_vec"), k
+    model = PCA(k=len(cols), inputCol="_vec", outputCol=out).fit(va.transform(scale(tr, params, cols)))
+    k = kept_components(model, variance)
+    done = model.transform(va.transform(scale(fill_medians(df, medians, cols), params, cols)))
+    return done.withColumn(out, array_to_vector(F.slice(vector_to_array(out), 1, k))).drop("_vec"), k
 
 
 # M7 -----------------------------------------------------------------------------
+def one_hot_vector(train: DataFrame, df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """One-hot encoding for any number of train categories: a sparse vector
+    ``struct<size, index, value>`` per row.  Categories (as strings, NULL ->
+    'missing') are numbered by a distributed index; a binary feature keeps only
+    its second category; an unseen value has no index."""
+    key = F.coalesce(F.col(col).cast("string"), F.lit("missing"))
+    index = global_index(train.select(key.alias("_cat")), "_cat", "_idx", start=0)
+    size = index.agg(F.count(F.lit(1)).alias("_size"))
+    j = df.withColumn("_key", key).join(index, F.col("_key") == F.col("_cat"), "left").join(F.broadcast(size))   # one row
+    width = F.when(F.col("_size") == 2, 1).otherwise(F.col("_size")).cast("int")
+    at = F.when(F.col("_size") == 2, F.when(F.col("_idx") == 1, 0)).otherwise(F.col("_idx")).cast("int")
+    vec = F.struct(width.alias("size"), at.alias("index"), F.when(at.isNotNull(), 1.0).otherwise(0.0).alias("value"))
+    return j.withColumn(out or f"{col}_onehot", vec).drop("_key", "_cat", "_idx", "_size")
+
+
 def one_hot(train: DataFrame, df: DataFrame, col: str, max_categories: int = 1000) -> DataFrame:
     """Indicator columns for the train categories (cast to string, NULL ->
     'missing'); a binary feature keeps only the second category; unseen
-    values get all zeros.  The category list is bounded (checked) metadata."""
+    values get all zeros.  One column per category suits few of them; beyond
+    ``max_categories`` this raises, and ``one_hot_vector`` has no limit."""
     key = F.coalesce(F.col(col).cast("string"), F.lit("missing"))
     cats = [r[0] for r in train.select(key.alias("_c")).distinct().orderBy("_c").limit(max_categories + 1).collect()]
     if len(cats) > max_categories:
-        raise ValueError(f"{col}: more than {max_categories} categories; use fit_index instead")
+        raise ValueError(f"{col}: more than {max_categories} categories; use one_hot_vector")
     if len(cats) == 2:
         cats = cats[1:]
     return df.withColumns({f"{col}_{c}": (key == F.lit(c)).cast("double") for c in cats})
@@ -221,12 +250,12 @@ def breakout_label(df: DataFrame, y: str, mean: str, std: str, out: str = "break
 def balance_weights(df: DataFrame, group, label: str, valid: str, out: str = "weight") -> DataFrame:
     """Per group positive rate p (clamped to [1e-6, 1-1e-6]); positives weigh
     1 - p, negatives p, invalid rows 0."""
-    g = [group] if isinstance(group, str) else list(group)
-    w = Window.partitionBy(*g)
-    p = F.sum(F.col(label) * F.col(valid)).over(w) / F.greatest(F.sum(valid).over(w), F.lit(1))
-    p = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
+    from tempolith.operators.aggs import _with_group
+    rate = F.sum(F.col(label) * F.col(valid)) / F.greatest(F.sum(valid), F.lit(1))
+    d = _with_group(df, [group] if isinstance(group, str) else list(group), rate, "_p")
+    p = F.least(F.greatest(F.col("_p"), F.lit(1e-6)), F.lit(1 - 1e-6))
     wt = (F.col(label) * (F.lit(1.0) - p) + (F.lit(1) - F.col(label)) * p) * F.col(valid)
-    return df.withColumn(out, wt)
+    return d.withColumn(out, wt).drop("_p")
 
 
 # M13 ----------------------------------------------------------------------------
@@ -234,5 +263,6 @@ def hash_split(df: DataFrame, key: str, frac: float = 0.5, seed: int = 42, out:
                buckets: int = 1 << 20) -> DataFrame:
     """Deterministic split: rows whose hashed key falls below ``frac`` go to the
     calibration half; stable across runs, partitionings and executor loss."""
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
+    text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    h = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long") % F.lit(buckets)
     return df.withColumn(out, h < F.lit(int(math.floor(frac * buckets))))

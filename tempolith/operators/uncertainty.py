@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Two-sided 80 % normal critical value and the calibration grid.
@@ -29,54 +29,98 @@ def grid_frame(spark: SparkSession, lo: float = GRID[0], hi: float = GRID[1], st
 
 
 # M14 ----------------------------------------------------------------------------
-def poisson1(seed: int, kmax: int = 12):
-    """Poisson(1) draw per row by inverting the CDF of a uniform ``rand(seed)``."""
-    u = F.rand(seed)
-    cdf, term, expr = 0.0, math.exp(-1.0), F.lit(float(kmax))
-    thresholds = []
-    for k in range(kmax):
+def hashed_uniform(*parts) -> Column:
+    """A number in (0, 1) for each row, hashed from the parts: the same on every run and partitioning."""
+    text = F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) if isinstance(p, Column) else F.lit(str(p)) for p in parts])
+    return (F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 48))
+
+
+def poisson1_steps() -> list[float]:
+    """P(X <= k) of a Poisson(1) for k = 0, 1, ... until it is 1 in double precision."""
+    steps, cdf, term = [], 0.0, math.exp(-1.0)
+    while cdf + term > cdf:
         cdf += term
-        thresholds.append((k, cdf))
-        term /= (k + 1)
-    for k, c in reversed(thresholds):
-        expr = F.when(u < F.lit(c), F.lit(float(k))).otherwise(expr)
+        steps.append(cdf)
+        term /= len(steps)
+    return steps
+
+
+def poisson1(u: Column) -> Column:
+    """Poisson(1) draw by inverting the CDF at ``u``."""
+    steps = poisson1_steps()
+    expr = F.lit(float(len(steps)))
+    for k in reversed(range(len(steps))):
+        expr = F.when(u < F.lit(steps[k]), F.lit(float(k))).otherwise(expr)
     return expr
 
 
-def fit_ensemble(train: DataFrame, features: Sequence[str], targets: Sequence[str], members: int = 10,
-                 seed: int = 7, reg: float = 0.0):
+def fit_ensemble(train: DataFrame, row: str, features: Sequence[str], targets: Sequence[str], members: int = 10,
+                 seed: int = 7, ridge: float = 0.0) -> list[tuple[str, int, list[float], float]]:
     """Bagged linear regressors standing in for dropout draws.
 
-    Each member is fitted on a Poisson(1) bootstrap of the rows (a weight
-    column, so no resampling shuffle); its residual variance on the train
-    frame gives the member's log-variance.  Returns a list of
-    ``(target, member, model, logvar)``.
+    Each member is fitted on a Poisson(1) bootstrap of the rows, a weight
+    hashed from (row, member).  One pass sums the weighted cross products of
+    all members and targets (map-side, one small row per member and target);
+    the normal equations and, from the unweighted sums, each member's residual
+    variance follow on the driver.  NULL features count as 0, rows with a NULL
+    target are left out.  Returns ``(target, member, [intercept, *slopes],
+    logvar)``; equal residuals give the smallest positive variance.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    va = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="keep")
-    base = va.transform(train.fillna(0.0, subset=list(features)))
+    import numpy as np
+    z = [F.lit(1.0)] + [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
+    p = len(z)
+    ys = F.array(*[F.struct(F.lit(t).alias("t"), F.col(t).cast("double").alias("y")) for t in targets])
+    rows = train.select(F.col(row).alias("_row"), F.array(*z).alias("_z"), F.explode(ys).alias("_t"))
+    rows = rows.filter(F.col("_t.y").isNotNull()).select("_row", "_z", "_t", F.explode(F.sequence(F.lit(-1), F.lit(members - 1))).alias("_m"))
+    weight = F.when(F.col("_m") < 0, F.lit(1.0)).otherwise(poisson1(hashed_uniform(seed, F.col("_row"), F.col("_m"))))
+    rows = rows.withColumn("_w", weight)
+    y, w = F.col("_t.y"), F.col("_w")
+    at = [F.col("_z")[i] for i in range(p)]
+    sums = {f"zz_{i}_{j}": F.sum(w * at[i] * at[j]) for i in range(p) for j in range(i, p)}
+    sums |= {f"zy_{i}": F.sum(w * at[i] * y) for i in range(p)} | {"yy": F.sum(w * y * y)}
+    got = {(r["t"], r["_m"]): r for r in rows.groupBy(F.col("_t.t").alias("t"), "_m").agg(*[e.alias(k) for k, e in sums.items()]).collect()}
+
+    def system(r):
+        zz = np.array([[r[f"zz_{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)])
+        return zz, np.array([r[f"zy_{i}"] for i in range(p)])
+
     fitted = []
     for t in targets:
-        data = base.filter(F.col(t).isNotNull())
+        if (t, -1) not in got:
+            continue
+        whole_zz, whole_zy = system(got[t, -1])
         for m in range(members):
-            d = data.withColumn("_w", poisson1(seed + 1000 * m))
-            lr = LinearRegression(featuresCol="_x", labelCol=t, weightCol="_w", regParam=reg, maxIter=50)
-            model = lr.fit(d)
-            resid = model.transform(data).agg(F.avg(F.pow(F.col(t) - F.col("prediction"), 2)).alias("v")).first()["v"]
-            fitted.append((t, m, model, math.log(max(resid or 1e-12, 1e-12))))
-    return fitted, va
-
-
-def score_draws(df: DataFrame, row: str, fitted, va) -> DataFrame:
-    """Long table of member predictions: (row, target, draw, mean, logvar, sample=mean)."""
-    x = va.transform(df.fillna(0.0, subset=va.getInputCols()))
-    parts = None
-    for t, m, model, lv in fitted:
-        p = (model.transform(x).select(F.col(row), F.lit(t).alias("target"), F.lit(m).alias("draw"),
-                                      F.col("prediction").alias("mean"), F.lit(lv).alias("logvar")))
-        parts = p if parts is None else parts.unionByName(p)
-    return parts.withColumn("sample", F.col("mean"))
+            if (t, m) not in got:
+                continue
+            zz, zy = system(got[t, m])
+            beta = np.linalg.lstsq(zz + ridge * np.diag([0.0] + [1.0] * (p - 1)), zy, rcond=None)[0]
+            sse = got[t, -1]["yy"] - 2 * beta @ whole_zy + beta @ whole_zz @ beta
+            var = max(sse / whole_zz[0, 0], np.finfo(float).tiny)
+            fitted.append((t, m, beta.tolist(), math.log(var)))
+    return fitted
+
+
+def score_draws(df: DataFrame, row: str, features: Sequence[str], fitted, seed: int = 7,
+                priors: dict[str, str] | None = None, own: float = 1.0) -> DataFrame:
+    """Long table of member predictions: (row, target, draw, mean, logvar, sample).
+
+    ``sample`` is mean + exp(logvar / 2) * noise, a standard normal hashed from
+    (row, target, draw).  ``priors`` names a prior mean column per target, with
+    which the prediction is blended: ``own`` * prediction + (1 - own) * prior
+    (rows without a prior keep the prediction).  ``row`` must be unique."""
+    z = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
+    each = []
+    for t, m, beta, logvar in fitted:
+        mean = F.lit(beta[0])
+        for b, x in zip(beta[1:], z):
+            mean = mean + F.lit(b) * x
+        if priors and t in priors:
+            mean = F.coalesce(F.lit(own) * mean + F.lit(1.0 - own) * F.col(priors[t]), mean)
+        each.append(F.struct(F.lit(t).alias("target"), F.lit(m).alias("draw"), mean.alias("mean"), F.lit(logvar).alias("logvar")))
+    d = df.select(F.col(row), F.explode(F.array(*each)).alias("_d")).select(row, "_d.*")
+    u, v = (hashed_uniform(seed, k, F.col(row), F.col("target"), F.col("draw")) for k in ("radius", "angle"))
+    noise = F.sqrt(F.lit(-2.0) * F.log(u)) * F.cos(F.lit(2 * math.pi) * v)
+    return d.withColumn("sample", F.col("mean") + F.exp(F.col("logvar") / 2) * noise)
 
 
 # M15 ----------------------------------------------------------------------------
@@ -89,7 +133,7 @@ def summarize_draws(draws: DataFrame, keys: Sequence[str], mean: str = "mean", l
     d = draws
     s2 = F.lit(1.0)
     if scale is not None:
-        d = d.join(F.broadcast(scale.select("target", F.col("s").alias("_s"))), "target", "left")
+        d = d.join(scale.select("target", F.col("s").alias("_s")), "target", "left")
         s2 = F.pow(F.coalesce(F.col("_s"), F.lit(1.0)), 2)
     g = d.groupBy(*keys).agg(
         F.avg(mean).alias("mean_pred"),
@@ -185,12 +229,12 @@ def intervals(df: DataFrame, target: str, q_scale: DataFrame | None = None, y_pa
     clamped at 0 and the width recomputed from the clamped bounds."""
     d = df
     if q_scale is not None:
-        d = d.join(F.broadcast(q_scale.select(target, F.col("s").alias("_qs"))), target, "left")
+        d = d.join(q_scale.select(target, F.col("s").alias("_qs")), target, "left")
         c = F.col("q50") if center == "median" else F.col("mean_pred")
         qs = F.coalesce(F.col("_qs"), F.lit(1.0))
         d = d.withColumns({"q10": c + (F.col("q10") - c) * qs, "q90": c + (F.col("q90") - c) * qs}).drop("_qs")
     if y_params is not None:
-        d = d.join(F.broadcast(y_params), target, "left")
+        d = d.join(y_params, target, "left")
         m, s = F.coalesce(F.col("y_mean"), F.lit(0.0)), F.coalesce(F.col("y_scale"), F.lit(1.0))
         d = d.withColumns({"mean_pred": F.col("mean_pred") * s + m, "q10": F.col("q10") * s + m,
                            "q50": F.col("q50") * s + m, "q90": F.col("q90") * s + m,
@@ -218,15 +262,15 @@ def evaluate(df: DataFrame, target: str, y: str, suffix: str, z: float = Z80) ->
 
     err = mu - yv
     ae = F.abs(err)
-    n = F.count(F.lit(1))
-    sst = F.var_pop(yv) * n
+    sst = F.var_pop(yv) * F.count(yv)
     sse = F.sum(F.pow(err, 2))
-    corr_ok = (F.stddev_pop(sp) > 0) & (F.stddev_pop(ae) > 0)
+    # undefined measures (a constant target, width or error) are NULL
+    corr = F.try_divide(F.covar_pop(sp, ae), F.stddev_pop(sp) * F.stddev_pop(ae))
     return df.groupBy(target).agg(
         F.lit(suffix).alias("suffix"),
         F.sqrt(F.avg(F.pow(err, 2))).alias("rmse_mean"),
         F.avg(ae).alias("mae_mean"),
-        (F.lit(1.0) - sse / sst).alias("r2"),
+        (F.lit(1.0) - F.try_divide(sse, sst)).alias("r2"),
         F.sqrt(F.avg(F.pow(med - yv, 2))).alias("rmse_median"),
         F.avg(F.abs(med - yv)).alias("mae_median"),
         pinball(lo, 0.1).alias("pinball_10"),
@@ -239,7 +283,7 @@ def evaluate(df: DataFrame, target: str, y: str, suffix: str, z: float = Z80) ->
         F.avg((yv > med).cast("double")).alias("above_q50_rate"),
         F.avg(((yv >= mu - F.lit(z) * sp) & (yv <= mu + F.lit(z) * sp)).cast("double")).alias("std80_coverage"),
         F.avg(err).alias("bias"),
-        F.when(corr_ok, F.corr(sp, ae)).alias("uncert_error_corr"),
+        corr.alias("uncert_error_corr"),
         F.avg(sp).alias("std_predictive_mean"),
         F.avg("std_epistemic").alias("std_epistemic_mean"),
         F.avg("std_aleatoric").alias("std_aleatoric_mean"))

@@ -31,11 +31,13 @@ def ev_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return ev(spark, sf).withColumn("value", F.when(F.col("event_id") % 7 != 0, F.col("value")))
 
 
-def orders_frame(spark: SparkSession, sf: str) -> DataFrame:
+def orders_frame(spark: SparkSession, sf: str, customer: bool = True) -> DataFrame:
+    """Orders with their day and season; with ``customer`` also the customer's segment and nation."""
     o = table(spark, sf, "orders")
-    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
-    return (o.join(c, o.o_custkey == c.c_custkey, "inner").drop("c_custkey")
-            .withColumn("o_orderdate", F.to_date("o_orderdate"))
+    if customer:
+        c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+        o = o.join(c, o.o_custkey == c.c_custkey, "inner").drop("c_custkey")
+    return (o.withColumn("o_orderdate", F.to_date("o_orderdate"))
             .withColumn("season", F.year("o_orderdate")))
 
 

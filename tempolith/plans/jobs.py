@@ -25,6 +25,7 @@ from tempolith.operators import joins as C
 from tempolith.operators import sorting as S
 from tempolith.operators import uncertainty as U
 from tempolith.operators import windows as W
+from tempolith.session import cut_lineage
 from tempolith.sources import io as IO
 
 
@@ -39,7 +40,17 @@ def prep_listing(df: DataFrame, source: str, date_formats=DT.DATE_FORMATS) -> Da
         F.trim("TEAM").alias("team"), DT.parse_date("DATE", date_formats).alias("date"),
         TX.strip_ws("PLAYER").alias("person"), TX.entity_key("PLAYER").alias("key"),
         F.trim("STATUS").alias("status"), F.trim("REASON").alias("reason"), F.lit(source).alias("source"))
-    return B.complete_rows(out, ["team", "date", "key"]).distinct()
+    return B.complete_rows(out, ["team", "date", "key"])
+
+
+def listing_rejects(df: DataFrame, date_formats=DT.DATE_FORMATS) -> DataFrame:
+    """Rows of a listing that ``prep_listing`` leaves out, counted by reason and the text that was not understood."""
+    df = B.align_to(df, ["PLAYER", "TEAM", "DATE"])
+    reason = (F.when(F.trim("DATE").isNull() | (F.trim("DATE") == ""), F.lit("no date"))
+              .when(DT.parse_date("DATE", date_formats).isNull(), F.lit("date not understood"))
+              .when(F.col("TEAM").isNull(), F.lit("no team")).when(F.col("PLAYER").isNull(), F.lit("no person")))
+    bad = df.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    return bad.groupBy("reason", F.when(F.col("reason") == "date not understood", F.trim("DATE")).alias("text")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def prep_report(df: DataFrame, source: str) -> DataFrame:
@@ -48,7 +59,7 @@ def prep_report(df: DataFrame, source: str) -> DataFrame:
     out = df.select(F.trim("team").alias("team"), DT.parse_date("updated").alias("date"),
                     TX.strip_ws("player").alias("person"), TX.entity_key("player").alias("key"),
                     status.alias("status"), reason.alias("reason"), F.lit(source).alias("source"))
-    return B.complete_rows(out, ["team", "date", "key"]).distinct()
+    return B.complete_rows(out, ["team", "date", "key"])
 
 
 def consolidate_availability(parts: Sequence[DataFrame], status_prefix: str = "out",
@@ -79,7 +90,7 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
                   active_days: int = 7, skew_safe: bool = False, partitions: int | None = None,
                   opponent: str | None = None, opponent_stats: Sequence[str] = (), team: str | None = None,
                   primary_metric: str | None = None, skew_safe_ranks: bool = False,
-                  layout: str = "wide") -> DataFrame:
+                  layout: str = "wide", rank_bits: int | None = None) -> DataFrame:
     """Leakage-safe feature block for every metric (W1-W17, W25) with per-date ranks.
 
     ``skew_safe=True`` runs the same features on range segments (see
@@ -95,6 +106,11 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
     hot date but no hot entity).  ``layout="long"`` returns the per-metric
     features one row per (row, metric) from a single window pass over all
     metrics (``feature_build_long``; pivot with ``to_wide``)."""
+    asked = {"context": context, "hot_metric": hot_metric, "interaction_pairs": interaction_pairs, "rank_cols": rank_cols,
+             "opponent": opponent, "team": team, "primary_metric": primary_metric, "skew_safe": skew_safe,
+             "skew_safe_ranks": skew_safe_ranks, "rank_bits": rank_bits}
+    if layout == "long" and any(asked.values()):
+        raise ValueError(f"layout='long' has per-metric features only, not {sorted(k for k, v in asked.items() if v)}")
     if layout == "long":
         return feature_build_long(df, entity, order, date, metrics, season=season, span=span, roll=roll,
                                   slope_min_rows=slope_min_rows)
@@ -105,7 +121,9 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
                                        context_values=context_values, span=span, roll=roll,
                                        slope_min_rows=slope_min_rows, hot_metric=hot_metric,
                                        interaction_pairs=interaction_pairs, rank_cols=rank_cols,
-                                       active_days=active_days, partitions=partitions)
+                                       active_days=active_days, partitions=partitions, opponent=opponent,
+                                       opponent_stats=opponent_stats, team=team, primary_metric=primary_metric,
+                                       rank_bits=rank_bits)
     order = list(order)
     df = W.lags(df, metrics, entity, order)
     df = W.expanding(df, metrics, entity, order)
@@ -122,6 +140,30 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
         df = W.hot_cold_flags(df, hot_metric, f"{hot_metric}_ewm_mean", f"{hot_metric}_ewm_std", "_hot", "_cold")
         df = W.streak_before(df, "_hot", grp, order, "hot_streak")
         df = W.streak_before(df, "_cold", grp, order, "cold_streak").drop("_hot", "_cold")
+    df = _opponent_block(df, season, date, span, interaction_pairs, opponent, opponent_stats, team, primary_metric)
+    ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics
+                                                     for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")]
+    if skew_safe_ranks:
+        from tempolith.operators import segmented as SG
+        df = _ranked(df, ranks, rank_bits, lambda d, cols: SG.pct_rank_within(d, date, cols, partitions=partitions, key=[entity] + order))
+    else:
+        df = _ranked(df, ranks, rank_bits, lambda d, cols: W.pct_rank_within(d, date, cols))
+    return NU.clean_non_finite(df)
+
+
+def _ranked(df: DataFrame, cols: Sequence[str], bits: int | None, rank) -> DataFrame:
+    """Ranks of the columns; with ``bits``, of their values rounded to multiples of 2**-bits,
+    so that values which differ by rounding noise tie."""
+    if bits is None:
+        return rank(df, list(cols))
+    scale = F.lit(float(2 ** bits))
+    held = {f"_k_{c}": F.floor(F.col(c) * scale + F.lit(0.5)) / scale for c in cols}
+    return rank(df.withColumns(held), list(held)).withColumnsRenamed({f"_k_{c}_prank": f"{c}_prank" for c in cols}).drop(*held)
+
+
+def _opponent_block(df: DataFrame, season: str | None, date: str, span: float, interaction_pairs, opponent: str | None,
+                    opponent_stats: Sequence[str], team: str | None, primary_metric: str | None) -> DataFrame:
+    """Opponent-side EWMs, primary flags and interactions."""
     pairs = list(interaction_pairs)
     if opponent and opponent_stats:
         keys = [opponent] + ([season] if season else []) + [date]
@@ -131,45 +173,47 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
         pairs += [(f"{st}_ewm_mean", f"allowed_{st}_ewm_prank") for st in opponent_stats]
     if team and primary_metric:
         df = D.is_group_max(df, [team, date], f"{primary_metric}_ewm_mean", f"{primary_metric}_primary")
-    df = W.interactions(df, pairs)
-    ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics
-                                                     for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")]
-    if skew_safe_ranks:
-        from tempolith.operators import segmented as SG
-        df = SG.pct_rank_within(df, date, ranks, partitions=partitions, key=[entity] + order)
-    else:
-        df = W.pct_rank_within(df, date, ranks)
-    return NU.clean_non_finite(df)
+    return W.interactions(df, pairs)
 
 
 # P5 ------------------------------------------------------------------------------------
-def intervals_incremental(existing: DataFrame | None, changes: DataFrame, starters: DataFrame, spans: DataFrame,
-                          group, member: str, clock: str, is_in: str, size: int, **kw) -> DataFrame:
-    """Build intervals only for groups not yet in ``existing`` and replace by
-    group (recomputed groups win; no stale rows kept)."""
+def change_summary(changes: DataFrame, group) -> DataFrame:
+    """Per group the number of log rows and a hash of them, whatever their order:
+    kept beside an interval table, it tells which groups' logs changed since."""
+    g = [group] if isinstance(group, str) else list(group)
+    rest = [c for c in sorted(changes.columns) if c not in g]
+    return changes.groupBy(*g).agg(F.count(F.lit(1)).alias("log_rows"), F.bit_xor(F.xxhash64(*rest)).alias("log_hash"))
+
+
+def intervals_incremental(existing: DataFrame | None, summary: DataFrame | None, changes: DataFrame, starters: DataFrame,
+                          spans: DataFrame, group, member: str, clock: str, is_in: str, size: int, **kw) -> DataFrame:
+    """Build intervals for the groups whose log is new or differs from the
+    ``summary`` (see ``change_summary``) that belongs to ``existing``, and put
+    them in the place of those groups' rows; other groups are kept as they are."""
     g = [group] if isinstance(group, str) else list(group)
-    if existing is not None:
-        done = existing.select(*g).distinct()
-        changes, starters, spans = (IO.only_new(x, done, g) for x in (changes, starters, spans))
-    fresh = IV.active_intervals(changes, starters, spans, g, member, clock, is_in, size=size, **kw)
     if existing is None:
-        return fresh
-    keep = existing.join(fresh.select(*g).distinct(), g, "left_anti")
-    return keep.unionByName(fresh.select(*existing.columns))
+        return IV.active_intervals(changes, starters, spans, g, member, clock, is_in, size=size, **kw)
+    same = change_summary(changes, g).join(summary, [*g, "log_rows", "log_hash"], "left_semi").select(*g)
+    same = cut_lineage(same)                                 # one row per unchanged group, read by every branch
+    fresh = IV.active_intervals(*(IO.only_new(x, same, g) for x in (changes, starters, spans)),
+                                g, member, clock, is_in, size=size, **kw)
+    return existing.join(same, g, "left_semi").unionByName(fresh.select(*existing.columns))
 
 
 # P6 ------------------------------------------------------------------------------------
 def upcoming_slate(schedule: DataFrame, home: str, away: str, roster: DataFrame, history_roster: DataFrame,
                    team: str, max_roster: int, roster_order: Sequence, latest: DataFrame,
                    person: str) -> DataFrame:
-    """Schedule -> one row per side -> roster (falling back to the last known
-    roster for teams without a current one, capped at ``max_roster`` per team
-    as the roster rule) -> latest feature row per person."""
+    """Schedule -> one row per side -> roster -> latest feature row per person.
+
+    A team's current roster is taken whole; a team without one gets its last
+    known members, the first ``max_roster`` in ``roster_order`` (most recent
+    appearance first).  One row per team and person."""
     sides = C.double_sides(schedule, home, away, team=team)
     have = roster.select(team).distinct()
-    fallback = C.only_unknown(history_roster, have, team)
-    full = C.union_aligned([roster, fallback])
-    full = S.top_n_per_group(full, team, roster_order, max_roster)
+    fallback = S.top_n_per_group(C.only_unknown(history_roster, have, team), team, roster_order, max_roster)
+    full = C.union_aligned([roster, fallback.select(*[c for c in roster.columns if c in fallback.columns])])
+    full = full.dropDuplicates([team, person])
     rows = C.expand_roster(sides, full, team)
     rows = rows.filter(F.col(person).isNotNull())
     return rows.join(latest, person, "left")
@@ -217,7 +261,9 @@ def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], da
                             span: float = 21, roll: int = 5, slope_min_rows: int = 21,
                             hot_metric: str | None = None, interaction_pairs: Sequence[tuple[str, str]] = (),
                             rank_cols: Sequence[str] | None = None, active_days: int = 7,
-                            partitions: int | None = None) -> DataFrame:
+                            partitions: int | None = None, opponent: str | None = None,
+                            opponent_stats: Sequence[str] = (), team: str | None = None,
+                            primary_metric: str | None = None, rank_bits: int | None = None) -> DataFrame:
     """``feature_build`` for data where one entity or one date can hold a large
     share of all rows: every per-entity stage runs on range segments of the
     entity's series and per-date ranks on range segments of the date (see
@@ -257,10 +303,10 @@ def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], da
             outs = {f"{m}_ewm_mean_{v}": F.when(F.col(context) == v, F.col("_cm")) for v in context_values}
             ctx_rows = ctx_rows.select(entity, *order, *[e.alias(k) for k, e in outs.items()])
             rows = rows.join(ctx_rows, [entity] + order, "left")
-    rows = W.interactions(rows, interaction_pairs)
+    rows = _opponent_block(rows, season, date, span, interaction_pairs, opponent, opponent_stats, team, primary_metric)
     ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics
                                                      for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")]
-    rows = SG.pct_rank_within(rows, date, ranks, partitions=partitions, key=[entity] + order)
+    rows = _ranked(rows, ranks, rank_bits, lambda d, cols: SG.pct_rank_within(d, date, cols, partitions=partitions, key=[entity] + order))
     return NU.clean_non_finite(rows)
 
 

@@ -16,6 +16,7 @@ from tempolith.operators import intervals as IV
 from tempolith.operators import joins as C
 from tempolith.plans.bindings import round_doubles
 from tempolith.plans.catalog import register
+from tempolith.session import cut_lineage
 from tempolith.sources.tables import table
 
 CHANGE_TYPES = ("signup", "purchase", "error")
@@ -108,8 +109,9 @@ GROUP BY l.grp, l.k, l.lineup
 """)
 def interval_counters(spark, sf):
     e, changes, starters, spans = ch_parts(spark, sf)
-    bnd = IV.boundaries(changes, spans, "grp", "clk")
-    iv = IV.active_intervals(changes, starters, spans, "grp", "user_id", "clk", "is_in", size=CH_SIZE, bnd=bnd)
+    # both are read by several branches: written once
+    bnd = cut_lineage(IV.boundaries(changes, spans, "grp", "clk"))
+    iv = cut_lineage(IV.active_intervals(changes, starters, spans, "grp", "user_id", "clk", "is_in", size=CH_SIZE, bnd=bnd))
     placed = IV.assign_intervals(e, bnd, "grp", "clk", bucket_width=24.0, closed="right")
     cnt = D.count_where(placed.filter(F.col("k").isNotNull()), ["grp", "k"],
                         {"n_click": F.col("event_type") == "click", "n_big": F.col("value") > 100},
@@ -143,8 +145,9 @@ FROM onx o LEFT JOIN offx f USING (grp, member)
 """)
 def on_off_split(spark, sf):
     e, changes, starters, spans = ch_parts(spark, sf)
-    bnd = IV.boundaries(changes, spans, "grp", "clk")
-    iv = IV.active_intervals(changes, starters, spans, "grp", "user_id", "clk", "is_in", size=CH_SIZE, bnd=bnd)
+    # both are read by several branches: written once
+    bnd = cut_lineage(IV.boundaries(changes, spans, "grp", "clk"))
+    iv = cut_lineage(IV.active_intervals(changes, starters, spans, "grp", "user_id", "clk", "is_in", size=CH_SIZE, bnd=bnd))
     placed = IV.assign_intervals(e, bnd, "grp", "clk", bucket_width=24.0, closed="right")
     cnt = placed.filter(F.col("k").isNotNull()).groupBy("grp", "k").agg(
         F.count(F.lit(1)).alias("n_ev"), F.sum("value").alias("v"))
@@ -178,8 +181,9 @@ FROM ivm i JOIN ros r USING (event, team)
 def members_roster(spark, sf):
     li = iv_intervals(spark, sf)
     per_iv = D.members(li, ["event", "team", "interval"], "member", out="m")
-    roster = D.members(li, ["event", "team"], "member", out="r")
-    j = per_iv.join(roster, ["event", "team"], "left")
+    rows = per_iv.withColumn("member", F.explode("m"))
+    j = C.with_roster(rows, ["event", "team"], "member", out="r").groupBy("event", "team", "interval").agg(
+        F.first("m").alias("m"), F.first("r").alias("r"))
     sets = C.array_sets("r", "m")
     return j.select("event", "team", "interval",
                     TX.join_ids("m").alias("lineup"), TX.join_ids("r").alias("roster"),

@@ -32,8 +32,8 @@ SELECT doc_id,
          regexp_replace(strip_accents(s1), '[^\x00-\x7F]', '', 'g'),
          '[^\w\s]', ' ', 'g'), '\s+', ' ', 'g'), '\b[IVX]+$', ''), {_WS}, '', 'g') AS key_ascii,
        coalesce(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(
-         regexp_replace(strip_accents(replace(regexp_replace(text, '\(.*?\)', ' ', 'g'), 'ß', 'ss')), '[^\x00-\x7F]', '', 'g')),
-         '\b(jr|sr|jr\.|sr\.|ii|iii|iv|v)\b', ' ', 'g'), '[^\w\s]', ' ', 'g'), '\s+', ' ', 'g'), {_WS}, '', 'g'), '')
+         regexp_replace(strip_accents(replace(regexp_replace(text, '{TX.PARENTHETICAL}', ' ', 'g'), 'ß', 'ss')), '[^\x00-\x7F]', '', 'g')),
+         '{TX.SUFFIXES}', ' ', 'g'), '[^\w\s]', ' ', 'g'), '\s+', ' ', 'g'), {_WS}, '', 'g'), '')
          AS key_folded
 FROM a
 """)
@@ -197,7 +197,7 @@ SELECT CASE WHEN year(o_orderdate) < 2000 THEN 'train' ELSE 'valid' END AS split
 FROM orders WHERE year(o_orderdate) <= 2000 GROUP BY 1
 """)
 def temporal_split(spark, sf):
-    o = orders_frame(spark, sf)
+    o = orders_frame(spark, sf, customer=False)
     train, valid = P.temporal_split(o, "season", 2000)
     both = train.withColumn("split", F.lit("train")).unionByName(valid.withColumn("split", F.lit("valid")))
     out = both.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("avg_price"))
@@ -206,16 +206,17 @@ def temporal_split(spark, sf):
 
 # M2, M3 category index with unseen -> 0, embedding sizes --------------------------------------------
 _CAT_SQL = """
-o AS (SELECT o_orderkey, year(o_orderdate) AS season, o_totalprice, CAST(o_custkey % 400 AS VARCHAR) AS cat FROM orders),
-tr AS (SELECT * FROM o WHERE season < 2000 AND o_totalprice > 250000),
+o AS (SELECT o_orderkey, year(o_orderdate) AS season, o_totalprice, CAST(o_custkey AS VARCHAR) AS cat FROM orders),
+tr AS (SELECT * FROM o WHERE season < 1996),
 va AS (SELECT * FROM o WHERE season = 2000),
 ix AS (SELECT cat, CAST(row_number() OVER (ORDER BY cat) AS INTEGER) AS cat_idx FROM (SELECT DISTINCT cat FROM tr))"""
 
 
 def _cat_frames(spark, sf):
-    o = orders_frame(spark, sf).withColumn("cat", (F.col("o_custkey") % 400).cast("string"))
-    train, valid = P.temporal_split(o, "season", 2000)
-    train = train.filter(F.col("o_totalprice") > 250000)
+    o = orders_frame(spark, sf, customer=False).withColumn("cat", F.col("o_custkey").cast("string"))
+    # fitted on the first season, so later ones hold categories it does not know
+    train, _ = P.temporal_split(o, "season", 1996)
+    _, valid = P.temporal_split(o, "season", 2000)
     idx = P.fit_index(train, "cat")
     return train, valid, idx
 
@@ -272,15 +273,24 @@ def median_impute(spark, sf):
     return round_doubles(P.median_impute(g, g, ["value"]))
 
 
-@register("pca_reduce")
+# of two standardised columns the components are (1, 1) and (1, -1), over the root of 2; scores are squared, their signs are arbitrary
+@register("pca_reduce", """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity AS a, CASE WHEN l_linenumber % 5 <> 0 THEN l_extendedprice END AS b, l_shipdate FROM lineitem),
+md AS (SELECT median(a) AS ma, median(b) AS mb FROM l WHERE l_shipdate < TIMESTAMP '1999-01-01'),
+f AS (SELECT l_orderkey, l_linenumber, coalesce(a, ma) AS a, coalesce(b, mb) AS b, l_shipdate FROM l, md),
+p AS (SELECT avg(a) AS aa, stddev_pop(a) AS sa, avg(b) AS ab, stddev_pop(b) AS sb, corr(a, b) AS r FROM f WHERE l_shipdate < TIMESTAMP '1999-01-01'),
+z AS (SELECT l_orderkey, l_linenumber, (a - aa) / sa AS x, (b - ab) / sb AS y, r FROM f, p)
+SELECT l_orderkey, l_linenumber, CASE WHEN (1 + abs(r)) / 2 >= 0.95 THEN 1 ELSE 2 END AS k,
+       SNAP12(pow(x + sign(r) * y, 2) / 2) AS pc1_squared FROM z
+""")
 def pca_reduce(spark, sf):
-    li = table(spark, sf, "lineitem")
-    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    from pyspark.ml.functions import vector_to_array
+    cols = ["l_quantity", "l_extendedprice"]
+    li = table(spark, sf, "lineitem").withColumn("l_extendedprice", F.when(F.col("l_linenumber") % 5 != 0, F.col("l_extendedprice")))
     train = li.filter(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz"))   # fit on earlier lines
     out, k = P.prepare_numeric(train, li, cols, variance=0.95)
-    from pyspark.ml.functions import vector_to_array
-    return out.select("l_orderkey", "l_linenumber", F.lit(k).alias("k"),
-                      F.element_at(vector_to_array("pca"), 1).alias("pc1"))
+    first = F.element_at(vector_to_array("pca"), 1)
+    return out.select("l_orderkey", "l_linenumber", F.lit(k).alias("k"), snap(first * first, 12).alias("pc1_squared"))
 
 
 # M7 one-hot from train categories -------------------------------------------------------------------
@@ -359,8 +369,10 @@ def breakout_weights(spark, sf):
     return round_doubles(e.select("event_id", "breakout", "breakout_valid", "weight"))
 
 
-# M13 deterministic hash split (xxhash64 has no DuckDB twin: rows-only) ------------------------------------
-@register("hash_split")
+# M13 deterministic hash split -------------------------------------------------------------------------------
+@register("hash_split", """
+SELECT event_id, user_id, ('0x' || substr(md5('42:' || event_id), 1, 12))::BIGINT % 1048576 < 524288 AS is_cal FROM events
+""")
 def hash_split(spark, sf):
     e = P.hash_split(table(spark, sf, "events").select("event_id", "user_id"), "event_id", 0.5, seed=42)
     return e
@@ -552,16 +564,38 @@ def display_wide(spark, sf):
     return U.display_table(iv, ["user_id"], "target", ["click", "purchase", "view"], ["mean_pred"])
 
 
-# M14 bagged regressors standing in for MC draws (random: rows-only) ------------------------------------------
-@register("ensemble_draws")
+# M14 bagged regressors standing in for MC draws: hashed weights and noise, so SQL can repeat them ---------------
+_MEMBERS = 4
+_U = "(('0x' || substr(md5({}), 1, 12))::BIGINT + 0.5) / 281474976710656.0"
+_POISSON = "CASE " + " ".join(f"WHEN u < {c!r} THEN {k}.0" for k, c in enumerate(U.poisson1_steps())) + f" ELSE {len(U.poisson1_steps())}.0 END"
+
+
+@register("ensemble_draws", f"""
+WITH q AS (SELECT l_orderkey, sum(l_quantity) AS x FROM lineitem GROUP BY 1),
+o AS (SELECT o_orderkey AS row_, o_orderdate, coalesce(q.x, 0) / 100 AS x, o_totalprice / 100000 AS y FROM orders LEFT JOIN q ON l_orderkey = o_orderkey),
+tr AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+mm AS (SELECT CAST(m AS INTEGER) AS m FROM range(0, {_MEMBERS}) t(m)),
+wt AS (SELECT tr.*, m, {_U.format("'7:' || row_ || ':' || m")} AS u FROM tr, mm),
+w AS (SELECT *, {_POISSON} AS w FROM wt),
+b AS (SELECT m, (sum(w) * sum(w * x * y) - sum(w * x) * sum(w * y)) / (sum(w) * sum(w * x * x) - sum(w * x) ^ 2) AS slope,
+             sum(w * x) AS sx, sum(w * y) AS sy, sum(w) AS sw FROM w GROUP BY m),
+c AS (SELECT m, slope, (sy - slope * sx) / sw AS icpt FROM b),
+lv AS (SELECT m, ln(avg((y - icpt - slope * x) ^ 2)) AS logvar FROM tr, c GROUP BY m),
+d AS (SELECT o.row_, m, icpt + slope * x AS mean, logvar,
+             {_U.format("'7:radius:' || row_ || ':y:' || m")} AS u, {_U.format("'7:angle:' || row_ || ':y:' || m")} AS v
+      FROM o, c JOIN lv USING (m)),
+e AS (SELECT *, mean + exp(logvar / 2) * sqrt(-2 * ln(u)) * cos(2 * pi() * v) AS sample FROM d),
+s AS (SELECT row_, avg(mean) AS mean_pred, stddev_pop(mean) AS se, sqrt(avg(exp(logvar))) AS sa,
+             quantile_cont(sample, 0.1) AS q10, quantile_cont(sample, 0.5) AS q50, quantile_cont(sample, 0.9) AS q90 FROM e GROUP BY row_)
+SELECT row_ AS o_orderkey, 'y' AS target, SNAP12(mean_pred) AS mean_pred, SNAP12(se) AS std_epistemic, SNAP12(sa) AS std_aleatoric,
+       SNAP12(sqrt(se ^ 2 + sa ^ 2)) AS std_predictive, SNAP12(q10) AS q10, SNAP12(q50) AS q50, SNAP12(q90) AS q90 FROM s
+""")
 def ensemble_draws(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
-                                             "l_extendedprice")
-    li = li.withColumn("row", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
-    # fit on orders shipped before 1999, score every line (the whole table)
-    li = li.join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"),
-                 "l_orderkey", "left")
-    train = li.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
-    fitted, va = U.fit_ensemble(train, ["l_quantity", "l_discount", "l_tax"], ["l_extendedprice"], members=4)
-    draws = U.score_draws(li, "row", fitted, va)
-    return U.summarize_draws(draws, ["row", "target"])
+    qty = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_quantity").alias("qty"))
+    o = table(spark, sf, "orders").join(qty, "o_orderkey", "left").select(
+        "o_orderkey", "o_orderdate", (F.coalesce("qty", F.lit(0.0)) / 100).alias("x"), (F.col("o_totalprice") / 100000).alias("y"))
+    # fit on the orders before 1999, score every order
+    train = o.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    fitted = U.fit_ensemble(train, "o_orderkey", ["x"], ["y"], members=_MEMBERS)
+    draws = U.score_draws(o, "o_orderkey", ["x"], fitted)
+    return round_doubles(U.summarize_draws(draws, ["o_orderkey", "target"]), bits=12)

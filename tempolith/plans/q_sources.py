@@ -27,12 +27,18 @@ ORDER_CSV_SCHEMA = T.StructType([
 
 # A2 CSV with a missing optional column; A1/A3 parquet round trip -------------------------------
 @register("csv_roundtrip", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(NULL AS VARCHAR) AS o_clerk FROM orders
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderstatus = 'P' THEN 'clerk ' || o_custkey END AS o_clerk FROM orders
 """)
 def csv_roundtrip(spark, sf):
     path = scratch_path(spark, "orders_csv")
-    (table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-     .write.mode("overwrite").option("header", True).csv(path))
+    o = table(spark, sf, "orders")
+    # two layouts in one folder: other order, another column, and prices that are no numbers
+    (o.filter("o_orderstatus <> 'P'").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+     .write.mode("append").option("header", True).csv(path))
+    (o.filter("o_orderstatus = 'P'").select("o_orderstatus", F.concat(F.lit("clerk "), "o_custkey").alias("o_clerk"), "o_custkey",
+                                            F.lit("unknown").alias("o_totalprice"), "o_orderkey")
+     .write.mode("append").option("header", True).csv(path))
     return IO.load_csv(spark, path, ORDER_CSV_SCHEMA)
 
 
@@ -65,18 +71,18 @@ def season_partitions(spark, sf):
 
 # A9 run-dated sink: a same-day rerun replaces that day only ----------------------------------------
 @register("dated_sink", """
-SELECT DATE '2024-01-02' AS run_date, count(*) AS n FROM events WHERE event_type = 'view'
+SELECT DATE '2024-01-02' AS run_date, event_type, count(*) AS n FROM events GROUP BY event_type
 UNION ALL
-SELECT DATE '2024-01-01', count(*) FROM events WHERE event_type = 'click'
+SELECT DATE '2024-01-01', event_type, count(*) FROM events GROUP BY event_type
 """)
 def dated_sink(spark, sf):
     path = scratch_path(spark, "dated")
     e = table(spark, sf, "events").select("event_id", "event_type")
-    IO.save_dated(e.filter("event_type = 'click'"), path, dt.date(2024, 1, 1))
-    IO.save_dated(e.filter("event_type = 'error'"), path, dt.date(2024, 1, 2))
-    IO.save_dated(e.filter("event_type = 'view'"), path, dt.date(2024, 1, 2))   # rerun of the same day
+    IO.save_dated(e, path, dt.date(2024, 1, 1))
+    IO.save_dated(e.unionAll(e), path, dt.date(2024, 1, 2))
+    IO.save_dated(e, path, dt.date(2024, 1, 2))             # rerun of the same day
     back = spark.read.parquet(path)
-    return back.groupBy("run_date").agg(F.count(F.lit(1)).alias("n"))
+    return back.groupBy("run_date", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 # A5 only unseen ids -----------------------------------------------------------------------------
@@ -110,46 +116,45 @@ def detect_changes(spark, sf):
 
 
 # A7 nested JSON names (documents built from lineitem x part, then parsed back) ----------------------------
-@register("json_names", """
-SELECT DISTINCT CASE WHEN l.l_linenumber % 2 = 1 THEN p.p_name ELSE 'desc ' || p.p_brand END AS name
+@register("json_names", r"""
+SELECT DISTINCT trim(regexp_replace(lower(CASE WHEN l.l_linenumber % 2 = 1 THEN p.p_name ELSE 'desc ' || p.p_brand END), '[^\w]+', ' ', 'g')) AS name
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 """)
 def json_names(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     pt = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
     j = li.join(pt, li.l_partkey == pt.p_partkey)
-    outcome = F.struct(F.when(F.col("l_linenumber") % 2 == 1, F.col("p_name")).alias("participant"),
+    outcome = F.struct(F.when(F.col("l_linenumber") % 2 == 1, F.col("p_name")).otherwise("").alias("participant"),
                        F.concat(F.lit("desc "), F.col("p_brand")).alias("description"))
     per_order = j.groupBy("l_orderkey").agg(F.collect_list(outcome).alias("outcomes"))
-    doc = F.to_json(F.array(
-        F.struct(F.lit("parts").alias("name"),
-                 F.array(F.struct(F.array(F.struct(F.col("outcomes").alias("outcomes"))).alias("offers")))
-                 .alias("descriptors")),
-        F.struct(F.lit("other").alias("name"),
-                 F.array(F.struct(F.array(F.struct(F.array(F.struct(
-                     F.lit(None).cast("string").alias("participant"), F.lit("other").alias("description")))
-                     .alias("outcomes"))).alias("offers"))).alias("descriptors"))))
+    def category(name, outcomes):
+        offers = F.array(F.array(F.struct(outcomes.alias("outcomes"))), F.array(F.struct(outcomes.alias("outcomes"))))
+        return F.struct(F.lit(name).alias("name"), F.array(F.struct(F.struct(offers.alias("offers")).alias("offerSubcategory")))
+                        .alias("offerSubcategoryDescriptors"))
+    other = F.array(F.struct(F.lit(None).cast("string").alias("participant"), F.lit("other").alias("description")))
+    blank = F.array(F.struct(F.lit("").alias("participant"), F.lit(" ").alias("description")))
+    doc = F.to_json(F.array(category("Parts", F.col("outcomes")), category("other", other), category("PARTS", blank)))
     docs = per_order.select(doc.alias("doc"))
     return J.json_names(docs, "doc", "parts")
 
 
 # A8 JSON:API side lookup ----------------------------------------------------------------------------------
 @register("json_lookup", """
-SELECT CAST(o.o_orderkey AS VARCHAR) AS id, c.c_name AS name
+SELECT CAST(o.o_orderkey AS VARCHAR) AS id, CASE WHEN o.o_orderpriority <> '1-URGENT' THEN c.c_name END AS name
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 """)
 def json_lookup(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    """One document per day: its orders as ``data``, their customers as ``included`` (urgent orders name one that is not there)."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf, "customer").select("c_custkey", "c_name")
     j = o.join(c, o.o_custkey == c.c_custkey)
-    doc = F.to_json(F.struct(
-        F.array(F.struct(F.col("o_orderkey").cast("string").alias("id"),
-                         F.create_map(F.lit("customer"), F.struct(F.struct(
-                             F.col("o_custkey").cast("string").alias("id")).alias("data"))).alias("relationships")))
-        .alias("data"),
-        F.array(F.struct(F.col("o_custkey").cast("string").alias("id"),
-                         F.create_map(F.lit("name"), F.col("c_name")).alias("attributes"))).alias("included")))
-    return J.json_lookup(j.select(doc.alias("doc")), "doc", "customer", "name").select("id", "name")
+    ref = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("none")).otherwise(F.col("o_custkey").cast("string"))
+    data = F.struct(F.col("o_orderkey").cast("string").alias("id"),
+                    F.create_map(F.lit("customer"), F.struct(F.struct(ref.alias("id")).alias("data"))).alias("relationships"))
+    included = F.struct(F.col("o_custkey").cast("string").alias("id"), F.create_map(F.lit("name"), F.col("c_name")).alias("attributes"))
+    docs = j.groupBy("o_orderdate").agg(F.collect_list(data).alias("data"), F.collect_list(included).alias("included"))
+    doc = F.to_json(F.struct("data", "included"))
+    return J.json_lookup(docs.select(doc.alias("doc")), "doc", "customer", "name").select("id", "name")
 
 
 # F18 JSON scalar access -----------------------------------------------------------------------------------
@@ -164,15 +169,16 @@ def props_json(spark, sf):
                                        F.max("k").alias("max_k"))
 
 
-# T1 incremental ingest: two landings overlap, ids de-duplicated within the watermark -------------------------
+# T1 incremental ingest: two landings overlap, the second is late; ids are looked up in the sink -------------------------
 @register("stream_ingest", """
 SELECT event_id, user_id, event_type FROM events
 """)
 def stream_ingest(spark, sf):
     landing, sink, ckpt = (scratch_path(spark, n) for n in ("landing", "ingested", "ingest_ckpt"))
     e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 16))).write.mode("append").parquet(landing)
+    # the newer half lands first, then all: late rows are kept, repeated ones are not
+    e.filter(F.col("ts") >= ntz(dt.datetime(2024, 1, 16))).write.mode("append").parquet(landing)
     ingest_new_files(spark, landing, e.schema, "event_id", "ts", sink, ckpt)
-    e.filter(F.col("ts") >= ntz(dt.datetime(2024, 1, 10))).write.mode("append").parquet(landing)
+    e.write.mode("append").parquet(landing)
     ingest_new_files(spark, landing, e.schema, "event_id", "ts", sink, ckpt)
     return spark.read.parquet(sink).select("event_id", "user_id", "event_type")

@@ -248,44 +248,33 @@ def delta_interactions(spark, sf):
 
 
 # W13 EWM inside (entity, context), ranked per (date, context) --------------------------
+CONTEXTS = ("click", "error", "purchase", "signup", "view")
+
+
 @register("ewm_by_context", f"""
 WITH r AS (
   SELECT event_id, user_id, event_type, ts, ts::date AS d, value,
          row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn
-  FROM events WHERE event_type IN ('click', 'view')),
+  FROM events),
 p AS (
   SELECT a.event_id, sum(CASE WHEN b.rn = 1 THEN pow(1 - {ALPHA_SQL}, a.rn - 2)
                               ELSE {ALPHA_SQL} * pow(1 - {ALPHA_SQL}, a.rn - 1 - b.rn) END * b.value) AS mu
   FROM r a JOIN r b ON a.user_id = b.user_id AND a.event_type = b.event_type AND b.rn < a.rn
   GROUP BY a.event_id),
-f AS (SELECT r.event_id, r.event_type, r.d, SNAP(p.mu) AS mu FROM r LEFT JOIN p USING (event_id)),
+f AS (SELECT r.event_id, r.event_type, r.d, p.mu FROM r LEFT JOIN p USING (event_id)),
 k AS (
   SELECT a.event_id,
          (count(*) FILTER (WHERE b.mu < a.mu) + (count(*) FILTER (WHERE b.mu = a.mu) + 1) / 2.0) / count(b.mu) AS pr
   FROM f a JOIN f b ON a.d = b.d AND a.event_type = b.event_type
   WHERE a.mu IS NOT NULL GROUP BY a.event_id)
 SELECT e.event_id, e.event_type,
-       CASE WHEN e.event_type = 'click' THEN f.mu END AS value_ewm_mean_click,
-       CASE WHEN e.event_type = 'click' THEN SNAP(k.pr) END AS value_ewm_mean_click_prank,
-       CASE WHEN e.event_type = 'view' THEN f.mu END AS value_ewm_mean_view,
-       CASE WHEN e.event_type = 'view' THEN SNAP(k.pr) END AS value_ewm_mean_view_prank
+       {", ".join(f"CASE WHEN e.event_type = '{c}' THEN SNAP(f.mu) END AS value_ewm_mean_{c}, "
+                  f"CASE WHEN e.event_type = '{c}' THEN SNAP(k.pr) END AS value_ewm_mean_{c}_prank" for c in CONTEXTS)}
 FROM events e LEFT JOIN f USING (event_id) LEFT JOIN k USING (event_id)
 """)
 def ewm_by_context(spark, sf):
-    df = ev(spark, sf)
-    # the context EWM is computed over its own rows only
-    ctx = df.filter(F.col("event_type").isin("click", "view"))
-    ctx = E.ewm_moments(ctx.withColumn("_p", F.lag("value", 1).over(
-        W.series_window(["user_id", "event_type"], EV_ORDER))), "_p", ["user_id", "event_type"], EV_ORDER,
-        ALPHA, "_m")
-    ctx = ctx.withColumn("_m", snap("_m"))
-    ctx = ctx.withColumn("_r", W.pct_rank_expr("_m", ["d", "event_type"]))
-    outs = {}
-    for v in ("click", "view"):
-        outs[f"value_ewm_mean_{v}"] = F.when(F.col("event_type") == v, F.col("_m"))
-        outs[f"value_ewm_mean_{v}_prank"] = F.when(F.col("event_type") == v, snap("_r"))
-    ctx = ctx.withColumns(outs).select("event_id", *outs)
-    return df.select("event_id", "event_type").join(ctx, "event_id", "left")
+    out = E.ewm_by_context(ev(spark, sf), ["value"], "user_id", EV_ORDER, "event_type", CONTEXTS, span=21, date="d")
+    return round_doubles(out.select("event_id", "event_type", *[f"value_ewm_mean_{c}{s}" for c in CONTEXTS for s in ("", "_prank")]))
 
 
 # W14 expanding OLS slope ---------------------------------------------------------------
@@ -350,7 +339,7 @@ SELECT o_orderkey, o_custkey,
 FROM o WINDOW w AS (PARTITION BY o_custkey, season ORDER BY d, o_orderkey)
 """)
 def rest_days(spark, sf):
-    df = orders_frame(spark, sf)
+    df = orders_frame(spark, sf, customer=False)
     df = W.rest_days(df, ["o_custkey", "season"], "o_orderdate", OR_ORDER)
     return df.select("o_orderkey", "o_custkey", "rest_days", "back_to_back")
 
@@ -442,7 +431,7 @@ LEFT JOIN f ON o.o_orderpriority = f.o_orderpriority AND year(o.o_orderdate) = f
 LEFT JOIN k ON o.o_orderpriority = k.o_orderpriority AND year(o.o_orderdate) = k.season AND o.o_orderdate::date = k.d
 """)
 def allowed_ewm(spark, sf):
-    o = orders_frame(spark, sf).withColumnRenamed("o_totalprice", "price")
+    o = orders_frame(spark, sf, customer=False).withColumnRenamed("o_totalprice", "price")
     keys = ["o_orderpriority", "season", "o_orderdate"]
     daily = E.allowed(o, ["o_orderpriority", "season"], "o_orderdate", ["price"], span=21)
     daily = daily.withColumn("allowed_price_ewm", snap("allowed_price_ewm", 12))
@@ -472,7 +461,7 @@ SELECT f.o_orderpriority, f.season, f.d, f.disc_rate_ewm, SNAP(k.pr) AS disc_rat
 FROM f LEFT JOIN k USING (o_orderpriority, season, d)
 """)
 def allowed_ratio(spark, sf):
-    o = orders_frame(spark, sf).select("o_orderkey", "o_orderpriority", "season", F.col("o_orderdate").alias("d"))
+    o = orders_frame(spark, sf, customer=False).select("o_orderkey", "o_orderpriority", "season", F.col("o_orderdate").alias("d"))
     li = table_li(spark, sf)
     j = li.join(o, li.l_orderkey == o.o_orderkey).withColumns({
         "disc": F.col("l_extendedprice") * F.col("l_discount"), "gross": F.col("l_extendedprice")})

@@ -22,11 +22,25 @@ def load(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
 
 # A2 -----------------------------------------------------------------------------
 def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered CSV whose optional columns may be missing: columns are matched
-    by header name, absent ones become NULL, all cast to the declared types."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return align_to(raw, [f.name for f in schema.fields],
-                    types={f.name: f.dataType.simpleString() for f in schema.fields})
+    """Headered CSV whose optional columns may be missing and whose files may
+    order them differently: files are read by groups with one header, columns
+    are matched by name, absent ones become NULL, and all are cast to the
+    declared types (a cell that cannot be cast becomes NULL)."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    # the first row of a file's first block is its header; one row per file comes back
+    heads = lines.filter("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("head"))
+    groups: dict[str, list[str]] = {}
+    for r in heads.collect():
+        groups.setdefault(r["head"], []).append(r["file_path"])
+    names, types = [f.name for f in schema.fields], {f.name: f.dataType.simpleString() for f in schema.fields}
+    parts = [align_to(spark.read.option("header", True).option("inferSchema", False).csv(files), names, types=types)
+             for _, files in sorted(groups.items())]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 # A3 -----------------------------------------------------------------------------

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tempolith.functions.text import folded_key
+
 # Schema of the nested "markets" document read by ``json_names``.
-MARKET_SCHEMA = ("array<struct<name:string,descriptors:array<struct<offers:array<struct<"
-                 "outcomes:array<struct<participant:string,description:string>>>>>>>>")
+MARKET_SCHEMA = ("array<struct<name:string,offerSubcategoryDescriptors:array<struct<offerSubcategory:struct<offers:array<array<struct<"
+                 "outcomes:array<struct<participant:string,description:string>>>>>>>>>>")
 
 # Schema of a JSON:API style document read by ``json_lookup``.
 JSONAPI_SCHEMA = ("struct<data:array<struct<id:string,relationships:map<string,struct<data:struct<id:string>>>>>,"
@@ -16,30 +18,34 @@ JSONAPI_SCHEMA = ("struct<data:array<struct<id:string,relationships:map<string,s
 
 # A7 -----------------------------------------------------------------------------
 def json_names(df: DataFrame, col: str, category: str) -> DataFrame:
-    """Distinct names under the category with the given name:
-    categories -> descriptors -> offers -> outcomes, participant else description."""
-    cats = df.select(F.explode_outer(F.from_json(col, MARKET_SCHEMA)).alias("c"))
-    cats = cats.filter(F.col("c.name") == category)
-    d = cats.select(F.explode_outer("c.descriptors").alias("d"))
-    o = d.select(F.explode_outer("d.offers").alias("o"))
-    u = o.select(F.explode_outer("o.outcomes").alias("u"))
-    name = F.coalesce(F.col("u.participant"), F.col("u.description"))
-    return u.select(name.alias("name")).filter(F.col("name").isNotNull()).distinct()
+    """Distinct names (folded keys) under the category of that name, in any case:
+    categories -> subcategories -> lists of offers -> outcomes; the participant,
+    or where that is empty the description; blanks are dropped."""
+    cats = df.select(F.explode(F.from_json(col, MARKET_SCHEMA)).alias("c"))
+    cats = cats.filter(F.lower("c.name") == category.lower())
+    lists = cats.select(F.explode("c.offerSubcategoryDescriptors").alias("d")).select(F.explode("d.offerSubcategory.offers").alias("l"))
+    u = lists.select(F.explode("l").alias("o")).select(F.explode("o.outcomes").alias("u"))
+    person = F.col("u.participant")
+    name = folded_key(F.when(person != "", person).otherwise(F.col("u.description")))
+    return u.select(name.alias("name")).filter(F.col("name") != "").distinct()
 
 
 # A8 -----------------------------------------------------------------------------
 def json_lookup(df: DataFrame, col: str, relation: str, attribute: str, keep: list[str] | None = None) -> DataFrame:
     """Resolve ``data[].relationships[relation].data.id`` against ``included[].id``
-    and return (data id, attribute value) - one explode per array, one equi join."""
+    and return (data id, attribute value): one explode of ``data``, a map of
+    ``included`` per document.  A relation without a match gives NULL; of two
+    included entries with one id the last counts."""
     doc = F.from_json(col, JSONAPI_SCHEMA)
     keep = keep or []
     base = df.select(*keep, doc.alias("_doc"))
-    data = base.select(*keep, F.explode_outer("_doc.data").alias("d"), F.col("_doc.included").alias("inc"))
-    data = data.select(*keep, F.col("d.id").alias("id"),
-                       F.col("d.relationships").getItem(relation)["data"]["id"].alias("_rid"), "inc")
-    inc = data.select(*keep, "id", "_rid", F.explode_outer("inc").alias("i"))
-    hit = inc.filter(F.col("i.id") == F.col("_rid"))
-    return hit.select(*keep, "id", F.col("i.attributes").getItem(attribute).alias(attribute))
+    pairs = F.transform("_doc.included", lambda i, k: F.struct(i["id"].alias("id"), k.alias("k"), i["attributes"].getItem(attribute).alias("v")))
+    base = base.withColumn("_all", F.array_sort(F.filter(F.coalesce(pairs, F.array().cast("array<struct<id:string,k:int,v:string>>")), lambda p: p["id"].isNotNull())))
+    last = F.filter("_all", lambda p, k: F.coalesce(F.get("_all", k + 1)["id"] != p["id"], F.lit(True)))
+    known = F.map_from_entries(F.transform(last, lambda p: F.struct(p["id"], p["v"])))
+    data = base.select(*keep, F.explode("_doc.data").alias("d"), known.alias("_inc"))
+    rid = F.col("d.relationships").getItem(relation)["data"]["id"]
+    return data.select(*keep, F.col("d.id").alias("id"), F.try_element_at("_inc", rid).alias(attribute))
 
 
 # F18 ----------------------------------------------------------------------------

@@ -1,36 +1,53 @@
 """Incremental ingest of newly arrived files.
 
-``readStream`` over a landing folder with a declared schema, event-time
-watermark, de-duplication by id within the watermark, and an
+``readStream`` over a landing folder with a declared schema and an
 ``availableNow`` trigger: every run processes exactly the files that arrived
-since the last run (the checkpoint remembers them), then stops.  Exactly-once
-into a parquet sink; the checkpoint lives in the shared checkpoint folder so
-a restarted driver or lost executor resumes where it stopped.
+since the last run (the checkpoint remembers them), then stops.  Each
+micro-batch keeps the rows whose id the sink does not hold yet, however old
+they are, and writes them to a folder of its own, which a repeated batch
+overwrites: exactly once.  The checkpoint lives in the shared checkpoint folder
+so a restarted driver or lost executor resumes where it stopped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BATCH = "ingest_batch"
+
 
 def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, key: Sequence[str] | str,
-                     event_time: str, sink: str, checkpoint: str, watermark: str = "365 days",
+                     event_time: str, sink: str, checkpoint: str, forget_before=None,
                      glob: str | None = None) -> int:
-    """Run one ``availableNow`` pass; returns the number of micro-batches run."""
+    """Run one ``availableNow`` pass; returns the number of micro-batches run.
+
+    Of rows with one id the earliest by ``event_time`` stays.  The sink is a
+    table partitioned by ``ingest_batch``.  ``forget_before``, a timestamp,
+    bounds the ids that are looked up to sink rows from then on; by default
+    all are."""
     keys = [key] if isinstance(key, str) else list(key)
-    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
     if glob:
-        r = r.option("pathGlobFilter", glob)
-    src = r.parquet(landing)
-    # parquet timestamps without zone load as timestamp_ntz; watermarks need timestamp
-    src = src.withColumn("_et", F.col(event_time).cast("timestamp"))
-    dedup = src.withWatermark("_et", watermark).dropDuplicatesWithinWatermark(keys).drop("_et")
-    q = (dedup.writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return len(q.recentProgress)
+        reader = reader.option("pathGlobFilter", glob)
+    sink_schema = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+
+    def write(batch: DataFrame, number: int) -> None:
+        known = batch.sparkSession.read.schema(sink_schema).parquet(sink).filter(F.col(BATCH) < number)
+        if forget_before is not None:
+            known = known.filter(F.col(event_time) >= F.lit(forget_before))
+        order = F.struct(F.col(event_time), *[F.col(c) for c in schema.fieldNames() if c != event_time])
+        first = batch.groupBy(*keys).agg(F.min(order).alias("_row"))
+        rows = first.select(*[F.col("_row")[c].alias(c) if c not in keys else F.col(c) for c in schema.fieldNames()])
+        rows = rows.join(known.select(*keys), keys, "left_anti").select(*schema.fieldNames())
+        rows.write.mode("overwrite").parquet(f"{sink}/{BATCH}={number}")
+
+    # an empty table to look ids up in before the first batch
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{sink}/{BATCH}=-1")
+    query = (reader.parquet(landing).writeStream.foreachBatch(write)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return len(query.recentProgress)

@@ -92,3 +92,22 @@ def test_drop_trailing_roman_matches_regex_rule(spark, raw, out):
     import re
     assert re.sub(r"\b[IVX]+$", "", raw) == out                       # the rule itself
     assert _one(spark, [raw], TX.drop_trailing_roman) == [out]
+
+
+def test_folding_covers_all_of_unicode(spark):
+    from tempolith.functions import text as TX
+    cases = [("Oﬃcer", "Officer", "officer"), ("Ⅲ", "", ""), ("№ 5", "No 5", "no 5"), ("𝐀lan", "Alan", "alan"), ("Μαρία", "", "maria"), ("Юрий Щукин", "", "iurii shchukin"),
+             ("Straße", "Strae", "strasse"), ("plain", "plain", "plain"), ("漢字", "", "")]
+    df = spark.createDataFrame([(a,) for a, _, _ in cases], "s string")
+    got = {r.s: (r.a, r.b) for r in df.select("s", TX.entity_key("s").alias("a"), TX.folded_key("s").alias("b")).collect()}
+    assert got == {a: (b, c) for a, b, c in cases}
+
+
+def test_dates_in_more_layouts(spark):
+    import datetime as dt
+    from tempolith.functions import dates as DT
+    cases = {"2025-10-22 00:00:00": (2025, 10, 22), "2025-10-22T19:30Z": (2025, 10, 22), "10/22/25": (2025, 10, 22), "Sept 23, 2025": (2025, 9, 23), "Tue, Sep 23, 2025": (2025, 9, 23),
+             "23 September 2025": (2025, 9, 23), "20250923": (2025, 9, 23), "Sep 23 2025": (2025, 9, 23), "2025-10-22 7:05 PM": (2025, 10, 22), "soon": None, "2025-13-45": None}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r.s: r.d for r in df.select("s", DT.parse_date("s").alias("d")).collect()}
+    assert got == {k: dt.date(*v) if v else None for k, v in cases.items()}

@@ -123,3 +123,30 @@ def test_min_duration_and_excluded_groups(spark):
     iv = IV.active_intervals(ch, two, sp2, "g", "m", "clk", "is_in", size=None, min_duration=10, exclude={"g": [2]})
     assert sorted({r.g for r in iv.collect()}) == [1]
     assert IV.active_intervals(ch, st, sp, "g", "m", "clk", "is_in", size=None, min_duration=11).count() == 0
+
+
+def test_boundaries_shared_by_the_teams_of_an_event(spark):
+    from tempolith.operators import intervals as IV
+    changes = spark.createDataFrame([(1, "a", 10, 5, True), (1, "b", 20, 7, True), (2, "a", 10, 3, True)], "event int, team string, member long, clk int, is_in boolean")
+    spans = spark.createDataFrame([(1, "a", 0, 9), (1, "b", 0, 9), (2, "a", 0, 9)], "event int, team string, start int, end int")
+    own = IV.boundaries(changes, spans, ["event", "team"], "clk")
+    shared = IV.boundaries(changes, spans, ["event", "team"], "clk", event="event")
+    got = lambda df: sorted((r.event, r.team, r.b) for r in df.collect())      # noqa: E731
+    assert got(own) == [(1, "a", 0), (1, "a", 5), (1, "a", 9), (1, "b", 0), (1, "b", 7), (1, "b", 9), (2, "a", 0), (2, "a", 3), (2, "a", 9)]
+    assert got(shared) == [(1, t, b) for t in "ab" for b in (0, 5, 7, 9)] + [(2, "a", 0), (2, "a", 3), (2, "a", 9)]
+    starters = spark.createDataFrame([], "event int, team string, member long")
+    iv = IV.active_intervals(changes, starters, spans, ["event", "team"], "member", "clk", "is_in", size=1, bnd=shared)
+    assert sorted((r.event, r.team, r.start, r.end, r.lineup) for r in iv.collect()) == [(1, "a", 5, 7, "10"), (1, "a", 7, 9, "10"), (1, "b", 7, 9, "20"), (2, "a", 3, 9, "10")]
+
+
+def test_corrected_groups_are_rebuilt_and_others_kept(spark):
+    from tempolith.operators import intervals as IV
+    from tempolith.plans import jobs as J
+    schema = "grp int, member long, clk int, is_in boolean"
+    old = spark.createDataFrame([(1, 10, 2, True), (2, 20, 3, True)], schema)
+    new = spark.createDataFrame([(1, 10, 2, True), (2, 20, 4, True), (3, 30, 1, True)], schema)
+    spans = spark.createDataFrame([(1, 0, 9), (2, 0, 9), (3, 0, 9)], "grp int, start int, end int")
+    none = spark.createDataFrame([], "grp int, member long")
+    existing = IV.active_intervals(old, none, spans.filter("grp < 3"), "grp", "member", "clk", "is_in", size=1)
+    out = J.intervals_incremental(existing, J.change_summary(old, "grp"), new, none, spans, "grp", "member", "clk", "is_in", 1)
+    assert sorted((r.grp, r.start, r.lineup) for r in out.collect()) == [(1, 2, "10"), (2, 4, "20"), (3, 1, "30")]

@@ -37,3 +37,11 @@ def test_to_wide_single_feature_names(spark):
     wide = J.to_wide(long, ["id"], ["a", "b"], ["x_lag1"]).orderBy("id").collect()
     assert [tuple(r) for r in wide] == [(1, 1.5, 2.5), (2, 3.5, None)]
     assert J.to_wide(long, ["id"], ["a", "b"], ["x_lag1"]).columns == ["id", "a_lag1", "b_lag1"]
+
+
+def test_long_layout_refuses_what_it_cannot_give(spark):
+    import pytest
+    from tempolith.plans import jobs as J
+    df = spark.createDataFrame([(1, 1, 1, 1.0)], "u int, o int, d int, x double")
+    with pytest.raises(ValueError, match="context"):
+        J.feature_build(df, "u", ["o"], "d", ["x"], layout="long", context="d", context_values=(1,))

@@ -114,9 +114,38 @@ def test_calibration_matches_brute_force_grid(spark):
     assert got_std == std_ref and got_q == q_ref
 
 
-def test_bounded_broadcast_hints_only_within_bound(spark):
-    from tempolith.operators.joins import bounded_broadcast
-    small, big = spark.range(5), spark.range(50)
-    plan = lambda df: df._jdf.queryExecution().analyzed().toString()      # noqa: E731
-    assert "broadcast" in plan(bounded_broadcast(small, max_rows=10)).lower()
-    assert "broadcast" not in plan(bounded_broadcast(big, max_rows=10)).lower()
+def test_one_hot_vector_has_no_limit(spark):
+    import tempolith.operators.prep as P
+    train = spark.createDataFrame([(f"c{i:05d}",) for i in range(1500)] + [(None,)], "c string")
+    df = spark.createDataFrame([("c00003",), ("c01499",), (None,), ("new",)], "c string")
+    got = {r.c: tuple(r.c_onehot) for r in P.one_hot_vector(train, df, "c").collect()}
+    assert got == {"c00003": (1501, 3, 1.0), "c01499": (1501, 1499, 1.0), None: (1501, 1500, 1.0), "new": (1501, None, 0.0)}
+
+
+def test_draws_have_noise_and_calibrated_intervals_cover(spark):
+    from tempolith.operators import prep as P
+    from tempolith.operators import uncertainty as U
+    import numpy as np
+    r = np.random.default_rng(4)
+    rows = [(i, float(x), float(3 * x + 1 + e), 2.0) for i, (x, e) in enumerate(zip(r.normal(size=3000), r.normal(size=3000)))]
+    df = spark.createDataFrame(rows, "id long, x double, y double, prior double")
+    fitted = U.fit_ensemble(df, "id", ["x"], ["y"], members=20)
+    assert all(abs(b[0] - 1) < 0.2 and abs(b[1] - 3) < 0.2 and abs(lv) < 0.2 for _, _, b, lv in fitted)
+    s = U.summarize_draws(U.score_draws(df, "id", ["x"], fitted), ["id", "target"]).join(df.select("id", "y"), "id")
+    assert s.count() == 3000
+    j = P.hash_split(s, "id", 0.5)
+    qs = U.fit_quantile_scale(j.filter("is_cal"), "target", "y", "q50", "q10", "q90")
+    ev = U.evaluate(U.intervals(j.filter("NOT is_cal"), "target", q_scale=qs, clamp_zero=False), "target", "y", "cal").first()
+    assert 0.75 <= ev.pi80_coverage <= 0.85
+    blended = U.score_draws(df, "id", ["x"], fitted, priors={"y": "prior"}, own=0.25)
+    plain = U.score_draws(df, "id", ["x"], fitted)
+    both = blended.select("id", "draw", F.col("mean").alias("b")).join(plain, ["id", "draw"])
+    assert both.filter(F.abs(F.col("b") - (0.25 * F.col("mean") + 1.5)) > 1e-9).count() == 0
+
+
+def test_evaluate_gives_null_where_a_measure_is_undefined(spark):
+    from tempolith.operators import uncertainty as U
+    df = spark.createDataFrame([("t", 5.0, 4.0, 4.0, 3.0, 6.0, 1.0, 0.5, 0.5)] * 4, "target string, y double, mean_pred double, q50 double, q10 double, q90 double, "
+                               "std_predictive double, std_epistemic double, std_aleatoric double")
+    got = U.evaluate(df, "target", "y", "x").first()
+    assert got.r2 is None and got.uncert_error_corr is None and got.mae_mean == 1.0

@@ -47,15 +47,33 @@ def test_detect_changes_reasons(spark):
     assert {r.id: r.reason for r in IO.detect_changes(src2, out, "id", "d").collect()} == {2: "more_rows"}
 
 
+def test_csv_files_with_other_headers_and_a_bad_cell(spark):
+    path = scratch_path(spark, "t_csv_mixed")
+    spark.createDataFrame([(1, "a", "Out")], "id long, name string, status string").coalesce(1).write.option("header", True).csv(path)
+    spark.createDataFrame([("In", "x", "bob")], "status string, id string, name string").coalesce(1).write.mode("append").option("header", True).csv(path)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("status", T.StringType())])
+    assert sorted(map(tuple, IO.load_csv(spark, path, schema).collect()), key=str) == [(1, "a", "Out"), (None, "bob", "In")]
+
+
 def test_json_names_and_lookup(spark):
-    doc = ('[{"name":"pts","descriptors":[{"offers":[{"outcomes":[{"participant":"A"},'
-           '{"participant":null,"description":"B"}]}]}]},{"name":"x","descriptors":[]}]')
-    df = spark.createDataFrame([(doc,)], "doc string")
-    assert sorted(r.name for r in J.json_names(df, "doc", "pts").collect()) == ["A", "B"]
-    api = ('{"data":[{"id":"1","relationships":{"player":{"data":{"id":"p9"}}}}],'
-           '"included":[{"id":"p8","attributes":{"name":"no"}},{"id":"p9","attributes":{"name":"yes"}}]}')
-    got = J.json_lookup(spark.createDataFrame([(api,)], "doc string"), "doc", "player", "name").collect()
-    assert [(r.id, r.name) for r in got] == [("1", "yes")]
+    doc = ('[{"name":"Player PROPS","offerSubcategoryDescriptors":[{"offerSubcategory":{"offers":[[{"outcomes":[{"participant":"Ann Lee Jr."},'
+           '{"participant":"","description":"Bó (DEN)"},{"participant":" "}]}],[]]}},{"offerSubcategory":null}]},{"name":"x"}]')
+    df = spark.createDataFrame([(doc,), (None,), ("broken",)], "doc string")
+    assert sorted(r.name for r in J.json_names(df, "doc", "player props").collect()) == ["ann lee", "bo"]
+    api = ('{"data":[{"id":"1","relationships":{"player":{"data":{"id":"p9"}}}},{"id":"2","relationships":{"player":{"data":{"id":"p7"}}}}],'
+           '"included":[{"id":"p9","attributes":{"name":"old"}},{"id":"p8","attributes":{"name":"no"}},{"id":"p9","attributes":{"name":"yes"}}]}')
+    got = J.json_lookup(spark.createDataFrame([(api,), ('{"data":[]}',)], "doc string"), "doc", "player", "name").collect()
+    assert sorted((r.id, r.name) for r in got) == [("1", "yes"), ("2", None)]
+
+
+def test_late_landings_are_kept(spark):
+    landing, sink, ckpt = (scratch_path(spark, n) for n in ("t_land2", "t_sink2", "t_ckpt2"))
+    schema = "event_id long, ts timestamp_ntz"
+    for k, year in enumerate((2024, 2021, 2024)):
+        df = spark.createDataFrame([(k, dt.datetime(year, 1, 1)), (100, dt.datetime(year, 1, 2))], schema)
+        df.write.mode("append").parquet(landing)
+        ingest_new_files(spark, landing, df.schema, "event_id", "ts", sink, ckpt)
+    assert sorted(r.event_id for r in spark.read.parquet(sink).collect()) == [0, 1, 2, 100]
 
 
 def test_streaming_ingest_processes_only_new_files_and_dedupes(spark):
@@ -70,3 +88,30 @@ def test_streaming_ingest_processes_only_new_files_and_dedupes(spark):
     ingest_new_files(spark, landing, first.schema, "event_id", "ts", sink, ckpt)
     ids = sorted(r.event_id for r in spark.read.parquet(sink).collect())
     assert ids == [1, 2, 3]                      # the repeated id 2 was dropped, old files not re-read
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
+    import pytest
+    from tempolith.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        checkpoint_dir(Session())
+
+
+def test_rejected_listing_rows_are_counted(spark):
+    from tempolith.plans import jobs as J
+    df = spark.createDataFrame([("A, B", "t", "soon"), ("C, D", "t", "1/2/2024"), ("E, F", "t", "soon"), (None, "t", "1/2/2024"), ("G", "t", " ")], "PLAYER string, TEAM string, DATE string")
+    assert sorted((r.reason, r.text, r.n) for r in J.listing_rejects(df).collect()) == [("date not understood", "soon", 2), ("no date", None, 1), ("no person", None, 1)]
