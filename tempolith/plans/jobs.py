@@ -23,6 +23,8 @@ from tempolith.operators import filters as B
 from tempolith.operators import intervals as IV
 from tempolith.operators import joins as C
 from tempolith.operators import sorting as S
+from tempolith.operators import prep as P
+from tempolith.operators import preprocess as PP
 from tempolith.operators import uncertainty as U
 from tempolith.operators import windows as W
 from tempolith.session import cut_lineage
@@ -244,6 +246,50 @@ def score_and_publish(summary: DataFrame, q_scale: DataFrame, y_params: DataFram
     return spark.read.parquet(path).filter(F.col("run_date") == F.lit(run_date).cast("date"))
 
 
+def fit_artifacts(train: DataFrame, row: str, targets: Sequence[str], path: str, members: int = 10, calibrate: float = 0.5,
+                  **columns) -> None:
+    """Fit and save everything that scoring needs under ``path``.
+
+    Preprocessing (``columns`` go to ``Preprocessor.fit``), target moments, the
+    ensemble, fitted on the rows outside a hashed share, and from that share the
+    std and quantile scales."""
+    spark = train.sparkSession
+    pre = PP.Preprocessor.fit(train, **columns)
+    pre.save(spark, f"{path}/preprocess")
+    moments = P.fit_scaler(train, targets)
+    moments.write.mode("overwrite").parquet(f"{path}/targets")
+    moments = spark.read.parquet(f"{path}/targets")
+    rows = P.hash_split(P.scale(pre.transform(train), moments, targets), row, calibrate)
+    rows = cut_lineage(rows.select(row, "is_cal", *targets, *pre.features))
+    fitted = U.fit_ensemble(rows.filter("NOT is_cal"), row, pre.features, targets, members=members)
+    PP.save_ensemble(spark, fitted, f"{path}/ensemble")
+    summary = U.summarize_draws(U.score_draws(rows.filter("is_cal"), row, pre.features, fitted), [row, "target"])
+    y = rows.filter("is_cal").unpivot([row], list(targets), "target", "y")
+    cal = cut_lineage(summary.join(y, [row, "target"]))
+    U.fit_std_scale(cal, "target", "y", "mean_pred", "std_epistemic", "std_aleatoric").write.mode("overwrite").parquet(f"{path}/std_scale")
+    U.fit_quantile_scale(cal, "target", "y", "q50", "q10", "q90").write.mode("overwrite").parquet(f"{path}/quantile_scale")
+
+
+def score_slate(slate: DataFrame, row: str, path: str, targets: Sequence[str], measures: Sequence[str],
+                calibrated: bool = True, clamp_zero: bool = True) -> DataFrame:
+    """Score rows with the artifacts under ``path`` and lay them out wide: one
+    row per id, ``{target}_{measure}`` for every target and measure.
+
+    Draws use the std scale for their noise; quantile bounds are spread by the
+    quantile scale; all go back to the targets' units."""
+    spark = slate.sparkSession
+    pre = PP.Preprocessor.load(spark, f"{path}/preprocess")
+    fitted = PP.load_ensemble(spark, f"{path}/ensemble")
+    std = spark.read.parquet(f"{path}/std_scale") if calibrated else None
+    quantile = spark.read.parquet(f"{path}/quantile_scale") if calibrated else None
+    moments = spark.read.parquet(f"{path}/targets")
+    per_target = F.explode(F.array(*[F.struct(F.lit(t).alias("target"), F.col(f"{t}__mean").alias("y_mean"), F.col(f"{t}__scale").alias("y_scale")) for t in targets]))
+    draws = U.score_draws(pre.transform(slate), row, pre.features, fitted)
+    summary = U.summarize_draws(draws, [row, "target"], scale=std)
+    out = U.intervals(summary, "target", q_scale=quantile, y_params=moments.select(per_target.alias("t")).select("t.*"), clamp_zero=clamp_zero)
+    return U.display_table(out, [row], "target", targets, measures)
+
+
 # P9 ------------------------------------------------------------------------------------
 def browse(df: DataFrame, order: Sequence, tie: str, query: str | None, groups: dict, pick: Sequence[str],
            page_no: int, size: int) -> DataFrame:

@@ -324,6 +324,52 @@ def train_evaluate(spark, sf):
     return U.evaluate(iv, "target", "y", "cal")
 
 
+# P7 with everything fitted saved and loaded: preprocessing, ensemble, scales; all targets in the published layout ------------
+# A linear fit is the same whatever the scale and sign of its feature, so SQL repeats it on the raw columns.
+from tempolith.plans.q_prep import _POISSON, _U  # noqa: E402
+
+_TARGETS = ("price", "urgent")
+
+
+def _fit_sql(t):
+    return f"""
+b_{t} AS (SELECT m, (sum(w) * sum(w * x * {t}) - sum(w * x) * sum(w * {t})) / (sum(w) * sum(w * x * x) - sum(w * x) ^ 2) AS slope,
+             sum(w * x) AS sx, sum(w * {t}) AS sy, sum(w) AS sw FROM w GROUP BY m),
+c_{t} AS (SELECT m, slope, (sy - slope * sx) / sw AS icpt FROM b_{t}),
+lv_{t} AS (SELECT m, avg(({t} - icpt - slope * x) ^ 2) AS v FROM fit, c_{t} GROUP BY m),
+s_{t} AS (SELECT sl.row_, avg(icpt + slope * x) AS mu, stddev_pop(icpt + slope * x) AS se, sqrt(avg(v)) AS sa
+          FROM sl, c_{t} JOIN lv_{t} USING (m) GROUP BY sl.row_)"""
+
+
+@register("score_slate", f"""
+WITH q AS (SELECT l_orderkey, sum(l_quantity) AS x FROM lineitem GROUP BY 1),
+o AS (SELECT o_orderkey AS row_, o_orderdate, coalesce(q.x, 0) AS x, o_totalprice AS price, CAST(o_orderpriority = '1-URGENT' AS DOUBLE) AS urgent
+      FROM orders LEFT JOIN q ON l_orderkey = o_orderkey),
+fit AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '1999-01-01' AND ('0x' || substr(md5('42:' || row_), 1, 12))::BIGINT % 1048576 >= 524288),
+sl AS (SELECT * FROM o WHERE o_orderdate >= TIMESTAMP '1999-01-01'),
+mm AS (SELECT CAST(m AS INTEGER) AS m FROM range(0, 6) t(m)),
+wt AS (SELECT fit.*, m, {_U.format("'7:' || row_ || ':' || m")} AS u FROM fit, mm),
+w AS (SELECT *, {_POISSON} AS w FROM wt),
+{",".join(map(_fit_sql, _TARGETS))}
+SELECT p.row_ AS o_orderkey, round(p.mu / 1000, 4) AS price_mean_pred, round(p.se / 1000, 4) AS price_std_epistemic,
+       round(p.sa / 1000, 4) AS price_std_aleatoric, round(u.mu, 6) AS urgent_mean_pred,
+       round(u.se, 6) AS urgent_std_epistemic, round(u.sa, 6) AS urgent_std_aleatoric
+FROM s_price p JOIN s_urgent u USING (row_)
+""")
+def score_slate(spark, sf):
+    qty = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_quantity").alias("x"))
+    o = table(spark, sf, "orders").join(qty, "o_orderkey", "left").select(
+        "o_orderkey", "o_orderdate", F.coalesce("x", F.lit(0.0)).alias("x"), F.col("o_totalprice").alias("price"),
+        (F.col("o_orderpriority") == "1-URGENT").cast("double").alias("urgent"))
+    first = F.lit("1999-01-01").cast("timestamp_ntz")
+    path = scratch_path(spark, "artifacts")
+    J.fit_artifacts(o.filter(F.col("o_orderdate") < first), "o_orderkey", _TARGETS, path, members=6, numeric=["x"])
+    out = J.score_slate(o.filter(F.col("o_orderdate") >= first).select("o_orderkey", "x"), "o_orderkey", path, _TARGETS,
+                        ["mean_pred", "std_epistemic", "std_aleatoric"], calibrated=False)
+    return out.select("o_orderkey", *[F.round(F.col(f"{t}_{m}") / k, n).alias(f"{t}_{m}") for t, k, n in (("price", 1000, 4), ("urgent", 1, 6))
+                                      for m in ("mean_pred", "std_epistemic", "std_aleatoric")])
+
+
 # P9 browse: round, search, pick column groups, sort, page ---------------------------------------------
 @register("browse_page", """
 WITH t AS (
