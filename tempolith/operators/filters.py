@@ -64,10 +64,6 @@ def since_year(df: DataFrame, col: str, year: int) -> DataFrame:
     return df.filter(F.col(col) >= _day_bound(df, col, dt.date(year, 1, 1)))
 
 
-def date_between(df: DataFrame, col: str, lo, hi) -> DataFrame:
-    return df.filter(F.col(col).between(F.lit(lo), F.lit(hi)))
-
-
 # B5 ---------------------------------------------------------------------------
 def complete_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.dropna(how="any", subset=list(subset) if subset else None)

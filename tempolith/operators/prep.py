@@ -197,11 +197,6 @@ def one_hot(train: DataFrame, df: DataFrame, col: str, max_categories: int = 100
     return df.withColumns({f"{col}_{c}": (key == F.lit(c)).cast("double") for c in cats})
 
 
-def cast_categories(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Shared stringify step for fit and score (avoids the unstringified-score mismatch)."""
-    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("missing")) for c in cols})
-
-
 # M8 -----------------------------------------------------------------------------
 def variance_filter(df: DataFrame, cols: Sequence[str], threshold: float = 1e-4) -> list[str]:
     """Columns whose population variance exceeds ``threshold`` (one aggregate)."""

@@ -26,12 +26,31 @@ def top_n_per_group(df: DataFrame, keys, order: Sequence[Column | str], n: int,
 
 # S3 ------------------------------------------------------------------------------
 def page(df: DataFrame, order: Sequence[Column | str], page_no: int, size: int,
-         total_rows: int | None = None) -> DataFrame:
+         total_rows: int | None = None, tie: str | None = None) -> DataFrame:
     """One page of a sorted result; the page is clamped to [1, ceil(n/size)].
 
+    ``tie``, a unique column, makes the order total. Deep pages cost a sort of
+    all rows before them: ``page_after`` goes on from a row instead.
+
     ``total_rows`` may be passed when known; otherwise it is one count job.
     """
     n = df.count() if total_rows is None else total_rows
     last = max(1, -(-n // size))
     p = min(max(1, page_no), last)
-    return df.orderBy(*order).offset((p - 1) * size).limit(size)
+    ordered = sort_stable(df, order, tie) if tie else df.orderBy(*order)
+    return ordered.offset((p - 1) * size).limit(size)
+
+
+def page_after(df: DataFrame, order: Sequence[tuple[str, bool]], tie: str, size: int, last: Sequence | None = None) -> DataFrame:
+    """The ``size`` rows after the one with the values ``last`` (one for each
+    order column, then the tie), or the first ones: a filter and a top-n,
+    however deep the page.  ``order`` gives (column, ascending); order columns
+    are not NULL."""
+    keys = [*order, (tie, True)]
+    if last is not None:
+        later = F.lit(False)
+        for (c, up), v in reversed(list(zip(keys, last))):
+            beyond = F.col(c) > F.lit(v) if up else F.col(c) < F.lit(v)
+            later = beyond | ((F.col(c) == F.lit(v)) & later)
+        df = df.filter(later)
+    return df.orderBy(*[F.col(c).asc() if up else F.col(c).desc() for c, up in keys]).limit(size)

@@ -126,7 +126,7 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
                                        active_days=active_days, partitions=partitions, opponent=opponent,
                                        opponent_stats=opponent_stats, team=team, primary_metric=primary_metric,
                                        rank_bits=rank_bits)
-    order = list(order)
+    order, context_ranks = list(order), []
     df = W.lags(df, metrics, entity, order)
     df = W.expanding(df, metrics, entity, order)
     df = W.rolling(df, metrics, entity, order, n=roll)
@@ -135,6 +135,7 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
     df = W.count_last_days(df, entity, date, days=active_days, out=f"n_last_{active_days}d")
     if context and context_values:
         df = E.ewm_by_context(df, metrics, entity, order, context, context_values, span=span)
+        context_ranks = [f"{m}_ewm_mean_{v}" for m in metrics for v in context_values]
     grp = [entity, season] if season else [entity]
     df = W.trend_slope(df, metrics, grp, order, min_rows=slope_min_rows)
     df = W.rest_days(df, grp, date, order, out="rest_days", b2b="back_to_back")
@@ -143,8 +144,8 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
         df = W.streak_before(df, "_hot", grp, order, "hot_streak")
         df = W.streak_before(df, "_cold", grp, order, "cold_streak").drop("_hot", "_cold")
     df = _opponent_block(df, season, date, span, interaction_pairs, opponent, opponent_stats, team, primary_metric)
-    ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics
-                                                     for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")]
+    # a context's column is NULL on other contexts' rows, so its rank by date is the rank within the context
+    ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")] + context_ranks
     if skew_safe_ranks:
         from tempolith.operators import segmented as SG
         df = _ranked(df, ranks, rank_bits, lambda d, cols: SG.pct_rank_within(d, date, cols, partitions=partitions, key=[entity] + order))
@@ -299,7 +300,7 @@ def browse(df: DataFrame, order: Sequence, tie: str, query: str | None, groups:
     cols = B.group_columns(r.columns, groups)
     keep = [c for g in pick for c in cols.get(g, [])]
     r = r.select(*dict.fromkeys(keep + [tie]))
-    return S.page(r, list(order) + [tie], page_no, size)
+    return S.page(r, list(order), page_no, size, tie=tie)
 
 
 def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], date: str, metrics: Sequence[str],
@@ -350,8 +351,8 @@ def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], da
             ctx_rows = ctx_rows.select(entity, *order, *[e.alias(k) for k, e in outs.items()])
             rows = rows.join(ctx_rows, [entity] + order, "left")
     rows = _opponent_block(rows, season, date, span, interaction_pairs, opponent, opponent_stats, team, primary_metric)
-    ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics
-                                                     for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")]
+    ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")] + [
+        f"{m}_ewm_mean_{v}" for m in metrics for v in (context_values if context else ())]
     rows = _ranked(rows, ranks, rank_bits, lambda d, cols: SG.pct_rank_within(d, date, cols, partitions=partitions, key=[entity] + order))
     return NU.clean_non_finite(rows)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tempolith.functions import numeric as NU
 from tempolith.functions import text as TX
 from tempolith.operators import aggs as D
 from tempolith.operators import intervals as IV
@@ -84,13 +85,14 @@ def first_members(spark, sf):
 @register("active_intervals", f"""
 WITH {_CH_SQL}
 SELECT grp, CAST(k AS INTEGER) AS k, start_ AS "start", end_ AS "end", end_ - start_ AS duration, lineup,
-       CAST(n_active AS INTEGER) AS n_active
+       CAST(n_active AS INTEGER) AS n_active, round((end_ - start_) * 3600 / 60.0, 1) AS duration_minutes
 FROM lineups
 """)
 def active_intervals(spark, sf):
     e, changes, starters, spans = ch_parts(spark, sf)
     iv = IV.active_intervals(changes, starters, spans, "grp", "user_id", "clk", "is_in", size=CH_SIZE)
-    return iv.select("grp", "k", "start", "end", "duration", "lineup", "n_active")
+    minutes = NU.seconds_to_minutes(F.col("duration") * 3600).alias("duration_minutes")
+    return iv.select("grp", "k", "start", "end", "duration", "lineup", "n_active", minutes)
 
 
 # C11 + D8 events into intervals, conditional counters ------------------------------------

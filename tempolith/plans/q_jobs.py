@@ -28,10 +28,15 @@ P4_COLS = ["event_id", "user_id", "value_lag1", "value_lag2", "value_exp_mean",
            "n_last_7d", "value_slope", "rest_days", "back_to_back", "hot_streak", "cold_streak",
            "value_ewm_mean_x_value_exp_mean", "value_roll_max", "value_roll_min", "value_ewm_above", "value_ewm_dev",
            "value_ewm_mean_click", "value_ewm_mean_view",
-           "value_exp_mean_prank", "value_roll_mean_prank", "value_ewm_mean_prank"]
-_RANKED = {"em": "value_exp_mean_prank", "rm": "value_roll_mean_prank", "mu": "value_ewm_mean_prank"}
+           "value_exp_mean_prank", "value_roll_mean_prank", "value_ewm_mean_prank", "value_slope_prank",
+           "value_ewm_mean_click_prank", "value_ewm_mean_view_prank", "value_ewm_z", "value_ewm_revert"]
+_RANKED = {"em": "value_exp_mean_prank", "rm": "value_roll_mean_prank", "mu": "value_ewm_mean_prank", "sl": "value_slope_prank",
+           "clk": "value_ewm_mean_click_prank", "vw": "value_ewm_mean_view_prank"}
+_SLOPE = "CASE WHEN rn >= 21 AND ns >= 3 AND greatest(hi - y0, y0 - lo) > 1e-8 + 1e-5 * abs(y0) THEN s END"
 # ranks count smaller and equal values of the day, rounded so that rounding noise does not part equal ones
-_RANK_SQL = "gs AS (SELECT event_id, d, SNAP(em) AS em, SNAP(rm) AS rm, SNAP(mu) AS mu FROM g)," + ", ".join(f"""
+_RANK_SQL = f"""gs AS (SELECT g.event_id, d, SNAP(em) AS em, SNAP(rm) AS rm, SNAP(g.mu) AS mu, SNAP({_SLOPE}) AS sl,
+             SNAP(CASE WHEN cx.event_type = 'click' THEN cx.mu END) AS clk, SNAP(CASE WHEN cx.event_type = 'view' THEN cx.mu END) AS vw
+      FROM g LEFT JOIN cx USING (event_id)),""" + ", ".join(f"""
 k_{c} AS (SELECT a.event_id, (count(*) FILTER (WHERE b.{c} < a.{c}) + (count(*) FILTER (WHERE b.{c} = a.{c}) + 1) / 2.0) / count(b.{c}) AS pr
          FROM gs a JOIN gs b ON a.d = b.d WHERE a.{c} IS NOT NULL GROUP BY a.event_id)""" for c in _RANKED)
 
@@ -96,7 +101,7 @@ SELECT i.event_id AS event_id, i.user_id AS user_id, SNAP(lag1) AS value_lag1, S
        SNAP(CASE WHEN x0 IS NOT NULL THEN (-2*x0 - x1 + x3 + 2*x4) / 10.0 END) AS value_roll_trend,
        SNAP(mu) AS value_ewm_mean, SNAP(sd) AS value_ewm_std, CAST(surges AS BIGINT) AS value_ewm_surges,
        SNAP(lag1 - em) AS value_delta, c7.n AS n_last_7d,
-       SNAP(CASE WHEN rn >= 21 AND ns >= 3 AND greatest(hi - y0, y0 - lo) > 1e-8 + 1e-5 * abs(y0) THEN s END) AS value_slope,
+       SNAP({_SLOPE}) AS value_slope,
        CAST(rest AS INTEGER) AS rest_days,
        CAST(sum(ph) OVER (PARTITION BY i.user_id, gh ORDER BY ts, i.event_id) AS INTEGER) AS hot_streak,
        CAST(sum(pc) OVER (PARTITION BY i.user_id, gc ORDER BY ts, i.event_id) AS INTEGER) AS cold_streak,
@@ -107,9 +112,10 @@ SELECT i.event_id AS event_id, i.user_id AS user_id, SNAP(lag1) AS value_lag1, S
        above AS value_ewm_above, SNAP(abs(lag1 - mu)) AS value_ewm_dev,
        SNAP((SELECT cx.mu FROM cx WHERE cx.event_id = i.event_id AND cx.event_type = 'click')) AS value_ewm_mean_click,
        SNAP((SELECT cx.mu FROM cx WHERE cx.event_id = i.event_id AND cx.event_type = 'view')) AS value_ewm_mean_view,
-       SNAP(k_em.pr) AS value_exp_mean_prank, SNAP(k_rm.pr) AS value_roll_mean_prank, SNAP(k_mu.pr) AS value_ewm_mean_prank
+       {", ".join(f"SNAP(k_{c}.pr) AS {name}" for c, name in _RANKED.items())},
+       SNAP((lag1 - mu) / (sd + 1e-6)) AS value_ewm_z, SNAP(abs(lag1 - mu) / (sd + 1e-6)) AS value_ewm_revert
 FROM i JOIN c7 ON i.user_id = c7.user_id AND i.d = c7.d
-LEFT JOIN k_em ON k_em.event_id = i.event_id LEFT JOIN k_rm ON k_rm.event_id = i.event_id LEFT JOIN k_mu ON k_mu.event_id = i.event_id
+{" ".join(f"LEFT JOIN k_{c} ON k_{c}.event_id = i.event_id" for c in _RANKED)}
 """)
 def player_features(spark, sf):
     df = player_feature_frame(spark, sf).select(*P4_COLS)

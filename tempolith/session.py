@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoints that nothing refers to any more are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Python call-site capture for error messages costs ~30 % of plan build time
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -66,12 +68,6 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write a stage boundary as parquet and read it back (lineage cut that other jobs can reuse)."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -56,3 +56,12 @@ def test_refresh_for_slate_uses_latest_event(spark):
     out = J.refresh_for_slate(hist, slate, lambda df: W.expanding(W.lags(df, ["x"], "e", ["d"]), ["x"], "e", ["d"]))
     r = out.collect()
     assert len(r) == 1 and r[0].x_lag1 == 7.0 and r[0].x_exp_mean == 4.0 and r[0].x is None
+
+
+def test_keyset_pages_equal_offset_pages(spark):
+    from tempolith.operators import sorting as S
+    df = spark.createDataFrame([(i, i % 7) for i in range(50)], "id int, v int")
+    first = S.page_after(df, [("v", False)], "id", 8).collect()
+    second = S.page_after(df, [("v", False)], "id", 8, last=(first[-1].v, first[-1].id)).collect()
+    both = S.page(df, [df.v.desc()], 1, 16, tie="id").collect()
+    assert first + second == both
