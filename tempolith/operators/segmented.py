@@ -65,19 +65,19 @@ def pct_rank_within(df: DataFrame, by, cols: Sequence[str], suffix: str = "_pran
     """Average-tie percentile rank of each column within ``by`` (as
     ``windows.pct_rank_within``) without sending a group to one task.
 
-    With ``key`` (a unique row key), each column is ranked on the narrow
-    projection (key, by, column) and all ranks join back to the frame once, so
-    the range shuffles and checkpoints carry three columns, not the whole row."""
+    With ``key`` (a unique row key) all columns are ranked together: their
+    values are unpivoted, range-partitioned on (by, column, value) once, and
+    the ranks join back to the frame once.  NULLs take no part, so a group's
+    missing values are not dealt at all."""
     by = _cols(by)
     if key is None:
         for c in cols:
             df = _rank_one(df, by, c, f"{c}{suffix}", partitions)
         return df
-    key = list(key)
-    ranked = None
-    for c in cols:
-        r = _rank_one(df.select(*key, *by, c), by, c, f"{c}{suffix}", partitions).select(*key, f"{c}{suffix}")
-        ranked = r if ranked is None else ranked.join(r, key)
+    key, ids = list(key), list(dict.fromkeys([*key, *by]))
+    long = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(ids, list(cols), "_c", "_v")
+    r = _rank_one(long.filter(F.col("_v").isNotNull()), [*by, "_c"], "_v", "_r", partitions)
+    ranked = r.groupBy(*key).agg(*[F.max(F.when(F.col("_c") == c, F.col("_r"))).alias(f"{c}{suffix}") for c in cols])
     return df.join(ranked, key, "left")
 
 

@@ -177,11 +177,15 @@ def count_last_days(df: DataFrame, entity, date: str, days: int = 7, out: str =
 
 # W18 --------------------------------------------------------------------------
 def cumulative_record(df: DataFrame, entity, order, win_flag: str, prefix: str = "cum") -> DataFrame:
-    """Running wins / losses / win share, current row included."""
-    w = series_window(entity, order).rowsBetween(UNB, CUR)
-    wins = F.sum(F.col(win_flag).cast("int")).over(w)
-    losses = F.sum((~F.col(win_flag)).cast("int")).over(w)
-    df = df.withColumns({f"{prefix}_wins": wins.cast("long"), f"{prefix}_losses": losses.cast("long")})
+    """Running wins / losses / win share, current row included.
+
+    Entities here are teams and the like, few and large, so the series are cut
+    into range segments whose totals are carried over (``segmented``)."""
+    from tempolith.operators import segmented as SG
+    flags = df.withColumns({"_w": F.coalesce(F.col(win_flag).cast("int"), F.lit(0)), "_l": F.coalesce((~F.col(win_flag)).cast("int"), F.lit(0))})
+    df = SG.global_positions(SG.segment(flags, entity, order), entity, order)
+    df = SG.running_sum_across(SG.running_sum_across(df, entity, "_w", f"{prefix}_wins"), entity, "_l", f"{prefix}_losses")
+    df = df.drop("_w", "_l", "_rn", "_seg_start", "_n", SG.SEG).withColumns({f"{prefix}_{c}": F.col(f"{prefix}_{c}").cast("long") for c in ("wins", "losses")})
     return df.withColumn(f"{prefix}_win_pct", F.try_divide(F.col(f"{prefix}_wins").cast("double"),
                                                           (F.col(f"{prefix}_wins") + F.col(f"{prefix}_losses")).cast("double")))
 

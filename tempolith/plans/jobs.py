@@ -91,7 +91,7 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
                   interaction_pairs: Sequence[tuple[str, str]] = (), rank_cols: Sequence[str] | None = None,
                   active_days: int = 7, skew_safe: bool = False, partitions: int | None = None,
                   opponent: str | None = None, opponent_stats: Sequence[str] = (), team: str | None = None,
-                  primary_metric: str | None = None, skew_safe_ranks: bool = False,
+                  primary_metric: str | None = None, skew_safe_ranks: bool = True,
                   layout: str = "wide", rank_bits: int | None = None) -> DataFrame:
     """Leakage-safe feature block for every metric (W1-W17, W25) with per-date ranks.
 
@@ -103,14 +103,14 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
     date) - a table of opponents x dates, small - and multiplied with the
     entity's EWM of the same stat when present (W25).  With ``team`` and
     ``primary_metric``, ``{metric}_primary`` flags the row(s) holding the
-    team-date maximum of that metric's EWM mean (D13).  ``skew_safe_ranks``
-    computes only the per-date ranks on range segments (exact, for data with a
-    hot date but no hot entity).  ``layout="long"`` returns the per-metric
+    team-date maximum of that metric's EWM mean (D13).  The per-date ranks run
+    on range segments, all columns in one shuffle; ``skew_safe_ranks=False``
+    gives them one window per date instead, for dates that are small.  ``layout="long"`` returns the per-metric
     features one row per (row, metric) from a single window pass over all
     metrics (``feature_build_long``; pivot with ``to_wide``)."""
     asked = {"context": context, "hot_metric": hot_metric, "interaction_pairs": interaction_pairs, "rank_cols": rank_cols,
              "opponent": opponent, "team": team, "primary_metric": primary_metric, "skew_safe": skew_safe,
-             "skew_safe_ranks": skew_safe_ranks, "rank_bits": rank_bits}
+             "rank_bits": rank_bits}
     if layout == "long" and any(asked.values()):
         raise ValueError(f"layout='long' has per-metric features only, not {sorted(k for k, v in asked.items() if v)}")
     if layout == "long":
@@ -196,13 +196,50 @@ def intervals_incremental(existing: DataFrame | None, summary: DataFrame | None,
     g = [group] if isinstance(group, str) else list(group)
     if existing is None:
         return IV.active_intervals(changes, starters, spans, g, member, clock, is_in, size=size, **kw)
-    same = change_summary(changes, g).join(summary, [*g, "log_rows", "log_hash"], "left_semi").select(*g)
-    same = cut_lineage(same)                                 # one row per unchanged group, read by every branch
+    same = unchanged_groups(summary, changes, g)
     fresh = IV.active_intervals(*(IO.only_new(x, same, g) for x in (changes, starters, spans)),
                                 g, member, clock, is_in, size=size, **kw)
     return existing.join(same, g, "left_semi").unionByName(fresh.select(*existing.columns))
 
 
+def unchanged_groups(summary: DataFrame, changes: DataFrame, group) -> DataFrame:
+    """Groups whose log is still the one that ``summary`` describes."""
+    g = [group] if isinstance(group, str) else list(group)
+    return cut_lineage(change_summary(changes, g).join(summary, [*g, "log_rows", "log_hash"], "left_semi").select(*g))
+
+
+def on_off_incremental(existing: DataFrame, same: DataFrame, intervals: DataFrame, group, counters: Sequence[str]) -> DataFrame:
+    """On/off totals (D5-D7): the rows of the groups in ``same`` are kept, those
+    of all others are computed from their intervals and take the old rows' place."""
+    g = [group] if isinstance(group, str) else list(group)
+    fresh = IV.on_off(IO.only_new(intervals, same, g), g, counters)
+    return existing.join(same, g, "left_semi").unionByName(fresh.select(*existing.columns))
+
+
+# P3 ------------------------------------------------------------------------------------
+def ready_rows(events: DataFrame, parts: DataFrame, key: str, part_key: str, entity: str, season: str, stat: str,
+               top_order: Sequence, top_cols: Sequence[str], total: str, weight: tuple[str, str], drop: Sequence[str],
+               absent: str, least_rows: int, least_mean: float, last_season: int,
+               unavailable: DataFrame, group: str, date: str, starter: str) -> DataFrame:
+    """Feature-ready rows: events with the totals (D3), weighted mean (D4) and
+    top row (C7) of their parts, the key-member flag (P2), then the filters
+    B1, B5, B7, B8, B9 and B10.
+
+    ``parts`` holds the detail rows of each event; ``absent`` is the flag of
+    rows that did not take part."""
+    sums = parts.groupBy(part_key).agg(F.sum(total).alias(total), F.count(F.lit(1)).alias("n_parts"))
+    mean = D.weighted_mean(parts, [part_key], weight[0], weight[1], out=f"{weight[0]}_wmean")
+    sums = sums.join(mean, part_key, "left")
+    top = parts.select(F.col(part_key).alias(key), *top_cols)
+    rows = C.enrich_first(C.enrich_on(events, sums, [(key, part_key)]), top, key, top_order)
+    rows = key_member_flag(rows, entity, group, date, starter, unavailable)
+    rows = B.complete_rows(B.drop(rows, part_key, *drop), [total])
+    rows = B.participated(rows, absent, stat)
+    rows = B.min_rows(rows, entity, least_rows)
+    rows = B.qualify(rows, [entity, season], stat, least_mean)
+    return B.active_in(rows, entity, season, last_season)
+
+
 # P6 ------------------------------------------------------------------------------------
 def upcoming_slate(schedule: DataFrame, home: str, away: str, roster: DataFrame, history_roster: DataFrame,
                    team: str, max_roster: int, roster_order: Sequence, latest: DataFrame,

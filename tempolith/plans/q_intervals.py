@@ -146,17 +146,21 @@ SELECT o.grp, o.member, o.n_on, CAST(o.on_n_ev AS BIGINT) AS on_n_ev, SNAP(o.on_
 FROM onx o LEFT JOIN offx f USING (grp, member)
 """)
 def on_off_split(spark, sf):
-    e, changes, starters, spans = ch_parts(spark, sf)
-    # both are read by several branches: written once
+    out = IV.on_off(counted_intervals(*ch_parts(spark, sf)), "grp", ["n_ev", "v"])
+    return round_doubles(out.select("grp", "member", "n_on", "on_n_ev", "on_v", "off_n_ev", "off_v"))
+
+
+def counted_intervals(e, changes, starters, spans):
+    """Intervals of the change log with the number and sum of their events.
+
+    Boundaries and intervals are read by several branches: written once."""
     bnd = cut_lineage(IV.boundaries(changes, spans, "grp", "clk"))
     iv = cut_lineage(IV.active_intervals(changes, starters, spans, "grp", "user_id", "clk", "is_in", size=CH_SIZE, bnd=bnd))
     placed = IV.assign_intervals(e, bnd, "grp", "clk", bucket_width=24.0, closed="right")
     cnt = placed.filter(F.col("k").isNotNull()).groupBy("grp", "k").agg(
         F.count(F.lit(1)).alias("n_ev"), F.sum("value").alias("v"))
-    ivc = iv.join(cnt, ["grp", "k"], "left").withColumns(
-        {"n_ev": F.coalesce("n_ev", F.lit(0)), "v": F.coalesce("v", F.lit(0.0))})
-    out = IV.on_off(ivc, "grp", ["n_ev", "v"])
-    return round_doubles(out.select("grp", "member", "n_on", "on_n_ev", "on_v", "off_n_ev", "off_v"))
+    return cut_lineage(iv.join(cnt, ["grp", "k"], "left").withColumns(
+        {"n_ev": F.coalesce("n_ev", F.lit(0)), "v": F.coalesce("v", F.lit(0.0))}))
 
 
 # IV frame: C12 roster, D9 members, U4 array sets, F12 id lists -------------------------------

@@ -201,30 +201,36 @@ def key_member_out(spark, sf):
 
 
 # P3 feature-ready assembly ----------------------------------------------------------------------
-@register("ready_rows", """
-WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS season
-           FROM orders),
-l AS (SELECT l_orderkey, sum(l_quantity) AS qty, count(*) AS n_lines FROM lineitem GROUP BY 1),
-j AS (SELECT o.*, l.qty, l.n_lines FROM o LEFT JOIN l ON o.o_orderkey = l.l_orderkey
-      WHERE l.qty IS NOT NULL AND o.o_orderstatus <> 'P' AND o.o_totalprice > 0),
+@register("ready_rows", f"""
+WITH {_AVAIL_SQL},
+r AS (SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, CAST(year(o.o_orderdate) AS INTEGER) AS season,
+             c.c_mktsegment AS team, o.o_orderdate::date AS date, o.o_orderpriority IN ('1-URGENT', '2-HIGH') AS starter
+      FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+km AS (SELECT o_custkey FROM r GROUP BY 1 HAVING avg(CAST(starter AS INTEGER)) > 0.5),
+outk AS (SELECT DISTINCT team, date FROM av WHERE CAST(substr(key, 10) AS BIGINT) IN (SELECT o_custkey FROM km)),
+l AS (SELECT l_orderkey, sum(l_quantity) AS qty, count(*) AS n_parts, sum(l_discount * l_extendedprice) / sum(l_extendedprice) AS disc,
+             max(l_extendedprice) AS top_price FROM lineitem GROUP BY 1),
+j AS (SELECT r.*, l.qty, l.n_parts, l.disc, l.top_price, coalesce(outk.team IS NOT NULL, false) AS key_member_out
+      FROM r LEFT JOIN l ON r.o_orderkey = l.l_orderkey LEFT JOIN outk ON outk.team = r.team AND outk.date = r.date
+      WHERE l.qty IS NOT NULL AND r.o_orderstatus <> 'P' AND r.o_totalprice > 0),
 m AS (SELECT * FROM j WHERE o_custkey IN (SELECT o_custkey FROM j GROUP BY 1 HAVING count(*) >= 10)),
 q AS (SELECT m.* FROM m JOIN (SELECT o_custkey, season FROM m GROUP BY ALL HAVING avg(o_totalprice) >= 150000) k
       USING (o_custkey, season))
-SELECT o_orderkey, o_custkey, season, SNAP(qty) AS qty, n_lines FROM q
+SELECT o_orderkey, o_custkey, season, SNAP(qty) AS qty, n_parts, SNAP(disc) AS disc_wmean, SNAP(top_price) AS top_price, key_member_out FROM q
 WHERE o_custkey IN (SELECT o_custkey FROM q WHERE season = 2001)
 """)
 def ready_rows(spark, sf):
-    o = orders_frame(spark, sf)
-    li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("qty"),
-                                                                F.count(F.lit(1)).alias("n_lines"))
-    j = C.enrich_on(o, li, [("o_orderkey", "l_orderkey")])
-    j = B.drop(j, "l_orderkey", "c_nationkey")
-    j = B.complete_rows(j, ["qty"])
-    j = B.participated(j.withColumn("pending", F.col("o_orderstatus") == "P"), "pending", "o_totalprice")
-    j = B.min_rows(j, "o_custkey", 10)
-    j = B.qualify(j, ["o_custkey", "season"], "o_totalprice", 150000)
-    j = B.active_in(j, "o_custkey", "season", 2001)
-    return round_doubles(j.select("o_orderkey", "o_custkey", "season", "qty", "n_lines"))
+    o = orders_frame(spark, sf).withColumnsRenamed({"c_mktsegment": "team", "o_orderdate": "date"}).withColumns(
+        {"pending": F.col("o_orderstatus") == "P", "starter": F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")})
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_extendedprice", F.col("l_quantity").alias("qty"),
+                                                F.col("l_extendedprice").alias("top_price"))
+    av = J.consolidate_availability(availability_sources(spark, sf), "out", priority=["A", "B", "C"])
+    av = av.select("team", "date", F.substring("key", 10, 64).cast("long").alias("o_custkey"))
+    out = J.ready_rows(o, lines, "o_orderkey", "l_orderkey", "o_custkey", "season", "o_totalprice",
+                       [F.col("top_price").desc()], ["top_price"], "qty", ("l_discount", "l_extendedprice"), ["c_nationkey"],
+                       "pending", 10, 150000, 2001, av, "team", "date", "starter")
+    return round_doubles(out.select("o_orderkey", "o_custkey", "season", "qty", "n_parts", F.col("l_discount_wmean").alias("disc_wmean"),
+                                    "top_price", "key_member_out"))
 
 
 # P5 interval reconstruction for new groups only --------------------------------------------------
@@ -247,6 +253,26 @@ def intervals_incremental(spark, sf):
     return out.select("grp", "k", "start", "end", "lineup")
 
 
+# D7 on/off totals kept incrementally: group 2's log was corrected, groups from 5 on are new ---------------------------------
+def _register_on_off():
+    from tempolith.plans.catalog import ORACLE
+    from tempolith.plans.q_intervals import counted_intervals
+
+    @register("on_off_incremental", ORACLE["on_off_split"])
+    def on_off_incremental(spark, sf):
+        e, changes, starters, spans = ch_parts(spark, sf)
+        earlier = changes.filter((F.col("grp") < 5) & ((F.col("grp") != 2) | (F.col("clk") < 19 * 24)))
+        before = counted_intervals(e.filter("grp < 5"), earlier, starters.filter("grp < 5"), spans.filter("grp < 5"))
+        path = scratch_path(spark, "on_off_existing")
+        IV.on_off(before, "grp", ["n_ev", "v"]).write.parquet(path)         # the materialised earlier run
+        same = J.unchanged_groups(J.change_summary(earlier, "grp"), changes, "grp")
+        out = J.on_off_incremental(spark.read.parquet(path), same, counted_intervals(e, changes, starters, spans), "grp", ["n_ev", "v"])
+        return round_doubles(out.select("grp", "member", "n_on", "on_n_ev", "on_v", "off_n_ev", "off_v"))
+
+
+_register_on_off()
+
+
 # P6 upcoming slate: schedule x roster x latest row --------------------------------------------------
 @register("upcoming_slate", """
 WITH g AS (SELECT n_nationkey AS home, (n_nationkey + 1) % 25 AS away, n_regionkey AS week FROM nation),
