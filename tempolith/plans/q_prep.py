@@ -551,17 +551,20 @@ def metrics_view(spark, sf):
     return round_doubles(v.select("target", "suffix", "rmse_mean", "pi80_coverage", "bias"))
 
 
+# every target and measure of the published layout
+_LAYOUT = ("click", "error", "purchase", "signup", "view")
+_MEASURES = {"mean_pred": "mu", "q10": "q10", "q50": "q50", "q90": "q90", "std80_lower": "std80_lower", "std80_upper": "std80_upper", "pi80_width": "greatest(q90 - q10, 0)",
+             "std_predictive": "sp", "std_epistemic": "se", "std_aleatoric": "sa"}
+
+
 @register("display_wide", f"""
 WITH {_EVAL_SQL}
-SELECT user_id,
-       max(CASE WHEN target = 'click' THEN SNAP(mu) END) AS click_mean_pred,
-       max(CASE WHEN target = 'purchase' THEN SNAP(mu) END) AS purchase_mean_pred,
-       max(CASE WHEN target = 'view' THEN SNAP(mu) END) AS view_mean_pred
+SELECT user_id, {", ".join(f"max(CASE WHEN target = '{t}' THEN SNAP({e}) END) AS {t}_{m}" for t in _LAYOUT for m, e in _MEASURES.items())}
 FROM ivc GROUP BY user_id
 """)
 def display_wide(spark, sf):
-    iv = round_doubles(_eval_frame(spark, sf).select("user_id", "target", "mean_pred"))
-    return U.display_table(iv, ["user_id"], "target", ["click", "purchase", "view"], ["mean_pred"])
+    iv = round_doubles(_eval_frame(spark, sf).select("user_id", "target", *_MEASURES))
+    return U.display_table(iv, ["user_id"], "target", _LAYOUT, list(_MEASURES))
 
 
 # M14 bagged regressors standing in for MC draws: hashed weights and noise, so SQL can repeat them ---------------
