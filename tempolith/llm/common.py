@@ -61,11 +61,12 @@ _powers: dict[int, np.ndarray] = {}
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers (the splitmix64 finaliser)."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    held = x >> np.uint64(30)
+    x = held ^ x
+    for factor, shift in ((0xBF58476D1CE4E5B9, 27), (0x94D049BB133111EB, 31)):
+        x *= np.uint64(factor)
+        np.right_shift(x, np.uint64(shift), out=held)
+        x ^= held
     return x
 
 
@@ -97,6 +98,10 @@ class RangeHash:
     def of(self, start, end) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.back[start])
 
+    def runs(self, n: int) -> np.ndarray:
+        """Of every run of n bytes, by its start."""
+        return mix((self.sums[n:] - self.sums[:-n]) * self.back[: len(self.sums) - n])
+
 
 def blocks(items: Iterable[tuple], text: int = 1) -> Iterator[list[tuple]]:
     """Group rows so that a group's texts hold about a block of bytes; a longer text is alone."""

@@ -46,27 +46,40 @@ _UPPER = np.uint64(0xFFFFFFFF00000000)
 class Text:
     """Samples of a block of texts: place, first and last start that choose it, and its text."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], sample: bool = True):
         self.buf = buf = np.frombuffer(b"".join(texts), np.uint8)
         size = np.fromiter(map(len, texts), np.int64, len(texts))
         self.offset = np.concatenate([[0], np.cumsum(size)])
         self.hash = RangeHash(buf)
-        left = np.repeat(self.offset[1:], size) - np.arange(len(buf))
-        starts = np.flatnonzero(left >= LENGTH)
-        if not len(starts):
-            self.place = self.low = self.high = self.doc = starts
+        if sample:
+            self._sample(buf, size)
+
+    def _sample(self, buf: np.ndarray, size: np.ndarray) -> None:
+        enough = np.flatnonzero(size >= LENGTH)
+        if not len(enough):
+            self.place = self.low = self.high = self.doc = np.empty(0, np.int64)
             return
         # hash in the upper half, place in the lower: the smallest is the leftmost of the smallest hashes
-        at = np.arange(len(buf) - RUN + 1, dtype=np.uint64)
-        packed = (self.hash.of(at[:], at + np.uint64(RUN)) & _UPPER) | at
-        packed = np.append(packed, np.full(-len(packed) % WINDOW, _UPPER, np.uint64)).reshape(-1, WINDOW)
-        head = np.minimum.accumulate(packed, axis=1).ravel()
-        tail = np.ascontiguousarray(np.minimum.accumulate(packed[:, ::-1], axis=1)[:, ::-1]).ravel()
-        place = (np.minimum(tail[starts], head[starts + WINDOW - 1]) & ~_UPPER).astype(np.int64)
-        new = np.flatnonzero(np.diff(place, prepend=-1))
-        self.place, self.low = place[new], starts[new]
-        self.high = starts[np.append(new[1:], len(starts)) - 1]
-        self.doc = np.searchsorted(self.offset, self.low, side="right") - 1
+        runs = len(buf) - RUN + 1
+        packed = np.full(runs + -runs % WINDOW, _UPPER, np.uint64)
+        packed[:runs] = self.hash.runs(RUN)
+        packed[:runs] &= _UPPER
+        packed[:runs] |= np.arange(runs, dtype=np.uint64)
+        square = packed.reshape(-1, WINDOW)
+        head, tail = np.empty_like(square), np.empty_like(square)
+        np.minimum.accumulate(square, axis=1, out=head)
+        np.minimum.accumulate(square[:, ::-1], axis=1, out=tail[:, ::-1])
+        chosen = np.minimum(tail.ravel()[: len(packed) - WINDOW + 1], head.ravel()[WINDOW - 1:])
+        # a sample begins where the choice changes, or a text's starts begin; it ends before the next, or with them
+        begin, stop = self.offset[enough], self.offset[enough + 1] - LENGTH + 1
+        change = np.flatnonzero(chosen[1:] != chosen[:-1]) + 1
+        text = np.searchsorted(begin, change, side="right") - 1
+        inside = (text >= 0) & (change > begin[text]) & (change < stop[text])
+        self.low = np.sort(np.concatenate([begin, change[inside]]))
+        text = np.searchsorted(begin, self.low, side="right") - 1
+        self.doc = enough[text]
+        self.high = np.minimum(np.append(self.low[1:], len(buf)), stop[text]) - 1
+        self.place = (chosen[self.low] & ~_UPPER).astype(np.int64)
 
     def names(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """128 bits for each range, as two columns."""
@@ -114,16 +127,18 @@ def _triples(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row for each start of the open samples: the name of its 200 bytes, and who it is."""
+    columns = ["oid", "place", "low", "high", "single"]
     for frame in frames:
-        for raw, opened in zip(frame["raw"], frame["opened"]):
-            t = Text.__new__(Text)
-            t.buf = np.frombuffer(bytes(raw), np.uint8)
-            t.hash = RangeHash(t.buf)
-            oid, place, low, high, single = (np.array([o[c] for o in opened], np.int64) for c in ("oid", "place", "low", "high", "single"))
+        for block in blocks([(k, bytes(r)) for k, r in enumerate(frame["raw"])]):
+            rows = frame.iloc[[k for k, _ in block]]
+            t = Text([r for _, r in block], sample=False)
+            oid, place, low, high, single = (np.concatenate(rows[c].to_list()) for c in columns)
+            base = np.repeat(t.offset[:-1], [len(x) for x in rows["oid"]])
             n = high - low + 1
-            start = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            back = np.repeat(place - low, n) - (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+            start = np.repeat(place + base, n) - back
             one, two = t.names(start, start + LENGTH)
-            yield pd.DataFrame({"s1": one, "s2": two, "who": np.repeat(oid, n) * 256 + np.repeat(place, n) - start, "single": np.repeat(single, n).astype(bool)})
+            yield pd.DataFrame({"s1": one, "s2": two, "who": np.repeat(oid, n) * 256 + back, "single": np.repeat(single, n)})
 
 
 def spans_of(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
@@ -137,9 +152,9 @@ def spans_of(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
 def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
-        for md5, raw, ranges in zip(frame["md5"], frame["raw"], frame["ranges"]):
+        for md5, raw, low, high in zip(frame["md5"], frame["raw"], frame["low"], frame["high"]):
             raw = bytes(raw)
-            spans = spans_of(*(np.array([r[c] for r in ranges], np.int64) for c in ("low", "high")))
+            spans = spans_of(low, high)
             keep = b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(raw)]))
             rows.append((md5, [{"start": a, "end": b} for a, b in spans], hashlib.sha256(keep).hexdigest()))
         yield pd.DataFrame(rows, columns=["md5", "spans", "kept_sha256"])
@@ -154,10 +169,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = stage.keep(long.groupBy("md5").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("md5"), "copies")
 
     # sort the sampled suffixes by name; a name ties if different texts hold it, or one text twice
-    names = long.select("raw").mapInPandas(_keys, "key long, md long, twice boolean")
+    names = stage.keep(long.select("raw").mapInPandas(_keys, "key long, md long, twice boolean"), "names")
     ties = names.groupBy("key").agg(F.min("md").alias("a"), F.max("md").alias("b"), F.max("twice").alias("twice")).filter("twice OR a <> b").select("key")
     ties = stage.keep(ties, "ties")
     lists = stage.keep(names.select("key", "md").join(ties, "key").groupBy("md").agg(F.collect_set("key").alias("keys")), "lists")
+    stage.drop("names")
     md = F.conv(F.substring(F.hex("md5"), 1, 16), 16, -10).cast("long")
     tied = long.select("md5", "raw").withColumn("md", md).join(lists, "md").groupBy("md5").agg(F.first("raw").alias("raw"), F.first("keys").alias("keys"))
     tied = tied.join(copies.withColumn("copied", F.lit(True)), "md5", "left").withColumn("copied", F.coalesce("copied", F.lit(False)))
@@ -178,7 +194,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # the remaining suffixes: starts of single triples, against each other and one of each other triple
     by_text = opened.groupBy("md5").agg(F.collect_list(F.struct("oid", "place", "low", "high", "single")).alias("opened"))
-    work = stage.keep(tied.select("md5", "raw").join(by_text, "md5").select("raw", "opened"), "work")
+    work = stage.keep(tied.select("md5", "raw").join(by_text, "md5").select("raw", *[F.col(f"opened.{c}").alias(c) for c in ("oid", "place", "low", "high", "single")]), "work")
     starts = work.mapInPandas(_starts, "s1 long, s2 long, who long, single boolean")
     equal = stage.keep(starts.groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("n"), F.max("single").alias("open")).filter("n > 1 AND open").select("s1", "s2"), "equal")
     hits = starts.filter("single").select("s1", "s2", "who").join(equal, ["s1", "s2"], "left_semi").select(F.shiftright("who", 8).alias("oid"), (F.col("who") % 256).alias("back"))
@@ -186,6 +202,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stage.drop("work", "equal")
     found = hits.join(opened.select("oid", "md5", "place"), "oid").select("md5", (F.col("place") - F.col("back")).alias("low")).withColumn("high", F.col("low"))
     ranges = decided.unionByName(found).groupBy("md5").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    ranges = ranges.select("md5", F.col("ranges.low").alias("low"), F.col("ranges.high").alias("high"))
     cut = tied.filter("NOT copied").select("md5", "raw").join(ranges, "md5").mapInPandas(_cut, "md5 binary, spans array<struct<start:long,end:long>>, kept_sha256 string")
     cut = stage.keep(cut, "cut")
     stage.drop("tied", "opened", "decided", "hits")
