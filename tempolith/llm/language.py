@@ -62,7 +62,7 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     # at most SLOTS rows a language on the small side
     parts = rows.join(F.broadcast(picked.limit(SLOTS * LANGUAGES + 1)), ["lang", "h"]).select("lang", "h", "text").mapInPandas(cut, "lang string, h long, part binary")
     books: dict[str, list[bytes]] = {}
-    for row in parts.dropDuplicates(["lang", "h"]).orderBy("lang", "h").collect():
+    for row in parts.groupBy("lang", "h").agg(F.min("part").alias("part")).orderBy("lang", "h").collect():
         books.setdefault(row["lang"], []).append(bytes(row["part"]))
     if len(books) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages among the labels")
