@@ -47,7 +47,8 @@ def main() -> None:
     catalog.load_all()
     print("# Physical plan summary (static plans, AQE off)\n")
     print("Generated by `tools/plan_report.py`. With AQE on, small exchanges additionally become "
-          "broadcasts and partitions coalesce at run time.\n")
+          "broadcasts and partitions coalesce at run time. Stages before a checkpoint have run when the "
+          "plan is made and are not listed.\n")
     for name in QUERIES:
         df = catalog.QUERIES[name](spark, sf)
         s = summarise(df._jdf.queryExecution().executedPlan().toString())
