@@ -4,7 +4,8 @@ Rows are first summed to units, one per distinct text; a text whose copies weigh
 shard is cut into several units by a hash of the id, so one group never outweighs a cut. The tree then splits
 the units: at each node the dimension with the largest range is taken, and the units are divided where the
 running sum of their bytes crosses the node's share of leaves, found by range partitions over the whole level
-at a time. Leaves are the shards; copies of a text stay together as far as the sizes allow.
+at a time. Leaves are the shards; copies of a text stay together as far as the sizes allow. Units whose node is
+a leaf take no part in further levels.
 
 A null text has no bytes (size 1). Equal units are ordered by their hash, so ties do not unbalance a split.
 Repeated rows are rows like any others. An empty table gives an empty result. ``sharded`` keeps the columns
@@ -13,6 +14,7 @@ of its input, whatever their names.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -62,23 +64,24 @@ def shard(docs: DataFrame, n_shards: int | None = None, target_bytes: int | None
     units = units.select("__md5", "__unit", "__bytes", _dimensions(F.col("__size"), F.col("__chars"), F.col("__crc")).alias("__dims"),
                          F.lit(0).alias("__lo"), F.lit(leaves).alias("__k"))
     units = stage.keep(units, "units")
-    n_dims = 3
-    for level in range(max(0, math.ceil(math.log2(leaves)))):
+    n_dims, level, leaves_of = 3, 0, [units.filter("__k = 1")]
+    while not (open_ := units.filter("__k > 1")).isEmpty():
+        # one row per node that is still split: its widest dimension, its bytes, and the bytes of the nodes before it
         ranges = [F.max(F.col("__dims")[i]) - F.min(F.col("__dims")[i]) for i in range(n_dims)]
-        nodes = units.groupBy("__lo").agg(F.array(*ranges).alias("__w"))
-        nodes = nodes.select("__lo", F.array_position("__w", F.array_max("__w")).cast("int").alias("__axis"))
-        starts = _offsets(units, "__lo", F.col("__bytes"))
-        # one row per node, at most as many as there are shards
-        split = units.join(F.broadcast(nodes), "__lo").withColumn("__value", F.element_at("__dims", F.col("__axis"))).drop("__axis")
+        nodes = open_.groupBy("__lo").agg(F.array(*ranges).alias("__w"), F.sum("__bytes").alias("__sum"))
+        nodes = nodes.select("__lo", F.array_position("__w", F.array_max("__w")).cast("int").alias("__axis"), "__sum",
+                             (F.sum("__sum").over(Window.orderBy("__lo")) - F.col("__sum")).alias("__start"))
+        split = open_.join(F.broadcast(nodes), "__lo").withColumn("__value", F.element_at("__dims", F.col("__axis"))).drop("__axis")
         split = running_sum(split, ["__lo", "__value", "__md5", "__unit"], "__bytes", stage, f"level{level}")
-        split = split.join(F.broadcast(starts), "__lo")
         half = F.floor(F.col("__k") / 2).cast("int")
         left = F.col("__before") - F.col("__start") + F.col("__bytes") / 2 <= F.col("__sum") * half / F.col("__k")
-        units = stage.keep(split.select("__md5", "__unit", "__bytes", "__dims",
-                                        F.when(left | (F.col("__k") == 1), F.col("__lo")).otherwise(F.col("__lo") + half).alias("__lo"),
-                                        F.when(F.col("__k") == 1, 1).when(left, half).otherwise(F.col("__k") - half).alias("__k")), f"units{level}")
-        stage.drop(f"level{level}", f"units{level - 1}" if level else "units")
-    placed = rows.join(units.select("__md5", "__unit", F.col("__lo").alias("shard")), ["__md5", "__unit"])
+        units = stage.keep(split.select("__md5", "__unit", "__bytes", "__dims", F.when(left, F.col("__lo")).otherwise(F.col("__lo") + half).alias("__lo"),
+                                        F.when(left, half).otherwise(F.col("__k") - half).alias("__k")), f"units{level}")
+        stage.drop(f"level{level}")
+        leaves_of.append(units.filter("__k = 1"))
+        level += 1
+    where = functools.reduce(DataFrame.unionByName, leaves_of).select("__md5", "__unit", F.col("__lo").alias("shard"))
+    placed = rows.join(where, ["__md5", "__unit"])
     placed = placed.select("doc_id", "__occ", "size", "text_crc32", "shard", F.lit(1).cast("long").alias("__one"))
     placed = running_sum(placed, ["shard", "doc_id", "__occ", "text_crc32"], "__one", stage, "slots")
     firsts = _offsets(placed.select("shard", "__one"), "shard", F.col("__one"))
