@@ -63,17 +63,7 @@ def _fold_tables(transliterate: bool) -> tuple[str, str, dict]:
     return "".join(src), "".join(dst), several
 
 
-def _char_class(chars) -> str:
-    """Regex class of the characters, as ranges of code points."""
-    points, ranges = sorted(map(ord, chars)), []
-    for cp in points:
-        if ranges and ranges[-1][1] == cp - 1:
-            ranges[-1][1] = cp
-        else:
-            ranges.append([cp, cp])
-    return "[" + "".join(rf"\x{{{a:X}}}" if a == b else rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges) + "]"
-
-
+NON_ASCII = r"[^\x00-\x7F]"
 # Characters with several letters that are common in names: replaced literally before the slower spelling-out.
 COMMON = ("ß", "æ", "Æ", "œ", "Œ")
 
@@ -91,8 +81,10 @@ def ascii_fold(c: Column, transliterate: bool = False) -> Column:
             t = F.replace(t, F.lit(ch), F.lit(several[ch]))
     table = F.from_json(F.lit(json.dumps(several)), "map<string,string>")
     spelled = F.array_join(F.transform(F.split(t, ""), lambda ch: F.when(ch < "\x80", ch).otherwise(F.coalesce(F.try_element_at(table, ch), F.lit("")))), "")
-    rest = F.when(t.rlike(_char_class(several)), spelled).otherwise(F.regexp_replace(t, r"[^\x00-\x7F]", ""))
-    return F.when(c.rlike(r"[^\x00-\x7F]"), rest).otherwise(c)
+    # a character that becomes several letters is there if deleting them all shortens the text
+    holds = F.length(F.translate(t, "".join(several), "")) != F.length(t)
+    rest = F.when(holds, spelled).otherwise(F.regexp_replace(t, NON_ASCII, ""))
+    return F.when(c.rlike(NON_ASCII), F.when(t.rlike(NON_ASCII), rest).otherwise(t)).otherwise(c)
 
 
 WHITESPACE = " \t\n\r\f\u000b"
