@@ -1,3 +1,6 @@
+import random
+import zlib
+
 import numpy as np
 import pandas as pd
 
@@ -29,6 +32,39 @@ def test_language_of_awkward_rows(spark):
     assert language.identify(frame(spark, []), books).count() == 0
 
 
+def test_mixed_and_unlearned_texts_are_rejected_at_every_length(spark):
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    learned = docs[[zlib.crc32(str(i).encode()) % 5 != 0 for i in docs["doc_id"]]]
+    books = language.learn(spark.createDataFrame(learned[["doc_id", "text", "lang"]]))
+    assert set(books.margins) == {"en", "fr", "de", "es"} and all(0.02 < m < 0.3 for m in books.margins.values())
+    r = random.Random(3)
+    # documents of one language that do not repeat themselves
+    pools = {x: [t for t in docs.loc[docs["lang"] == x, "text"] if len(t) > 400 and len(zlib.compress(t.encode())) > 0.3 * len(t)] for x in ("en", "fr", "de", "es")}
+    stems = "ja on että hän mutta kuin niin kun ovat tämä minä kaikki talo päivä vuosi ihminen kaupunki suomen kieli yksi kaksi hyvä suuri pieni".split()
+
+    def of(lang, n):
+        out = ""
+        while len(out) < n:
+            out += r.choice(pools[lang]) + " "
+        return out[:n]
+
+    def noise(n):
+        return " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(2, 10))) for _ in range(n // 6))
+
+    rows = []
+    for n in (1000, 4000, 30000, 1000000):
+        for a, b in (("de", "fr"), ("en", "es"), ("fr", "en")):
+            rows.append(of(a, n // 2) + " " + of(b, n // 2))
+        rows += [noise(n), " ".join(r.choice(stems) + r.choice(["", "ssa", "lla", "n", "ksi"]) for _ in range(n // 6)), "".join(chr(r.randrange(0x4E00, 0x5E00)) for _ in range(n // 3)),
+                 of("es", n // 2) + " " + noise(n // 2)]
+    bad = len(rows)
+    rows += [of(x, n) for n in (4000, 30000, 1000000) for x in pools]
+    texts = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {x.doc_id: x.rejected for x in language.identify(texts, books).collect()}
+    assert [k for k in range(bad) if not got[k]] == [] and [k for k in range(bad, len(rows)) if got[k]] == []
+    assert texts.filter(language.accepted(books, texts["text"])).count() == len(rows) - bad
+
+
 def test_toxicity_on_held_out_rows(spark):
     labels = pd.read_parquet(f"{SF}/labels.parquet")
     got = toxicity.op7_toxicity(spark, SF).toPandas()
