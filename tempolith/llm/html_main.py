@@ -5,6 +5,11 @@ page votes for the path of its best container: tags and classes from the body do
 summed per host and path; each host's winner is the path with most votes. Pages are then extracted again from
 the elements on the winning path, or, where a page has none with text, from its own best container.
 
+An element counts as a menu, sidebar, notice and the like for its tag or role, or for a class or id that is, starts or
+ends with such a word and does not tell of a layout ("has-sidebar"). The name alone does not leave out an element that
+holds a main element, the page's only article elements, or most of its paragraph text (nearly all, for comments and
+related pages).
+
 Left out are scripts, styles, forms, menus, footers, sidebars, notices, adverts, comments of readers, hidden elements,
 and headers without a heading. White space (as Python's ``str.split`` sees it) becomes one space, character references
 are decoded, blocks follow in page order. A null or empty page has an empty text. A null url is a host of its own.
@@ -44,6 +49,12 @@ NOT_ARTICLE = {"ad", "ads", "adv", "advert", "advertisement", "advertising", "ad
                "comments", "commentlist", "disqus", "respond", "replies", "reply", "sidebar", "sidebars", "aside", "menu", "menus", "nav", "navbar", "navigation",
                "breadcrumb", "breadcrumbs", "pagination", "pager", "footer", "share", "sharing", "social", "related", "recommended", "widget", "toolbar", "masthead",
                "topbar", "skip", "search", "hidden", "noprint", "outbrain", "taboola"}
+#: Of these, the ones that may well hold more text than the article.
+READERS = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply", "related", "recommended"}
+#: Words before and after a mark that make a name tell of a layout ("has-sidebar", "search-page").
+LAYOUT_BEFORE, LAYOUT_AFTER = {"has", "no", "not", "with", "without", "hide", "hides", "show", "is"}, {"page", "layout", "template", "open", "closed", "on", "off", "enabled", "disabled"}
+#: An element is not left out for its name if it holds more than this share of the page's paragraph text.
+MOST, NEARLY_ALL = 0.5, 0.9
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
@@ -53,13 +64,29 @@ _DIGITS = re.compile(r"\d+")
 _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def named(names: str) -> float:
+    """Share of the page's paragraph text up to which a class or id leaves an element out, 0 where none does."""
+    limit = 0.0
+    for name in names.split():
+        words = [m.lower() for m in _PART.findall(name)]
+        words = [w for w in words if not w.isdigit()] or words
+        if not words or len(words) > 1 and (words[-1] in LAYOUT_AFTER or not LAYOUT_BEFORE.isdisjoint(words[:-1])):
+            continue
+        hits = {words[0], words[-1], "".join(words)} & NOT_ARTICLE
+        if hits:
+            limit = max(limit, NEARLY_ALL if hits & READERS else MOST)
+    return limit
+
+
 class Page:
     """Elements of a page in order, and its text cut by the element it stands in."""
 
     def __init__(self, source: str):
         self.tag, self.parent, self.label, self.skip = ["#"], [-1], [""], [False]
+        self.named = {}  # elements that their name leaves out, with their limit
         self.texts: list[tuple[int, str]] = []  # (element, text), an empty text for a block's edge
         self._read(source)
+        self._names()
         self._headers()
 
     def _open(self, tag: str, attrs: str, parent: int) -> int:
@@ -67,9 +94,8 @@ class Page:
         if attrs:
             found = {k.lower(): html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(attrs)}
             classes = ".".join(sorted({_DIGITS.sub("0", c).replace("/", "|") for c in found.get("class", "").split()}))
-            if tag not in ("body", "html", "article", "main"):
-                marks = {m.lower() for m in _PART.findall(found.get("class", "") + " " + found.get("id", ""))}
-                skip = skip or bool(marks & NOT_ARTICLE)
+            if tag not in ("body", "html") and (limit := named(found.get("class", "") + " " + found.get("id", ""))):
+                self.named[len(self.tag)] = limit
             skip = skip or "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in ROLES or bool(_HIDES.search(found.get("style", "")))
         self.tag.append(tag)
         self.parent.append(parent)
@@ -131,6 +157,50 @@ class Page:
             if name in stop or name in ("div", "article", "section", "main", "body") and "p" in tags:
                 return
 
+    def _kind(self, element: int) -> tuple[int, bool, bool]:
+        """Container of a text that stands in an element, whether it is linked, and whether it is in a paragraph."""
+        linked = paragraph = False
+        while element > 0 and (self.tag[element] in INLINE or self.tag[element] in PARAGRAPH):
+            linked = linked or self.tag[element] == "a"
+            paragraph = paragraph or self.tag[element] in PARAGRAPH
+            element = self.parent[element]
+        return element, linked, paragraph
+
+    def _summed(self, sizes: list[int]) -> list[int]:
+        """Of each element with all under it."""
+        for e in range(len(sizes) - 1, 0, -1):
+            sizes[self.parent[e]] += sizes[e]
+        return sizes
+
+    def _names(self) -> None:
+        """Leaves out what a class or id marks, unless it holds the article."""
+        marks = {e: limit for e, limit in self.named.items() if not self.skip[e] and self.tag[e] not in ("article", "main")}
+        if not marks:
+            return
+        n = len(self.tag)
+        plain, loose = [0] * n, [0] * n
+        for element, text in self.texts:
+            if text and not self.skip[element] and (size := len(text.strip())):
+                _, linked, paragraph = self._kind(element)
+                if not linked:
+                    loose[element] += size
+                    plain[element] += size if paragraph else 0
+        sizes = self._summed(plain if any(plain) else loose)
+        mains = self._summed([int(t == "main" and not k) for t, k in zip(self.tag, self.skip)])
+        articles = [int(t == "article" and not k and e not in self.named) for e, (t, k) in enumerate(zip(self.tag, self.skip))]
+        articles = self._summed(articles)
+        # articles that no marked element holds are the page's; a marked one beside them holds others
+        free, inside = 0, [False] * n
+        for e in range(1, n):
+            inside[e] = inside[self.parent[e]] or e in marks
+            free += self.tag[e] == "article" and not self.skip[e] and not inside[e] and e not in self.named
+        for e in range(1, n):
+            up = self.parent[e]
+            if e in marks and not self.skip[up]:
+                if not (mains[e] or articles[e] and not free and articles[e] == articles[0] or sizes[e] > marks[e] * sizes[0]):
+                    self.skip[e] = True
+            self.skip[e] = self.skip[e] or self.skip[up]
+
     def _headers(self) -> None:
         """A header is left out unless it holds a heading and stands inside an article or main element."""
         headers = [e for e, t in enumerate(self.tag) if t == "header"]
@@ -178,10 +248,7 @@ class Page:
         for element, text in self.texts:
             if not text or self.skip[element] or not (size := len(text.strip())):
                 continue
-            up, linked = element, False
-            while up > 0 and (self.tag[up] in INLINE or self.tag[up] in PARAGRAPH):
-                linked = linked or self.tag[up] == "a"
-                up = self.parent[up]
+            up, linked, _ = self._kind(element)
             worth = -0.5 * size if linked else size
             for part in (1.0, 0.7, 0.4, 0.2):
                 if up <= 0 or self.tag[up] == "html":

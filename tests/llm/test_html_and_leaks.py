@@ -44,6 +44,24 @@ def test_hosts_agree_on_a_path(spark):
     assert html_main.main_text(pages.filter("false")).count() == 0
 
 
+def test_wrappers_that_mention_boilerplate_keep_the_article():
+    text = "A long enough sentence of the article, with some words more."
+    body = f"<h1>Head</h1><p>{text}</p><p>{text}</p>"
+    want = f"Head {text} {text}"
+    side = '<div class="sidebar-left"><p>side words</p></div><div class="post-comments"><article class="comment-body"><p>reader words</p></article></div>'
+    side += '<section class="related"><article><h3>Other</h3><p>teaser</p></article></section><div id="ad300"><p>BUY</p></div>'
+    for mark in ('class="layout has-sidebar"', "class=no-comments", "class=with-nav", "class=elementor-widget-container", "id=search-page", "class='page--with-sidebar'", "class=sidebar-left",
+                 "class=widget", 'class="content menu"'):
+        for inner in (f"<article>{body}</article>", f"<main>{body}</main>", f"<div>{body}</div>"):
+            assert html_main.extract(f"<body><div {mark}>{inner}</div></body>", None) == want, (mark, inner)
+        # what stands beside the article inside the wrapper is still left out
+        page = f"<body><div {mark}><article>{body}</article>{side}</div><footer>f</footer></body>"
+        assert html_main.extract(page, None) == want and html_main.extract(page, html_main.vote(page)[0]) == want, mark
+    # comments stay out though they are longer, and a page of nothing else keeps its text
+    assert html_main.extract(f"<div class=post>{body}</div><div class=comments><p>{'reader ' * 40}</p></div>", None) == want
+    assert html_main.extract(f"<div class=comments>{body}</div>", None) == want
+
+
 def test_edited_copies_are_found_and_clean_rows_left(spark):
     r = random.Random(9)
     tests = [(k, " ".join(words(r, r.randrange(15, 60)))) for k in range(12)] + [(50, None), (51, ""), (52, "w1 w2"), (None, " ".join(words(r, 20))), (0, " ".join(words(r, 30)))]
