@@ -1,7 +1,9 @@
 """Main text of web pages by consensus host paths.
 
 Each page is cut into elements; every container is scored by the text of the paragraphs in it (less links), and the
-page votes for the path of its best container: tags and classes from the body down, digits generalised. Votes are
+page votes for the path of its best container: tags and classes from the body down, digits generalised. A best container
+outside article and main climbs while what the parent adds is no longer than itself and mostly unlinked headings and
+paragraphs, so a heading, lead or closing block beside it stays; elements on a host's path climb likewise. Votes are
 summed per host and path; each host's winner is the path with most votes. Pages are then extracted again from
 the elements on the winning path, or, where a page has none with text, from its own best container.
 
@@ -258,9 +260,40 @@ class Page:
                 up = self.parent[up]
         return found
 
-    def best(self) -> int:
+    def climbed(self, roots: set[int]) -> set[int]:
+        """For each element the highest above it that adds only more of the article."""
+        if all(self.tag[e] in ("article", "main") for e in roots):
+            return roots
+        n = len(self.tag)
+        every, plain = [0] * n, [0] * n
+        for element, text in self.texts:
+            if text and not self.skip[element] and (size := len(text.strip())):
+                _, linked, paragraph = self._kind(element)
+                every[element] += size
+                plain[element] += size if paragraph and not linked else 0
+        every, plain = self._summed(every), self._summed(plain)
+        found = set()
+        for top in roots:
+            up = top
+            while self.tag[up] not in ("article", "main", "body", "html") and self.parent[up] > 0:
+                up = self.parent[up]
+                if self.skip[up] or self.tag[up] == "html":
+                    break
+                more = every[up] - every[top]
+                if more > every[top] or 2 * (plain[up] - plain[top]) < more:
+                    break
+                if more:
+                    top = up
+            found.add(top)
+        return found
+
+    def best(self) -> tuple[int, float]:
+        """The container that holds the article, 0 if there is none, and the score that decided."""
         scores = self.scores()
-        return max(scores, key=lambda e: (scores[e], -e)) if scores else 0
+        if not scores:
+            return 0, 0.0
+        top = max(scores, key=lambda e: (scores[e], -e))
+        return self.climbed({top}).pop(), scores[top]
 
     def text(self, roots: set[int]) -> str:
         """Text under the given elements, in page order."""
@@ -276,11 +309,8 @@ def vote(source: str | None) -> tuple[str, float] | None:
     if not source:
         return None
     page = Page(source)
-    scores = page.scores()
-    if not scores:
-        return None
-    best = max(scores, key=lambda e: (scores[e], -e))
-    return page.path(best), scores[best]
+    best, score = page.best()
+    return (page.path(best), score) if best else None
 
 
 def extract(source: str | None, path: str | None) -> str:
@@ -289,9 +319,9 @@ def extract(source: str | None, path: str | None) -> str:
     page = Page(source)
     if path is not None:
         roots = page.on(path)
-        if roots and (text := page.text(roots)):
+        if roots and (text := page.text(page.climbed(roots))):
             return text
-    return page.text({page.best()})
+    return page.text({page.best()[0]})
 
 
 def host_of(url: Column) -> Column:

@@ -62,6 +62,24 @@ def test_wrappers_that_mention_boilerplate_keep_the_article():
     assert html_main.extract(f"<div class=comments>{body}</div>", None) == want
 
 
+def test_layouts_of_div_keep_heading_lead_and_closing(spark):
+    text = "A long enough sentence of the article, with some words more than the rest."
+    body = f"<div class=body><p>{text}</p><p>{text}</p><p>{text}</p></div>"
+    other = '<div class=links><a href=/a>One other page to read</a><a href=/b>And one more page of this host</a></div>'
+    lead, end = "<p>The lead of it.</p>", "<div class=end><p>Some closing words of the writer, about a fifth of it.</p></div>"
+    want = f"{text} {text} {text}"
+    tail = "Some closing words of the writer, about a fifth of it."
+    cases = [(f"<div class=post><h1>Title</h1>{body}</div>{other}", f"Title {want}"), (f"<div class=post><h1>Title</h1>{lead}<div class=wrap>{body}</div>{end}</div>{other}", f"Title The lead of it. {want} {tail}"),
+             (f"<div class=post><div class=top><h1>Title</h1><p>By <a href=/w>the writer</a></p></div>{body}{end}</div>{other}", f"Title By the writer {want} {tail}"),
+             (f"<div class=post>{body}{other}</div>", want), (f"<div class=post><h2>Head</h2>{body}</div><div class=comments><p>reader words</p></div>{other}", f"Head {want}")]
+    for page, found in cases:
+        assert html_main.extract(f"<body>{page}</body>", None) == found, page
+    # most pages of the host have only the inner container, which the others share
+    rows = [(k, "http://a.example/", f"<body><div class=post>{body}</div>{other}</body>") for k in range(5)] + [(9, "http://a.example/", f"<body>{cases[0][0]}</body>")]
+    got = {r.page_id: r.text for r in html_main.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == want for k in range(5)) and got[9] == f"Title {want}"
+
+
 def test_edited_copies_are_found_and_clean_rows_left(spark):
     r = random.Random(9)
     tests = [(k, " ".join(words(r, r.randrange(15, 60)))) for k in range(12)] + [(50, None), (51, ""), (52, "w1 w2"), (None, " ".join(words(r, 20))), (0, " ".join(words(r, 30)))]
