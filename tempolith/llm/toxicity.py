@@ -76,7 +76,7 @@ def features(text: str | None, lexicon: frozenset[str]) -> list[float]:
     size = max(1, len(text))
     capitals = int(codes[65:91].sum())
     marks = int(codes[33:48].sum() + codes[58:65].sum() + codes[91:97].sum() + codes[123:127].sum())
-    upper = sum(w.isupper() and len(w) > 1 for w in text.split()) if capitals * 5 > size else 0
+    upper = sum(len(w) > 1 and w.isupper() for w in text.split())
     return [float(len(places)), 100 * len(places) / n, float(len({words[k] for k in places})), float(hidden), 100 * hidden / n, float(near), 100 * len(address) / n,
             capitals / size, upper / n, marks / size, int(codes[33] + codes[63]) / size, int(codes[48:58].sum()) / size,
             sum(1 for w in odd if _MIXED.search(w)) / n, len(_REPEAT.findall(text)) / n if _REPEAT.search(text) else 0.0, float(np.log1p(len(words)))]

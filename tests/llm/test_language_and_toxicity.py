@@ -97,3 +97,12 @@ def test_features_see_disguises_and_address():
     assert plain["hits"] == 1 and plain["near_address"] == 1 and hidden["hidden_hits"] == 1 and hidden["mixed_words"] > 0
     assert clean["hits"] == clean["hidden_hits"] == 0 and np.isfinite(toxicity.features("\ud800 x", lexicon)).all()
     assert toxicity.features(None, lexicon) == toxicity.features("", lexicon) == [0.0] * len(toxicity.FEATURES)
+
+
+def test_shouted_words_count_in_texts_of_any_length():
+    shout, calm = "YOU ARE AN IDIOT", "some calm words of a long text "
+    at = toxicity.FEATURES.index("capital_words")
+    for n in (0, 1, 20, 2000):
+        text = calm * n + shout
+        assert toxicity.features(text, frozenset())[at] == 4 / len(text.split())
+    assert toxicity.features(calm, frozenset())[at] == 0
