@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ["exact_dedup", "token_counts", "mixing", "sharding", "minhash", "language", "decontaminate", "html_main", "toxicity", "suffix_dedup"]
+MODULES = ["exact_dedup", "token_counts", "mixing", "sharding", "minhash", "language", "decontaminate", "html_main", "toxicity", "suffix_dedup",
+           "licenses"]
 
 
 _shipped: set[str] = set()
