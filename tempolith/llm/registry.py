@@ -16,7 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 MODULES = ["exact_dedup", "token_counts", "mixing", "sharding", "minhash", "language", "decontaminate", "html_main", "toxicity", "suffix_dedup",
-           "licenses"]
+           "licenses", "whitening", "ranked_search"]
 
 
 _shipped: set[str] = set()
