@@ -117,7 +117,11 @@ def score_draws(df: DataFrame, row: str, features: Sequence[str], fitted, seed:
         if priors and t in priors:
             mean = F.coalesce(F.lit(own) * mean + F.lit(1.0 - own) * F.col(priors[t]), mean)
         each.append(F.struct(F.lit(t).alias("target"), F.lit(m).alias("draw"), mean.alias("mean"), F.lit(logvar).alias("logvar")))
-    d = df.select(F.col(row), F.explode(F.array(*each)).alias("_d")).select(row, "_d.*")
+    return with_samples(df.select(F.col(row), F.explode(F.array(*each)).alias("_d")).select(row, "_d.*"), row, seed)
+
+
+def with_samples(d: DataFrame, row: str, seed: int) -> DataFrame:
+    """Member predictions with ``sample``: mean + exp(logvar / 2) * a standard normal hashed from (row, target, draw)."""
     u, v = (hashed_uniform(seed, k, F.col(row), F.col("target"), F.col("draw")) for k in ("radius", "angle"))
     noise = F.sqrt(F.lit(-2.0) * F.log(u)) * F.cos(F.lit(2 * math.pi) * v)
     return d.withColumn("sample", F.col("mean") + F.exp(F.col("logvar") / 2) * noise)

@@ -602,3 +602,91 @@ def ensemble_draws(spark, sf):
     fitted = U.fit_ensemble(train, "o_orderkey", ["x"], ["y"], members=_MEMBERS)
     draws = U.score_draws(o, "o_orderkey", ["x"], fitted)
     return round_doubles(U.summarize_draws(draws, ["o_orderkey", "target"]), bits=12)
+
+
+# M14 row-dependent variance: log squares of out-of-bag residuals on the feature, shifted to a mean ratio of 1 -----------
+_ORDERS_XY = """
+q AS (SELECT l_orderkey, sum(l_quantity) AS x FROM lineitem GROUP BY 1),
+o AS (SELECT o_orderkey AS row_, o_custkey, o_orderdate, coalesce(q.x, 0) / 100 AS x, o_totalprice / 100000 AS price,
+             CAST(o_orderpriority = '1-URGENT' AS DOUBLE) AS urgent FROM orders LEFT JOIN q ON l_orderkey = o_orderkey),
+tr AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '1999-01-01')"""
+
+
+def _orders_xy(spark, sf):
+    qty = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_quantity").alias("qty"))
+    o = table(spark, sf, "orders").join(qty, "o_orderkey", "left").select(
+        "o_orderkey", "o_custkey", "o_orderdate", (F.coalesce("qty", F.lit(0.0)) / 100).alias("x"), (F.col("o_totalprice") / 100000).alias("price"),
+        (F.col("o_orderpriority") == "1-URGENT").cast("double").alias("urgent"))
+    return o, F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")
+
+
+def _members_sql(t):
+    """Members of one target: slope and intercept of the mean (c) and of the log-variance (g), and its constant."""
+    return f"""
+wt_{t} AS (SELECT tr.*, m, {_U.format("'7:' || row_ || ':' || m")} AS u FROM tr, mm),
+w_{t} AS (SELECT *, {_POISSON} AS w FROM wt_{t}),
+b_{t} AS (SELECT m, (sum(w) * sum(w * x * {t}) - sum(w * x) * sum(w * {t})) / (sum(w) * sum(w * x * x) - sum(w * x) ^ 2) AS slope,
+             sum(w * x) AS sx, sum(w * {t}) AS sy, sum(w) AS sw FROM w_{t} GROUP BY m),
+c_{t} AS (SELECT m, slope, (sy - slope * sx) / sw AS icpt FROM b_{t}),
+k_{t} AS (SELECT m, ln(avg(({t} - icpt - slope * x) ^ 2)) AS constant FROM tr, c_{t} GROUP BY m),
+e_{t} AS (SELECT m, x, {t} - icpt - slope * x AS e FROM w_{t} JOIN c_{t} USING (m) WHERE w = 0),
+l_{t} AS (SELECT m, x, e, ln(greatest(e * e, 1e-12)) AS l FROM e_{t}),
+h_{t} AS (SELECT m, regr_slope(l, x) AS gs, regr_intercept(l, x) AS gi FROM l_{t} GROUP BY m),
+g_{t} AS (SELECT m, gs, any_value(gi) + ln(avg(e * e / exp(gi + gs * x))) AS gi FROM l_{t} JOIN h_{t} USING (m) GROUP BY m, gs),
+d_{t} AS (SELECT o.*, m, icpt + slope * x AS mean, greatest(least(gi + gs * x, constant + 5), constant - 5) AS logvar
+          FROM o, c_{t} JOIN g_{t} USING (m) JOIN k_{t} USING (m))"""
+
+
+@register("ensemble_variance", f"""
+WITH {_ORDERS_XY}, mm AS (SELECT CAST(m AS INTEGER) AS m FROM range(0, {_MEMBERS}) t(m)), {_members_sql("price")}, {_members_sql("urgent")},
+d AS (SELECT row_, 'price' AS target, mean, logvar FROM d_price UNION ALL SELECT row_, 'urgent', mean, logvar FROM d_urgent)
+SELECT row_ AS o_orderkey, target, SNAP12(avg(mean)) AS mean_pred, SNAP12(stddev_pop(mean)) AS std_epistemic, SNAP12(sqrt(avg(exp(logvar)))) AS std_aleatoric
+FROM d GROUP BY row_, target
+""")
+def ensemble_variance(spark, sf):
+    from tempolith.operators import ensemble as EN
+    o, before = _orders_xy(spark, sf)
+    model = EN.fit(o.filter(before), "o_orderkey", ["x"], ["price", "urgent"], linear=_MEMBERS, trees=0)
+    s = U.summarize_draws(EN.draws(o, "o_orderkey", model), ["o_orderkey", "target"])
+    return round_doubles(s.select("o_orderkey", "target", "mean_pred", "std_epistemic", "std_aleatoric"), bits=12)
+
+
+# M14 blend: the share of the prediction against a customer's earlier mean, fitted on the orders since 1999 --------------
+@register("ensemble_blend", f"""
+WITH {_ORDERS_XY}, mm AS (SELECT CAST(m AS INTEGER) AS m FROM range(0, {_MEMBERS}) t(m)), {_members_sql("price")}, {_members_sql("urgent")},
+pr AS (SELECT o_custkey, avg(price) AS p_price, avg(urgent) AS p_urgent FROM tr GROUP BY 1),
+mu AS (SELECT row_, o_custkey, 'price' AS target, avg(mean) AS pred, any_value(price) AS y FROM d_price WHERE o_orderdate >= TIMESTAMP '1999-01-01' GROUP BY 1, 2
+       UNION ALL SELECT row_, o_custkey, 'urgent', avg(mean), any_value(urgent) FROM d_urgent WHERE o_orderdate >= TIMESTAMP '1999-01-01' GROUP BY 1, 2),
+j AS (SELECT target, y, pred, CASE target WHEN 'price' THEN p_price ELSE p_urgent END AS prior, row_ FROM mu JOIN pr USING (o_custkey)),
+own AS (SELECT target, greatest(least(sum((y - prior) * (pred - prior)) / sum((pred - prior) ^ 2), 1), 0) AS own, count(*) AS n FROM j GROUP BY 1)
+SELECT target, own.own, n, avg((y - own.own * pred - (1 - own.own) * prior) ^ 2) AS mse FROM j JOIN own USING (target) GROUP BY ALL
+""")
+def ensemble_blend(spark, sf):
+    from tempolith.operators import ensemble as EN
+    o, before = _orders_xy(spark, sf)
+    model = EN.fit(o.filter(before), "o_orderkey", ["x"], ["price", "urgent"], linear=_MEMBERS, trees=0)
+    prior = o.filter(before).groupBy("o_custkey").agg(F.avg("price").alias("p_price"), F.avg("urgent").alias("p_urgent"))
+    late = o.filter(~before).join(prior, "o_custkey")
+    priors = {"price": "p_price", "urgent": "p_urgent"}
+    model = EN.with_blend(model, late, "o_orderkey", priors)
+    mean = EN.draws(late, "o_orderkey", model, priors=priors).groupBy("o_orderkey", "target").agg(F.avg("mean").alias("blended"))
+    y = late.unpivot(["o_orderkey"], ["price", "urgent"], "target", "y")
+    own = spark.createDataFrame(list(model.own.items()), "target string, own double")
+    return mean.join(y, ["o_orderkey", "target"]).groupBy("target").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.pow(F.col("y") - F.col("blended"), 2)).alias("mse")).join(own, "target").select("target", "own", "n", "mse")
+
+
+# M14 tree members: coverage of the 80 % interval by thirds of the predicted spread (checked by tests) -------------------
+@register("ensemble_trees")
+def ensemble_trees(spark, sf):
+    from tempolith.operators import ensemble as EN
+    o, before = _orders_xy(spark, sf)
+    model = EN.fit(o.filter(before), "o_orderkey", ["x"], ["price"], linear=2, trees=2, depth=3)
+    late = o.filter(~before)
+    s = U.intervals(U.summarize_draws(EN.draws(late, "o_orderkey", model), ["o_orderkey", "target"]), "target", clamp_zero=False)
+    s = s.join(late.select("o_orderkey", "price"), "o_orderkey")
+    cuts = s.groupBy("target").agg(F.percentile_approx("std_predictive", [1 / 3, 2 / 3], 10000).alias("cuts"))
+    third = F.lit(1) + (F.col("std_predictive") > F.col("cuts")[0]).cast("int") + (F.col("std_predictive") > F.col("cuts")[1]).cast("int")
+    return s.join(cuts, "target").withColumn("third", third).groupBy("target", "third").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.col("price").between(F.col("std80_lower"), F.col("std80_upper")).cast("double")).alias("std80_coverage"),
+        F.avg("std_predictive").alias("std_predictive"))
