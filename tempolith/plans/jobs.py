@@ -29,6 +29,7 @@ from tempolith.operators import uncertainty as U
 from tempolith.operators import windows as W
 from tempolith.session import cut_lineage
 from tempolith.sources import io as IO
+from tempolith.sources import store as ST
 
 
 # P1 ------------------------------------------------------------------------------------
@@ -181,11 +182,9 @@ def _opponent_block(df: DataFrame, season: str | None, date: str, span: float, i
 
 # P5 ------------------------------------------------------------------------------------
 def change_summary(changes: DataFrame, group) -> DataFrame:
-    """Per group the number of log rows and a hash of them, whatever their order:
-    kept beside an interval table, it tells which groups' logs changed since."""
-    g = [group] if isinstance(group, str) else list(group)
-    rest = [c for c in sorted(changes.columns) if c not in g]
-    return changes.groupBy(*g).agg(F.count(F.lit(1)).alias("log_rows"), F.bit_xor(F.xxhash64(*rest)).alias("log_hash"))
+    """Per group the number of log rows and two order-free sums of their hashes (``store.digest``): kept beside an
+    interval table, it tells which groups' logs changed since. Sums, unlike xor, do not cancel for repeated rows."""
+    return ST.digest(changes, group)
 
 
 def intervals_incremental(existing: DataFrame | None, summary: DataFrame | None, changes: DataFrame, starters: DataFrame,
@@ -205,7 +204,8 @@ def intervals_incremental(existing: DataFrame | None, summary: DataFrame | None,
 def unchanged_groups(summary: DataFrame, changes: DataFrame, group) -> DataFrame:
     """Groups whose log is still the one that ``summary`` describes."""
     g = [group] if isinstance(group, str) else list(group)
-    return cut_lineage(change_summary(changes, g).join(summary, [*g, "log_rows", "log_hash"], "left_semi").select(*g))
+    now = change_summary(changes, g)
+    return cut_lineage(ST.of_groups(now, summary, now.columns).select(*g))
 
 
 def on_off_incremental(existing: DataFrame, same: DataFrame, intervals: DataFrame, group, counters: Sequence[str]) -> DataFrame:
@@ -216,6 +216,28 @@ def on_off_incremental(existing: DataFrame, same: DataFrame, intervals: DataFram
     return existing.join(same, g, "left_semi").unionByName(fresh.select(*existing.columns))
 
 
+def update_interval_store(store: ST.GroupStore, changes: DataFrame, starters: DataFrame, spans: DataFrame, events: DataFrame,
+                          member: str, clock: str, is_in: str, size: int, counters: dict, bucket_width: float,
+                          group=None, event=None, **kw) -> DataFrame:
+    """P5 and D7 as one daily run: tables ``intervals`` (with their events' ``counters``, aggregates by name) and
+    ``on_off`` of a store, rebuilt for the groups of which any input changed - log, starters, spans or counted events.
+
+    ``group`` is what has intervals of its own (by default the store's group). With ``event``, boundaries are shared
+    inside it, as by the teams of a match; then the store must be kept by event, as a change of one team's log moves the
+    other's intervals. Returns the groups that were rebuilt."""
+    g = store.group if group is None else [group] if isinstance(group, str) else list(group)
+
+    def build(part: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        bnd = cut_lineage(IV.boundaries(part["changes"], part["spans"], g, clock, event=event))
+        iv = cut_lineage(IV.active_intervals(part["changes"], part["starters"], part["spans"], g, member, clock, is_in, size=size, bnd=bnd, **kw))
+        placed = IV.assign_intervals(part["events"], bnd, g, clock, bucket_width=bucket_width).filter(F.col("k").isNotNull())
+        counted = iv.join(placed.groupBy(*g, "k").agg(*[e.alias(n) for n, e in counters.items()]), [*g, "k"], "left")
+        counted = cut_lineage(counted.fillna(0, subset=list(counters)))
+        return {"intervals": counted, "on_off": IV.on_off(counted, g, list(counters))}
+
+    return store.update({"changes": changes, "starters": starters, "spans": spans, "events": events}, build)
+
+
 # P3 ------------------------------------------------------------------------------------
 def ready_rows(events: DataFrame, parts: DataFrame, key: str, part_key: str, entity: str, season: str, stat: str,
                top_order: Sequence, top_cols: Sequence[str], total: str, weight: tuple[str, str], drop: Sequence[str],

@@ -273,6 +273,57 @@ def _register_on_off():
 _register_on_off()
 
 
+# P5 + D7 as a store: an earlier run is kept by group, then every kind of change comes at once -------------------------------
+def _changed_store(spark, sf):
+    """The store after a run on earlier inputs and one on the present ones. Earlier, groups 8 and 9 were not there yet; group 2's
+    log held a wrong row twice where it now holds the right one twice; group 3 lacked its last event, group 5 a starter;
+    group 4's span ended sooner; and a group 99 has gone since."""
+    from tempolith.sources.store import GroupStore
+    e, changes, starters, spans = ch_parts(spark, sf)
+    first = changes.filter("grp = 2").groupBy("grp").agg(F.min_by(F.struct("user_id", "clk", "is_in"), F.struct("clk", "user_id", "is_in")).alias("r"))
+    twin = first.select("grp", "r.*")
+    wrong = twin.withColumn("is_in", ~F.col("is_in"))
+    last = e.filter("grp = 3").agg(F.max("event_id")).first()[0]
+    gone = lambda df: df.unionByName(df.filter("grp = 0").withColumn("grp", F.lit(99).cast(df.schema["grp"].dataType)))
+    known = F.col("grp") < 8
+    right = changes.join(twin, changes.columns, "left_anti")
+    earlier = {"changes": gone(right.filter(known)).unionByName(wrong).unionByName(wrong),
+               "starters": gone(starters.filter(known & ~((F.col("grp") == 5) & (F.col("user_id") % 3 == 0)))),
+               "spans": gone(spans.filter(known)).withColumn("end", F.when(F.col("grp") == 4, F.col("end") - 24).otherwise(F.col("end"))),
+               "events": gone(e.filter(known & (F.col("event_id") != last)))}
+    present = {"changes": right.unionByName(twin).unionByName(twin), "starters": starters, "spans": spans, "events": e}
+    store = GroupStore(spark, scratch_path(spark, "interval_store"), "grp", buckets=16)
+    for run in (earlier, present):
+        rebuilt = J.update_interval_store(store, **run, member="user_id", clock="clk", is_in="is_in", size=CH_SIZE, bucket_width=24.0,
+                                          counters={"n_ev": F.count(F.lit(1)), "v": F.sum("value")})
+    return store, rebuilt
+
+
+@register("store_intervals", f"""
+WITH {_CH_SQL},
+hit AS (SELECT l.grp, l.k, e.value FROM lineups l JOIN e ON e.grp = l.grp AND e.clk > l.start_ AND e.clk <= l.end_)
+SELECT l.grp, CAST(l.k AS INTEGER) AS k, l.start_ AS "start", l.end_ AS "end", l.lineup, count(h.k) AS n_ev, SNAP(coalesce(sum(h.value), 0)) AS v,
+       l.grp IN (2, 3, 4, 5, 8, 9) AS rebuilt
+FROM lineups l LEFT JOIN hit h ON h.grp = l.grp AND h.k = l.k GROUP BY ALL
+""")
+def store_intervals(spark, sf):
+    store, rebuilt = _changed_store(spark, sf)
+    mark = rebuilt.withColumn("rebuilt", F.lit(True))
+    out = store.table("intervals").join(mark, "grp", "left").withColumn("rebuilt", F.coalesce("rebuilt", F.lit(False)))
+    return round_doubles(out.select("grp", "k", "start", "end", "lineup", "n_ev", "v", "rebuilt"))
+
+
+def _register_store_on_off():
+    from tempolith.plans.catalog import ORACLE
+
+    @register("store_on_off", ORACLE["on_off_split"])
+    def store_on_off(spark, sf):
+        return round_doubles(_changed_store(spark, sf)[0].table("on_off").select("grp", "member", "n_on", "on_n_ev", "on_v", "off_n_ev", "off_v"))
+
+
+_register_store_on_off()
+
+
 # P6 upcoming slate: schedule x roster x latest row --------------------------------------------------
 @register("upcoming_slate", """
 WITH g AS (SELECT n_nationkey AS home, (n_nationkey + 1) % 25 AS away, n_regionkey AS week FROM nation),
