@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -121,6 +122,11 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+#: Words of more bytes are hashed by a digest: whatever its base, a polynomial modulo 2 ** 64 gives some long strings that
+#: differ in every second place one value, which takes 1,024 bytes at least.
+LONG_WORD = 64
+
+
 class Words:
     """Words of a block of texts: their hashes, the text each stands in, and where it starts and ends."""
 
@@ -133,6 +139,8 @@ class Words:
             edge = np.concatenate([[0], edge])
         self.start, self.end = edge[0::2], edge[1::2]
         self.hash = RangeHash(buf).of(self.start, self.end)
+        for k in np.flatnonzero(self.end - self.start > LONG_WORD):
+            self.hash[k] = int.from_bytes(hashlib.blake2b(joined[self.start[k]:self.end[k]], digest_size=8).digest(), "little")
         sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         self.offset = np.concatenate([[0], np.cumsum(sizes)])
         self.doc = np.searchsorted(self.offset, self.start, side="right") - 1
@@ -151,9 +159,20 @@ class Words:
 
 
 # ---------------------------------------------------------------- rows and running sums
+#: Parts into which rows without an id are dealt when they are numbered.
+NO_ID_PARTS = 4096
+
+
 def numbered(df: DataFrame, id_col: str, *order: Column) -> DataFrame:
-    """``__occ``: 1, 2, ... among the rows of an id, so that rows of one id can be told apart in a later join."""
-    return df.withColumn("__occ", F.row_number().over(Window.partitionBy(id_col).orderBy(*order)))
+    """``__occ``: numbers that tell the rows of an id apart in a later join: 1, 2, ... in ``order``.
+
+    Rows without an id do not meet in one task: they are dealt by a hash of the order columns, and their numbers are
+    those of their part, ``NO_ID_PARTS`` apart. Two calls over the same rows give the same numbers.
+    """
+    part = F.when(F.col(id_col).isNull(), F.pmod(F.xxhash64(*order), F.lit(NO_ID_PARTS)))
+    place = F.row_number().over(Window.partitionBy(id_col, "__part").orderBy(*order)).cast("long")
+    return (df.withColumn("__part", part).withColumn("__occ", place)
+            .withColumn("__occ", F.when(F.col("__part").isNull(), F.col("__occ")).otherwise((F.col("__occ") - 1) * NO_ID_PARTS + F.col("__part") + 1)).drop("__part"))
 
 
 def running_sum(df: DataFrame, order: list[str], value: str, stage: Scratch, step: str, out: str = "__before") -> DataFrame:

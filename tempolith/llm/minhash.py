@@ -14,7 +14,7 @@ similarity of at least 0.75 are linked; links make components.
 * Components by alternating large-star and small-star (``components``).
 
 Defined results: a null or empty text, or one of white space only, has an empty set, links with nothing, and
-is its own component. A null id has no links and a null component. Rows with one id are one node. Ties and
+is its own component. A null id has no links and a null component. Rows with one id are one node, whatever their texts. Ties and
 repeated rows fall into one component. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -142,7 +142,10 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for block in blocks([(i, bytes(t)) for i, t in zip(frame["doc_id"], frame["raw"])]):
             hashes, first = shingle_sets([t for _, t in block])
-            yield pd.DataFrame({"id": [i for i, _ in block], "shingles": [hashes[first[k]:first[k + 1]].tobytes() for k in range(len(block))]})
+            some = np.flatnonzero(np.diff(first))
+            sigs = signatures(hashes, first)
+            yield pd.DataFrame({"id": [block[k][0] for k in some], "sig": [s.tobytes() for s in sigs],
+                                "shingles": [hashes[first[k]:first[k + 1]].tobytes() for k in some]})
 
 
 def _tile(percent: int):
@@ -156,7 +159,11 @@ def _tile(percent: int):
         if len(a) and len(b):
             sa, sb = _unpack(a["sig"]), _unpack(b["sig"])
             ka, kb = band_keys(sa), band_keys(sb)
-            band = int(np.flatnonzero(ka[0] == frame["key"].iloc[0])[0])
+            key = frame["key"].iloc[0]
+            band = int(np.flatnonzero((ka == key).any(axis=0))[0]) if (ka == key).any() else 0
+            # an id may stand here for several texts, of which some are not in this bucket
+            a, b = a[ka[:, band] == key], b[kb[:, band] == key]
+            sa, sb, ka, kb = sa[ka[:, band] == key], sb[kb[:, band] == key], ka[ka[:, band] == key], kb[kb[:, band] == key]
             ia, ib, ca, cb = a["id"].to_numpy(), b["id"].to_numpy(), a["component"].to_numpy(), b["component"].to_numpy()
             wa, wb = ([np.frombuffer(bytes(x), np.uint64) for x in side["shingles"]] for side in (a, b))
             for k in range(len(a)):
@@ -168,7 +175,9 @@ def _tile(percent: int):
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept. Ids are long integers."""
+    """Per row: doc_id, n_shingles, component_id, kept. Ids are long integers; ``percent`` is at least 75, for which the bands are made."""
+    if percent < 75:
+        raise ValueError("the bands find links from 75 percent on")
     spark = docs.sparkSession
     stage = Scratch(spark, "minhash")
     raw = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("raw"))
@@ -181,6 +190,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
                          .select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
     reps = profiles.filter("n > 0").join(sets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
+    # rows with one id and different sets: their representatives are one node
+    same_id = members.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v")).filter("u < v").select("doc_id", "u")
+    same_id = members.select("doc_id", "rep").join(same_id, "doc_id").filter("rep <> u").select("u", F.col("rep").alias("v")).distinct()
+
     # buckets with several members, each row with the bucket's smallest member
     hits = reps.select("doc_id", "sig").mapInPandas(_bands, "key long, id long")
     full = hits.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("other"), F.count(F.lit(1)).alias("size")).filter("centre < other").drop("other")
@@ -193,7 +206,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
         return stage.keep(with_both.select("u", "v", "tu", "tv").mapInPandas(_confirm(percent), "u long, v long"), step)
 
     stars = hits.filter("id <> centre").select(F.col("centre").alias("u"), F.col("id").alias("v")).distinct()
-    links = confirmed(stars, "stars")
+    links = confirmed(stars, "stars").unionByName(stage.keep(same_id, "same_id"))
     found = components(links, stage, "first")
 
     def still_open(found: DataFrame) -> DataFrame:
@@ -219,8 +232,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
                          .otherwise(F.array(F.when(F.col("mine") < F.col("other"), 0).otherwise(1))).alias("in"))
     sides = sides.withColumn("side", F.explode("in")).drop("in")
     members_of = open_.select(F.col("id").alias("doc_id")).distinct()
-    sets_of = texts.join(members_of, "doc_id", "left_semi").mapInPandas(_sets, "id long, shingles binary").dropDuplicates(["id"])
-    signed = profiles.join(members_of, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "sig").dropDuplicates(["id"]).join(sets_of, "id")
+    signed = (texts.join(members_of, "doc_id", "left_semi").mapInPandas(_sets, "id long, sig binary, shingles binary")
+              .groupBy("id", "sig").agg(F.first("shingles").alias("shingles")))
     sides = sides.join(stage.keep(signed, "signed"), "id")
     more = stage.keep(sides.groupBy("key", "t1", "t2").applyInPandas(_tile(percent), "u long, v long").distinct(), "more")
     nodes = components(links.unionByName(more), stage, "third")

@@ -56,6 +56,33 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, tile, star):
     assert sorted(x.n_shingles for x in got if x.doc_id is None) == [0, 1]
 
 
+def test_long_words_that_a_polynomial_cannot_tell_apart(spark):
+    morse = "a"
+    while len(morse) < 2048:
+        morse += morse.translate(str.maketrans("ab", "ba"))
+    rows = [(1, morse, "en", "a", 0), (2, morse.translate(str.maketrans("ab", "ba")), "en", "a", 0), (3, morse + " one two three four five six", "en", "a", 0),
+            (4, morse.translate(str.maketrans("ab", "ba")) + " one two three four five six", "en", "a", 0), (5, morse, "en", "a", 0)]
+    got = minhash.near_duplicates(frame(spark, rows)).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in got) == brute(rows)
+
+
+@pytest.mark.parametrize("tile,star", [(1024, 8), (4, 2)])
+def test_one_id_with_several_texts_is_one_node(spark, monkeypatch, tile, star):
+    monkeypatch.setattr(minhash, "TILE", tile)
+    monkeypatch.setattr(minhash, "STAR", star)
+    r = random.Random(13)
+    near, other = near_group(r, 50, 3000, 8), near_group(r, 30, 5000, 8)
+    rows = near + other + [(3, "text a", "en", "a", 0), (7, "text a", "en", "a", 0), (7, "text b", "en", "a", 0), (5, "text b", "en", "a", 0), (8, None, "en", "a", 0), (8, "text b", "en", "a", 0)]
+    rows += [(near[k][0], other[k][1], "en", "a", 0) for k in (4, 9)] + [(near[1][0], near[2][1], "en", "a", 0), (near[1][0], near[1][1], "en", "a", 0)]
+    got = {x.doc_id: x.component_id for x in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {i: c for i, _, c, _ in brute(rows)}
+
+
+def test_links_below_the_bands_are_refused(spark):
+    with pytest.raises(ValueError):
+        minhash.near_duplicates(frame(spark, []), percent=50)
+
+
 def test_deduplicated_keeps_one_row_of_each_component(spark):
     rows = awkward()
     docs = frame(spark, rows, clash=True)
