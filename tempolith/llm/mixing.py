@@ -85,7 +85,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
             .withColumn("chance", F.col("__want") - F.col("whole")).withColumn("__u", unit))
     odds = F.try_divide(F.col("__u") * (1 - F.col("chance")), (1 - F.col("__u")) * F.col("chance"))
     rows = rows.withColumn("odds", odds)
-    rows = rows.withColumn("bin", F.when(F.col("odds").isNotNull(), F.floor(F.lit(BINS) * F.col("odds") / (1 + F.col("odds")))).otherwise(BINS))
+    # rows without a chance (all of a source that stops at its cap) need no place in the order: they are dealt over as many more bins
+    spread = BINS + F.pmod(F.xxhash64("doc_id", "__occ"), F.lit(BINS))
+    rows = rows.withColumn("bin", F.when(F.col("odds").isNotNull(), F.floor(F.lit(BINS) * F.col("odds") / (1 + F.col("odds")))).otherwise(spread))
 
     bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("__words"), F.sum(F.col("size") * F.col("whole")).alias("__sure"))
     by = Window.partitionBy("source")

@@ -94,3 +94,18 @@ def test_sharded_keeps_rows_and_columns(spark):
     out = sharded(docs, target_bytes=4000)
     assert set(out.columns) == set(docs.columns) | {"slot"} and out.count() == len(rows)
     assert sharded(frame(spark, []), target_bytes=100).count() == 0
+
+
+def test_rows_without_an_id_or_a_chance_are_dealt_over_many_tasks(spark):
+    from pyspark.sql import functions as F
+    from tempolith.llm import mixing
+    from tempolith.llm.common import numbered
+    rows = [(None, f"text {k}", "en", "a", 0) for k in range(600)] + [(k, f"text {k}", "en", "b", 0) for k in range(10)] + [(1, "text 1", "en", "b", 0)]
+    df = numbered(frame(spark, rows), "doc_id", F.col("text"))
+    assert df.filter("doc_id IS NULL").select("__occ").distinct().count() == 600
+    assert sorted(r[0] for r in df.filter("doc_id = 1").select("__occ").collect()) == [1, 2]
+    # a source that stops at its cap has no chances: its rows fall into many bins, and all are taken whole
+    hot = [(k, "w " * (1 + k % 5), "en", "hot", 0) for k in range(500)] + [(1000 + k, "w " * 40, "en", "cold", 0) for k in range(500)]
+    got = mixing.mix(frame(spark, hot), weights=(1, 50)).collect()
+    assert {r.copies for r in got if r.doc_id < 500} == {2}
+    assert sum(r.taken for r in got if r.doc_id >= 1000) <= 1.5 * sum(r.size for r in got)
