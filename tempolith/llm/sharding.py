@@ -27,6 +27,8 @@ from tempolith.llm.registry import query
 UNIT_PART = 1 / 64
 #: Dimensions, scaled to a similar width: fourth root of the size, share of multi-byte text, place of the content hash.
 SCALE = 16.0
+#: Tree nodes or shards (one narrow row each) that are broadcast at most; more of them make a join with as many keys.
+FEW = 1 << 16
 
 
 def _dimensions(size: Column, chars: Column, crc: Column) -> Column:
@@ -71,7 +73,7 @@ def shard(docs: DataFrame, n_shards: int | None = None, target_bytes: int | None
         nodes = open_.groupBy("__lo").agg(F.array(*ranges).alias("__w"), F.sum("__bytes").alias("__sum"))
         nodes = nodes.select("__lo", F.array_position("__w", F.array_max("__w")).cast("int").alias("__axis"), "__sum",
                              (F.sum("__sum").over(Window.orderBy("__lo")) - F.col("__sum")).alias("__start"))
-        split = open_.join(F.broadcast(nodes), "__lo").withColumn("__value", F.element_at("__dims", F.col("__axis"))).drop("__axis")
+        split = open_.join(F.broadcast(nodes) if min(2 ** level, leaves) <= FEW else nodes, "__lo").withColumn("__value", F.element_at("__dims", F.col("__axis"))).drop("__axis")
         split = running_sum(split, ["__lo", "__value", "__md5", "__unit"], "__bytes", stage, f"level{level}")
         half = F.floor(F.col("__k") / 2).cast("int")
         left = F.col("__before") - F.col("__start") + F.col("__bytes") / 2 <= F.col("__sum") * half / F.col("__k")
@@ -85,7 +87,7 @@ def shard(docs: DataFrame, n_shards: int | None = None, target_bytes: int | None
     placed = placed.select("doc_id", "__occ", "size", "text_crc32", "shard", F.lit(1).cast("long").alias("__one"))
     placed = running_sum(placed, ["shard", "doc_id", "__occ", "text_crc32"], "__one", stage, "slots")
     firsts = _offsets(placed.select("shard", "__one"), "shard", F.col("__one"))
-    return placed.join(F.broadcast(firsts), "shard").select("doc_id", "__occ", "size", "text_crc32", "shard", (F.col("__before") - F.col("__start")).alias("slot"))
+    return placed.join(F.broadcast(firsts) if leaves <= FEW else firsts, "shard").select("doc_id", "__occ", "size", "text_crc32", "shard", (F.col("__before") - F.col("__start")).alias("slot"))
 
 
 def sharded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
