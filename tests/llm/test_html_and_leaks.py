@@ -109,6 +109,71 @@ def test_a_common_item_is_found_in_every_document(spark):
     assert sorted(x.doc_id for x in got.collect()) == list(range(200))
 
 
+def test_short_unspaced_and_long_items(spark):
+    r = random.Random(12)
+    long = " ".join(words(r, 300))
+    chinese = "床前明月光，疑是地上霜。举头望明月，低头思故乡。"
+    tests = [(1, "Rarest"), (2, "two words"), (3, "three such words"), (4, "w1 and four words"), (5, chinese), (6, long), (7, "どうもありがとう ございました 皆さん"), (2, "two words")]
+    hold = {1: "the rarest of all", 2: "these Two, words!", 3: "here three such words stand", 4: "or w1 and FOUR words", 5: f"前言{chinese.replace('，', ' ')}后语", 6: " ".join(long.split()[120:220]),
+            7: "あのどうもありがとうございました皆さん、では"}
+    rows = [(k, " ".join(words(r, 30)) + " " + t + " " + " ".join(words(r, 30)), "en", "a", 0) for k, t in hold.items()]
+    rows += [(100, "two other words and three such things", "en", "a", 0), (101, "rarestof two-three", "en", "a", 0), (102, "明天月光 床前 故事", "zh", "a", 0),
+             (103, " ".join(long.split()[:15]), "en", "a", 0), (104, None, None, None, 0)]
+    docs, items = frame(spark, rows), spark.createDataFrame(tests, "item_id long, text string")
+    got = [(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs, items).collect()]
+    assert sorted(got) == [(k, k) for k in hold]
+    assert sorted(x.doc_id for x in decontaminate.decontaminated(docs, items, item_bytes=200).collect()) == [100, 101, 102, 103, 104]
+
+
+def test_all_pairs_by_the_textbook(spark):
+    """Brute force: every document against every item by plain Smith-Waterman, no seeds."""
+    import numpy as np
+    r = random.Random(21)
+    tests = [(k, words(r, r.choice([3, 9, 14, 30, 70, 130]), 60)) for k in range(14)]
+    docs = []
+    for k in range(90):
+        own = words(r, 40, 60)
+        if k % 2:
+            item = r.choice(tests)[1]
+            a = r.randrange(max(1, len(item) // 2))
+            part = item[a:a + r.randrange(3, len(item) + 1)]
+            part = [w if r.random() > 0.12 else r.choice(["new", ""]) for w in part]
+            own[20:20] = part
+        docs.append((k, [w for w in own if w]))
+
+    def plain(a, b):
+        h = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                h[i, j] = max(0, h[i - 1, j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
+        return h.max() / (2 * len(a))
+
+    runs = lambda w: {tuple(w[i:i + 3]) for i in range(len(w) - 2)}
+    want, unseeded = set(), set()
+    for d, text in docs:
+        for i, item in tests:
+            if decontaminate.enough((d, i, plain(item, text), 0, 0, len(item)), decontaminate.THRESHOLD):
+                (want if runs(item) & runs(text) else unseeded).add((d, i))
+    assert len(want) >= 20
+    df = frame(spark, [(d, " ".join(t), "en", "a", 0) for d, t in docs])
+    got = {(x.doc_id, x.item_id) for x in decontaminate.contaminated(df, spark.createDataFrame([(i, " ".join(t)) for i, t in tests], "item_id long, text string")).collect()}
+    assert got <= want | unseeded and want - got == set()
+
+
+def test_choosing_seeds_takes_time_in_proportion(monkeypatch):
+    import time
+    r = random.Random(3)
+    took = []
+    for n in (4000, 32000):
+        items = decontaminate.Items(list(range(n)), [" ".join(words(r, 20, 10**6)) for _ in range(n)])
+        counts = dict.fromkeys(items.gram.view("int64").tolist(), 2)
+        start = time.thread_time()
+        items.choose(counts, 10)
+        took.append(time.thread_time() - start)
+        assert len(items.gram) == 18 * n
+    assert took[1] < 30 * max(took[0], 0.005)
+
+
 def test_alignment_against_the_textbook():
     import numpy as np
     r = random.Random(2)
