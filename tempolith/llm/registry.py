@@ -19,6 +19,7 @@ MODULES = ["exact_dedup", "token_counts", "mixing", "sharding", "minhash", "lang
            "licenses", "whitening", "ranked_search"]
 
 
+PIPELINE = "corpus_pipeline"
 _shipped: set[str] = set()
 
 
@@ -53,14 +54,21 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def load_all() -> None:
-    for module in MODULES:
+def load(module: str) -> None:
+    """Import one of ``MODULES``, or the pipeline, which registers its queries."""
+    if module != PIPELINE:
         importlib.import_module(f"tempolith.llm.{module}")
-    pipeline = importlib.import_module("corpus_pipeline")
+        return
+    pipeline = importlib.import_module(PIPELINE)
     if "pipeline" not in QUERIES:
         query("pipeline", pipeline.ORACLE_SQL)(pipeline.run)
 
 
+def load_all() -> None:
+    for module in [*MODULES, PIPELINE]:
+        load(module)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     load_all()
     return dict(QUERIES)
