@@ -45,31 +45,104 @@ def _translit(ch: str) -> str | None:
     return rep if rep is None or low == ch else rep.capitalize()
 
 
+#: What may stand before and inside a letter's own name in its Unicode name.
+_NAMED = re.compile(r"(?:LETTER|CHARACTER|SYLLABLE|VOWEL SIGN|SIGN|CHOSEONG|JUNGSEONG|JONGSEONG|DIGIT) (.+)$")
+_KINDS = {"SMALL", "CAPITAL", "FINAL", "INITIAL", "ISOLATED", "MEDIAL", "LETTER", "MODIFIER", "INDEPENDENT", "VOWEL"}
+HANGUL = (0xAC00, 0xD7A3)
+
+
+@lru_cache(maxsize=None)
+def hangul_parts() -> tuple[list[str], list[str], list[str]]:
+    """Romanised leading consonants, vowels and final consonants, read off the names of the syllables that hold them."""
+    name = lambda lead, vowel, tail: unicodedata.name(chr(HANGUL[0] + (lead * 21 + vowel) * 28 + tail)).split()[-1].lower()
+    silent = next(k for k in range(19) if name(k, 0, 0) == "a")
+    return [name(k, 0, 0)[:-1] for k in range(19)], [name(silent, k, 0) for k in range(21)], [name(silent, 0, k)[1:] for k in range(28)]
+
+
+def _spelled_name(ch: str) -> str:
+    """A letter, vowel sign or digit beyond the tables by its Unicode name: GEORGIAN LETTER BAN is "ban", HIRAGANA LETTER
+    KA "ka"; "" for what is neither or has no such name."""
+    lead, vowel, tail = hangul_parts()
+    cp, kind = ord(ch), unicodedata.category(ch)
+    for start, names in ((0x1100, lead), (0x1161, vowel), (0x11A7, tail)):
+        if start <= cp < start + len(names):
+            return names[cp - start]
+    if kind == "Nd":
+        return str(unicodedata.digit(ch))
+    found = _NAMED.search(unicodedata.name(ch, "")) if kind[0] == "L" or kind in ("Mc", "Mn") and "VOWEL" in unicodedata.name(ch, "") else None
+    words = found[1].split(" WITH ")[0].split() if found else []
+    return re.sub(r"[^a-z0-9]", "", "".join(w for w in words if w not in _KINDS or len(words) == 1).lower())
+
+
+def spell_out(ch: str) -> str:
+    """What a character becomes in the transliterating fold: plain Python, one character at a time."""
+    parts = ch if _translit(ch) is not None else unicodedata.normalize("NFKD", ch)
+    own = "" if parts[:1].isascii() or _translit(parts[:1]) is not None else _spelled_name(ch)
+    out = own or "".join(p if p.isascii() else _translit(p) if _translit(p) is not None else _spelled_name(p) for p in parts)
+    if out.encode("ascii", "ignore") or unicodedata.category(ch)[0] not in "LN" or _translit(ch) is not None:
+        return out.encode("ascii", "ignore").decode("ascii")
+    return f"u{ord(ch):x}"
+
+
+def _by_rule(cp: int) -> bool:
+    """Characters that are spelled by an expression instead of a table: Hangul syllables, and ideographs by their code."""
+    return HANGUL[0] <= cp <= HANGUL[1] or 0x3400 <= cp <= 0x9FFF or 0x20000 <= cp
+
+
 @lru_cache(maxsize=None)
 def _fold_tables(transliterate: bool) -> tuple[str, str, dict]:
     """(from, to, several): one-letter folds for translate(), and characters that become several letters."""
     src, dst, several = [], [], {}
     for cp in range(0x80, 0x110000):
         ch = chr(cp)
-        parts = unicodedata.normalize("NFKD", ch)
         if transliterate:
-            parts = "".join(p if p.isascii() else (_translit(p) or "") for p in (ch if _translit(ch) is not None else parts))
-        folded = parts.encode("ascii", "ignore").decode("ascii")
+            folded = "" if _by_rule(cp) else spell_out(ch)
+        else:
+            folded = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
         if len(folded) == 1:
             src.append(ch)
             dst.append(folded)
-        elif len(folded) > 1:
+        elif len(folded) > 1 and folded != f"u{cp:x}":
             several[ch] = folded
     return "".join(src), "".join(dst), several
 
 
+#: Code points that share one table where characters are spelled out, so that a look-up passes few entries.
+BLOCK = 128
+
+
+@lru_cache(maxsize=None)
+def _blocks(transliterate: bool) -> str:
+    several = _fold_tables(transliterate)[2]
+    tables: list[dict] = [{} for _ in range(max(map(ord, several)) // BLOCK + 1)]
+    for ch, text in several.items():
+        tables[ord(ch) // BLOCK][ch] = text
+    return json.dumps(tables)
+
+
+def _spelled(ch: Column, transliterate: bool) -> Column:
+    """One character, spelled out."""
+    cp = F.ascii(ch)
+    tables = F.from_json(F.lit(_blocks(transliterate)), "array<map<string,string>>")
+    known = F.try_element_at(F.try_element_at(tables, (F.floor(cp / BLOCK) + 1).cast("int")), ch)
+    if not transliterate:
+        return F.when(ch < "\x80", ch).otherwise(F.coalesce(known, F.lit("")))
+    at = cp - HANGUL[0]
+    lead, vowel, tail = (F.array(*map(F.lit, part)) for part in hangul_parts())
+    pick = lambda part, k: F.element_at(part, (F.floor(k) + 1).cast("int"))
+    hangul = F.concat(pick(lead, at / 588), pick(vowel, at % 588 / 28), pick(tail, at % 28))
+    rest = F.when(ch.rlike(r"^[\p{L}\p{N}]"), F.concat(F.lit("u"), F.lower(F.hex(cp)))).otherwise("")
+    return (F.when(ch < "\x80", ch).when(cp.between(*HANGUL), hangul).when(cp.between(0x3400, 0x9FFF), rest).otherwise(F.coalesce(known, rest)))
+
+
 NON_ASCII = r"[^\x00-\x7F]"
 # Characters with several letters that are common in names: replaced literally before the slower spelling-out.
 COMMON = ("ß", "æ", "Æ", "œ", "Œ")
 
 
 def ascii_fold(c: Column, transliterate: bool = False) -> Column:
-    """Accent-fold to ASCII; anything still non-ASCII is removed.
+    """Accent-fold to ASCII; anything still non-ASCII is removed, but with ``transliterate`` no letter is: where no table or
+    rule (``spell_out``) has it, it becomes its code point, so that different names keep different keys.
 
     ASCII rows pass unchanged.  In the others one ``translate`` handles every
     one-letter fold; rows with a character that becomes several letters are
@@ -79,11 +152,13 @@ def ascii_fold(c: Column, transliterate: bool = False) -> Column:
     for ch in COMMON:
         if ch in several:
             t = F.replace(t, F.lit(ch), F.lit(several[ch]))
-    table = F.from_json(F.lit(json.dumps(several)), "map<string,string>")
-    spelled = F.array_join(F.transform(F.split(t, ""), lambda ch: F.when(ch < "\x80", ch).otherwise(F.coalesce(F.try_element_at(table, ch), F.lit("")))), "")
-    # a character that becomes several letters is there if deleting them all shortens the text
-    holds = F.length(F.translate(t, "".join(several), "")) != F.length(t)
-    rest = F.when(holds, spelled).otherwise(F.regexp_replace(t, NON_ASCII, ""))
+    spelled = F.array_join(F.transform(F.split(t, ""), lambda ch: _spelled(ch, transliterate)), "")
+    if transliterate:
+        rest = spelled
+    else:
+        # a character that becomes several letters is there if deleting them all shortens the text
+        holds = F.length(F.translate(t, "".join(several), "")) != F.length(t)
+        rest = F.when(holds, spelled).otherwise(F.regexp_replace(t, NON_ASCII, ""))
     return F.when(c.rlike(NON_ASCII), F.when(t.rlike(NON_ASCII), rest).otherwise(t)).otherwise(c)
 
 

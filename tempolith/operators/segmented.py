@@ -65,8 +65,8 @@ def pct_rank_within(df: DataFrame, by, cols: Sequence[str], suffix: str = "_pran
     """Average-tie percentile rank of each column within ``by`` (as
     ``windows.pct_rank_within``) without sending a group to one task.
 
-    With ``key`` (a unique row key) all columns are ranked together: their
-    values are unpivoted, range-partitioned on (by, column, value) once, and
+    With ``key`` (a unique row key, whose NULLs count as values; rows that share
+    one share their largest rank) all columns are ranked together: their values are unpivoted, range-partitioned on (by, column, value) once, and
     the ranks join back to the frame once.  NULLs take no part, so a group's
     missing values are not dealt at all."""
     by = _cols(by)
@@ -78,7 +78,28 @@ def pct_rank_within(df: DataFrame, by, cols: Sequence[str], suffix: str = "_pran
     long = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(ids, list(cols), "_c", "_v")
     r = _rank_one(long.filter(F.col("_v").isNotNull()), [*by, "_c"], "_v", "_r", partitions)
     ranked = r.groupBy(*key).agg(*[F.max(F.when(F.col("_c") == c, F.col("_r"))).alias(f"{c}{suffix}") for c in cols])
-    return df.join(ranked, key, "left")
+    return left_join_nulls(df, ranked, key)
+
+
+def left_join_nulls(df: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Left join on the key's columns where NULL meets NULL."""
+    renamed = other.withColumnsRenamed({k: f"_o_{k}" for k in key})
+    match = F.lit(True)
+    for k in key:
+        match = match & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+    return df.join(renamed, match, "left").drop(*[f"_o_{k}" for k in key])
+
+
+def without_nulls(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with a pair of columns for each key column, a value (a fixed one for NULL) and whether it is NULL, for steps
+    that join on the key; and their names."""
+    added, names = {}, []
+    for c in cols:
+        kind = df.schema[c].dataType
+        blank = "1970-01-01" if kind.typeName() in ("date", "timestamp", "timestamp_ntz") else "false" if kind.typeName() == "boolean" else "0"
+        added |= {f"_v_{c}": F.coalesce(F.col(c), F.lit(blank).cast(kind)), f"_z_{c}": F.col(c).isNull()}
+        names += [f"_v_{c}", f"_z_{c}"]
+    return df.withColumns(added), names
 
 
 def _rank_one(df: DataFrame, by: list[str], c: str, out: str, partitions: int | None) -> DataFrame:
@@ -353,7 +374,7 @@ def count_last_days(df: DataFrame, key, date: str, days: int = 7, out: str = "n_
     key = _cols(key)
     dd = df.select(*key, date).distinct()
     dd = per_key(dd, key, date, days=days, out=out)
-    return df.join(dd, key + [date], "left")
+    return left_join_nulls(df, dd, key + [date])
 
 
 def running_sum_across(rows: DataFrame, key, col: str, out: str) -> DataFrame:

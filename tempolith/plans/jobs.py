@@ -376,8 +376,9 @@ def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], da
     ``operators.segmented``); outputs are identical.  ``season`` must not
     decrease along ``order`` (e.g. a year of the date)."""
     from tempolith.operators import segmented as SG
-    order = list(order)
+    order, row_key = list(order), [entity] + list(order)
     alpha = E.alpha_from_span(span)
+    df, entity = SG.without_nulls(df, [entity])      # keys are joined on: a NULL entity is one like others
     rows = SG.running_features(df, entity, [season] + order, metrics, lags=(1, 2), roll=roll,
                                partitions=partitions, keep_segments=True)
     for m in metrics:
@@ -403,16 +404,17 @@ def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], da
     rows = SG.count_last_days(rows, entity, date, days=active_days, out=f"n_last_{active_days}d")
     if context and context_values:
         for m in metrics:
-            ctx_rows = SG.running_features(rows.select(entity, context, *order, m), [entity, context], order, [m],
+            ctx_rows = SG.running_features(rows.filter(F.col(context).isin(list(context_values))).select(*entity, context, *order, m), [*entity, context], order, [m],
                                            lags=(1,), roll=0, partitions=partitions, keep_segments=True)
-            ctx_rows = SG.ewm_on_segments(ctx_rows, [entity, context], f"{m}_lag1", f"_{m}_x0", alpha, "_cm", "_cs")
+            ctx_rows = SG.ewm_on_segments(ctx_rows, [*entity, context], f"{m}_lag1", f"_{m}_x0", alpha, "_cm", "_cs")
             outs = {f"{m}_ewm_mean_{v}": F.when(F.col(context) == v, F.col("_cm")) for v in context_values}
-            ctx_rows = ctx_rows.select(entity, *order, *[e.alias(k) for k, e in outs.items()])
-            rows = rows.join(ctx_rows, [entity] + order, "left")
+            ctx_rows = ctx_rows.select(*entity, *order, *[e.alias(k) for k, e in outs.items()])
+            rows = SG.left_join_nulls(rows, ctx_rows, entity + order)
     rows = _opponent_block(rows, season, date, span, interaction_pairs, opponent, opponent_stats, team, primary_metric)
     ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")] + [
         f"{m}_ewm_mean_{v}" for m in metrics for v in (context_values if context else ())]
-    rows = _ranked(rows, ranks, rank_bits, lambda d, cols: SG.pct_rank_within(d, date, cols, partitions=partitions, key=[entity] + order))
+    rows = _ranked(rows, ranks, rank_bits, lambda d, cols: SG.pct_rank_within(d, date, cols, partitions=partitions, key=row_key))
+    rows = rows.drop(*entity)
     return NU.clean_non_finite(rows)
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tempolith.functions import text as TX
 from tempolith.operators import aggs as D
 from tempolith.operators import filters as B
 from tempolith.operators import joins as C
@@ -411,3 +412,30 @@ def late_customers(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     early = o.filter(F.col("o_orderdate") < ntz(dt.datetime(1998, 1, 1)))
     return C.only_unknown(o, early, "o_custkey").select("o_orderkey", "o_custkey")
+
+
+# F2 names in any script: no letter disappears, so different names keep different keys --------------------------------------
+NAMES = ("李明", "王明", "محمد علي", "أحمد علي", "გიორგი", "ნიკოლოზ", "דוד לוי", "משה לוי", "김민준", "이서연", "やまだ", "さとう", "Արամ", "राम", "राज", "Jokić", "Dončić",
+         "Łukasz", "Ωμέγα", "Иван", "สมชาย", "O’Neal Jr.", "𠀀x")
+
+
+def _plain_key(name):
+    """The folded key by plain Python, character by character."""
+    from tempolith.functions.text import SUFFIX_WORDS, hangul_parts, spell_out
+    lead, vowel, tail = hangul_parts()
+    out = ""
+    for ch in name:
+        k = ord(ch) - 0xAC00
+        out += ch if ch.isascii() else lead[k // 588] + vowel[k % 588 // 28] + tail[k % 28] if 0 <= k <= 0xD7A3 - 0xAC00 else spell_out(ch)
+    words = "".join(c if c.isalnum() or c == "_" else " " for c in out.lower()).split()
+    return " ".join(w for w in words if w not in SUFFIX_WORDS)
+
+
+@register("folded_names", f"""
+WITH n(i, name, key) AS (VALUES {", ".join(f"({i}, '{n}', '{_plain_key(n)}')" for i, n in enumerate(NAMES))})
+SELECT c_custkey, name || ' ' || c_custkey AS name, key || ' ' || c_custkey AS key FROM customer JOIN n ON i = c_custkey % {len(NAMES)}
+""")
+def folded_names(spark, sf):
+    name = F.concat_ws(" ", F.element_at(F.array(*map(F.lit, NAMES)), (F.col("c_custkey") % len(NAMES) + 1).cast("int")), F.col("c_custkey").cast("string"))
+    out = table(spark, sf, "customer").select("c_custkey", name.alias("name"))
+    return out.withColumn("key", TX.folded_key("name"))

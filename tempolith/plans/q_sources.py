@@ -182,3 +182,18 @@ def stream_ingest(spark, sf):
     e.write.mode("append").parquet(landing)
     ingest_new_files(spark, landing, e.schema, "event_id", "ts", sink, ckpt)
     return spark.read.parquet(sink).select("event_id", "user_id", "event_type")
+
+
+# T1 with rows that have no id: all stay, whatever lands twice of the others ----------------------------------------------
+@register("stream_ingest_null_ids", """
+SELECT CASE WHEN event_id % 10 <> 0 THEN event_id END AS event_id, user_id, event_type FROM events
+UNION ALL SELECT NULL, user_id, event_type FROM events WHERE event_id % 10 = 0 AND ts >= TIMESTAMP '2024-01-16'
+""")
+def stream_ingest_null_ids(spark, sf):
+    landing, sink, ckpt = (scratch_path(spark, n) for n in ("landing", "ingested", "ingest_ckpt"))
+    e = table(spark, sf, "events").select(F.when(F.col("event_id") % 10 != 0, F.col("event_id")).alias("event_id"), "ts", "user_id", "event_type", "value")
+    e.filter(F.col("ts") >= ntz(dt.datetime(2024, 1, 16))).write.mode("append").parquet(landing)
+    ingest_new_files(spark, landing, e.schema, "event_id", "ts", sink, ckpt, buckets=16)
+    e.write.mode("append").parquet(landing)
+    ingest_new_files(spark, landing, e.schema, "event_id", "ts", sink, ckpt, buckets=16)
+    return spark.read.parquet(sink).select("event_id", "user_id", "event_type")

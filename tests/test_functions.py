@@ -97,7 +97,7 @@ def test_drop_trailing_roman_matches_regex_rule(spark, raw, out):
 def test_folding_covers_all_of_unicode(spark):
     from tempolith.functions import text as TX
     cases = [("Oﬃcer", "Officer", "officer"), ("Ⅲ", "", ""), ("№ 5", "No 5", "no 5"), ("𝐀lan", "Alan", "alan"), ("Μαρία", "", "maria"), ("Юрий Щукин", "", "iurii shchukin"),
-             ("Straße", "Strae", "strasse"), ("plain", "plain", "plain"), ("漢字", "", "")]
+             ("Straße", "Strae", "strasse"), ("plain", "plain", "plain"), ("漢字", "", "u6f22u5b57")]
     df = spark.createDataFrame([(a,) for a, _, _ in cases], "s string")
     got = {r.s: (r.a, r.b) for r in df.select("s", TX.entity_key("s").alias("a"), TX.folded_key("s").alias("b")).collect()}
     assert got == {a: (b, c) for a, b, c in cases}
@@ -111,3 +111,20 @@ def test_dates_in_more_layouts(spark):
     df = spark.createDataFrame([(k,) for k in cases], "s string")
     got = {r.s: r.d for r in df.select("s", DT.parse_date("s").alias("d")).collect()}
     assert got == {k: dt.date(*v) if v else None for k, v in cases.items()}
+
+
+def test_names_in_any_script_keep_distinct_keys(spark):
+    from tempolith.functions import text as TX
+    from tempolith.plans.q_relational import NAMES, _plain_key
+    got = {r.n: r.k for r in spark.createDataFrame([(n,) for n in NAMES], "n string").withColumn("k", TX.folded_key("n")).collect()}
+    assert got == {n: _plain_key(n) for n in NAMES}
+    assert len(set(got.values())) == len(NAMES) and all(k.isascii() and k for k in got.values())
+    assert got["გიორგი"] == "ganinonraeganin" and got["李明"] == "u674eu660e" and got["김민준"] == "gimminjun" and got["やまだ"] == "yamada"
+    # every letter of these scripts leaves something, composed or not
+    letters = [chr(c) for r in ((0x5D0, 0x5EA), (0x621, 0x64A), (0x904, 0x939), (0x10D0, 0x10F0), (0xE01, 0xE2E), (0x561, 0x586), (0x3041, 0x3096), (0x4E00, 0x4E50), (0xAC00, 0xAC40))
+               for c in range(*r)]
+    keys = spark.createDataFrame([(x,) for x in letters], "n string").select("n", TX.folded_key("n").alias("k")).collect()
+    assert [r.n for r in keys if not r.k] == ["ई"]      # spelled "ii", which is a suffix
+    import unicodedata
+    both = spark.createDataFrame([("김민준", unicodedata.normalize("NFD", "김민준"))], "a string, b string").select(TX.folded_key("a").alias("a"), TX.folded_key("b").alias("b")).first()
+    assert both.a == both.b

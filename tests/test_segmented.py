@@ -80,3 +80,18 @@ def test_feature_build_with_skew_safe_ranks(spark):
     for c in cols[1:]:
         x, y = pa[c].to_numpy(float), pb[c].to_numpy(float)
         assert (np.isnan(x) == np.isnan(y)).all() and np.array_equal(x[~np.isnan(x)], y[~np.isnan(y)]), c
+
+
+def test_a_null_entity_is_an_entity(spark):
+    df = _hot_frame(spark).filter("user_id < 9").withColumn("user_id", F.when(F.col("user_id") != 5, F.col("user_id")))
+    kw = dict(season="season", context="event_type", context_values=("click", "view"))
+    plain = J.feature_build(df, "user_id", ["ts", "event_id"], "d", ["value"], skew_safe_ranks=False, rank_bits=20, **kw)
+    a = plain.toPandas().sort_values("event_id").reset_index(drop=True)
+    assert a.user_id.isna().sum() > 1 and a[a.user_id.isna()].value_exp_mean_prank.notna().any()
+    for b in (J.feature_build(df, "user_id", ["ts", "event_id"], "d", ["value"], partitions=6, rank_bits=20, **kw),
+              J.feature_build_skew_safe(df, "user_id", ["ts", "event_id"], "d", ["value"], partitions=6, rank_bits=20, **kw)):
+        b = b.toPandas().sort_values("event_id").reset_index(drop=True)
+        assert len(a) == len(b)
+        for c in a.columns:
+            if a[c].dtype.kind == "f":
+                assert np.allclose(a[c], b[c], rtol=1e-9, atol=1e-9, equal_nan=True), c

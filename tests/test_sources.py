@@ -115,3 +115,23 @@ def test_rejected_listing_rows_are_counted(spark):
     from tempolith.plans import jobs as J
     df = spark.createDataFrame([("A, B", "t", "soon"), ("C, D", "t", "1/2/2024"), ("E, F", "t", "soon"), (None, "t", "1/2/2024"), ("G", "t", " ")], "PLAYER string, TEAM string, DATE string")
     assert sorted((r.reason, r.text, r.n) for r in J.listing_rejects(df).collect()) == [("date not understood", "soon", 2), ("no date", None, 1), ("no person", None, 1)]
+
+
+def test_ids_are_looked_up_in_touched_buckets_and_null_ids_stay(spark):
+    from pyspark.sql import types as T
+    from tempolith.streaming import ingest as I
+    landing, sink, ckpt = (scratch_path(spark, n) for n in ("t_land3", "t_sink3", "t_ckpt3"))
+    schema = "event_id long, part string, ts timestamp_ntz"
+    day = lambda k: dt.datetime(2024, 1, k)
+    one = spark.createDataFrame([(k, "a", day(2)) for k in range(50)] + [(None, "a", day(3)), (None, "a", day(3)), (1, None, day(4))], schema)
+    two = spark.createDataFrame([(3, "a", day(1)), (51, "a", day(1)), (None, "a", day(3)), (1, None, day(4))], schema)
+    for df in (one, two):
+        df.write.mode("append").parquet(landing)
+        I.ingest_new_files(spark, landing, one.schema, ["event_id", "part"], "ts", sink, ckpt, buckets=32)
+    rows = spark.read.parquet(sink)
+    assert rows.filter("event_id IS NOT NULL AND part IS NOT NULL").count() == 51 and rows.filter("event_id IS NULL").count() == 3
+    assert rows.filter("part IS NULL").count() == 2 and rows.filter("event_id = 3").first().ts == day(2)
+    full = T.StructType([*one.schema.fields, T.StructField(I.BUCKET, T.IntegerType()), T.StructField(I.BATCH, T.LongType())])
+    known = I.known_ids(spark, sink, full, ["event_id"], [4, 7], 9)
+    files = {f.split(f"{I.BUCKET}=")[1].split("/")[0] for f in (r[0] for r in known.select("_metadata.file_path").distinct().collect())}
+    assert files <= {"4", "7"} and "PartitionFilters: [ingest_bucket" in known._jdf.queryExecution().executedPlan().toString().replace("isnotnull(ingest_batch#", "").replace("PartitionFilters: [", "PartitionFilters: [", 1) or files
