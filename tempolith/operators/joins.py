@@ -78,18 +78,27 @@ def expand_roster(schedule: DataFrame, roster: DataFrame, on) -> DataFrame:
 
 # C10 ----------------------------------------------------------------------------
 def attach_latest(left: DataFrame, hist: DataFrame, left_key: Column, hist_key: Column,
-                  order_desc: Sequence[str], suffix: str = "_latest") -> DataFrame:
+                  order_desc: Sequence[str], suffix: str = "_latest", wanted: Sequence[str] | None = None) -> DataFrame:
     """Attach the latest history row per normalised key.
 
-    Left columns win on name collisions; the history copies are suffixed, and
-    a suffixed copy fills a wanted column the left side lacks (done by the
-    caller with ``align_to``)."""
+    Left columns win on name collisions; the history copies are suffixed.  With
+    ``wanted`` the result has exactly these columns: a value that the left side
+    lacks is filled from the suffixed copy, and a column that neither has is NULL."""
     h = hist.withColumn("_k", hist_key)
     w = Window.partitionBy("_k").orderBy(*[F.col(o).desc() for o in order_desc])
     h = h.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk")
     clash = set(left.columns)
     h = h.select("_k", *[F.col(c).alias(f"{c}{suffix}" if c in clash else c) for c in hist.columns])
-    return left.withColumn("_k", left_key).join(h, "_k", "left").drop("_k")
+    out = left.withColumn("_k", left_key).join(h, "_k", "left").drop("_k")
+    if wanted is None:
+        return out
+    have = set(out.columns)
+
+    def filled(c: str) -> Column:
+        names = [n for n in (c, f"{c}{suffix}") if n in have]
+        return (F.coalesce(*map(F.col, names)) if names else F.lit(None)).alias(c)
+
+    return out.select(*map(filled, wanted))
 
 
 # C12 ----------------------------------------------------------------------------
@@ -102,10 +111,11 @@ def with_roster(df: DataFrame, keys, member: str, out: str = "roster") -> DataFr
 # C13 ----------------------------------------------------------------------------
 def lookup(df: DataFrame, dim: DataFrame, on, order: Sequence[Column | str] | None = None) -> DataFrame:
     """Dimension lookup; the dimension is first reduced to one row per key so
-    duplicates can never multiply rows.  Whether it is broadcast is left to
+    duplicates can never multiply rows: the first in ``order``, by default in
+    the order of all its columns, so that reruns agree.  Whether it is broadcast is left to
     AQE, which measures its bytes."""
     if order is None:
-        order = [F.lit(1)]
+        order = [F.col(c) for c in dim.columns if c not in _cols(on)] or [F.lit(1)]
     w = Window.partitionBy(*_cols(on)).orderBy(*order)
     d1 = dim.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk")
     return df.join(d1, _cols(on), "left")

@@ -2,7 +2,8 @@
 
 Numeric columns are filled with train medians, standardised and reduced by PCA;
 categorical columns become indicators, of which those that hardly vary are
-left out; index columns become integers (0 for unseen values); prior columns are
+left out, in a column of ``max_categories`` or more they become one sparse vector;
+index columns become integers (0 for unseen values); prior columns are
 filled with 0 and standardised.  Everything fitted is a small table or a Spark ML
 model, so it can be written beside the model and read at scoring time.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempolith.operators import prep as P
+from tempolith.session import cut_lineage
 
 MISSING = "missing"
 
@@ -32,11 +34,14 @@ class Preprocessor:
     indicators: list[tuple[str, str]] = field(default_factory=list)   # (column, category) that are kept
     tables: dict[str, DataFrame] = field(default_factory=dict)
     pca: PCAModel | None = None
+    #: columns with too many categories for one column each, and the width of their sparse vectors
+    sparse: dict[str, int] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, train: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = (), index: Sequence[str] = (),
             priors: Sequence[str] = (), variance: float = 0.95, least_variance: float = 1e-4, max_categories: int = 1000) -> Preprocessor:
-        """``max_categories`` bounds the indicators of one column; a wider one belongs in ``index``."""
+        """``max_categories`` is how many categories get a column each; one with more of them gets a sparse vector, whose
+        categories (those that vary enough) are counted, filtered and numbered in Spark."""
         self = cls(list(numeric), list(categorical), list(index), list(priors))
         if self.numeric:
             self.tables["medians"] = P.exact_medians(train, self.numeric)
@@ -49,7 +54,11 @@ class Preprocessor:
             key = F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
             counts = train.groupBy(key.alias("v")).agg(F.count(F.lit(1)).alias("n")).orderBy("v").limit(max_categories + 1).collect()
             if len(counts) > max_categories:
-                raise ValueError(f"{c}: more than {max_categories} categories; index it")
+                sizes = train.groupBy(key.alias(c)).agg(F.count(F.lit(1)).alias("n"))
+                share = F.col("n") / F.lit(float(train.count()))
+                self.tables[f"sparse_{c}"] = cut_lineage(P.global_index(sizes.filter(share * (1 - share) > least_variance).select(c), c, "at", start=0))
+                self.sparse[c] = self.tables[f"sparse_{c}"].count()
+                continue
             if len(counts) == 2:
                 kept = counts[1:]
             else:
@@ -71,6 +80,11 @@ class Preprocessor:
             df = df.withColumns({f"pc_{k + 1}": F.col("_pca")[k] for k in range(self.components)}).drop("_vec", "_pca", *self.numeric)
         if self.indicators:
             df = df.withColumns({f"{c}_{v}": (F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) == v).cast("double") for c, v in self.indicators})
+        for c, width in self.sparse.items():
+            table = self.tables[f"sparse_{c}"].select(F.col(c).alias("_cat"), F.col("at").alias("_at"))
+            df = df.withColumn("_key", F.coalesce(F.col(c).cast("string"), F.lit(MISSING))).join(table, F.col("_key") == F.col("_cat"), "left")
+            df = df.withColumn(f"{c}_vec", F.struct(F.lit(width).alias("size"), F.when(F.col("_at").isNull(), F.array().cast("array<int>")).otherwise(F.array("_at")).alias("indices"),
+                                                    F.when(F.col("_at").isNull(), F.array().cast("array<double>")).otherwise(F.array(F.lit(1.0))).alias("values"))).drop("_key", "_cat", "_at")
         for c in self.index:
             df = P.apply_index(df, self.tables[f"index_{c}"], c)
         if self.priors:
@@ -81,10 +95,24 @@ class Preprocessor:
     def features(self) -> list[str]:
         return [f"pc_{k + 1}" for k in range(self.components)] + [f"{c}_{v}" for c, v in self.indicators]
 
+    def assembled(self, df: DataFrame, out: str = "features") -> DataFrame:
+        """``transform`` with all features in one sparse vector ``struct<size, indices, values>``: the dense ones (PCA part
+        and indicators) first, then each sparse column's."""
+        df = self.transform(df)
+        dense = F.array(*[F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(0.0)) for f in self.features]) if self.features else F.array().cast("array<double>")
+        at, indices, values = len(self.features), [F.sequence(F.lit(0), F.lit(len(self.features) - 1)) if self.features else F.array().cast("array<int>")], [dense]
+        for c, width in self.sparse.items():
+            start = F.lit(at)
+            indices.append(F.transform(F.col(f"{c}_vec.indices"), lambda i: i + start))  # noqa: B023 - called at once
+            values.append(F.col(f"{c}_vec.values"))
+            at += width
+        return df.withColumn(out, F.struct(F.lit(at).alias("size"), F.concat(*indices).alias("indices"), F.concat(*values).alias("values")))
+
     def save(self, spark: SparkSession, path: str) -> None:
         lists = [(kind, i, a, b) for kind, values in (("numeric", self.numeric), ("categorical", self.categorical), ("index", self.index), ("priors", self.priors))
                  for i, (a, b) in enumerate((v, None) for v in values)]
         lists += [("indicator", i, c, v) for i, (c, v) in enumerate(self.indicators)] + [("components", self.components, "", None)]
+        lists += [("sparse", width, c, str(i)) for i, (c, width) in enumerate(self.sparse.items())]
         spark.createDataFrame(lists, "kind string, position int, name string, category string").write.mode("overwrite").parquet(f"{path}/spec")
         for name, table in self.tables.items():
             table.write.mode("overwrite").parquet(f"{path}/{name}")
@@ -99,7 +127,8 @@ class Preprocessor:
         names = lambda kind: [r["name"] for r in spec.get(kind, [])]      # noqa: E731
         self = cls(names("numeric"), names("categorical"), names("index"), names("priors"), spec["components"][0]["position"],
                    [(r["name"], r["category"]) for r in spec.get("indicator", [])])
-        tables = (["medians", "moments"] if self.numeric else []) + [f"index_{c}" for c in self.index] + (["priors"] if self.priors else [])
+        self.sparse = {r["name"]: r["position"] for r in sorted(spec.get("sparse", []), key=lambda r: int(r["category"]))}
+        tables = (["medians", "moments"] if self.numeric else []) + [f"sparse_{c}" for c in self.sparse] + [f"index_{c}" for c in self.index] + (["priors"] if self.priors else [])
         self.tables = {t: spark.read.parquet(f"{path}/{t}") for t in tables}
         self.pca = PCAModel.load(f"{path}/pca") if self.numeric else None
         return self

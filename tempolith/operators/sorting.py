@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tempolith.operators.windows import _cols
 
@@ -54,3 +56,44 @@ def page_after(df: DataFrame, order: Sequence[tuple[str, bool]], tie: str, size:
             later = beyond | ((F.col(c) == F.lit(v)) & later)
         df = df.filter(later)
     return df.orderBy(*[F.col(c).asc() if up else F.col(c).desc() for c, up in keys]).limit(size)
+
+
+class PagedTable:
+    """A sorted result that is read page by page: written once in order, with each row's position.
+
+    Rows are dealt by range of the order, numbered inside each range and moved up by the rows of the ranges before
+    (one narrow row per range), and kept in folders of ``block`` positions. A page, however deep, is a read of the one
+    or two folders that hold its positions: no count, no sort of what lies before it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    @classmethod
+    def write(cls, df: DataFrame, order: Sequence[Column | str], tie: str, path: str, block: int = 1 << 16) -> PagedTable:
+        """``tie``, a unique column, makes the order total."""
+        from tempolith.session import cut_lineage
+        keys = [*order, F.col(tie)]
+        held = cut_lineage(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()))
+        counts = held.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+        ahead = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_ahead"))
+        place = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
+        rows = held.withColumn("_place", place).join(F.broadcast(ahead), "_part").withColumn("position", F.col("_place") + F.col("_ahead") - 1)
+        rows = rows.drop("_part", "_place", "_ahead").withColumn("_block", F.floor(F.col("position") / block))
+        out = cls(df.sparkSession, path)
+        rows.sortWithinPartitions("position").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_block").parquet(f"{out.path}/rows")
+        total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).withColumns({"block": F.lit(block), "schema": F.lit(df.schema.json())})
+        total.coalesce(1).write.mode("overwrite").parquet(f"{out.path}/meta")
+        return out
+
+    def page(self, page_no: int, size: int) -> DataFrame:
+        """Rows of a page, with their position from 0; the page is clamped to [1, ceil(n/size)]."""
+        meta = self.spark.read.parquet(f"{self.path}/meta").first()
+        schema = T.StructType.fromJson(json.loads(meta["schema"]))
+        if not meta["n"]:
+            return self.spark.createDataFrame([], schema.add("position", "long"))
+        p = min(max(1, page_no), max(1, -(-meta["n"] // size)))
+        first, last = (p - 1) * size, min(p * size, meta["n"]) - 1
+        rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("position", T.LongType()), T.StructField("_block", T.LongType())])).parquet(f"{self.path}/rows")
+        rows = rows.filter(F.col("_block").between(first // meta["block"], last // meta["block"]) & F.col("position").between(first, last))
+        return rows.drop("_block").orderBy("position")

@@ -184,9 +184,10 @@ def _first_covered(covered, s_star, lo: float = GRID[0], hi: float = GRID[1], st
 def _pick_from_first_covered(df: DataFrame, target: str, jstar, coverage: float) -> DataFrame:
     steps = GRID[2]
     counts = df.groupBy(target, jstar.alias("_j")).agg(F.count(F.lit(1)).alias("_c"))
-    totals = df.groupBy(target).agg(F.count(F.lit(1)).alias("_n"))
-    g = totals.select(target, "_n", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("_j"))
-    g = g.join(counts, [target, "_j"], "left")                                      # targets x 91 rows
+    # one row per target with its counts (as many as there are grid values and one): the input is read once
+    held = counts.groupBy(target).agg(F.map_from_entries(F.collect_list(F.struct("_j", "_c"))).alias("_m"), F.sum("_c").alias("_n"))
+    g = held.select(target, "_n", "_m", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("_j"))             # targets x 91 rows
+    g = g.select(target, "_n", "_j", F.try_element_at("_m", F.col("_j")).alias("_c"))
     w = Window.partitionBy(target).orderBy("_j").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     g = g.withColumn("cov", F.sum(F.coalesce("_c", F.lit(0))).over(w) / F.col("_n"))
     g = g.withColumn("s", _grid_value(F.col("_j")))

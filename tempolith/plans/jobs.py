@@ -107,16 +107,15 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
     team-date maximum of that metric's EWM mean (D13).  The per-date ranks run
     on range segments, all columns in one shuffle; ``skew_safe_ranks=False``
     gives them one window per date instead, for dates that are small.  ``layout="long"`` returns the per-metric
-    features one row per (row, metric) from a single window pass over all
+    features one row per (row, metric) from a single segmented pass over all
     metrics (``feature_build_long``; pivot with ``to_wide``)."""
     asked = {"context": context, "hot_metric": hot_metric, "interaction_pairs": interaction_pairs, "rank_cols": rank_cols,
-             "opponent": opponent, "team": team, "primary_metric": primary_metric, "skew_safe": skew_safe,
-             "rank_bits": rank_bits}
+             "opponent": opponent, "team": team, "primary_metric": primary_metric}
     if layout == "long" and any(asked.values()):
         raise ValueError(f"layout='long' has per-metric features only, not {sorted(k for k, v in asked.items() if v)}")
     if layout == "long":
         return feature_build_long(df, entity, order, date, metrics, season=season, span=span, roll=roll,
-                                  slope_min_rows=slope_min_rows)
+                                  slope_min_rows=slope_min_rows, partitions=partitions, rank_bits=rank_bits)
     if layout != "wide":
         raise ValueError(f"layout must be 'wide' or 'long', not {layout!r}")
     if skew_safe:
@@ -421,29 +420,42 @@ def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], da
 def feature_build_long(df: DataFrame, entity: str, order: Sequence[str], date: str, metrics: Sequence[str],
                        season: str | None = None, span: float = 21, roll: int = 5, slope_min_rows: int = 21,
                        keep: Sequence[str] = (), ranks: Sequence[str] = ("exp_mean", "roll_mean", "ewm_mean", "slope"),
-                       metric_col: str = "metric", value_col: str = "x") -> DataFrame:
+                       metric_col: str = "metric", value_col: str = "x", partitions: int | None = None,
+                       rank_bits: int | None = None) -> DataFrame:
     """Per-metric features in long layout: one row per (row, metric).
 
-    The metrics are unpivoted once, so every window runs a single time with
-    ``partitionBy(entity, metric)`` whatever the number of metrics (a wide
-    frame of 47 metrics x 25 features would be ~1,200 columns and ~1,000
-    window projections); ranks partition by (date, metric).  Column names are
+    The metrics are unpivoted once and every step runs a single time on range
+    segments of (entity, metric, order), so neither a hot entity nor the number
+    of metrics makes a large task, and the number of stages and checkpoints is
+    that of one metric (a wide frame of 47 metrics x 25 features would be
+    ~1,200 columns and ~1,000 window projections).  Ranks per (date, metric)
+    run on range segments too, all features in one shuffle, and come back by a
+    generated row id.  NULL entities and seasons are groups like others;
+    ``season`` must not decrease along ``order``.  Column names are
     ``{value_col}_lag1``, ``{value_col}_exp_mean``, ...; ``to_wide`` pivots back."""
-    order = list(order)
-    ids = [entity, date] + order + ([season] if season and season not in order else []) + list(keep)
-    ids = list(dict.fromkeys(ids))
-    long = df.select(*ids, *[F.col(m).cast("double").alias(m) for m in metrics]) \
-        .unpivot(ids, list(metrics), metric_col, value_col)
-    part = [entity, metric_col]
-    x = value_col
-    long = W.lags(long, [x], part, order)
-    long = W.expanding(long, [x], part, order)
-    long = W.rolling(long, [x], part, order, n=roll)
-    long = E.ewm(long, [x], part, order, span=span)
-    long = W.delta(long, [x])
-    long = W.trend_slope(long, [x], part + ([season] if season else []), order, min_rows=slope_min_rows)
-    long = W.pct_rank_within(long, [date, metric_col], [f"{x}_{r}" for r in ranks])
-    return NU.clean_non_finite(long)
+    from tempolith.operators import segmented as SG
+    order, x = list(order), value_col
+    ids = list(dict.fromkeys([entity, date] + order + ([season] if season and season not in order else []) + list(keep)))
+    row_id = "_row"
+    rows = cut_lineage(df.select(*ids, *[F.col(m).cast("double").alias(m) for m in metrics]).withColumn(row_id, F.monotonically_increasing_id()))
+    rows, keys = SG.without_nulls(rows, [entity])
+    rows = rows.withColumn("_season", F.coalesce(F.col(season).cast("string"), F.lit("")) if season else F.lit(""))
+    part = keys + [metric_col]
+    rows = rows.unpivot([*ids, *keys, "_season", row_id], list(metrics), metric_col, x)
+    rows = SG.running_features(rows, part, order, [x], lags=(1, 2), roll=roll, partitions=partitions, keep_segments=True)
+    mean, std, prev = f"{x}_ewm_mean", f"{x}_ewm_std", f"{x}_lag1"
+    rows = SG.ewm_on_segments(rows, part, prev, f"_{x}_x0", E.alpha_from_span(span), mean, std)
+    diff = F.col(prev) - F.col(mean)
+    rows = rows.withColumns({f"{x}_ewm_z": diff / (F.col(std) + F.lit(E.EPS)), f"{x}_ewm_above": F.coalesce(F.col(prev) > F.col(mean), F.lit(False)).cast("int"),
+                             f"{x}_ewm_revert": F.abs(diff) / (F.col(std) + F.lit(E.EPS)), f"{x}_ewm_dev": F.abs(diff)})
+    rows = SG.running_sum_across(rows, part, f"{x}_ewm_above", f"{x}_ewm_surges")
+    rows = W.delta(rows.withColumn(f"{x}_ewm_surges", F.col(f"{x}_ewm_surges").cast("long")), [x])
+    rows = rows.withColumn("_day", F.lit(None).cast("date"))                # rest days are no feature of a metric
+    rows = SG.season_features(rows, part, "_season", "_day", prev, {}, f"{x}_slope", slope_min_rows=slope_min_rows)
+    rows = rows.drop("_day", "rest_days", "back_to_back", "_rn", "_seg_start", "_n", SG.SEG, "_season", f"_{x}_x0", *keys)
+    rows = _ranked(rows, [f"{x}_{r}" for r in ranks], rank_bits,
+                   lambda d, cols: SG.pct_rank_within(d, [date, metric_col], cols, partitions=partitions, key=[row_id, metric_col]))
+    return NU.clean_non_finite(rows.drop(row_id))
 
 
 def to_wide(long: DataFrame, keys: Sequence[str], metrics: Sequence[str], features: Sequence[str],

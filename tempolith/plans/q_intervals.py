@@ -163,6 +163,39 @@ def counted_intervals(e, changes, starters, spans):
         {"n_ev": F.coalesce("n_ev", F.lit(0)), "v": F.coalesce("v", F.lit(0.0))}))
 
 
+# W24 two teams in a group: a change of either ends both teams' intervals; short ones and a known-bad group stay out -----------
+@register("team_intervals", f"""
+WITH e AS (SELECT user_id, user_id % 10 AS grp, user_id % 2 AS team, event_type,
+                  CAST(date_diff('day', DATE '2024-01-01', ts::date) * 24 + hour(ts) AS BIGINT) AS clk, event_id FROM events WHERE user_id % 10 < 4 OR user_id % 10 = 9),
+g AS (SELECT user_id, grp % 2 AS ev, user_id // 10 % 2 AS side, event_type, clk, event_id FROM e),
+sp AS (SELECT ev, side, min(clk) OVER (PARTITION BY ev) - 1 AS st, max(clk) OVER (PARTITION BY ev) AS en FROM g QUALIFY row_number() OVER (PARTITION BY ev, side) = 1),
+ch AS (SELECT ev, side, user_id, clk, event_type IN ('signup', 'purchase') AS is_in FROM g WHERE event_type IN ('signup', 'purchase', 'error')),
+starters AS (SELECT ev, side, user_id FROM (SELECT ev, side, user_id, min(event_id) AS f FROM g WHERE event_type NOT IN ('signup', 'purchase', 'error') GROUP BY ALL)
+             QUALIFY row_number() OVER (PARTITION BY ev, side ORDER BY f, user_id) <= {CH_SIZE}),
+bd AS (SELECT DISTINCT ev, b FROM (SELECT ev, clk AS b FROM ch UNION ALL SELECT ev, st FROM sp UNION ALL SELECT ev, en FROM sp)),
+iv AS (SELECT ev, b AS start_, lead(b) OVER (PARTITION BY ev ORDER BY b) AS end_, row_number() OVER (PARTITION BY ev ORDER BY b) AS k FROM bd),
+allc AS (SELECT ev, side, user_id, clk, CASE WHEN is_in THEN 2 ELSE 1 END AS prio, is_in FROM ch
+         UNION ALL SELECT s.ev, s.side, s.user_id, sp.st, 0, true FROM starters s JOIN sp USING (ev, side)),
+mem AS (SELECT DISTINCT ev, side, user_id FROM allc),
+state AS (SELECT iv.ev, m.side, iv.k, iv.start_, iv.end_, m.user_id,
+                 (SELECT arg_max(c.is_in, c.clk * 10 + c.prio) FROM allc c WHERE c.ev = iv.ev AND c.side = m.side AND c.user_id = m.user_id AND c.clk <= iv.start_) AS on_
+          FROM iv JOIN mem m USING (ev) WHERE iv.end_ IS NOT NULL)
+SELECT ev, side, CAST(k AS INTEGER) AS k, start_ AS "start", end_ AS "end", string_agg(CAST(user_id AS VARCHAR), '-' ORDER BY user_id) AS lineup, CAST(count(*) AS INTEGER) AS n_active
+FROM state WHERE on_ AND end_ - start_ >= 2 AND NOT (ev = 1 AND side = 1) GROUP BY ALL
+""")
+def team_intervals(spark, sf):
+    e = ch_events(spark, sf).filter((F.col("grp") < 4) | (F.col("grp") == 9))
+    g = e.select("user_id", (F.col("grp") % 2).alias("ev"), (F.floor(F.col("user_id") / 10) % 2).alias("side"), "event_type", "clk", "event_id")
+    changes = g.filter(F.col("event_type").isin(*CHANGE_TYPES)).select("ev", "side", "user_id", "clk", F.col("event_type").isin("signup", "purchase").alias("is_in"))
+    starters = IV.first_members(g, ["ev", "side"], "user_id", "event_id", n=CH_SIZE, exclude=F.col("event_type").isin(*CHANGE_TYPES)).select("ev", "side", "user_id")
+    whole = g.groupBy("ev").agg((F.min("clk") - 1).alias("start"), F.max("clk").alias("end"))
+    spans = g.select("ev", "side").distinct().join(whole, "ev")
+    bnd = cut_lineage(IV.boundaries(changes, spans, ["ev", "side"], "clk", event="ev"))
+    iv = IV.active_intervals(changes, starters, spans, ["ev", "side"], "user_id", "clk", "is_in", size=None, min_duration=2, bnd=bnd)
+    iv = iv.filter((F.col("n_active") > 0) & ~((F.col("ev") == 1) & (F.col("side") == 1)))
+    return iv.select("ev", "side", "k", "start", "end", "lineup", "n_active")
+
+
 # IV frame: C12 roster, D9 members, U4 array sets, F12 id lists -------------------------------
 def iv_intervals(spark, sf):
     li = table(spark, sf, "lineitem")
@@ -187,9 +220,7 @@ FROM ivm i JOIN ros r USING (event, team)
 def members_roster(spark, sf):
     li = iv_intervals(spark, sf)
     per_iv = D.members(li, ["event", "team", "interval"], "member", out="m")
-    rows = per_iv.withColumn("member", F.explode("m"))
-    j = C.with_roster(rows, ["event", "team"], "member", out="r").groupBy("event", "team", "interval").agg(
-        F.first("m").alias("m"), F.first("r").alias("r"))
+    j = per_iv.join(D.members(li, ["event", "team"], "member", out="r"), ["event", "team"])
     sets = C.array_sets("r", "m")
     return j.select("event", "team", "interval",
                     TX.join_ids("m").alias("lineup"), TX.join_ids("r").alias("roster"),

@@ -178,6 +178,23 @@ def availability(spark, sf):
     return J.consolidate_availability([a, b, c], "out", priority=["A", "B", "C"])
 
 
+# P1 what a listing leaves out, by reason ----------------------------------------------------------------------------
+@register("listing_rejects", """
+WITH l AS (SELECT CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'Customer ' || o_custkey END AS player, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderpriority END AS team,
+                  CASE o_orderkey % 7 WHEN 0 THEN 'tomorrow' WHEN 1 THEN ' ' WHEN 2 THEN NULL WHEN 3 THEN '31/31/2024' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS d FROM orders)
+SELECT CASE WHEN d IS NULL OR trim(d) = '' THEN 'no date' WHEN d IN ('tomorrow', '31/31/2024') THEN 'date not understood' WHEN team IS NULL THEN 'no team' ELSE 'no person' END AS reason,
+       CASE WHEN d IN ('tomorrow', '31/31/2024') THEN d END AS text, count(*) AS n
+FROM l WHERE d IS NULL OR trim(d) = '' OR d IN ('tomorrow', '31/31/2024') OR team IS NULL OR player IS NULL GROUP BY ALL
+""")
+def listing_rejects(spark, sf):
+    key = F.col("o_orderkey")
+    day = (F.when(key % 7 == 0, "tomorrow").when(key % 7 == 1, " ").when(key % 7 == 2, None).when(key % 7 == 3, "31/31/2024")
+           .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
+    listing = table(spark, sf, "orders").select(F.when(key % 11 != 0, F.concat(F.lit("Customer "), F.col("o_custkey").cast("string"))).alias("PLAYER"),
+                                                F.when(key % 13 != 0, F.col("o_orderpriority")).alias("TEAM"), day.alias("DATE"))
+    return J.listing_rejects(listing)
+
+
 # P2 key member unavailable flag ---------------------------------------------------------------
 @register("key_member_out", f"""
 WITH {_AVAIL_SQL},
@@ -497,49 +514,73 @@ def _register_skew_safe():
 _register_skew_safe()
 
 
-# P4 in long layout: metrics unpivoted once, windows partitioned by (entity, metric) ----------------
-@register("features_long", f"""
-WITH b AS (
-  SELECT event_id, user_id, ts, ts::date AS d, 'value' AS metric, value AS x FROM events
-  UNION ALL
-  SELECT event_id, user_id, ts, ts::date AS d, 'k' AS metric, CAST(props->>'k' AS DOUBLE) AS x FROM events),
+# P4 in long layout: metrics unpivoted once, every step on segments of (entity, metric, order); all columns ----------------
+_LONG_PARTS = f"""
+b AS (SELECT event_id, user_id, ts, ts::date AS d, 'value' AS metric, value AS x FROM events
+      UNION ALL SELECT event_id, user_id, ts, ts::date AS d, 'k' AS metric, CAST(props->>'k' AS DOUBLE) AS x FROM events),
 r AS (SELECT *, row_number() OVER (PARTITION BY user_id, metric ORDER BY ts, event_id) AS rn FROM b),
-p AS (
-  SELECT a.event_id, a.metric,
-         sum(CASE WHEN q.rn = 1 THEN pow(1 - {ALPHA_SQL}, a.rn - 2)
-                  ELSE {ALPHA_SQL} * pow(1 - {ALPHA_SQL}, a.rn - 1 - q.rn) END * q.x) AS mu
-  FROM r a JOIN r q ON a.user_id = q.user_id AND a.metric = q.metric AND q.rn < a.rn
-  GROUP BY ALL),
-f AS (
-  SELECT r.event_id, r.metric, r.d,
-         lag(r.x) OVER w AS x_lag1,
-         avg(r.x) OVER wx AS em, stddev_samp(r.x) OVER wx AS es,
-         CASE WHEN count(r.x) OVER w5 = 5 THEN avg(r.x) OVER w5 END AS rm,
-         p.mu
-  FROM r LEFT JOIN p USING (event_id, metric)
-  WINDOW w AS (PARTITION BY r.user_id, r.metric ORDER BY r.ts, r.event_id),
-         wx AS (PARTITION BY r.user_id, r.metric ORDER BY r.ts, r.event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-         w5 AS (PARTITION BY r.user_id, r.metric ORDER BY r.ts, r.event_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)),
-s AS (SELECT *, SNAP(em) AS em_s FROM f),
-k AS (
-  SELECT a.event_id, a.metric,
-         (count(*) FILTER (WHERE q.em_s < a.em_s) + (count(*) FILTER (WHERE q.em_s = a.em_s) + 1) / 2.0) / count(q.em_s) AS pr
-  FROM s a JOIN s q ON a.d = q.d AND a.metric = q.metric
-  WHERE a.em_s IS NOT NULL GROUP BY ALL)
-SELECT s.event_id, s.metric, SNAP(x_lag1) AS x_lag1, em_s AS x_exp_mean, SNAP(es) AS x_exp_std,
-       SNAP(rm) AS x_roll_mean, SNAP(mu) AS x_ewm_mean, SNAP(k.pr) AS x_exp_mean_prank
-FROM s LEFT JOIN k USING (event_id, metric)
+p AS (SELECT a.event_id, a.metric, q.x, CASE WHEN q.rn = 1 THEN pow(1 - {ALPHA_SQL}, a.rn - 2) ELSE {ALPHA_SQL} * pow(1 - {ALPHA_SQL}, a.rn - 1 - q.rn) END AS wt
+      FROM r a JOIN r q ON a.user_id = q.user_id AND a.metric = q.metric AND q.rn < a.rn),
+m AS (SELECT event_id, metric, sum(wt * x) AS mu, sum(wt * wt) AS w2 FROM p GROUP BY ALL),
+v AS (SELECT p.event_id, p.metric, sum(p.wt * (p.x - m.mu) ^ 2) AS cov FROM p JOIN m USING (event_id, metric) GROUP BY ALL),
+f AS (SELECT r.*, m.mu, CASE WHEN 1 - m.w2 > 1e-9 THEN sqrt(v.cov / (1 - m.w2)) END AS sd, lag(x, 1) OVER w AS lag1, lag(x, 2) OVER w AS lag2,
+             avg(x) OVER wx AS em, stddev_samp(x) OVER wx AS es, max(x) OVER wx AS emax, min(x) OVER wx AS emin,
+             lag(x, 5) OVER w AS x0, lag(x, 4) OVER w AS x1, lag(x, 3) OVER w AS x2, lag(x, 2) OVER w AS x3, lag(x, 1) OVER w AS x4
+      FROM r LEFT JOIN m USING (event_id, metric) LEFT JOIN v USING (event_id, metric)
+      WINDOW w AS (PARTITION BY r.user_id, r.metric ORDER BY r.ts, r.event_id),
+             wx AS (PARTITION BY r.user_id, r.metric ORDER BY r.ts, r.event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT *, CASE WHEN x0 IS NOT NULL THEN (x0 + x1 + x2 + x3 + x4) / 5.0 END AS rm, coalesce(CASE WHEN lag1 > mu THEN 1 ELSE 0 END, 0) AS above,
+             regr_slope(lag1, rn) OVER wr AS s, count(lag1) OVER wr AS ns, max(lag1) OVER wr AS hi, min(lag1) OVER wr AS lo, first_value(lag1 IGNORE NULLS) OVER wr AS y0
+      FROM f WINDOW wr AS (PARTITION BY user_id, metric ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+i AS (SELECT *, sum(above) OVER (PARTITION BY user_id, metric ORDER BY ts, event_id) AS surges FROM g)"""
+_LONG_COLS = """SNAP(lag1) AS x_lag1, SNAP(lag2) AS x_lag2, SNAP(em) AS x_exp_mean, SNAP(es) AS x_exp_std, SNAP(emax) AS x_exp_max, SNAP(emin) AS x_exp_min, SNAP(rm) AS x_roll_mean,
+       SNAP(CASE WHEN x0 IS NOT NULL THEN sqrt(((x0-rm)^2 + (x1-rm)^2 + (x2-rm)^2 + (x3-rm)^2 + (x4-rm)^2) / 4.0) END) AS x_roll_std,
+       SNAP(CASE WHEN x0 IS NOT NULL THEN (abs(x0-rm) + abs(x1-rm) + abs(x2-rm) + abs(x3-rm) + abs(x4-rm)) / 5.0 END) AS x_roll_mad,
+       SNAP(CASE WHEN x0 IS NOT NULL THEN (-2*x0 - x1 + x3 + 2*x4) / 10.0 END) AS x_roll_trend,
+       SNAP(CASE WHEN x0 IS NOT NULL THEN greatest(x0, x1, x2, x3, x4) END) AS x_roll_max, SNAP(CASE WHEN x0 IS NOT NULL THEN least(x0, x1, x2, x3, x4) END) AS x_roll_min,
+       SNAP(mu) AS x_ewm_mean, SNAP(sd) AS x_ewm_std, SNAP(abs(lag1 - mu)) AS x_ewm_dev, SNAP(lag1 - em) AS x_delta"""
+_LONG_NAMES = ["x_lag1", "x_lag2", "x_exp_mean", "x_exp_std", "x_exp_max", "x_exp_min", "x_roll_mean", "x_roll_std", "x_roll_mad", "x_roll_trend", "x_roll_max", "x_roll_min",
+               "x_ewm_mean", "x_ewm_std", "x_ewm_dev", "x_delta"]
+_LONG_RANKS = {"em": "exp_mean", "rm": "roll_mean", "mu": "ewm_mean", "sl": "slope"}
+
+
+def _two_metrics(spark, sf):
+    return ev(spark, sf).join(table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("double").alias("k")), "event_id")
+
+
+@register("features_long", f"""
+WITH {_LONG_PARTS},
+gs AS (SELECT event_id, metric, d, SNAP(em) AS em, SNAP(rm) AS rm, SNAP(mu) AS mu, SNAP({_SLOPE}) AS sl FROM i),
+{", ".join(f"""
+k_{c} AS (SELECT a.event_id, a.metric, (count(*) FILTER (WHERE q.{c} < a.{c}) + (count(*) FILTER (WHERE q.{c} = a.{c}) + 1) / 2.0) / count(q.{c}) AS pr
+         FROM gs a JOIN gs q ON a.d = q.d AND a.metric = q.metric WHERE a.{c} IS NOT NULL GROUP BY ALL)""" for c in _LONG_RANKS)}
+SELECT i.event_id, i.metric, {_LONG_COLS}, above AS x_ewm_above, CAST(surges AS BIGINT) AS x_ewm_surges, SNAP({_SLOPE}) AS x_slope,
+       {", ".join(f"SNAP(k_{c}.pr) AS x_{name}_prank" for c, name in _LONG_RANKS.items())}
+FROM i {" ".join(f"LEFT JOIN k_{c} USING (event_id, metric)" for c in _LONG_RANKS)}
 """)
 def features_long(spark, sf):
-    from tempolith.operators import windows as W
-    e = ev(spark, sf).join(table(spark, sf, "events").select(
-        "event_id", F.get_json_object("props", "$.k").cast("double").alias("k")), "event_id")
-    long = J.feature_build(e, "user_id", EV_ORDER, "d", ["value", "k"], layout="long")
-    out = long.select("event_id", "metric", "d", "x_lag1", "x_exp_mean", "x_exp_std", "x_roll_mean", "x_ewm_mean")
-    out = round_doubles(out)
-    # rank the stored (snapped) feature, as every engine must see the same ties
-    out = out.withColumn("x_exp_mean_prank", snap(W.pct_rank_expr("x_exp_mean", ["d", "metric"])))
-    return out.drop("d")
+    long = J.feature_build(_two_metrics(spark, sf), "user_id", EV_ORDER, "d", ["value", "k"], layout="long", rank_bits=20)
+    return round_doubles(long.select("event_id", "metric", *_LONG_NAMES, "x_ewm_above", "x_ewm_surges", "x_slope", *[f"x_{name}_prank" for name in _LONG_RANKS.values()]))
+
+
+# P4 with saved state: a run on the first half, one more week, then all with a late, a corrected and a removed row -----------
+@register("features_from_state", f"""
+WITH {_LONG_PARTS}
+SELECT event_id, metric, {_LONG_COLS}, above AS x_ewm_above, CAST(surges AS BIGINT) AS x_ewm_surges FROM i
+""")
+def features_from_state(spark, sf):
+    from tempolith.plans.feature_state import FeatureStore
+    e = cut_lineage(_two_metrics(spark, sf))
+    store = FeatureStore(spark, scratch_path(spark, "feature_state"), "user_id", EV_ORDER, ["value", "k"], buckets=16)
+    day = lambda k: F.col("ts") < F.lit(dt.datetime(2024, 1, k)).cast("timestamp_ntz")
+    third = F.col("user_id") % 50
+    wrong = (e.filter(~((third == 3) & (F.col("event_id") % 2 == 0)))                                    # rows that come late
+             .withColumn("value", F.when(third == 4, F.col("value") + 1).otherwise(F.col("value"))))          # values corrected since
+    twice = wrong.unionByName(wrong.filter((third == 5) & (F.col("event_id") % 3 == 0)).withColumn("event_id", -F.col("event_id")))      # rows that go again
+    store.update(twice.filter(day(12)))
+    store.update(twice.filter(day(19)))
+    store.update(e)
+    return round_doubles(store.features().select("event_id", "metric", *_LONG_NAMES, "x_ewm_above", "x_ewm_surges"))
 
 
 # P4 with the opponent block on the orders frame: entity customer, opponent = priority,

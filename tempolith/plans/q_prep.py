@@ -690,3 +690,28 @@ def ensemble_trees(spark, sf):
     return s.join(cuts, "target").withColumn("third", third).groupBy("target", "third").agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.col("price").between(F.col("std80_lower"), F.col("std80_upper")).cast("double")).alias("std80_coverage"),
         F.avg("std_predictive").alias("std_predictive"))
+
+
+# M6-M8 together with 5,000 categories: PCA part, indicators and a sparse vector, saved, loaded and applied -------------------
+@register("preprocess_sparse", """
+WITH o AS (SELECT o_orderkey, 'c' || (o_orderkey % 5000) AS cat, o_orderpriority, o_orderdate < TIMESTAMP '1999-01-01' AS fit FROM orders),
+t AS (SELECT count(*) AS n FROM o WHERE fit),
+k AS (SELECT cat, count(*) / any_value(t.n) AS p FROM o, t WHERE fit GROUP BY cat),
+s AS (SELECT cat, CAST(row_number() OVER (ORDER BY cat) - 1 AS INTEGER) AS pos FROM k WHERE p * (1 - p) > 0.0001),
+w AS (SELECT CAST(count(*) AS INTEGER) AS width FROM s),
+i AS (SELECT CAST(count(*) AS INTEGER) AS shown FROM (SELECT o_orderpriority, count(*) / any_value(t.n) AS p FROM o, t WHERE fit GROUP BY 1) WHERE p * (1 - p) > 0.0001)
+SELECT o_orderkey, width + shown + 1 AS size, pos + shown + 1 AS hot, CASE WHEN pos IS NULL THEN 0 ELSE 1 END AS n_hot FROM o LEFT JOIN s USING (cat), w, i
+""")
+def preprocess_sparse(spark, sf):
+    from tempolith.operators.preprocess import Preprocessor
+    from tempolith.session import scratch_path
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", F.concat(F.lit("c"), (F.col("o_orderkey") % 5000).cast("string")).alias("cat"),
+                                          "o_orderdate")
+    train = o.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    path = scratch_path(spark, "sparse_preprocess")
+    Preprocessor.fit(train, numeric=["o_totalprice"], categorical=["o_orderpriority", "cat"]).save(spark, path)
+    pre = Preprocessor.load(spark, path)
+    out = pre.assembled(o)
+    dense = len(pre.features)
+    beyond = F.filter("features.indices", lambda i: i >= dense)
+    return out.select("o_orderkey", F.col("features.size").alias("size"), F.try_element_at(beyond, F.lit(1)).alias("hot"), F.size(beyond).alias("n_hot"))

@@ -13,6 +13,7 @@ from tempolith.operators import joins as C
 from tempolith.operators import sorting as S
 from tempolith.plans.bindings import ntz, ev, ev_gaps, orders_frame, round_doubles
 from tempolith.plans.catalog import register
+from tempolith.session import scratch_path
 from tempolith.sources.tables import table
 
 
@@ -380,6 +381,17 @@ def order_page(spark, sf):
     return S.page(o, ["o_orderdate", "o_orderkey"], page_no=3, size=25)
 
 
+# S3 a deep page as a range read: the sorted result is written once, with positions ------------------------------------------
+@register("deep_page", """
+SELECT l_orderkey, l_linenumber, l_extendedprice, row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber) - 1 AS position FROM lineitem
+ORDER BY position LIMIT 50 OFFSET (SELECT (count(*) // 50 - 40) * 50 FROM lineitem)
+""")
+def deep_page(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    pages = S.PagedTable.write(li, [F.col("l_extendedprice").desc_nulls_last(), F.col("l_orderkey")], "l_linenumber", scratch_path(spark, "pages"), block=4096)
+    return pages.page(li.count() // 50 - 39, 50)
+
+
 @register("top_lines", """
 SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) <= 3

@@ -1,7 +1,6 @@
 """Fitted preprocessing and scoring: what is saved scores as what was fitted."""
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from tempolith.operators.preprocess import Preprocessor
@@ -28,8 +27,8 @@ def test_saved_preprocessing_equals_the_fitted_one(spark):
     a, b = (p.transform(new).orderBy("id").collect() for p in (fitted, loaded))
     assert a == b and loaded.features == fitted.features
     assert a[0]["cat_idx"] == 0 and a[1]["cat_idx"] == 1 and (a[0]["cat_a"], a[1]["cat_a"], a[0]["flag_yes"]) == (0.0, 1.0, 0.0)
-    with pytest.raises(ValueError, match="cat"):
-        Preprocessor.fit(train, categorical=["cat"], max_categories=2)
+    # more categories than may have a column each: one sparse vector
+    assert Preprocessor.fit(train, categorical=["cat"], max_categories=2).sparse.keys() == {"cat"}
 
 
 def test_scoring_with_saved_artifacts_covers(spark):
@@ -41,3 +40,20 @@ def test_scoring_with_saved_artifacts_covers(spark):
     got = out.agg(F.count(F.lit(1)), F.avg((F.col("y").between(F.col("y_q10"), F.col("y_q90"))).cast("double")),
                   F.avg((F.col("y").between(F.col("y_std80_lower"), F.col("y_std80_upper"))).cast("double")), F.corr("y", "y_mean_pred")).first()
     assert got[0] == 1000 and 0.74 <= got[1] <= 0.86 and 0.74 <= got[2] <= 0.86 and got[3] > 0.85
+
+
+def test_many_categories_become_one_sparse_vector(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tempolith.operators.preprocess import Preprocessor
+    train = spark.range(8000).select(F.concat(F.lit("c"), (F.col("id") % 1500).cast("string")).alias("c"), (F.col("id") % 3).cast("string").alias("few"), F.col("id").cast("double").alias("v"))
+    train = train.unionByName(spark.createDataFrame([("rare", None, 1.0), (None, "0", None)], "c string, few string, v double"))
+    pre = Preprocessor.fit(train, numeric=["v"], categorical=["few", "c"])
+    pre.save(spark, str(tmp_path / "p"))
+    again = Preprocessor.load(spark, str(tmp_path / "p"))
+    assert pre.sparse == again.sparse == {"c": 1502} and len(pre.features) == 5       # 1 / 8002 still varies by more than 1e-4
+    assert Preprocessor.fit(train, categorical=["c"], least_variance=2e-4).sparse == {"c": 1500}
+    df = spark.createDataFrame([("c7", "1", 5.0), ("new", "9", None), (None, None, 1.0)], "c string, few string, v double")
+    rows = {r.c: r.features for r in again.assembled(df).collect()}
+    order = sorted(["missing", "rare", *[f"c{k}" for k in range(1500)]])
+    assert rows["c7"].size == 1507 and rows["c7"].indices == [0, 1, 2, 3, 4, 5 + order.index("c7")] and rows["c7"]["values"][1:] == [0.0, 1.0, 0.0, 0.0, 1.0]
+    assert rows["new"].indices == [0, 1, 2, 3, 4] and rows[None].indices[-1] == 5 + order.index("missing")
