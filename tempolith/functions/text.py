@@ -149,16 +149,16 @@ def ascii_fold(c: Column, transliterate: bool = False) -> Column:
     spelled out character by character."""
     src, dst, several = _fold_tables(transliterate)
     t = F.translate(c, src, dst)
+    u = t
     for ch in COMMON:
         if ch in several:
-            t = F.replace(t, F.lit(ch), F.lit(several[ch]))
-    spelled = F.array_join(F.transform(F.split(t, ""), lambda ch: _spelled(ch, transliterate)), "")
-    if transliterate:
-        rest = spelled
-    else:
+            u = F.replace(u, F.lit(ch), F.lit(several[ch]))
+    spelled = F.array_join(F.transform(F.split(u, ""), lambda ch: _spelled(ch, transliterate)), "")
+    if not transliterate:
         # a character that becomes several letters is there if deleting them all shortens the text
-        holds = F.length(F.translate(t, "".join(several), "")) != F.length(t)
-        rest = F.when(holds, spelled).otherwise(F.regexp_replace(t, NON_ASCII, ""))
+        holds = F.length(F.translate(u, "".join(several), "")) != F.length(u)
+        spelled = F.when(holds, spelled).otherwise(F.regexp_replace(u, NON_ASCII, ""))
+    rest = F.when(u.rlike(NON_ASCII), spelled).otherwise(u)
     return F.when(c.rlike(NON_ASCII), F.when(t.rlike(NON_ASCII), rest).otherwise(t)).otherwise(c)
 
 

@@ -61,24 +61,27 @@ def global_positions(seg: DataFrame, key, order) -> DataFrame:
 
 # -- ranks within a group (hot dates) -----------------------------------------------------
 def pct_rank_within(df: DataFrame, by, cols: Sequence[str], suffix: str = "_prank",
-                    partitions: int | None = None, key: Sequence[str] | None = None) -> DataFrame:
+                    partitions: int | None = None, together: bool = False) -> DataFrame:
     """Average-tie percentile rank of each column within ``by`` (as
     ``windows.pct_rank_within``) without sending a group to one task.
 
-    With ``key`` (a unique row key, whose NULLs count as values; rows that share
-    one share their largest rank) all columns are ranked together: their values are unpivoted, range-partitioned on (by, column, value) once, and
-    the ranks join back to the frame once.  NULLs take no part, so a group's
-    missing values are not dealt at all."""
+    ``together`` ranks all columns at once: the frame is written (checkpointed)
+    with a generated row id, so it is computed once; the columns' values are
+    unpivoted, range-partitioned on (by, column, value) once, and the ranks
+    join back to the frame once, by the row id.  NULLs take no part, so a
+    group's missing values are not dealt at all."""
     by = _cols(by)
-    if key is None:
+    if not together:
         for c in cols:
             df = _rank_one(df, by, c, f"{c}{suffix}", partitions)
         return df
-    key, ids = list(key), list(dict.fromkeys([*key, *by]))
-    long = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(ids, list(cols), "_c", "_v")
+    from tempolith.session import cut_lineage
+    row = "_row_id"
+    df = cut_lineage(df.withColumn(row, F.monotonically_increasing_id()))
+    long = df.select(row, *by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot([row, *by], list(cols), "_c", "_v")
     r = _rank_one(long.filter(F.col("_v").isNotNull()), [*by, "_c"], "_v", "_r", partitions)
-    ranked = r.groupBy(*key).agg(*[F.max(F.when(F.col("_c") == c, F.col("_r"))).alias(f"{c}{suffix}") for c in cols])
-    return left_join_nulls(df, ranked, key)
+    ranked = r.groupBy(row).agg(*[F.max(F.when(F.col("_c") == c, F.col("_r"))).alias(f"{c}{suffix}") for c in cols])
+    return df.join(ranked, row, "left").drop(row)
 
 
 def left_join_nulls(df: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -18,6 +18,7 @@ from tempolith.functions import dates as DT
 from tempolith.functions import numeric as NU
 from tempolith.functions import text as TX
 from tempolith.operators import aggs as D
+from tempolith.operators import ensemble as EN
 from tempolith.operators import ewm as E
 from tempolith.operators import filters as B
 from tempolith.operators import intervals as IV
@@ -148,7 +149,7 @@ def feature_build(df: DataFrame, entity: str, order: Sequence[str], date: str, m
     ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")] + context_ranks
     if skew_safe_ranks:
         from tempolith.operators import segmented as SG
-        df = _ranked(df, ranks, rank_bits, lambda d, cols: SG.pct_rank_within(d, date, cols, partitions=partitions, key=[entity] + order))
+        df = _ranked(df, ranks, rank_bits, lambda d, cols: SG.pct_rank_within(d, date, cols, partitions=partitions, together=True))
     else:
         df = _ranked(df, ranks, rank_bits, lambda d, cols: W.pct_rank_within(d, date, cols))
     return NU.clean_non_finite(df)
@@ -349,6 +350,66 @@ def score_slate(slate: DataFrame, row: str, path: str, targets: Sequence[str], m
     return U.display_table(out, [row], "target", targets, measures)
 
 
+def fit_scoring(train: DataFrame, row: str, targets: Sequence[str], path: str, members: int = 10, trees: int = 0, calibrate: float = 0.5,
+                priors: dict[str, str] | None = None, **columns) -> None:
+    """``fit_artifacts`` with the whole uncertainty regression: members with a row-dependent log-variance
+    (``ensemble.fit``, ``members`` linear ones and ``trees``), on a hashed share of held-out rows the blend with
+    ``priors`` (a prior mean column per target, in the target's units) and then the std and quantile scales of the
+    blended draws."""
+    spark = train.sparkSession
+    pre = PP.Preprocessor.fit(train, **columns)
+    pre.save(spark, f"{path}/preprocess")
+    P.fit_scaler(train, targets).write.mode("overwrite").parquet(f"{path}/targets")
+    moments = spark.read.parquet(f"{path}/targets")
+    rows, scaled = _scaled_priors(pre.transform(train), moments, priors)
+    rows = P.hash_split(P.scale(rows, moments, targets), row, calibrate)
+    rows = cut_lineage(rows.select(row, "is_cal", *targets, *pre.features, *scaled.values()))
+    held = rows.filter("is_cal")
+    model = EN.fit(rows.filter("NOT is_cal"), row, pre.features, targets, linear=members, trees=trees)
+    if scaled:
+        model = EN.with_blend(model, held, row, scaled)
+    EN.save(model, spark, f"{path}/ensemble")
+    summary = U.summarize_draws(EN.draws(held, row, model, priors=scaled or None), [row, "target"])
+    cal = cut_lineage(summary.join(held.unpivot([row], list(targets), "target", "y"), [row, "target"]))
+    U.fit_std_scale(cal, "target", "y", "mean_pred", "std_epistemic", "std_aleatoric").write.mode("overwrite").parquet(f"{path}/std_scale")
+    U.fit_quantile_scale(cal, "target", "y", "q50", "q10", "q90").write.mode("overwrite").parquet(f"{path}/quantile_scale")
+
+
+def _scaled_priors(df: DataFrame, moments: DataFrame, priors: dict[str, str] | None) -> tuple[DataFrame, dict[str, str]]:
+    """Prior means in the targets' standard units, as columns of their own."""
+    if not priors:
+        return df, {}
+    p = P.one_row(moments)
+    return df.withColumns({f"_prior_{t}": (F.col(c) - p[f"{t}__mean"]) / p[f"{t}__scale"] for t, c in priors.items()}), {t: f"_prior_{t}" for t in priors}
+
+
+#: What is published for every target.
+MEASURES = ("mean_pred", "q10", "q50", "q90", "std80_lower", "std80_upper", "pi80_width", "std_predictive", "std_epistemic", "std_aleatoric")
+
+
+def publish_slate(slate: DataFrame, row: str, path: str, targets: Sequence[str], eligible: DataFrame, key: str, date: str, today, out: str, run_date,
+                  priors: dict[str, str] | None = None, dampen: dict | None = None, measures: Sequence[str] = MEASURES, clamp_zero: bool = True) -> DataFrame:
+    """P7 as one job on the artifacts of ``fit_scoring``: eligible keys, the next slate, priors dampened (arguments of
+    ``prep.dampen``) and blended, draws, scales, bounds in the targets' units, one wide row per id, a run-dated partition.
+
+    Rows that are not published are left out before anything is scored. Returns the published rows read back."""
+    spark = slate.sparkSession
+    rows = B.next_slate(C.keep_known(slate, eligible, key), date, today)
+    if dampen is not None:
+        rows = P.dampen(rows, targets, **dampen)
+    pre, model = PP.Preprocessor.load(spark, f"{path}/preprocess"), EN.load(spark, f"{path}/ensemble")
+    moments = spark.read.parquet(f"{path}/targets")
+    rows, scaled = _scaled_priors(rows, moments, priors)
+    ids = rows.select(row, key, date)
+    draws = EN.draws(pre.transform(rows), row, model, priors=scaled or None)
+    summary = U.summarize_draws(draws, [row, "target"], scale=spark.read.parquet(f"{path}/std_scale"))
+    per_target = F.explode(F.array(*[F.struct(F.lit(t).alias("target"), F.col(f"{t}__mean").alias("y_mean"), F.col(f"{t}__scale").alias("y_scale")) for t in targets]))
+    iv = U.intervals(summary, "target", q_scale=spark.read.parquet(f"{path}/quantile_scale"), y_params=moments.select(per_target.alias("t")).select("t.*"), clamp_zero=clamp_zero)
+    wide = ids.join(U.display_table(iv, [row], "target", targets, measures), row)
+    IO.save_dated(wide, out, run_date)
+    return spark.read.parquet(out).filter(F.col("run_date") == F.lit(run_date).cast("date"))
+
+
 # P9 ------------------------------------------------------------------------------------
 def browse(df: DataFrame, order: Sequence, tie: str, query: str | None, groups: dict, pick: Sequence[str],
            page_no: int, size: int) -> DataFrame:
@@ -375,7 +436,7 @@ def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], da
     ``operators.segmented``); outputs are identical.  ``season`` must not
     decrease along ``order`` (e.g. a year of the date)."""
     from tempolith.operators import segmented as SG
-    order, row_key = list(order), [entity] + list(order)
+    order = list(order)
     alpha = E.alpha_from_span(span)
     df, entity = SG.without_nulls(df, [entity])      # keys are joined on: a NULL entity is one like others
     rows = SG.running_features(df, entity, [season] + order, metrics, lags=(1, 2), roll=roll,
@@ -412,7 +473,7 @@ def feature_build_skew_safe(df: DataFrame, entity: str, order: Sequence[str], da
     rows = _opponent_block(rows, season, date, span, interaction_pairs, opponent, opponent_stats, team, primary_metric)
     ranks = rank_cols if rank_cols is not None else [f"{m}_{s}" for m in metrics for s in ("exp_mean", "roll_mean", "ewm_mean", "slope")] + [
         f"{m}_ewm_mean_{v}" for m in metrics for v in (context_values if context else ())]
-    rows = _ranked(rows, ranks, rank_bits, lambda d, cols: SG.pct_rank_within(d, date, cols, partitions=partitions, key=row_key))
+    rows = _ranked(rows, ranks, rank_bits, lambda d, cols: SG.pct_rank_within(d, date, cols, partitions=partitions, together=True))
     rows = rows.drop(*entity)
     return NU.clean_non_finite(rows)
 
@@ -436,12 +497,10 @@ def feature_build_long(df: DataFrame, entity: str, order: Sequence[str], date: s
     from tempolith.operators import segmented as SG
     order, x = list(order), value_col
     ids = list(dict.fromkeys([entity, date] + order + ([season] if season and season not in order else []) + list(keep)))
-    row_id = "_row"
-    rows = cut_lineage(df.select(*ids, *[F.col(m).cast("double").alias(m) for m in metrics]).withColumn(row_id, F.monotonically_increasing_id()))
-    rows, keys = SG.without_nulls(rows, [entity])
+    rows, keys = SG.without_nulls(df.select(*ids, *[F.col(m).cast("double").alias(m) for m in metrics]), [entity])
     rows = rows.withColumn("_season", F.coalesce(F.col(season).cast("string"), F.lit("")) if season else F.lit(""))
     part = keys + [metric_col]
-    rows = rows.unpivot([*ids, *keys, "_season", row_id], list(metrics), metric_col, x)
+    rows = rows.unpivot([*ids, *keys, "_season"], list(metrics), metric_col, x)
     rows = SG.running_features(rows, part, order, [x], lags=(1, 2), roll=roll, partitions=partitions, keep_segments=True)
     mean, std, prev = f"{x}_ewm_mean", f"{x}_ewm_std", f"{x}_lag1"
     rows = SG.ewm_on_segments(rows, part, prev, f"_{x}_x0", E.alpha_from_span(span), mean, std)
@@ -454,8 +513,8 @@ def feature_build_long(df: DataFrame, entity: str, order: Sequence[str], date: s
     rows = SG.season_features(rows, part, "_season", "_day", prev, {}, f"{x}_slope", slope_min_rows=slope_min_rows)
     rows = rows.drop("_day", "rest_days", "back_to_back", "_rn", "_seg_start", "_n", SG.SEG, "_season", f"_{x}_x0", *keys)
     rows = _ranked(rows, [f"{x}_{r}" for r in ranks], rank_bits,
-                   lambda d, cols: SG.pct_rank_within(d, [date, metric_col], cols, partitions=partitions, key=[row_id, metric_col]))
-    return NU.clean_non_finite(rows.drop(row_id))
+                   lambda d, cols: SG.pct_rank_within(d, [date, metric_col], cols, partitions=partitions, together=True))
+    return NU.clean_non_finite(rows)
 
 
 def to_wide(long: DataFrame, keys: Sequence[str], metrics: Sequence[str], features: Sequence[str],

@@ -470,6 +470,73 @@ def score_slate(spark, sf):
                                       for m in ("mean_pred", "std_epistemic", "std_aleatoric")])
 
 
+# P7 as one job: eligible customers' next slate, priors dampened and blended, calibrated draws, all measures, dated sink -------
+_P7_MEASURES = {"mean_pred": "greatest(mu, 0)", "q10": "greatest(a10, 0)", "q50": "greatest(a50, 0)", "q90": "greatest(a90, 0)", "std80_lower": "greatest(mu - 1.2815515655446004 * sp, 0)",
+                "std80_upper": "mu + 1.2815515655446004 * sp", "pi80_width": "greatest(greatest(a90, 0) - greatest(a10, 0), 0)", "std_predictive": "sp", "std_epistemic": "se", "std_aleatoric": "sa"}
+
+
+def _p7_target(t):
+    return f"""
+v_{t} AS (SELECT d.row_, d.m, d.mean, d.logvar, d.{t} AS y, d.cal, (CASE WHEN d.slate THEN d.r_{t} * d.w_{t} ELSE d.r_{t} END - mo.m_{t}) / mo.s_{t} AS prior
+          FROM (SELECT * FROM d_{t}) d, mo),
+h_own_{t} AS (SELECT row_, avg(mean) AS pred, any_value(y) AS y, any_value(prior) AS prior FROM v_{t} WHERE cal GROUP BY row_),
+own_{t} AS (SELECT greatest(least(sum((y - prior) * (pred - prior)) / sum((pred - prior) ^ 2), 1), 0) AS own FROM h_own_{t} WHERE prior IS NOT NULL),
+u_{t} AS (SELECT row_, cal, y, logvar, coalesce(own * mean + (1 - own) * prior, mean) AS mean,
+                 {_U.format(f"'7:radius:' || row_ || ':{t}:' || m")} AS u, {_U.format(f"'7:angle:' || row_ || ':{t}:' || m")} AS v FROM v_{t}, own_{t}),
+n_{t} AS (SELECT *, mean + exp(logvar / 2) * sqrt(-2 * ln(u)) * cos(2 * pi() * v) AS sample FROM u_{t}),
+z_{t} AS (SELECT row_, any_value(cal) AS cal, any_value(y) AS y, avg(mean) AS mu, stddev_pop(mean) AS se, sqrt(avg(exp(logvar))) AS sa,
+                 quantile_cont(sample, 0.1) AS q10, quantile_cont(sample, 0.5) AS q50, quantile_cont(sample, 0.9) AS q90 FROM n_{t} GROUP BY row_),
+ss_{t} AS (SELECT arg_min(s, (abs(cov - 0.8), s)) AS s FROM (SELECT g.s, avg(CASE WHEN abs(y - mu) <= 1.2815515655446004 * sqrt(se ^ 2 + (g.s * sa) ^ 2) THEN 1.0 ELSE 0.0 END) AS cov
+           FROM z_{t}, grid g WHERE cal GROUP BY g.s)),
+qs_{t} AS (SELECT arg_min(s, (abs(cov - 0.8), s)) AS s FROM (SELECT g.s, avg(CASE WHEN y >= q50 + g.s * (q10 - q50) AND y <= q50 + g.s * (q90 - q50) THEN 1.0 ELSE 0.0 END) AS cov
+           FROM z_{t}, grid g WHERE cal GROUP BY g.s)),
+f_{t} AS (SELECT row_, mu * s_{t} + m_{t} AS mu, se * s_{t} AS se, sa * ss.s * s_{t} AS sa, sqrt(se ^ 2 + (sa * ss.s) ^ 2) * s_{t} AS sp, q50 * s_{t} + m_{t} AS a50,
+                 (q50 + (q10 - q50) * qs.s) * s_{t} + m_{t} AS a10, (q50 + (q90 - q50) * qs.s) * s_{t} + m_{t} AS a90
+          FROM z_{t}, ss_{t} ss, qs_{t} qs, mo WHERE NOT cal),
+o_{t} AS (SELECT row_, {", ".join(f"{e} AS {t}_{m}" for m, e in _P7_MEASURES.items())} FROM f_{t})"""
+
+
+def _register_publish_slate():
+    from tempolith.plans.q_prep import _GRID_SQL, _members_sql, _orders_xy
+
+    @register("publish_slate", f"""
+WITH {_GRID_SQL}, q AS (SELECT l_orderkey, sum(l_quantity) AS x FROM lineitem GROUP BY 1),
+o0 AS (SELECT o_orderkey AS row_, o_custkey, o_orderdate, coalesce(q.x, 0) / 100 AS x, o_totalprice / 100000 AS price,
+              CAST(o_orderpriority = '1-URGENT' AS DOUBLE) AS urgent, o_orderdate < TIMESTAMP '1999-01-01' AS early FROM orders LEFT JOIN q ON l_orderkey = o_orderkey),
+mo AS (SELECT avg(price) AS m_price, stddev_pop(price) AS s_price, avg(urgent) AS m_urgent, stddev_pop(urgent) AS s_urgent FROM o0 WHERE early),
+pr AS (SELECT o_custkey, avg(price) AS r_price, avg(urgent) AS r_urgent, avg(x) AS lx, count(*) AS n,
+              avg(price) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS l_price, avg(urgent) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS l_urgent,
+              avg(x) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS rx FROM o0 WHERE early GROUP BY 1),
+pw AS (SELECT *, greatest(least(rx / (lx + 1e-6), 1.0), 0.2) AS mr FROM pr),
+pd AS (SELECT *, {", ".join(f"CASE WHEN mr IS NOT NULL THEN least(mr, greatest(least(coalesce(CASE WHEN r_{t} <> 0 THEN l_{t} / r_{t} END, 1.0), 1.0), 0.2)) END AS w_{t}" for t in _TARGETS)} FROM pw),
+sl AS (SELECT o0.row_, o0.o_orderdate::date AS d FROM o0 JOIN pr USING (o_custkey) WHERE NOT early AND pr.n >= 5),
+nx AS (SELECT coalesce(min(d) FILTER (WHERE d >= DATE '1999-06-01'), max(d)) AS d FROM sl),
+o AS (SELECT o0.row_, o0.o_custkey, o_orderdate, x, (price - m_price) / s_price AS price, (urgent - m_urgent) / s_urgent AS urgent, early,
+             early AND ('0x' || substr(md5('42:' || o0.row_), 1, 12))::BIGINT % 1048576 < 524288 AS cal, NOT early AS slate, r_price, r_urgent, w_price, w_urgent
+      FROM o0 LEFT JOIN pd USING (o_custkey), mo WHERE early OR o0.row_ IN (SELECT row_ FROM sl JOIN nx USING (d))),
+tr AS (SELECT * FROM o WHERE early AND NOT cal), mm AS (SELECT CAST(m AS INTEGER) AS m FROM range(0, 6) t(m)),
+{_members_sql("price")}, {_members_sql("urgent")}, {_p7_target("price")}, {_p7_target("urgent")}
+SELECT o_price.row_ AS o_orderkey, o.o_custkey, o.o_orderdate::date AS d, {", ".join(f"SNAP12({t}_{m}) AS {t}_{m}" for t in _TARGETS for m in _P7_MEASURES)}, DATE '1999-06-01' AS run_date
+FROM o_price JOIN o_urgent USING (row_) JOIN o USING (row_) WHERE o.slate
+""")
+    def publish_slate(spark, sf):
+        o, early = _orders_xy(spark, sf)
+        late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+        past = o.filter(early).groupBy("o_custkey").agg(
+            F.count(F.lit(1)).alias("n"), F.avg("price").alias("price_exp_mean"), F.avg("urgent").alias("urgent_exp_mean"), F.avg("x").alias("x_long"),
+            F.avg(F.when(late, F.col("price"))).alias("price_ewm_mean"), F.avg(F.when(late, F.col("urgent"))).alias("urgent_ewm_mean"), F.avg(F.when(late, F.col("x"))).alias("x_recent"))
+        rows = o.join(past.drop("n"), "o_custkey", "left").withColumn("d", F.to_date("o_orderdate"))
+        priors = {t: f"{t}_exp_mean" for t in _TARGETS}
+        path = scratch_path(spark, "scoring")
+        J.fit_scoring(rows.filter(early), "o_orderkey", _TARGETS, path, members=6, priors=priors, numeric=["x"])
+        out = J.publish_slate(rows.filter(~early).drop(*_TARGETS), "o_orderkey", path, _TARGETS, past.filter("n >= 5").select("o_custkey"), "o_custkey", "d", dt.date(1999, 6, 1),
+                              scratch_path(spark, "published_slate"), dt.date(1999, 6, 1), priors=priors, dampen={"recent_minutes": "x_recent", "long_minutes": "x_long"})
+        return round_doubles(out.select("o_orderkey", "o_custkey", "d", *[f"{t}_{m}" for t in _TARGETS for m in _P7_MEASURES], "run_date"), bits=12)
+
+
+_register_publish_slate()
+
+
 # P9 browse: round, search, pick column groups, sort, page ---------------------------------------------
 @register("browse_page", """
 WITH t AS (
