@@ -410,6 +410,31 @@ def publish_slate(slate: DataFrame, row: str, path: str, targets: Sequence[str],
     return spark.read.parquet(out).filter(F.col("run_date") == F.lit(run_date).cast("date"))
 
 
+# P8 ------------------------------------------------------------------------------------
+def train_evaluate(df: DataFrame, row: str, split: str, boundary, targets: Sequence[str], path: str, members: int = 10, trees: int = 0,
+                   priors: dict[str, str] | None = None, calibrate: float = 0.5, **columns) -> DataFrame:
+    """Fit on the rows before ``boundary`` of ``split`` (M1), evaluate on those from it on.
+
+    Fitting is ``fit_scoring``: preprocessing (medians, moments, PCA, indicators, indexes, sparse vectors: ``columns``),
+    members, blend and scales, all saved under ``path``. The result has a row per target and suffix, "cal" with the
+    fitted scales and "uncal" without (M19), in the targets' units; rows without a target are not evaluated."""
+    spark = df.sparkSession
+    train, valid = P.temporal_split(df, split, boundary, valid_on_or_after=True)
+    fit_scoring(train, row, targets, path, members=members, trees=trees, calibrate=calibrate, priors=priors, **columns)
+    pre, model = PP.Preprocessor.load(spark, f"{path}/preprocess"), EN.load(spark, f"{path}/ensemble")
+    moments = spark.read.parquet(f"{path}/targets")
+    rows, scaled = _scaled_priors(valid, moments, priors)
+    draws = cut_lineage(EN.draws(pre.transform(rows), row, model, priors=scaled or None))
+    y = valid.unpivot([row], list(targets), "target", "y").filter("y IS NOT NULL")
+    per_target = F.explode(F.array(*[F.struct(F.lit(t).alias("target"), F.col(f"{t}__mean").alias("y_mean"), F.col(f"{t}__scale").alias("y_scale")) for t in targets]))
+    units = moments.select(per_target.alias("t")).select("t.*")
+    out = []
+    for suffix, std, quantile in (("cal", spark.read.parquet(f"{path}/std_scale"), spark.read.parquet(f"{path}/quantile_scale")), ("uncal", None, None)):
+        iv = U.intervals(U.summarize_draws(draws, [row, "target"], scale=std), "target", q_scale=quantile, y_params=units, clamp_zero=False)
+        out.append(U.evaluate(iv.join(y, [row, "target"]), "target", "y", suffix))
+    return out[0].unionByName(out[1])
+
+
 # P9 ------------------------------------------------------------------------------------
 def browse(df: DataFrame, order: Sequence, tie: str, query: str | None, groups: dict, pick: Sequence[str],
            page_no: int, size: int) -> DataFrame:

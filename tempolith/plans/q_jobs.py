@@ -402,26 +402,13 @@ def publish_scores(spark, sf):
 # P8 train / calibrate / evaluate (checked by tests: coverage after calibration, unique rows) ---------------------------
 @register("train_evaluate")
 def train_evaluate(spark, sf):
-    from tempolith.operators import prep as P
-    feats, tgt = ["qty", "n_lines", "disc"], "o_totalprice"
     lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).alias("n_lines"), F.avg("l_discount").alias("disc"))
-    o = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("season"), tgt).join(lines, "o_orderkey", "left")
-    train, valid = P.temporal_split(o, "season", 2000)
-    params = P.fit_scaler(train, [tgt])
-    tr, va = P.scale(train, params, [tgt]), P.scale(valid, params, [tgt])
-    fitted = U.fit_ensemble(tr, "o_orderkey", feats, [tgt], members=20)
-    summ = U.summarize_draws(U.score_draws(va, "o_orderkey", feats, fitted), ["o_orderkey", "target"])
-    j = summ.join(va.select("o_orderkey", F.col(tgt).alias("y")), "o_orderkey")
-    j = P.hash_split(j, "o_orderkey", 0.5)
-    cal, ev_half = j.filter("is_cal"), j.filter(~F.col("is_cal"))
-    ss = U.fit_std_scale(cal, "target", "y", "mean_pred", "std_epistemic", "std_aleatoric")
-    qs = U.fit_quantile_scale(cal, "target", "y", "q50", "q10", "q90")
-    iv = U.intervals(ev_half.join(ss.withColumnRenamed("s", "std_s"), "target")
-                     .withColumn("std_aleatoric", F.col("std_aleatoric") * F.col("std_s"))
-                     .withColumn("std_predictive", F.sqrt(F.pow("std_epistemic", 2) + F.pow("std_aleatoric", 2))),
-                     "target", q_scale=qs, clamp_zero=False)
-    return U.evaluate(iv, "target", "y", "cal")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("season"), "o_totalprice", "o_orderpriority", "o_orderstatus")
+    o = o.join(lines, "o_orderkey", "left")
+    prior = o.filter("season < 2000").groupBy("o_custkey").agg(F.avg("o_totalprice").alias("prior"))
+    return J.train_evaluate(o.join(prior, "o_custkey", "left"), "o_orderkey", "season", 2000, ["o_totalprice"], scratch_path(spark, "train_evaluate"), members=6, trees=2,
+                            priors={"o_totalprice": "prior"}, numeric=["qty", "n_lines", "disc"], categorical=["o_orderpriority", "o_orderstatus"], index=["o_custkey"])
 
 
 # P7 with everything fitted saved and loaded: preprocessing, ensemble, scales; all targets in the published layout ------------
@@ -496,6 +483,42 @@ f_{t} AS (SELECT row_, mu * s_{t} + m_{t} AS mu, se * s_{t} AS se, sa * ss.s * s
 o_{t} AS (SELECT row_, {", ".join(f"{e} AS {t}_{m}" for m, e in _P7_MEASURES.items())} FROM f_{t})"""
 
 
+# P8 with one feature, so that SQL can repeat the fit: two targets, blended with customers' earlier means, calibrated and not ----
+def _register_train_evaluate():
+    from tempolith.plans.q_prep import _GRID_SQL, _METRICS_SQL, _members_sql, _orders_xy
+
+    def rows(t, cal):
+        q, s = (("qs.s", "ss.s") if cal else ("1", "1"))
+        return f"""SELECT '{t}' AS target, mu * s_{t} + m_{t} AS mu, se * s_{t} AS se, sa * {s} * s_{t} AS sa, sqrt(se ^ 2 + (sa * {s}) ^ 2) * s_{t} AS sp, q50 * s_{t} + m_{t} AS q50,
+                 (q50 + (q10 - q50) * {q}) * s_{t} + m_{t} AS q10, (q50 + (q90 - q50) * {q}) * s_{t} + m_{t} AS q90, z_{t}.y * s_{t} + m_{t} AS y
+          FROM z_{t} JOIN o USING (row_), ss_{t} ss, qs_{t} qs, mo WHERE o.slate"""
+
+    metrics = " UNION ALL ".join(f"""SELECT * FROM (WITH ivc AS ({" UNION ALL ".join(rows(t, s == "cal") for t in _TARGETS)}) {_METRICS_SQL.format(suffix=s)})""" for s in ("cal", "uncal"))
+
+    @register("train_evaluate_blend", f"""
+WITH {_GRID_SQL}, q AS (SELECT l_orderkey, sum(l_quantity) AS x FROM lineitem GROUP BY 1),
+o0 AS (SELECT o_orderkey AS row_, o_custkey, o_orderdate, coalesce(q.x, 0) / 100 AS x, o_totalprice / 100000 AS price,
+              CAST(o_orderpriority = '1-URGENT' AS DOUBLE) AS urgent, o_orderdate < TIMESTAMP '1999-01-01' AS early FROM orders LEFT JOIN q ON l_orderkey = o_orderkey),
+mo AS (SELECT avg(price) AS m_price, stddev_pop(price) AS s_price, avg(urgent) AS m_urgent, stddev_pop(urgent) AS s_urgent FROM o0 WHERE early),
+pr AS (SELECT o_custkey, avg(price) AS r_price, avg(urgent) AS r_urgent FROM o0 WHERE early GROUP BY 1),
+o AS (SELECT o0.row_, o0.o_custkey, o_orderdate, x, (price - m_price) / s_price AS price, (urgent - m_urgent) / s_urgent AS urgent, early,
+             early AND ('0x' || substr(md5('42:' || o0.row_), 1, 12))::BIGINT % 1048576 < 524288 AS cal, NOT early AS slate, r_price, r_urgent, 1.0 AS w_price, 1.0 AS w_urgent
+      FROM o0 LEFT JOIN pr USING (o_custkey), mo),
+tr AS (SELECT * FROM o WHERE early AND NOT cal), mm AS (SELECT CAST(m AS INTEGER) AS m FROM range(0, 6) t(m)),
+{_members_sql("price")}, {_members_sql("urgent")}, {_p7_target("price")}, {_p7_target("urgent")}
+{metrics}
+""")
+    def train_evaluate_blend(spark, sf):
+        o, early = _orders_xy(spark, sf)
+        prior = o.filter(early).groupBy("o_custkey").agg(F.avg("price").alias("p_price"), F.avg("urgent").alias("p_urgent"))
+        rows = o.join(prior, "o_custkey", "left").withColumn("season", F.year("o_orderdate"))
+        return round_doubles(J.train_evaluate(rows, "o_orderkey", "season", 1999, list(_TARGETS), scratch_path(spark, "train_evaluate"), members=6,
+                                              priors={t: f"p_{t}" for t in _TARGETS}, numeric=["x"]))
+
+
+_register_train_evaluate()
+
+
 def _register_publish_slate():
     from tempolith.plans.q_prep import _GRID_SQL, _members_sql, _orders_xy
 
