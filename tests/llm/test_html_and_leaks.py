@@ -80,6 +80,19 @@ def test_layouts_of_div_keep_heading_lead_and_closing(spark):
     assert all(got[k] == want for k in range(5)) and got[9] == f"Title {want}"
 
 
+def test_paths_that_tie_give_the_same_text_on_every_run(spark):
+    """Two containers of one score and a host whose pages vote half and half: one answer, whatever the partitions."""
+    text = "A long enough sentence of the article, with some words more than the rest."
+    body = f"<p>{text}</p><p>{text}</p>"
+    twins = f"<body><div class=one>{body}</div><div class=two>{body}</div></body>"
+    rows = [(k, "http://tie.example/", twins) for k in range(6)]
+    rows += [(10 + k, "http://half.example/", f"<body><div class={'left' if k % 2 else 'right'}>{body}</div></body>") for k in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [{r.page_id: r.text for r in html_main.main_text(df.repartition(n)).collect()} for n in (1, 4, 7)]
+    assert got[0] == got[1] == got[2]
+    assert {got[0][10 + k] for k in range(6)} == {f"{text} {text}"} and len({got[0][k] for k in range(6)}) == 1 and text in got[0][0]
+
+
 def test_edited_copies_are_found_and_clean_rows_left(spark):
     r = random.Random(9)
     tests = [(k, " ".join(words(r, r.randrange(15, 60)))) for k in range(12)] + [(50, None), (51, ""), (52, "w1 w2"), (None, " ".join(words(r, 20))), (0, " ".join(words(r, 30)))]

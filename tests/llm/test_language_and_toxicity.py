@@ -106,3 +106,25 @@ def test_shouted_words_count_in_texts_of_any_length():
         text = calm * n + shout
         assert toxicity.features(text, frozenset())[at] == 4 / len(text.split())
     assert toxicity.features(calm, frozenset())[at] == 0
+
+
+def test_toxicity_of_nothing_and_with_clashing_columns(spark):
+    rows = awkward()
+    some = spark.createDataFrame([(i, i % 2) for i in range(100, 130)], "doc_id long, toxic int")
+    plain, clash = frame(spark, rows), frame(spark, rows, clash=True)
+    key = lambda r: str((r.doc_id, r.score))
+    got = [sorted(map(key, toxicity.Scorer(d, some).score(d, "doc_id").collect())) for d in (plain, clash)]
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    none = frame(spark, [])
+    assert toxicity.Scorer(none, some).score(none, "doc_id").count() == 0
+    assert len(toxicity.Scorer(none, some).score(plain, "doc_id").collect()) == len(rows)
+
+
+def test_languages_that_tie_are_rejected_and_named_by_the_first():
+    """Two dictionaries of the same bytes: every text ties, the first name wins, and the row is rejected."""
+    books = language.Books({"xx": b"one two three four five six " * 40, "aa": b"one two three four five six " * 40})
+    judge = language.Judge(books)
+    for text in ("one two three", "one two three four five six " * 300, "nothing of it 123"):
+        name, score, rejected = judge.of(text)
+        assert name == "aa" and rejected and abs(score - 0.5) < 1e-9
+    assert judge.of("12 34") == ("und", 0.0, True) and judge.of(None) == ("und", 0.0, True)

@@ -50,3 +50,32 @@ def test_nothing_and_short_texts(spark):
     assert repeated_spans(frame(spark, [])).count() == 0
     got = repeated_spans(frame(spark, [(1, "short", None, None, None), (2, "short", None, None, None)])).collect()
     assert all(x.spans == [] for x in got)
+
+
+def test_texts_of_more_than_a_block(spark):
+    """Two texts over 1 MB that share passages with each other, with short texts and within themselves, across block borders too."""
+    from tempolith.llm.common import BLOCK
+    r = random.Random(31)
+    pieces = ["".join(r.choices("abcdefghij klmn", k=n)) for n in (200, 201, 350, 5000)]
+    long = "".join(r.choices("abcdefghijklmnop qrst", k=BLOCK + 40_000))
+    other = "".join(r.choices("abcdefghijklmnop qrst", k=BLOCK + 300_000))
+    for at, piece in ((0, 3), (BLOCK - 100, 2), (BLOCK + 20_000, 0)):
+        long = long[:at] + pieces[piece] + long[at:]
+    for at, piece in ((500_000, 3), (BLOCK - 2_000, 3), (BLOCK + 200_000, 1)):
+        other = other[:at] + pieces[piece] + other[at:]
+    rows = [(1, long, "en", "a", 0), (2, other, "en", "a", 0), (3, "start " + pieces[0] + " end", "en", "a", 0), (4, pieces[2][:340], "en", "a", 0), (5, pieces[1][1:], "en", "a", 0)]
+    got = sorted((x.doc_id, x.n_bytes, [(s.start, s.end) for s in x.spans], x.kept_sha256) for x in repeated_spans(frame(spark, rows)).collect())
+    raw = [t.encode() for _, t, *_ in rows]
+    seen = Counter(hash(b[k:k + LENGTH]) for b in raw for k in range(len(b) - LENGTH + 1))
+    want = []
+    for (i, *_), b in zip(rows, raw):
+        starts = [k for k in range(len(b) - LENGTH + 1) if seen[hash(b[k:k + LENGTH])] > 1]
+        spans: list[list[int]] = []
+        for k in starts:
+            if spans and k <= spans[-1][1]:
+                spans[-1][1] = k + LENGTH
+            else:
+                spans.append([k, k + LENGTH])
+        kept = b"".join(b[a:e] for a, e in zip([0, *(e for _, e in spans)], [*(a for a, _ in spans), len(b)]))
+        want.append((i, len(b), [tuple(x) for x in spans], hashlib.sha256(kept).hexdigest()))
+    assert got == want and sum(len(w[2]) for w in want) >= 8
