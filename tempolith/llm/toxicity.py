@@ -44,7 +44,6 @@ DISGUISE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7":
 FEATURES = ["hits", "hit_share", "distinct_hits", "hidden_hits", "hidden_share", "near_address", "address_share", "capital_share", "capital_words", "mark_share",
             "shout_share", "digit_share", "mixed_words", "repeats", "log_words"]
 
-_TOKEN = re.compile(r"[^\s,;:?\"()\[\]{}<>|/\\]+")
 _EDGE = "!.,?;:'\"*#$%&()[]{}<>~_-+=|/\\"
 _MIXED = re.compile(r"[^\W\d_]+[\d@$!*]+[^\W\d_]+")
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
@@ -127,7 +126,7 @@ class Scorer:
         """docs: (doc_id, text); labels: (doc_id, toxic), the rows that may be learned from."""
         stage = Scratch(docs.sparkSession, "toxicity")
         # the sampled ids are bounded by SAMPLE, so the documents need not move
-        sample = docs.join(F.broadcast(_sample(labels)), "doc_id").select("doc_id", "text", "toxic")
+        sample = docs.select("doc_id", "text").join(F.broadcast(_sample(labels.select("doc_id", "toxic"))), "doc_id").select("doc_id", "text", "toxic")
         sample = stage.keep(sample, "sample")
         n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
         self.constant = None
