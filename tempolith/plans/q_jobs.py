@@ -530,7 +530,7 @@ mo AS (SELECT avg(price) AS m_price, stddev_pop(price) AS s_price, avg(urgent) A
 pr AS (SELECT o_custkey, avg(price) AS r_price, avg(urgent) AS r_urgent, avg(x) AS lx, count(*) AS n,
               avg(price) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS l_price, avg(urgent) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS l_urgent,
               avg(x) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS rx FROM o0 WHERE early GROUP BY 1),
-pw AS (SELECT *, greatest(least(rx / (lx + 1e-6), 1.0), 0.2) AS mr FROM pr),
+pw AS (SELECT *, CASE WHEN rx IS NOT NULL THEN greatest(least(rx / (lx + 1e-6), 1.0), 0.2) END AS mr FROM pr),
 pd AS (SELECT *, {", ".join(f"CASE WHEN mr IS NOT NULL THEN least(mr, greatest(least(coalesce(CASE WHEN r_{t} <> 0 THEN l_{t} / r_{t} END, 1.0), 1.0), 0.2)) END AS w_{t}" for t in _TARGETS)} FROM pw),
 sl AS (SELECT o0.row_, o0.o_orderdate::date AS d FROM o0 JOIN pr USING (o_custkey) WHERE NOT early AND pr.n >= 5),
 nx AS (SELECT coalesce(min(d) FILTER (WHERE d >= DATE '1999-06-01'), max(d)) AS d FROM sl),

@@ -709,7 +709,7 @@ def preprocess_sparse(spark, sf):
                                           "o_orderdate")
     train = o.filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
     path = scratch_path(spark, "sparse_preprocess")
-    Preprocessor.fit(train, numeric=["o_totalprice"], categorical=["o_orderpriority", "cat"]).save(spark, path)
+    Preprocessor.fit(train, numeric=["o_totalprice"], categorical=["o_orderpriority", "cat"], max_categories=100).save(spark, path)
     pre = Preprocessor.load(spark, path)
     out = pre.assembled(o)
     dense = len(pre.features)

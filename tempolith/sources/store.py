@@ -10,11 +10,13 @@ touched. The manifest is written last: an update that breaks off is seen as not
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tempolith.session import cut_lineage, drop_path, scratch_path
 
@@ -63,8 +65,14 @@ class GroupStore:
             raise
 
     def table(self, name: str) -> DataFrame:
-        """A stored table, without the bucket."""
-        return self.spark.read.parquet(f"{self.path}/{name}").drop(BUCKET)
+        """A stored table, without the bucket; one that has no rows has its columns all the same."""
+        return self._stored(name).drop(BUCKET)
+
+    def _stored(self, name: str) -> DataFrame | None:
+        schema = self._read(f"schema-{name}")
+        if schema is None:
+            return None
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(schema.first()[0]))).parquet(f"{self.path}/{name}")
 
     def manifest(self, sources: dict[str, DataFrame]) -> DataFrame:
         parts = [digest(df, self.group).withColumn("source", F.lit(name)) for name, df in sorted(sources.items())]
@@ -105,7 +113,7 @@ class GroupStore:
 
     def _replace(self, name: str, rows: DataFrame, groups: DataFrame, touched: list[int]) -> None:
         """Put rows of the changed groups in the place of the old ones, in the touched buckets only."""
-        out, old = self._bucketed(rows), self._read(name)
+        out, old = self._bucketed(rows), self._stored(name)
         if old is not None:
             kept = of_groups(old.filter(F.col(BUCKET).isin(touched)), groups, self.group, "left_anti")
             out = out.unionByName(kept.select(*out.columns))
@@ -115,6 +123,8 @@ class GroupStore:
         staged = self.spark.read.schema(out.schema).parquet(stage)
         full = {r[BUCKET] for r in staged.select(BUCKET).distinct().collect()}
         (staged.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(f"{self.path}/{name}"))
+        if old is None:
+            self.spark.createDataFrame([(out.schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/schema-{name}")
         for bucket in touched:
             if bucket not in full:
                 drop_path(self.spark, f"{self.path}/{name}/{BUCKET}={bucket}")
