@@ -1,6 +1,7 @@
 """Sources, sinks, JSON documents and incremental streaming ingest."""
 
 import datetime as dt
+import json
 
 from pyspark.sql import types as T
 
@@ -66,6 +67,19 @@ def test_json_names_and_lookup(spark):
     assert sorted((r.id, r.name) for r in got) == [("1", "yes"), ("2", None)]
 
 
+def test_json_lookup_work_grows_with_the_entries(spark):
+    n = 2000
+    data = [{"id": f"d{i}", "relationships": {"player": {"data": {"id": f"p{i % 1500}"}}}} for i in range(n)] + [{"id": "bare"}]
+    included = [{"id": f"p{i}", "attributes": {"name": f"n{i}"}} for i in range(1000)] + [{"id": "p0"}, {"attributes": {"name": "no id"}}]
+    doc = json.dumps({"data": data, "included": included})
+    df = spark.createDataFrame([("a", doc), ("b", doc), ("c", '{"data":[{"id":"1"}]}'), ("d", None)], "k string, doc string")
+    out = J.json_lookup(df, "doc", "player", "name", keep=["k"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_from_entries" not in plan, "every data row carries a map of its document's included entries"
+    want = [(f"d{i}", f"n{i % 1500}" if 0 < i % 1500 < 1000 else None) for i in range(n)] + [("bare", None)]
+    assert sorted((r.k, r.id, str(r.name)) for r in out.collect()) == sorted([(k, i, str(v)) for k in "ab" for i, v in want] + [("c", "1", "None")])
+
+
 def test_late_landings_are_kept(spark):
     landing, sink, ckpt = (scratch_path(spark, n) for n in ("t_land2", "t_sink2", "t_ckpt2"))
     schema = "event_id long, ts timestamp_ntz"
