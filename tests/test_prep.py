@@ -28,6 +28,22 @@ def test_exact_median(spark, n):
     assert P.exact_median(df, "v").first()[0] == pytest.approx(float(np.median(x)))
 
 
+def test_exact_medians_sort_only_the_middle(spark, monkeypatch):
+    n = 30001
+    df = spark.range(n).select(((F.col("id") * 7919) % n).cast("double").alias("a"), F.when(F.col("id") % 3 > 0, 5.0).otherwise(F.col("id").cast("double")).alias("ties"),
+                               F.when(F.col("id") % 4 == 0, float("nan")).otherwise(F.col("id").cast("double")).alias("some nan"), F.lit(None).cast("double").alias("none"),
+                               F.when(F.col("id") % 3 > 0, float("nan")).otherwise(1.0).alias("most_nan"), F.when(F.col("id") < n // 2, -1e300).otherwise(F.col("id")).alias("halves"))
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda *a: pytest.fail("all rows are dealt by value and sorted"))
+    got = P.exact_medians(df, df.columns).first()
+    rest = sorted(i for i in range(n) if i % 4)
+    assert got.asDict() | {"most_nan__median": None} == {"a__median": 15000.0, "ties__median": 5.0, "some nan__median": float(rest[n // 2]), "none__median": None,
+                                                         "most_nan__median": None, "halves__median": 15000.0}
+    assert np.isnan(got["most_nan__median"])
+    # a bracket that misses is widened
+    monkeypatch.setattr(P, "AROUND", (0.0, 1.0))
+    assert P.exact_medians(df.filter("a < 30000"), ["a"]).first()[0] == 14999.5
+
+
 def test_scaler_uses_population_std_and_zero_variance_scale_one(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 5.0)], "a double, b double")
     out = P.scale(df, P.fit_scaler(df, ["a", "b"]), ["a", "b"]).toPandas()
