@@ -26,8 +26,10 @@ def json_names(df: DataFrame, col: str, category: str) -> DataFrame:
     lists = cats.select(F.explode("c.offerSubcategoryDescriptors").alias("d")).select(F.explode("d.offerSubcategory.offers").alias("l"))
     u = lists.select(F.explode("l").alias("o")).select(F.explode("o.outcomes").alias("u"))
     person = F.col("u.participant")
-    name = folded_key(F.when(person != "", person).otherwise(F.col("u.description")))
-    return u.select(name.alias("name")).filter(F.col("name") != "").distinct()
+    # names repeat across documents: each spelling is folded once. The count keeps the optimiser from moving the folding
+    # and the test for blanks below the grouping, to every outcome
+    raw = u.groupBy(F.when(person != "", person).otherwise(F.col("u.description")).alias("_raw")).agg(F.count(F.lit(1)).alias("_n"))
+    return raw.select(folded_key(F.when(F.col("_n") > 0, F.col("_raw"))).alias("name")).filter(F.col("name") != "").distinct()
 
 
 # A8 -----------------------------------------------------------------------------

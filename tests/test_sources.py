@@ -80,6 +80,15 @@ def test_json_lookup_work_grows_with_the_entries(spark):
     assert sorted((r.k, r.id, str(r.name)) for r in out.collect()) == sorted([(k, i, str(v)) for k in "ab" for i, v in want] + [("c", "1", "None")])
 
 
+def test_json_names_folds_each_spelling_once(spark):
+    doc = json.dumps([{"name": "a", "offerSubcategoryDescriptors": [{"offerSubcategory": {"offers": [[{"outcomes": [
+        {"participant": "Bó"}, {"participant": "Bó"}, {"participant": "", "description": "bo!"}, {"participant": "!"}, {"participant": None, "description": None}]}]]}}]}])
+    out = J.json_names(spark.createDataFrame([(doc,)] * 3, "doc string"), "doc", "A")
+    per_outcome = out._jdf.queryExecution().optimizedPlan().toString().rsplit("Aggregate", 1)[1]
+    assert "translate(" not in per_outcome, "every outcome's name is folded before equal ones are put together"
+    assert [r.name for r in out.collect()] == ["bo"]
+
+
 def test_late_landings_are_kept(spark):
     landing, sink, ckpt = (scratch_path(spark, n) for n in ("t_land2", "t_sink2", "t_ckpt2"))
     schema = "event_id long, ts timestamp_ntz"
