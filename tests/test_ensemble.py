@@ -72,3 +72,29 @@ def test_constant_target_and_tiny_tables(spark):
     model = EN.fit(df, "id", ["x"], ["y"], linear=2, trees=1)
     rows = EN.draws(df, "id", model).collect()
     assert rows and all(np.isfinite([r.mean, r.logvar, r.sample]).all() for r in rows)
+
+
+def _counted(spark, n):
+    """Rows with a feature and a target, and how many of them were computed so far."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def passing(i):
+        seen.add(1)
+        return float(i % 17)
+
+    return spark.range(n).select(F.col("id"), F.udf(passing, "double")("id").alias("x"), (F.col("id") % 17 + F.col("id") % 5).cast("double").alias("y")), seen
+
+
+def test_rows_are_computed_once_for_all_members(spark):
+    df, seen = _counted(spark, 400)
+    model = EN.fit(df, "id", ["x"], ["y"], linear=2, trees=1, depth=2, leaf_rows=10)
+    assert len(model.linear) == 2 and len(model.trees) == 1
+    assert seen.value <= 800, "every pass of the fits computes the rows again"
+
+
+def test_scoring_artifacts_compute_their_rows_once(spark):
+    from tempolith.plans import jobs as J
+    from tempolith.session import scratch_path
+    df, seen = _counted(spark, 400)
+    J.fit_scoring(df.withColumn("other", F.lit("unused")), "id", ["y"], scratch_path(spark, "t_scoring_once"), members=2, numeric=["x"])
+    assert seen.value <= 800, "every pass of the fits computes the rows again"
