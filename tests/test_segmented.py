@@ -95,3 +95,55 @@ def test_a_null_entity_is_an_entity(spark):
         for c in a.columns:
             if a[c].dtype.kind == "f":
                 assert np.allclose(a[c], b[c], rtol=1e-9, atol=1e-9, equal_nan=True), c
+
+
+def _rows_written(monkeypatch):
+    """The row counts of all checkpoints made from now on."""
+    from tempolith import session
+    real, made = session.cut_lineage, []
+
+    def counted(df, eager=True):
+        out = real(df, eager)
+        made.append(out.count())
+        return out
+    monkeypatch.setattr(session, "cut_lineage", counted)
+    monkeypatch.setattr(J, "cut_lineage", counted)
+    return made
+
+
+def _same_features(a, b, keys):
+    a, b = (d.toPandas().sort_values(keys).reset_index(drop=True) for d in (a, b.select(*a.columns)))
+    assert len(a) == len(b)
+    for c in a.columns:
+        if a[c].dtype.kind == "f":
+            assert np.allclose(a[c], b[c].astype(float), rtol=1e-9, atol=1e-9, equal_nan=True), c
+        else:
+            assert (a[c].fillna(-1) == b[c].fillna(-1)).all(), c
+
+
+def test_long_build_writes_the_segments_and_the_ranked_rows_only(spark, monkeypatch):
+    """What segments hand on comes from the rows of cut keys: many small entities are written twice, not once a step."""
+    df = _hot_frame(spark).withColumn("user_id", F.col("event_id") % 97).withColumn("k", F.round(F.col("value") / 7))
+    df = df.withColumn("user_id", F.when(F.col("user_id") != 5, F.col("user_id")))
+    n, made = 2 * df.count(), _rows_written(monkeypatch)
+    long = J.feature_build(df, "user_id", ["ts", "event_id"], "d", ["value", "k"], season="season", layout="long", partitions=6, rank_bits=20)
+    assert sum(m >= n for m in made) == 2 and sum(made) < 4 * n
+    wide = J.feature_build(df, "user_id", ["ts", "event_id"], "d", ["value", "k"], season="season", skew_safe_ranks=False, rank_bits=20)
+    names = [c for c in long.columns if c.startswith("x_")]
+    for m in ("value", "k"):
+        _same_features(wide.select("event_id", *[F.col(f"{m}_{c[2:]}").alias(c) for c in names]), long.filter(F.col("metric") == m), "event_id")
+
+
+def test_ranks_of_cut_groups_equal_window_ranks(spark, monkeypatch):
+    """A hot date is ranked in several buckets, ties stay together, and its values are not written for it."""
+    from tempolith.operators import windows as W
+    df = _hot_frame(spark).withColumn("v2", F.round(F.col("value") / 10) * 10)
+    df = df.withColumns({"v3": F.when(F.col("event_id") % 9 == 0, F.lit(float("nan"))).otherwise(-F.col("value")), "d": F.when(F.col("event_id") % 50 != 0, F.col("d"))})
+    n, made = df.count(), _rows_written(monkeypatch)
+    cols = ["value", "v2", "v3"]
+    b = SG.pct_rank_within(df, "d", cols, partitions=40, together=True)
+    assert sum(m >= n for m in made) == 1
+    assert max(m for m in made if m < n) > 10 * len(cols)         # counts of the buckets of the hot date
+    names = ["event_id", *[f"{c}_prank" for c in cols]]
+    _same_features(W.pct_rank_within(df.filter("d IS NOT NULL"), "d", cols).select(*names), b.filter("d IS NOT NULL").select(*names), "event_id")
+    assert b.filter("d IS NULL").select(*names).filter(F.coalesce(*names[1:]).isNotNull()).count() == 0
