@@ -134,6 +134,16 @@ def test_long_build_writes_the_segments_and_the_ranked_rows_only(spark, monkeypa
         _same_features(wide.select("event_id", *[F.col(f"{m}_{c[2:]}").alias(c) for c in names]), long.filter(F.col("metric") == m), "event_id")
 
 
+def test_skew_safe_build_writes_the_segments_and_the_ranked_rows_only(spark, monkeypatch):
+    df = _hot_frame(spark).withColumn("user_id", F.col("event_id") % 97)
+    n, few, made = df.count(), df.filter("event_type IN ('click', 'view')").count(), _rows_written(monkeypatch)
+    kw = dict(season="season", context="event_type", context_values=("click", "view"), hot_metric="value", rank_bits=20)
+    b = J.feature_build_skew_safe(df, "user_id", ["ts", "event_id"], "d", ["value"], partitions=6, **kw)
+    assert sum(m >= n for m in made) == 2 and sum(m >= few for m in made) == 3 and sum(made) < 8 * n
+    a = J.feature_build(df, "user_id", ["ts", "event_id"], "d", ["value"], skew_safe_ranks=False, **kw)
+    _same_features(a.drop("ts", "d"), b, "event_id")
+
+
 def test_ranks_of_cut_groups_equal_window_ranks(spark, monkeypatch):
     """A hot date is ranked in several buckets, ties stay together, and its values are not written for it."""
     from tempolith.operators import windows as W
