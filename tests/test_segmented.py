@@ -157,3 +157,48 @@ def test_ranks_of_cut_groups_equal_window_ranks(spark, monkeypatch):
     names = ["event_id", *[f"{c}_prank" for c in cols]]
     _same_features(W.pct_rank_within(df.filter("d IS NOT NULL"), "d", cols).select(*names), b.filter("d IS NOT NULL").select(*names), "event_id")
     assert b.filter("d IS NULL").select(*names).filter(F.coalesce(*names[1:]).isNotNull()).count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_window_expression_is_evaluated_once_and_the_series_is_sorted_four_times(spark):
+    """Spark evaluates a window expression that is written twice twice, and sorts anew for another order."""
+    import re
+    df = _hot_frame(spark).withColumn("one", F.lit(1))
+    seg = SG.running_features(df, "user_id", ["season", "ts", "event_id"], ["value"], partitions=4)
+    seg = J._ewm_block(seg, "user_id", "value", 0.1, rising=["season"])
+    rows = SG.season_features(seg, "user_id", "season", "d", "value_lag1", {"one": "streak"}, "slope", rising=["season"]).rows
+    windows = [x for x in _plan(rows).splitlines() if re.match(r"^[\s:+|-]*Window \[", x)]
+    for x in windows:
+        written = re.findall(r"(?:Window \[|, )((?:(?! AS ).)+? windowspecdefinition\((?:(?! AS ).)+) AS [^,\]]+#\d+", x)
+        assert written and len(written) == len(set(written)), written
+    assert len(windows) == 13
+    sorts = [x for x in rows._jdf.queryExecution().executedPlan().toString().splitlines() if re.match(r"^[\s:+|-]*Sort \[", x)]
+    assert len(sorts) == 4                           # halo and order; position; decay block; season and position
+
+
+def test_counts_of_active_days_are_joined_once_to_the_checkpointed_rows(spark, monkeypatch):
+    """The frame is read for its row count, the range bounds and the shuffle, so a join before them runs three times."""
+    real, seen = SG.count_last_days, []
+
+    def counted(df, *args, **kw):
+        seen.append("LogicalRDD" in _plan(df) and SG.SEG in df.columns)
+        return real(df, *args, **kw)
+    monkeypatch.setattr(SG, "count_last_days", counted)
+    b = J.feature_build_skew_safe(_hot_frame(spark), "user_id", ["ts", "event_id"], "d", ["value"], season="season", rank_cols=["value_slope"], partitions=4, rank_bits=20)
+    assert seen == [True] and b.filter("n_last_7d IS NULL").count() == 0
+
+
+def test_ranked_frames_are_cleaned_before_the_ranks_are_joined(spark):
+    from tempolith.operators import windows as W
+    df = spark.createDataFrame([(1, 1, 1.0, float("inf")), (2, 1, float("inf"), 2.0), (3, 1, None, float("nan")), (4, 1, -2.5, float("-inf"))], "i int, g int, a double, b double")
+    given = []
+
+    def rank(d, cols):
+        given.extend(r.b for r in d.sort("i").collect())
+        return W.pct_rank_within(d, "g", cols)
+    out = J._ranked(df, ["a"], 20, rank)
+    assert given == [None, 2.0, None, None]
+    assert [tuple(r) for r in out.select("i", "a", "b", "a_prank").sort("i").collect()] == [(1, 1.0, None, 2 / 3), (2, None, 2.0, 1.0), (3, None, None, None), (4, -2.5, None, 1 / 3)]
